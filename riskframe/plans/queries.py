@@ -1,0 +1,76 @@
+"""Registered queries over the driver's tables: ``name -> (spark, sf_dir) -> DataFrame``.
+
+Each query runs the library operator on whole tables. Double outputs are
+rounded to ``DIGITS`` places so that results compare exactly with the
+reference SQL in :mod:`riskframe.plans.oracle` (summation order differs
+between engines).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
+
+from riskframe.plans import tpch
+from riskframe.plans.assemble import join_families
+
+DIGITS = 6
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def register(name: str):
+    def deco(fn):
+        QUERIES[name] = fn
+        return fn
+    return deco
+
+
+def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+    return df.select(*[
+        F.round(F.col(f.name), digits).alias(f.name)
+        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
+        for f in df.schema.fields])
+
+
+def families(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {name: build(spark, sf_dir) for name, build in tpch.FAMILIES.items()}
+
+
+def applicant_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: one wide feature row per customer (unrounded)."""
+    return join_families(tpch.applicants(spark, sf_dir), families(spark, sf_dir), tpch.KEY)
+
+
+# ------------------------------------------------------------------ roll-ups
+
+@register("applicant_features")
+def q_applicant_features(spark, sf_dir):
+    return round_doubles(applicant_features(spark, sf_dir))
+
+
+@register("two_level_rollup")
+def q_two_level_rollup(spark, sf_dir):
+    return round_doubles(tpch.bureau_family(spark, sf_dir))
+
+
+@register("history_rollup")
+def q_history_rollup(spark, sf_dir):
+    return round_doubles(tpch.previous_family(spark, sf_dir))
+
+
+@register("monthly_status_rollup")
+def q_monthly_status_rollup(spark, sf_dir):
+    return round_doubles(tpch.pos_family(spark, sf_dir))
+
+
+@register("utilisation_rollup")
+def q_utilisation_rollup(spark, sf_dir):
+    return round_doubles(tpch.credit_card_family(spark, sf_dir))
+
+
+@register("instalment_rollup")
+def q_instalment_rollup(spark, sf_dir):
+    return round_doubles(tpch.installments_family(spark, sf_dir))
