@@ -220,3 +220,266 @@ def applicant_features_sql() -> tuple[str, list[Col]]:
 def applicant_features_query() -> str:
     sql, cols = applicant_features_sql()
     return final_select(cols, f"({sql}) t")
+
+
+# ------------------------------------------------------------------ profiling / preparation SQL
+
+def app_cte() -> str:
+    return f"app AS ({applicant_features_sql()[0]})"
+
+
+def app_columns() -> list[Col]:
+    return applicant_features_sql()[1]
+
+
+def split_cte(seed: int = 42, test_size: float = 0.2) -> str:
+    return (f"split AS (SELECT c_custkey, TARGET, CASE WHEN ROW_NUMBER() OVER (PARTITION BY TARGET "
+            f"ORDER BY md5('{seed}:' || CAST(c_custkey AS VARCHAR)), c_custkey) <= "
+            f"ROUND({test_size}::DOUBLE * COUNT(*) OVER (PARTITION BY TARGET)) THEN 'validation' "
+            f"ELSE 'train' END AS split FROM ({applicants_sql()}) a)")
+
+
+def null_rows(cols: list[Col], source: str, pct_name: str = "null_pct") -> str:
+    parts = [f"SELECT '{c.name}' AS column, {i} AS ordinal, "
+             f"CAST(SUM(CASE WHEN {c.name} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count, "
+             f"100.0::DOUBLE * SUM(CASE WHEN {c.name} IS NULL THEN 1 ELSE 0 END) / COUNT(*) AS {pct_name} "
+             f"FROM {source}" for i, c in enumerate(cols)]
+    return " UNION ALL ".join(parts)
+
+
+def missing_profile_sql() -> str:
+    return (f"WITH {app_cte()} SELECT \"column\", ordinal, null_count, ROUND(null_pct, {DIGITS}) AS null_pct "
+            f"FROM ({null_rows(app_columns(), 'app')})")
+
+
+def top_missing_sql(n: int = 12) -> str:
+    return (f"WITH {app_cte()} SELECT \"column\", ordinal, null_count, ROUND(null_pct, {DIGITS}) AS null_pct "
+            f"FROM ({null_rows(app_columns(), 'app')}) ORDER BY null_pct DESC, ordinal LIMIT {n}")
+
+
+def numeric_cols(cols: list[Col], exclude=()) -> list[Col]:
+    return [c for c in cols if c.dtype != STR and c.name not in exclude]
+
+
+def missing_train_test_sql() -> str:
+    cols = app_columns()
+    train = "(SELECT * FROM app WHERE c_custkey IN (SELECT c_custkey FROM split WHERE split = 'train'))"
+    test = "(SELECT * FROM app WHERE c_custkey IN (SELECT c_custkey FROM split WHERE split = 'validation'))"
+    tr = null_rows(cols, train, "train_missing_pct")
+    te = null_rows([c for c in cols if c.name != "TARGET"], test, "test_missing_pct")
+    return (f"WITH {app_cte()}, {split_cte()} SELECT tr.\"column\", tr.ordinal, "
+            f"ROUND(tr.train_missing_pct, {DIGITS}) AS train_missing_pct, "
+            f"ROUND(COALESCE(te.test_missing_pct, 0.0::DOUBLE), {DIGITS}) AS test_missing_pct "
+            f"FROM ({tr}) tr LEFT JOIN ({te}) te ON tr.\"column\" = te.\"column\"")
+
+
+def constant_columns_sql() -> str:
+    parts = [f"SELECT '{c.name}' AS column, {i} AS ordinal, (COUNT({c.name}) = 0 OR (COUNT({c.name}) = COUNT(*) "
+             f"AND MIN({c.name}) = MAX({c.name}))) AS is_constant FROM app" for i, c in enumerate(app_columns())]
+    return f"WITH {app_cte()} " + " UNION ALL ".join(parts)
+
+
+def schema_summary_sql() -> str:
+    cols = app_columns()
+    n_cat = sum(1 for c in cols if c.dtype == STR)
+    return (f"WITH {app_cte()} SELECT 'applicant_features' AS table_name, COUNT(*) AS rows, "
+            f"{len(cols)} AS columns, {len(cols) - n_cat} AS numeric_columns, {n_cat} AS categorical_columns FROM app")
+
+
+def schema_diff_sql() -> str:
+    left = [c.name for c in app_columns()]
+    right = [c.name for c in APPLICANT_COLS if c.name != "TARGET"]
+    lv = ", ".join(f"('{c}')" for c in left)
+    rv = ", ".join(f"('{c}')" for c in right)
+    return (f"SELECT COALESCE(l.name, r.name) AS \"column\", l.name IS NOT NULL AS in_left, "
+            f"r.name IS NOT NULL AS in_right FROM (VALUES {lv}) l(name) FULL JOIN (VALUES {rv}) r(name) "
+            f"ON l.name = r.name")
+
+
+def table_overview_sql(tables: dict[str, str]) -> str:
+    parts = []
+    for t, idc in tables.items():
+        meta = (f"(SELECT CAST(COUNT(*) AS INTEGER) FROM information_schema.columns WHERE table_name = '{t}')")
+        sample = (f"(SELECT string_agg(column_name, ', ' ORDER BY ordinal_position) FROM information_schema.columns "
+                  f"WHERE table_name = '{t}' AND ordinal_position <= 8)")
+        parts.append(f"SELECT '{t}' AS table_name, '{idc}' AS id_col, COUNT(*) AS rows, {meta} AS cols, "
+                     f"{sample} AS sample_columns FROM {t}")
+    return " UNION ALL ".join(parts)
+
+
+def status_counts_sql(sources) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column, CAST({c} AS VARCHAR) AS value, COUNT(*) AS count "
+        f"FROM {t} GROUP BY {c}" for t, c in sources)
+
+
+def records_per_id_sql(sources) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS id_col, COUNT(*) AS unique_ids, ROUND(AVG(n), {DIGITS}) AS mean_records, "
+        f"ROUND(CAST(quantile_cont(n, 0.5) AS DOUBLE), {DIGITS}) AS median_records, "
+        f"ROUND(CAST(quantile_cont(n, 0.95) AS DOUBLE), {DIGITS}) AS p95_records, MAX(n) AS max_records "
+        f"FROM (SELECT {c}, COUNT(*) AS n FROM {t} GROUP BY {c})" for t, c in sources)
+
+
+def target_balance_sql() -> str:
+    return (f"SELECT TARGET, COUNT(*) AS count, ROUND(CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER (), {DIGITS}) "
+            f"AS proportion FROM ({applicants_sql()}) a WHERE TARGET IS NOT NULL GROUP BY TARGET")
+
+
+def rate_by_category_sql(columns) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {c} AS category, ROUND(AVG(TARGET), {DIGITS}) AS rate, COUNT(*) AS n "
+        f"FROM ({applicants_sql()}) a WHERE {c} IS NOT NULL GROUP BY {c}" for c in columns)
+
+
+def categorical_cardinality_sql(table: str, columns) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, COUNT(DISTINCT {c}) AS n_unique FROM {table}"
+                              for c in columns)
+
+
+def describe_sql(table: str, columns) -> str:
+    r = lambda e: f"ROUND(CAST({e} AS DOUBLE), {DIGITS})"
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column, COUNT({c}) AS count, {r(f'AVG({c})')} AS mean, {r(f'STDDEV_SAMP({c})')} AS std, "
+        f"{r(f'MIN({c})')} AS min, {r(f'quantile_cont({c}, 0.25)')} AS q25, {r(f'quantile_cont({c}, 0.5)')} AS q50, "
+        f"{r(f'quantile_cont({c}, 0.75)')} AS q75, {r(f'MAX({c})')} AS max FROM {table}" for c in columns)
+
+
+def correlation_sql(columns) -> str:
+    parts = []
+    for a in columns:
+        for b in columns:
+            parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, "
+                         f"ROUND(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), {DIGITS}) AS corr FROM app")
+    return f"WITH {app_cte()} " + " UNION ALL ".join(parts)
+
+
+def histogram_sql(table: str, column: str, bins: int) -> str:
+    b = float(bins)
+    return (f"WITH v AS (SELECT CAST({column} AS DOUBLE) AS x FROM {table} WHERE {column} IS NOT NULL), "
+            f"r0 AS (SELECT MIN(x) AS lo0, MAX(x) AS hi0 FROM v), "
+            f"r AS (SELECT CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo, "
+            f"CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM r0), "
+            f"c AS (SELECT LEAST(CAST(FLOOR((x - lo) * {b}::DOUBLE / (hi - lo)) AS INTEGER), {bins - 1}) AS bin, "
+            f"COUNT(*) AS count FROM v, r GROUP BY 1), "
+            f"g AS (SELECT CAST(range AS INTEGER) AS bin FROM range(0, {bins})) "
+            f"SELECT g.bin, ROUND(lo + g.bin * ((hi - lo) / {b}::DOUBLE), {DIGITS}) AS lower, "
+            f"ROUND(lo + (g.bin + 1) * ((hi - lo) / {b}::DOUBLE), {DIGITS}) AS upper, "
+            f"COALESCE(c.count, 0) AS count FROM g CROSS JOIN r LEFT JOIN c ON g.bin = c.bin")
+
+
+def box_stats_sql() -> str:
+    src = "(SELECT CAST(l_returnflag = 'R' AS INTEGER) AS is_returned, l_extendedprice AS x FROM lineitem)"
+    return (f"WITH q AS (SELECT is_returned, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, "
+            f"quantile_cont(x, 0.75) AS q3 FROM {src} GROUP BY 1), "
+            f"f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo_f, q3 + 1.5 * (q3 - q1) AS hi_f FROM q) "
+            f"SELECT s.is_returned, ROUND(q1, {DIGITS}) AS q1, ROUND(median, {DIGITS}) AS median, "
+            f"ROUND(q3, {DIGITS}) AS q3, ROUND(iqr, {DIGITS}) AS iqr, "
+            f"ROUND(MIN(CASE WHEN x >= lo_f AND x <= hi_f THEN x END), {DIGITS}) AS whisker_low, "
+            f"ROUND(MAX(CASE WHEN x >= lo_f AND x <= hi_f THEN x END), {DIGITS}) AS whisker_high, "
+            f"CAST(SUM(CASE WHEN x >= lo_f AND x <= hi_f THEN 0 ELSE 1 END) AS BIGINT) AS outliers "
+            f"FROM {src} s JOIN f ON s.is_returned = f.is_returned GROUP BY s.is_returned, q1, median, q3, iqr")
+
+
+def class_weights_sql() -> str:
+    return (f"WITH c AS (SELECT TARGET, COUNT(*) AS n FROM ({applicants_sql()}) a GROUP BY TARGET), "
+            f"t AS (SELECT SUM(n) AS tn, COUNT(*) AS k, SUM(CASE WHEN TARGET = 0 THEN n END) AS neg, "
+            f"SUM(CASE WHEN TARGET = 1 THEN n END) AS pos FROM c) "
+            f"SELECT TARGET, n, ROUND(CAST(tn AS DOUBLE) / (k * n), {DIGITS}) AS balanced_weight, "
+            f"ROUND(CASE WHEN pos > 0 THEN CAST(neg AS DOUBLE) / pos END, {DIGITS}) AS scale_pos_weight FROM c, t")
+
+
+def clip_at_quantile_sql() -> str:
+    return (f"WITH c AS (SELECT o_custkey, COUNT(*) AS record_count FROM orders GROUP BY 1), "
+            f"q AS (SELECT quantile_cont(record_count, 0.99) AS q FROM c) "
+            f"SELECT o_custkey, record_count, ROUND(CASE WHEN record_count > q THEN q ELSE CAST(record_count AS DOUBLE) "
+            f"END, {DIGITS}) AS clipped FROM c, q")
+
+
+def stratified_split_sql() -> str:
+    return f"WITH {split_cte()} SELECT c_custkey, TARGET, split FROM split"
+
+
+def split_semi_join_sql() -> str:
+    return (f"WITH {app_cte()}, {split_cte()} SELECT c_custkey, TARGET, BUREAU_RECORD_COUNT, INST_INST_DPD_SUM "
+            f"FROM app WHERE c_custkey IN (SELECT c_custkey FROM split WHERE split = 'train')")
+
+
+def sample_n_sql(n: int = 200, seed: int = 42) -> str:
+    return (f"SELECT c_custkey, TARGET FROM ({applicants_sql()}) a "
+            f"ORDER BY md5('{seed}:' || CAST(c_custkey AS VARCHAR)), c_custkey LIMIT {n}")
+
+
+def impute_median_sql() -> str:
+    num = numeric_cols(app_columns(), exclude=("c_custkey", "TARGET"))
+    sel = ", ".join(f"ROUND(COALESCE(CAST({c.name} AS DOUBLE), (SELECT quantile_cont(CAST({c.name} AS DOUBLE), 0.5) "
+                    f"FROM app)), {DIGITS}) AS {c.name}" for c in num)
+    return f"WITH {app_cte()} SELECT c_custkey, {sel} FROM app"
+
+
+def impute_mode_sql(table: str, columns) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column, (SELECT CAST({c} AS VARCHAR) FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} "
+        f"ORDER BY COUNT(*) DESC, CAST({c} AS VARCHAR) LIMIT 1) AS mode" for c in columns)
+
+
+def standardize_sql() -> str:
+    num = numeric_cols(app_columns(), exclude=("c_custkey", "TARGET"))
+    med = ", ".join(f"quantile_cont(CAST({c.name} AS DOUBLE), 0.5) AS m_{i}" for i, c in enumerate(num))
+    parts = []
+    for i, c in enumerate(num):
+        x = f"COALESCE(CAST({c.name} AS DOUBLE), m_{i})"
+        parts.append(f"SELECT '{c.name}' AS column, ROUND(COALESCE(AVG({x}), 0.0::DOUBLE), {DIGITS}) AS mean, "
+                     f"ROUND(CASE WHEN STDDEV_POP({x}) IS NULL OR STDDEV_POP({x}) = 0 THEN 1.0::DOUBLE "
+                     f"ELSE STDDEV_POP({x}) END, {DIGITS}) AS scale FROM app, med")
+    return f"WITH {app_cte()}, med AS (SELECT {med} FROM app) " + " UNION ALL ".join(parts)
+
+
+def one_hot_sql(columns) -> str:
+    src = f"({applicants_sql()}) a"
+    return " UNION ALL ".join(
+        f"SELECT '{c}_' || COALESCE(CAST({c} AS VARCHAR), 'None') AS feature, CAST(COUNT(*) AS DOUBLE) AS ones, "
+        f"(SELECT COUNT(*) FROM {src}) AS rows FROM {src} GROUP BY {c}" for c in columns)
+
+
+def ready_summary_sql(scale: bool) -> str:
+    """Per output feature: non-null count, min, max of the ready table
+    (train part when ``scale`` is False, validation part transformed with the
+    train fit when True)."""
+    cols = app_columns()
+    feats = [c for c in cols if c.name not in ("c_custkey", "TARGET")]
+    train = "(SELECT * FROM app WHERE c_custkey IN (SELECT c_custkey FROM split WHERE split = 'train'))"
+    test = "(SELECT * FROM app WHERE c_custkey IN (SELECT c_custkey FROM split WHERE split = 'validation'))"
+    target = test if scale else train
+    ctes = [app_cte(), split_cte(), f"tr AS {train}", f"ev AS {target}"]
+    keep = [f"NOT (COUNT({c.name}) = 0 OR (COUNT({c.name}) = COUNT(*) AND MIN({c.name}) = MAX({c.name}))) AS k_{i}"
+            for i, c in enumerate(feats)]
+    ctes.append(f"keep AS (SELECT {', '.join(keep)} FROM tr)")
+    num = [(i, c) for i, c in enumerate(feats) if c.dtype != STR]
+    fit = [f"quantile_cont(CAST({c.name} AS DOUBLE), 0.5) AS m_{i}" for i, c in num]
+    ctes.append(f"med AS (SELECT {', '.join(fit)} FROM tr)")
+    if scale:
+        sc = []
+        for i, c in num:
+            x = f"COALESCE(CAST({c.name} AS DOUBLE), m_{i})"
+            sc += [f"COALESCE(AVG({x}), 0.0::DOUBLE) AS a_{i}",
+                   f"CASE WHEN STDDEV_POP({x}) IS NULL OR STDDEV_POP({x}) = 0 THEN 1.0::DOUBLE "
+                   f"ELSE STDDEV_POP({x}) END AS s_{i}"]
+        ctes.append(f"sc AS (SELECT {', '.join(sc)} FROM tr, med)")
+    parts = []
+    for i, c in num:
+        x = f"COALESCE(CAST({c.name} AS DOUBLE), m_{i})"
+        if scale:
+            x = f"(({x} - a_{i}) / s_{i})"
+        src = "ev, med, keep" + (", sc" if scale else "")
+        parts.append(f"SELECT '{c.name}' AS feature, COUNT({x}) AS n, ROUND(MIN({x}), {DIGITS}) AS min_value, "
+                     f"ROUND(MAX({x}), {DIGITS}) AS max_value FROM {src} WHERE k_{i}")
+    for i, c in enumerate(feats):
+        if c.dtype != STR:
+            continue
+        cats = (f"(SELECT DISTINCT {c.name} AS v FROM tr)")
+        hit = f"(CASE WHEN ev.{c.name} IS NOT DISTINCT FROM cats.v THEN 1.0 ELSE 0.0 END)"
+        parts.append(f"SELECT '{c.name}_' || COALESCE(cats.v, 'None') AS feature, COUNT(*) AS n, "
+                     f"CAST(MIN({hit}) AS DOUBLE) AS min_value, CAST(MAX({hit}) AS DOUBLE) AS max_value "
+                     f"FROM ev CROSS JOIN {cats} cats, keep WHERE k_{i} GROUP BY cats.v")
+    return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(parts)

@@ -17,3 +17,36 @@ add("history_rollup", o.family_query("previous_application"))
 add("monthly_status_rollup", o.family_query("pos_cash"))
 add("utilisation_rollup", o.family_query("credit_card"))
 add("instalment_rollup", o.family_query("installments"))
+
+# profiling
+from riskframe.plans import queries as q  # noqa: E402
+
+add("missing_profile", o.missing_profile_sql())
+add("top_missing", o.top_missing_sql(12))
+add("table_overview", o.table_overview_sql(q.OVERVIEW_TABLES))
+add("schema_summary", o.schema_summary_sql())
+add("status_counts", o.status_counts_sql(q.STATUS_SOURCES))
+add("records_per_id", o.records_per_id_sql(q.RECORD_SOURCES))
+add("target_balance", o.target_balance_sql())
+add("rate_by_category", o.rate_by_category_sql(["c_mktsegment", "n_name"]))
+add("categorical_cardinality", o.categorical_cardinality_sql("orders", ["o_orderstatus", "o_orderdate",
+                                                                         "o_orderpriority"]))
+add("describe_numeric", o.describe_sql("lineitem", q.LINEITEM_NUMERIC))
+add("correlation_matrix", o.correlation_sql(q.CORR_COLUMNS))
+add("histogram", o.histogram_sql("lineitem", "l_extendedprice", 50))
+add("box_stats", o.box_stats_sql())
+add("constant_columns", o.constant_columns_sql())
+add("class_weights", o.class_weights_sql())
+add("clip_at_quantile", o.clip_at_quantile_sql())
+add("schema_diff", o.schema_diff_sql())
+add("missing_train_test", o.missing_train_test_sql())
+# split, sample, preparation
+add("stratified_split", o.stratified_split_sql())
+add("split_semi_join", o.split_semi_join_sql())
+add("sample_n", o.sample_n_sql(200, 42))
+add("impute_median", o.impute_median_sql())
+add("impute_mode", o.impute_mode_sql("orders", ["o_orderstatus", "o_orderpriority"]))
+add("standardize", o.standardize_sql())
+add("one_hot", o.one_hot_sql(["c_mktsegment", "n_name"]))
+add("ready_tree", o.ready_summary_sql(scale=False))
+add("ready_linear", o.ready_summary_sql(scale=True))

@@ -74,3 +74,236 @@ def q_utilisation_rollup(spark, sf_dir):
 @register("instalment_rollup")
 def q_instalment_rollup(spark, sf_dir):
     return round_doubles(tpch.installments_family(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ shared inputs
+
+def features(spark, sf_dir):
+    return applicant_features(spark, sf_dir)
+
+
+def split_assignment(spark, sf_dir):
+    from riskframe.operators.prepare import stratified_split
+
+    apps = tpch.applicants(spark, sf_dir).select(tpch.KEY, tpch.TARGET)
+    return stratified_split(apps, tpch.KEY, tpch.TARGET, test_size=0.2, seed=42)
+
+
+CORR_COLUMNS = ["TARGET", "c_nationkey", "n_regionkey", "BUREAU_O_TOTALPRICE_MEAN", "PREV_O_TOTALPRICE_SUM",
+                "INST_L_QUANTITY_MEAN", "INST_INST_DPD_MEAN", "POS_VALUE_MEAN", "CC_VALUE_MEAN"]
+LINEITEM_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                    "l_discount", "l_tax"]
+STATUS_SOURCES = [("orders", "o_orderstatus"), ("orders", "o_orderpriority"), ("lineitem", "l_returnflag"),
+                  ("events", "event_type")]
+RECORD_SOURCES = [("lineitem", "l_orderkey"), ("orders", "o_custkey"), ("events", "user_id")]
+OVERVIEW_TABLES = {"customer": "c_custkey", "orders": "o_custkey", "lineitem": "l_orderkey",
+                   "events": "user_id", "part": "p_partkey", "supplier": "s_suppkey"}
+
+
+def _union(parts):
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ------------------------------------------------------------------ profiling
+
+from riskframe.operators import profile as prof  # noqa: E402
+
+
+@register("missing_profile")
+def q_missing_profile(spark, sf_dir):
+    return round_doubles(prof.missing_profile(features(spark, sf_dir)))
+
+
+@register("top_missing")
+def q_top_missing(spark, sf_dir):
+    return round_doubles(prof.top_missing(features(spark, sf_dir), top_n=12))
+
+
+@register("table_overview")
+def q_table_overview(spark, sf_dir):
+    return prof.table_overview({t: tpch.table(spark, sf_dir, t) for t in OVERVIEW_TABLES}, OVERVIEW_TABLES)
+
+
+@register("schema_summary")
+def q_schema_summary(spark, sf_dir):
+    return prof.schema_summary(features(spark, sf_dir), "applicant_features")
+
+
+@register("status_counts")
+def q_status_counts(spark, sf_dir):
+    parts = []
+    for t, c in STATUS_SOURCES:
+        df = prof.status_counts(tpch.table(spark, sf_dir, t, [c]), c)
+        parts.append(df.select(F.lit(t).alias("table_name"), F.lit(c).alias("column"),
+                               F.col(c).cast("string").alias("value"), "count"))
+    return _union(parts)
+
+
+@register("records_per_id")
+def q_records_per_id(spark, sf_dir):
+    return round_doubles(_union([prof.records_per_id(tpch.table(spark, sf_dir, t, [c]), c, t)
+                                 for t, c in RECORD_SOURCES]))
+
+
+@register("target_balance")
+def q_target_balance(spark, sf_dir):
+    return round_doubles(prof.value_counts(tpch.applicants(spark, sf_dir), tpch.TARGET))
+
+
+@register("rate_by_category")
+def q_rate_by_category(spark, sf_dir):
+    apps = tpch.applicants(spark, sf_dir)
+    parts = [prof.rate_by_category(apps, c, tpch.TARGET).select(
+        F.lit(c).alias("feature"), F.col(c).alias("category"), "rate", "n") for c in ("c_mktsegment", "n_name")]
+    return round_doubles(_union(parts))
+
+
+@register("categorical_cardinality")
+def q_categorical_cardinality(spark, sf_dir):
+    return prof.categorical_cardinality(tpch.table(spark, sf_dir, "orders"))
+
+
+@register("describe_numeric")
+def q_describe_numeric(spark, sf_dir):
+    return round_doubles(prof.describe_numeric(tpch.table(spark, sf_dir, "lineitem"), LINEITEM_NUMERIC))
+
+
+@register("correlation_matrix")
+def q_correlation_matrix(spark, sf_dir):
+    return round_doubles(prof.correlation_matrix(features(spark, sf_dir), CORR_COLUMNS))
+
+
+@register("histogram")
+def q_histogram(spark, sf_dir):
+    return round_doubles(prof.histogram(tpch.table(spark, sf_dir, "lineitem", ["l_extendedprice"]),
+                                        "l_extendedprice", bins=50))
+
+
+def returned_lines(spark, sf_dir):
+    li = tpch.table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag", "l_quantity",
+                                                "l_discount", "l_extendedprice"])
+    return li.withColumn("is_returned", (F.col("l_returnflag") == "R").cast("int"))
+
+
+@register("box_stats")
+def q_box_stats(spark, sf_dir):
+    return round_doubles(prof.box_stats(returned_lines(spark, sf_dir), "l_extendedprice", "is_returned"))
+
+
+@register("constant_columns")
+def q_constant_columns(spark, sf_dir):
+    return prof.constant_columns(features(spark, sf_dir))
+
+
+@register("class_weights")
+def q_class_weights(spark, sf_dir):
+    return round_doubles(prof.class_weights(tpch.applicants(spark, sf_dir), tpch.TARGET))
+
+
+@register("clip_at_quantile")
+def q_clip_at_quantile(spark, sf_dir):
+    counts = (tpch.table(spark, sf_dir, "orders", ["o_custkey"]).groupBy("o_custkey")
+              .agg(F.count(F.lit(1)).alias("record_count")))
+    return round_doubles(prof.clip_at_quantile(counts, "record_count", 0.99, out="clipped"))
+
+
+@register("schema_diff")
+def q_schema_diff(spark, sf_dir):
+    return prof.schema_diff(features(spark, sf_dir), tpch.applicants(spark, sf_dir).drop(tpch.TARGET))
+
+
+@register("missing_train_test")
+def q_missing_train_test(spark, sf_dir):
+    from riskframe.operators.prepare import select_part
+
+    feats, split = features(spark, sf_dir), split_assignment(spark, sf_dir)
+    train = select_part(feats, split, tpch.KEY, "train")
+    test = select_part(feats, split, tpch.KEY, "validation").drop(tpch.TARGET)
+    return round_doubles(prof.missing_train_test(train, test))
+
+
+# ------------------------------------------------------------------ split, sample, preparation
+
+from riskframe.operators import prepare as prep  # noqa: E402
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    return split_assignment(spark, sf_dir)
+
+
+@register("split_semi_join")
+def q_split_semi_join(spark, sf_dir):
+    train = prep.select_part(features(spark, sf_dir), split_assignment(spark, sf_dir), tpch.KEY, "train")
+    return train.select(tpch.KEY, tpch.TARGET, "BUREAU_RECORD_COUNT", "INST_INST_DPD_SUM")
+
+
+@register("sample_n")
+def q_sample_n(spark, sf_dir):
+    return prep.sample_n(tpch.applicants(spark, sf_dir), tpch.KEY, 200, seed=42).select(tpch.KEY, tpch.TARGET)
+
+
+def feature_numeric(spark, sf_dir):
+    df = features(spark, sf_dir)
+    return df, prof.numeric_columns(df, exclude=[tpch.KEY, tpch.TARGET])
+
+
+@register("impute_median")
+def q_impute_median(spark, sf_dir):
+    df, num = feature_numeric(spark, sf_dir)
+    med = prep.fit_medians(df, num)
+    return round_doubles(df.select(tpch.KEY, *[prep.impute(c, med[c]).alias(c) for c in num]))
+
+
+@register("impute_mode")
+def q_impute_mode(spark, sf_dir):
+    orders = tpch.table(spark, sf_dir, "orders", ["o_orderstatus", "o_orderpriority"])
+    return prep.modes_frame(orders, ["o_orderstatus", "o_orderpriority"])
+
+
+@register("standardize")
+def q_standardize(spark, sf_dir):
+    df, num = feature_numeric(spark, sf_dir)
+    med = prep.fit_medians(df, num)
+    imputed = df.select(*[prep.impute(c, med[c]).alias(c) for c in num])
+    return round_doubles(prep.scaling_frame(imputed, num))
+
+
+def _long_summary(ready: DataFrame, keep) -> DataFrame:
+    cols = [c for c in ready.columns if c not in keep]
+    long = ready.select(*cols).unpivot([], cols, "feature", "value")
+    return long.groupBy("feature").agg(F.count("value").alias("n"), F.min("value").alias("min_value"),
+                                       F.max("value").alias("max_value"))
+
+
+@register("one_hot")
+def q_one_hot(spark, sf_dir):
+    apps = tpch.applicants(spark, sf_dir)
+    cats = prep.fit_categories(apps, ["c_mktsegment", "n_name"])
+    cols = [c for col in cats for c in prep.one_hot_columns(col, cats[col])]
+    hot = apps.select(*cols)
+    long = hot.unpivot([], hot.columns, "feature", "value")
+    return long.groupBy("feature").agg(F.sum("value").alias("ones"), F.count(F.lit(1)).alias("rows"))
+
+
+def ready_tables(spark, sf_dir, scale):
+    feats = features(spark, sf_dir)
+    split = split_assignment(spark, sf_dir)
+    train = prep.select_part(feats, split, tpch.KEY, "train")
+    test = prep.select_part(feats, split, tpch.KEY, "validation").drop(tpch.TARGET)
+    return prep.build_ready(train, test, tpch.KEY, tpch.TARGET, scale_numeric=scale)
+
+
+@register("ready_tree")
+def q_ready_tree(spark, sf_dir):
+    tr, _te, _spec, _dropped = ready_tables(spark, sf_dir, scale=False)
+    return round_doubles(_long_summary(tr, [tpch.KEY, tpch.TARGET]))
+
+
+@register("ready_linear")
+def q_ready_linear(spark, sf_dir):
+    _tr, te, _spec, _dropped = ready_tables(spark, sf_dir, scale=True)
+    return round_doubles(_long_summary(te, [tpch.KEY]))
