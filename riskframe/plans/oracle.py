@@ -483,3 +483,176 @@ def ready_summary_sql(scale: bool) -> str:
                      f"CAST(MIN({hit}) AS DOUBLE) AS min_value, CAST(MAX({hit}) AS DOUBLE) AS max_value "
                      f"FROM ev CROSS JOIN {cats} cats, keep WHERE k_{i} GROUP BY cats.v")
     return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(parts)
+
+
+# ------------------------------------------------------------------ evaluation SQL
+
+SCORES_CTE = ("s AS (SELECT l_orderkey, l_linenumber, CAST(l_returnflag = 'R' AS INTEGER) AS label, "
+              "l_quantity * 0.02::DOUBLE AS score_quantity, l_discount * 10.0::DOUBLE AS score_discount, "
+              "l_tax * 12.5::DOUBLE AS score_tax FROM lineitem)")
+MODELS = ("quantity", "discount", "tax")
+
+
+def long_cte(with_blend: bool = False, extra: str = "") -> str:
+    parts = [f"SELECT '{m}' AS model, l_orderkey, l_linenumber, label, score_{m} AS score{extra} FROM s"
+             for m in MODELS]
+    if with_blend:
+        parts.append(f"SELECT 'blend' AS model, l_orderkey, l_linenumber, label, "
+                     f"0.8::DOUBLE * score_quantity + (1.0::DOUBLE - 0.8::DOUBLE) * score_discount AS score{extra} "
+                     f"FROM s")
+    return f"lng AS ({' UNION ALL '.join(parts)})"
+
+
+def grid_sql(step: float, n: int) -> str:
+    return f"SELECT 0.05::DOUBLE + i * ((0.05::DOUBLE + {step}::DOUBLE) - 0.05::DOUBLE) AS threshold FROM range({n}) t(i)"
+
+
+def ratio(n: str, d: str) -> str:
+    return f"(CASE WHEN ({d}) > 0 THEN CAST({n} AS DOUBLE) / CAST({d} AS DOUBLE) ELSE 0.0::DOUBLE END)"
+
+
+def conf_cols(tp="tp", fp="fp", P="P", N="N") -> str:
+    fn, tn = f"({P} - {tp})", f"({N} - {fp})"
+    return (f"{ratio(f'{tp} + {tn}', f'{P} + {N}')} AS accuracy, {ratio(tp, f'{tp} + {fp}')} AS precision, "
+            f"{ratio(tp, P)} AS recall, {ratio(f'2 * {tp}', f'2 * {tp} + {fp} + {fn}')} AS f1")
+
+
+def rank_ctes(g: str, src: str = "lng") -> str:
+    """ps, cum, rnk CTEs for group columns ``g`` (comma list)."""
+    return (f"ps AS (SELECT {g}, score, SUM(label) AS pos, COUNT(*) - SUM(label) AS neg FROM {src} GROUP BY {g}, score), "
+            f"cum AS (SELECT *, SUM(pos) OVER (PARTITION BY {g} ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_tp, "
+            f"SUM(neg) OVER (PARTITION BY {g} ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_fp FROM ps), "
+            f"rnk AS (SELECT {g}, CASE WHEN SUM(pos) > 0 AND SUM(neg) > 0 THEN "
+            f"SUM(CAST(neg AS DOUBLE) * (CAST(cum_tp AS DOUBLE) - CAST(pos AS DOUBLE) / 2.0::DOUBLE)) "
+            f"/ (CAST(SUM(pos) AS DOUBLE) * CAST(SUM(neg) AS DOUBLE)) END AS roc_auc, "
+            f"CASE WHEN SUM(pos) > 0 THEN SUM(CAST(pos AS DOUBLE) * (CAST(cum_tp AS DOUBLE) / CAST(cum_tp + cum_fp AS DOUBLE))) "
+            f"/ CAST(SUM(pos) AS DOUBLE) END AS average_precision FROM cum GROUP BY {g})")
+
+
+def at_threshold_cte(g: str, t: str = "0.5::DOUBLE", src: str = "lng", name: str = "bm") -> str:
+    return (f"{name}0 AS (SELECT {g}, SUM(CASE WHEN label = 1 AND score >= {t} THEN 1 ELSE 0 END) AS tp, "
+            f"SUM(CASE WHEN label = 0 AND score >= {t} THEN 1 ELSE 0 END) AS fp, SUM(label) AS P, "
+            f"COUNT(*) - SUM(label) AS N FROM {src} GROUP BY {g}), "
+            f"{name} AS (SELECT {g}, {conf_cols()} FROM {name}0)")
+
+
+def table_ctes(g: str, step: float, n: int, src: str = "lng", name: str = "tt") -> str:
+    return (f"{name}g AS ({grid_sql(step, n)}), "
+            f"{name}0 AS (SELECT p.{g.replace(', ', ', p.')}, gr.threshold, "
+            f"CAST(SUM(CASE WHEN p.score >= gr.threshold THEN p.pos ELSE 0 END) AS BIGINT) AS tp, "
+            f"CAST(SUM(CASE WHEN p.score >= gr.threshold THEN p.neg ELSE 0 END) AS BIGINT) AS fp, "
+            f"CAST(SUM(p.pos) AS BIGINT) AS P, CAST(SUM(p.neg) AS BIGINT) AS N FROM ps p CROSS JOIN {name}g gr "
+            f"GROUP BY p.{g.replace(', ', ', p.')}, gr.threshold), "
+            f"{name} AS (SELECT t.*, t.P - t.tp AS fn, t.N - t.fp AS tn, {conf_cols('t.tp', 't.fp', 't.P', 't.N')}, "
+            f"r.roc_auc, r.average_precision FROM {name}0 t JOIN rnk r USING ({g}))")
+
+
+def rnd(cols: list[str]) -> str:
+    return ", ".join(f"ROUND({c}, {DIGITS}) AS {c}" for c in cols)
+
+
+METRIC_COLS = ["accuracy", "precision", "recall", "f1", "roc_auc", "average_precision"]
+
+
+def binary_metrics_sql() -> str:
+    return (f"WITH {SCORES_CTE}, {long_cte()}, {rank_ctes('model')}, {at_threshold_cte('model')} "
+            f"SELECT model, {rnd(METRIC_COLS)} FROM bm JOIN rnk USING (model)")
+
+
+def roc_auc_sql() -> str:
+    return f"WITH {SCORES_CTE}, {long_cte()}, {rank_ctes('model')} SELECT model, {rnd(['roc_auc'])} FROM rnk"
+
+
+def average_precision_sql() -> str:
+    return (f"WITH {SCORES_CTE}, {long_cte()}, {rank_ctes('model')} "
+            f"SELECT model, {rnd(['average_precision'])} FROM rnk")
+
+
+def pr_curve_sql() -> str:
+    return (f"WITH {SCORES_CTE}, {long_cte()}, {rank_ctes('model')} "
+            f"SELECT model, ROUND(CAST(cum_tp AS DOUBLE) / CAST(cum_tp + cum_fp AS DOUBLE), {DIGITS}) AS precision, "
+            f"ROUND(CASE WHEN SUM(pos) OVER (PARTITION BY model) > 0 THEN CAST(cum_tp AS DOUBLE) / "
+            f"CAST(SUM(pos) OVER (PARTITION BY model) AS DOUBLE) END, {DIGITS}) AS recall, "
+            f"ROUND(score, {DIGITS}) AS threshold FROM cum")
+
+
+TT_COLS = ["accuracy", "precision", "recall", "f1", "roc_auc", "average_precision"]
+
+
+def threshold_table_sql() -> str:
+    return (f"WITH {SCORES_CTE}, {long_cte()}, {rank_ctes('model')}, {table_ctes('model', 0.05, 19)} "
+            f"SELECT model, ROUND(threshold, {DIGITS}) AS threshold, tp, fp, fn, tn, {rnd(TT_COLS)} FROM tt")
+
+
+def best_f1_sql(g: str = "model", src_ctes: str | None = None) -> str:
+    src = src_ctes or f"{SCORES_CTE}, {long_cte()}"
+    return (f"WITH {src}, {rank_ctes(g)}, {table_ctes(g, 0.01, 91)}, "
+            f"b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY {g} ORDER BY f1 DESC, threshold) AS rn FROM tt) "
+            f"SELECT {g}, {rnd(METRIC_COLS)}, ROUND(threshold, {DIGITS}) AS threshold, "
+            f"ROUND(f1, {DIGITS}) AS best_f1_from_sweep FROM b WHERE rn = 1")
+
+
+def target_precision_sql(target: float = 0.30) -> str:
+    ok = f"CASE WHEN precision >= {target}::DOUBLE THEN 1 ELSE 0 END"
+    return (f"WITH {SCORES_CTE}, {long_cte()}, {rank_ctes('model')}, {table_ctes('model', 0.05, 19)}, "
+            f"e AS (SELECT *, {ok} AS ok, MAX({ok}) OVER (PARTITION BY model) AS any_ok FROM tt), "
+            f"b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY model ORDER BY ok DESC, "
+            f"CASE WHEN any_ok = 1 THEN recall ELSE precision END DESC, "
+            f"CASE WHEN any_ok = 1 THEN f1 ELSE 0.0 END DESC, threshold) AS rn FROM e) "
+            f"SELECT model, ROUND(threshold, {DIGITS}) AS threshold, tp, fp, fn, tn, {rnd(TT_COLS)} FROM b WHERE rn = 1")
+
+
+def blend_scores_sql() -> str:
+    return (f"WITH {SCORES_CTE} SELECT l_orderkey, l_linenumber, label, "
+            f"ROUND(0.8::DOUBLE * score_quantity + (1.0::DOUBLE - 0.8::DOUBLE) * score_discount, {DIGITS}) AS score FROM s")
+
+
+def score_alignment_sql() -> str:
+    k = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    side = (lambda name: f"(SELECT {', '.join(k)}, CAST(l_returnflag = 'R' AS INTEGER) AS lab, 1 AS present "
+            f"FROM lineitem) {name}")
+    on = " AND ".join(f"a.{c} = b.{c}" for c in k)
+    both = "(a.present IS NOT NULL AND b.present IS NOT NULL)"
+    return (f"SELECT CAST(SUM(CASE WHEN {both} THEN 1 ELSE 0 END) AS BIGINT) AS aligned, "
+            f"CAST(SUM(CASE WHEN {both} AND a.lab IS DISTINCT FROM b.lab THEN 1 ELSE 0 END) AS BIGINT) AS label_mismatches, "
+            f"CAST(SUM(CASE WHEN b.present IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS primary_only, "
+            f"CAST(SUM(CASE WHEN a.present IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS secondary_only "
+            f"FROM {side('a')} FULL JOIN {side('b')} ON {on}")
+
+
+def blend_sweep_sql() -> str:
+    w = "(VALUES (0.5::DOUBLE), (0.6::DOUBLE), (0.7::DOUBLE), (0.8::DOUBLE), (0.9::DOUBLE)) wv(primary_weight)"
+    lng = (f"lng AS (SELECT primary_weight, l_orderkey, l_linenumber, label, "
+           f"primary_weight * score_quantity + (1.0::DOUBLE - primary_weight) * score_discount AS score "
+           f"FROM s CROSS JOIN {w})")
+    g = "primary_weight"
+    return (f"WITH {SCORES_CTE}, {lng}, {rank_ctes(g)}, {at_threshold_cte(g)}, {table_ctes(g, 0.01, 91)}, "
+            f"b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY {g} ORDER BY f1 DESC, threshold) AS rn FROM tt) "
+            f"SELECT bm.primary_weight, ROUND(1.0::DOUBLE - bm.primary_weight, {DIGITS}) AS secondary_weight, "
+            f"ROUND(r.roc_auc, {DIGITS}) AS roc_auc, ROUND(r.average_precision, {DIGITS}) AS average_precision, "
+            f"ROUND(bm.f1, {DIGITS}) AS default_f1, ROUND(b.f1, {DIGITS}) AS tuned_f1, "
+            f"ROUND(b.precision, {DIGITS}) AS tuned_precision, ROUND(b.recall, {DIGITS}) AS tuned_recall, "
+            f"ROUND(b.threshold, {DIGITS}) AS tuned_threshold FROM bm JOIN rnk r USING ({g}) "
+            f"JOIN b ON b.{g} = bm.{g} AND b.rn = 1")
+
+
+def leaderboard_sql() -> str:
+    g = "model"
+    return (f"WITH {SCORES_CTE}, {long_cte(with_blend=True)}, {rank_ctes(g)}, {at_threshold_cte(g)}, "
+            f"{table_ctes(g, 0.01, 91)}, "
+            f"b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY {g} ORDER BY f1 DESC, threshold) AS rn FROM tt) "
+            f"SELECT 'default' AS kind, model, {rnd(METRIC_COLS)}, 0.5::DOUBLE AS threshold FROM bm JOIN rnk USING (model) "
+            f"UNION ALL SELECT 'tuned' AS kind, model, {rnd(METRIC_COLS)}, ROUND(threshold, {DIGITS}) AS threshold "
+            f"FROM b WHERE rn = 1")
+
+
+def fold_summary_sql(folds: int = 5) -> str:
+    fold = (f"CAST((CAST('0x' || substr(md5('fold:' || CAST(l_orderkey AS VARCHAR) || ':' || "
+            f"CAST(l_linenumber AS VARCHAR)), 1, 8) AS BIGINT) % {folds}) AS INTEGER)")
+    g = "model, fold"
+    per = (f"pf AS (SELECT bm.model, bm.fold, bm.accuracy, bm.precision, bm.recall, bm.f1, r.roc_auc, "
+           f"r.average_precision FROM bm JOIN rnk r ON bm.model = r.model AND bm.fold = r.fold)")
+    aggs = ", ".join(f"ROUND(AVG({c}), {DIGITS}) AS {c}_mean, ROUND(STDDEV_SAMP({c}), {DIGITS}) AS {c}_std"
+                     for c in METRIC_COLS)
+    return (f"WITH {SCORES_CTE}, {long_cte(extra=', ' + fold + ' AS fold')}, {rank_ctes(g)}, {at_threshold_cte(g)}, "
+            f"{per} SELECT 'lineitem_scores' AS experiment, model, {aggs} FROM pf GROUP BY model")

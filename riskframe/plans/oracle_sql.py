@@ -50,3 +50,16 @@ add("standardize", o.standardize_sql())
 add("one_hot", o.one_hot_sql(["c_mktsegment", "n_name"]))
 add("ready_tree", o.ready_summary_sql(scale=False))
 add("ready_linear", o.ready_summary_sql(scale=True))
+# evaluation
+add("binary_metrics", o.binary_metrics_sql())
+add("roc_auc", o.roc_auc_sql())
+add("average_precision", o.average_precision_sql())
+add("pr_curve", o.pr_curve_sql())
+add("threshold_table", o.threshold_table_sql())
+add("best_f1_threshold", o.best_f1_sql())
+add("target_precision_threshold", o.target_precision_sql(0.30))
+add("blend_scores", o.blend_scores_sql())
+add("score_alignment", o.score_alignment_sql())
+add("blend_weight_sweep", o.blend_sweep_sql())
+add("model_leaderboard", o.leaderboard_sql())
+add("fold_summary", o.fold_summary_sql(5))
