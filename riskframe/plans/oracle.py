@@ -656,3 +656,113 @@ def fold_summary_sql(folds: int = 5) -> str:
                      for c in METRIC_COLS)
     return (f"WITH {SCORES_CTE}, {long_cte(extra=', ' + fold + ' AS fold')}, {rank_ctes(g)}, {at_threshold_cte(g)}, "
             f"{per} SELECT 'lineitem_scores' AS experiment, model, {aggs} FROM pf GROUP BY model")
+
+
+# ------------------------------------------------------------------ expression / component / I/O SQL
+
+LKEYS = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
+
+
+def derived_columns_sql() -> str:
+    return final_select(APPLICANT_COLS, f"({applicants_sql()}) a")
+
+
+def sentinel_sql() -> str:
+    day = "CAST(day(o_orderdate) AS INTEGER)"
+    return f"SELECT o_orderkey, {nullif_sentinel(day, tpch.ORDER_DAY_SENTINEL)} AS ORDER_DAY FROM orders"
+
+
+def safe_ratio_sql() -> str:
+    return f"SELECT {LKEYS}, ROUND({safe_div('l_tax', 'l_discount')}, {DIGITS}) AS tax_discount_ratio FROM lineitem"
+
+
+def status_flags_sql() -> str:
+    f = [f"{flag(f'l_returnflag = {v!r}')} AS RETURN_{v}_FLAG" for v in tpch.RETURN_FLAGS]
+    f += [f"{flag(f'l_linestatus = {v!r}')} AS LINE_{v}_FLAG" for v in ("O", "F")]
+    return f"SELECT {LKEYS}, {', '.join(f)} FROM lineitem"
+
+
+def threshold_flags_sql() -> str:
+    return (f"SELECT event_id, {flag(f'value > {tpch.DPD_THRESHOLD}')} AS DPD_FLAG, "
+            f"{flag(f'value >= {tpch.DPD_30_THRESHOLD}')} AS DPD_30_FLAG, "
+            f"{flag(f'value >= {tpch.DPD_DEF_THRESHOLD}')} AS DPD_DEF_FLAG FROM events")
+
+
+def payment_lateness_sql() -> str:
+    lag = "CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS INTEGER)"
+    neg = "CAST(date_diff('day', CAST(l_shipdate AS DATE), CAST(o_orderdate AS DATE)) AS INTEGER)"
+    return (f"SELECT {LKEYS}, {lag} AS SHIP_LAG_DAYS, {clip0(lag)} AS DAYS_PAST_DUE, {clip0(neg)} AS DAYS_BEFORE_DUE "
+            f"FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+
+
+def row_stats_sql() -> str:
+    a = "(CASE WHEN l_discount <> 0.0 THEN l_discount END)"
+    b, c = "l_tax", "(l_quantity / 50.0::DOUBLE)"
+    cnt = " + ".join(f"(CASE WHEN {x} IS NOT NULL THEN 1 ELSE 0 END)" for x in (a, b, c))
+    tot = " + ".join(f"COALESCE({x}, 0.0::DOUBLE)" for x in (a, b, c))
+    return (f"SELECT {LKEYS}, ROUND(CASE WHEN {cnt} > 0 THEN (0.0::DOUBLE + {tot}) / ({cnt}) END, {DIGITS}) AS ROW_MEAN, "
+            f"ROUND(LEAST({a}, {b}, {c}), {DIGITS}) AS ROW_MIN, ROUND(GREATEST({a}, {b}, {c}), {DIGITS}) AS ROW_MAX "
+            f"FROM lineitem")
+
+
+def age_years_sql(ref: str) -> str:
+    days = f"CAST(date_diff('day', DATE '{ref}', CAST(o_orderdate AS DATE)) AS INTEGER)"
+    return (f"SELECT o_orderkey, {days} AS DAYS_ORDER, ROUND(CAST(-{days} AS DOUBLE) / 365.0::DOUBLE, {DIGITS}) "
+            f"AS YEARS_ORDER FROM orders")
+
+
+def group_count_sql() -> str:
+    return "SELECT o_custkey, COUNT(*) AS ORDERS_RECORD_COUNT FROM orders GROUP BY o_custkey"
+
+
+def unique_count_sql() -> str:
+    return ("SELECT l_orderkey, COUNT(*) AS LINES_RECORD_COUNT, CAST(COUNT(DISTINCT l_partkey) + "
+            "MAX(CASE WHEN l_partkey IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS LINES_UNIQUE_PART_COUNT "
+            "FROM lineitem GROUP BY l_orderkey")
+
+
+def status_counts_per_parent_sql() -> str:
+    r = bb_sql()
+    return final_select(r.out_columns(), f"({r.sql()}) t")
+
+
+def flag_rollup_sql() -> str:
+    r = RollupSQL(prefix="EV", key="user_id", source="events", flags=[
+        ("EV_DPD", f"value > {tpch.DPD_THRESHOLD}", True), ("EV_DPD_30", f"value >= {tpch.DPD_30_THRESHOLD}", True),
+        ("EV_DPD_DEF", f"value >= {tpch.DPD_DEF_THRESHOLD}", True)])
+    return final_select(r.out_columns(), f"({r.sql()}) t")
+
+
+def numeric_stat_pack_sql() -> str:
+    r = RollupSQL(prefix="ORDERS", key="o_custkey", source="orders", numerics=[("o_totalprice", DBL)])
+    return final_select(r.out_columns(), f"({r.sql()}) t")
+
+
+def safe_names_sql() -> str:
+    names = ("SELECT DISTINCT name FROM (SELECT 'o_orderpriority_' || COALESCE(o_orderpriority, 'None') AS name "
+             "FROM orders UNION ALL SELECT 'o_orderstatus_' || COALESCE(o_orderstatus, 'None') FROM orders)")
+    base = "trim(regexp_replace(name, '[^A-Za-z0-9_]+', '_', 'g'), '_')"
+    return (f"WITH n AS ({names}), b AS (SELECT name, CASE WHEN {base} = '' THEN 'feature' ELSE {base} END AS base FROM n), "
+            f"r AS (SELECT name, base, ROW_NUMBER() OVER (PARTITION BY base ORDER BY name) - 1 AS k FROM b) "
+            f"SELECT name, CASE WHEN k = 0 THEN base ELSE base || '_' || CAST(k AS VARCHAR) END AS safe_name FROM r")
+
+
+def feature_family_sql(prefixes) -> str:
+    vals = ", ".join(f"('{c.name}')" for c in app_columns())
+    case = " ".join(f"WHEN starts_with(feature, '{p}') THEN '{f}'" for p, f in prefixes)
+    return f"SELECT feature, CASE {case} ELSE 'application' END AS family FROM (VALUES {vals}) v(feature)"
+
+
+def parquet_roundtrip_sql() -> str:
+    return family_query("bureau")
+
+
+def csv_scan_sql() -> str:
+    return "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"
+
+
+def feature_manifest_sql() -> str:
+    n = len(app_columns())
+    return (f"WITH {split_cte()} SELECT CAST(SUM(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS BIGINT) AS train_rows, "
+            f"CAST(SUM(CASE WHEN split = 'validation' THEN 1 ELSE 0 END) AS BIGINT) AS test_rows, "
+            f"{n} AS train_columns, {n - 1} AS test_columns, 'TARGET' AS target_column FROM split")

@@ -63,3 +63,23 @@ add("score_alignment", o.score_alignment_sql())
 add("blend_weight_sweep", o.blend_sweep_sql())
 add("model_leaderboard", o.leaderboard_sql())
 add("fold_summary", o.fold_summary_sql(5))
+# expressions, components, names, I/O
+add("derived_columns", o.derived_columns_sql())
+add("sentinel_to_null", o.sentinel_sql())
+add("safe_ratio", o.safe_ratio_sql())
+add("status_flags", o.status_flags_sql())
+add("threshold_flags", o.threshold_flags_sql())
+add("payment_lateness", o.payment_lateness_sql())
+add("row_stats", o.row_stats_sql())
+add("age_years", o.age_years_sql(q.ORDER_REFERENCE_DATE))
+add("group_count", o.group_count_sql())
+add("unique_count", o.unique_count_sql())
+add("status_counts_per_parent", o.status_counts_per_parent_sql())
+add("flag_rollup", o.flag_rollup_sql())
+add("numeric_stat_pack", o.numeric_stat_pack_sql())
+add("safe_names", o.safe_names_sql())
+add("feature_family", o.feature_family_sql(q.FAMILY_PREFIXES))
+add("parquet_roundtrip", o.parquet_roundtrip_sql())
+add("csv_scan", o.csv_scan_sql())
+add("csv_report_roundtrip", o.threshold_table_sql())
+add("feature_manifest", o.feature_manifest_sql())
