@@ -238,5 +238,6 @@ def build_ready(train: DataFrame, test: DataFrame | None, key: str, target: str,
     categorical = categorical_columns(base)
     spec = fit_preprocessor(train, numeric, categorical, scale_numeric, null_category)
     ready_train = transform(train, spec, keep=[key, target])
-    ready_test = transform(test, spec, keep=[key]) if test is not None else None
+    keep_test = [key] + ([target] if test is not None and target in test.columns else [])
+    ready_test = transform(test, spec, keep=keep_test) if test is not None else None
     return ready_train, ready_test, spec, dropped

@@ -766,3 +766,15 @@ def feature_manifest_sql() -> str:
     return (f"WITH {split_cte()} SELECT CAST(SUM(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS BIGINT) AS train_rows, "
             f"CAST(SUM(CASE WHEN split = 'validation' THEN 1 ELSE 0 END) AS BIGINT) AS test_rows, "
             f"{n} AS train_columns, {n - 1} AS test_columns, 'TARGET' AS target_column FROM split")
+
+
+def ablation_columns_sql(experiments: dict, runs: list[str]) -> str:
+    cols = [c.name for c in app_columns() if c.name not in ("c_custkey", "TARGET")]
+    groups = {n: [c.name for c in FAMILY_SQL[n]().columns()] for n in FAMILY_SQL}
+    aux = {c for v in groups.values() for c in v}
+    groups["application"] = [c for c in cols if c not in aux]
+    rows = []
+    for exp in runs:
+        chosen = {c for g in experiments[exp] for c in groups[g]}
+        rows += [f"('{exp}', '{c}', {i})" for i, c in enumerate(c for c in cols if c in chosen)]
+    return f"SELECT experiment, feature, CAST(ordinal AS INTEGER) AS ordinal FROM (VALUES {', '.join(rows)}) v(experiment, feature, ordinal)"

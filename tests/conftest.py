@@ -13,7 +13,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from riskframe.session import get_session
 
-    s = get_session("local[4]", shuffle_partitions=4)
+    s = get_session("local[4]", shuffle_partitions=4, extra={"spark.driver.memory": "8g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
