@@ -131,17 +131,18 @@ def fit_categories(df: DataFrame, columns: Sequence[str], max_categories: int =
     long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
         [], list(columns), "column", "value")
     distinct = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    sizes = {r.column: r.k for r in distinct.groupBy("column").agg(F.count(F.lit(1)).alias("k")).collect()}
-    too_big = {c: k for c, k in sizes.items() if k > max_categories}
-    if too_big:
-        raise ValueError(f"too many categories for one-hot: {too_big}")
+    bound = max_categories * len(columns)
+    rows = distinct.select("column", "value").limit(bound + 1).collect()  # bounded collect
     cats: dict[str, list] = {c: [] for c in columns}
     has_null: dict[str, bool] = {c: False for c in columns}
-    for r in distinct.select("column", "value").collect():  # bounded by max_categories per column
+    for r in rows:
         if r.value is None:
             has_null[r.column] = True
         else:
             cats[r.column].append(r.value)
+    too_big = {c: len(v) for c, v in cats.items() if len(v) + has_null[c] > max_categories}
+    if too_big or len(rows) > bound:
+        raise ValueError(f"too many categories for one-hot (limit {max_categories}): {too_big}")
     for c in columns:
         cats[c] = sorted(cats[c]) + ([None] if has_null[c] and null_category == "own" else [])
     return cats

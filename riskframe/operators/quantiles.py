@@ -71,13 +71,18 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
              .withColumn("r_hi", F.ceil("pos")))
     joined = vals.join(F.broadcast(stats.select(*keys, "p", "lo", "hi")), keys)
     under = F.col("lo").isNotNull() & (F.col("value") < F.col("lo"))
-    below = joined.groupBy(*keys, "p").agg(F.sum(under.cast("long")).alias("below"))
     inside = ((F.col("lo").isNull() | (F.col("value") >= F.col("lo")))
               & (F.col("hi").isNull() | (F.col("value") <= F.col("hi"))))
-    band = (joined.where(inside)
-            .groupBy(*keys, "p", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    # One pass: rows below the bracket collapse into a null-valued counter row per
+    # (keys, p); rows inside it are counted per distinct value; the rest is dropped.
+    tagged = (joined.where(under | inside)
+              .select(*keys, "p", F.when(inside, F.col("value")).alias("value"))
+              .groupBy(*keys, "p", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    below = tagged.where(F.col("value").isNull()).select(*keys, "p", F.col("cnt").alias("below"))
+    band = tagged.where(F.col("value").isNotNull())
     w = Window.partitionBy(*keys, "p").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    band = band.join(below, keys + ["p"]).withColumn("cum_le", F.col("below") + F.sum("cnt").over(w))
+    band = (band.join(below, keys + ["p"], "left")
+            .withColumn("cum_le", F.coalesce(F.col("below"), F.lit(0)) + F.sum("cnt").over(w)))
     band = band.join(stats.select(*keys, "p", "r_lo", "r_hi", "pos"), keys + ["p"])
     picked = band.groupBy(*keys, "p").agg(
         F.min(F.when(F.col("cum_le") > F.col("r_lo"), F.col("value"))).alias("v_lo"),

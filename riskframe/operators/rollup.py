@@ -139,3 +139,21 @@ def two_level_rollup(grandchild: DataFrame, child: DataFrame, inner: RollupSpec,
     inner_agg = rollup(grandchild, inner)
     enriched = attach(child, inner_agg, on=link, features_key=inner.key)
     return rollup(enriched, outer)
+
+
+def rollup_many(df: DataFrame, specs: Sequence[RollupSpec]) -> DataFrame:
+    """Several specs over the same child rows and key in ONE scan and ONE
+    aggregation (same result as joining the separate roll-ups on the key)."""
+    keys = {s.key for s in specs}
+    if len(keys) != 1:
+        raise ValueError(f"specs must share one key, got {keys}")
+    new_cols: dict = {}
+    for s in specs:
+        cols = dict(s.derived)
+        cols.update({f"{fl.name}_FLAG": _flag(fl.condition) for fl in s.flags})
+        clash = set(cols) & set(new_cols)
+        if clash:
+            raise ValueError(f"derived column names collide across specs: {sorted(clash)}")
+        new_cols.update(cols)
+    prepared = df.withColumns(new_cols) if new_cols else df
+    return prepared.groupBy(keys.pop()).agg(*[a for s in specs for a in aggregations(s)])

@@ -36,7 +36,7 @@ def split_frames(spark: SparkSession, sf_dir: str):
     # Materialise the wide table once in the shared checkpoint folder: every fit
     # pass below reads it instead of re-running five roll-ups.
     feats = cut_lineage(join_families(tpch.applicants(spark, sf_dir),
-                                      {n: b(spark, sf_dir) for n, b in tpch.FAMILIES.items()}, KEY))
+                                      {n: b(spark, sf_dir) for n, b in tpch.MERGED_FAMILIES.items()}, KEY))
     apps = feats.select(KEY, TARGET)
     split = cut_lineage(prep.stratified_split(apps, KEY, TARGET, 0.2, 42))
     train = prep.select_part(feats, split, KEY, "train")
@@ -126,7 +126,7 @@ def stacked(spark, sf_dir) -> DataFrame:
 def experiment_columns(spark, sf_dir) -> DataFrame:
     """(experiment, feature): the raw columns each ablation run uses, in table order."""
     feats = join_families(tpch.applicants(spark, sf_dir),
-                          {n: b(spark, sf_dir) for n, b in tpch.FAMILIES.items()}, KEY)
+                          {n: b(spark, sf_dir) for n, b in tpch.MERGED_FAMILIES.items()}, KEY)
     groups = {n: spec().feature_names() for n, spec in tpch.FAMILY_SPECS.items()}
     aux = {c for cols in groups.values() for c in cols}
     all_cols = [c for c in feats.columns if c not in (KEY, TARGET)]

@@ -36,7 +36,9 @@ def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 
 def families(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir) for name, build in tpch.FAMILIES.items()}
+    """Family tables for the applicant join; families sharing a source are
+    aggregated together (same columns, same order)."""
+    return {name: build(spark, sf_dir) for name, build in tpch.MERGED_FAMILIES.items()}
 
 
 def applicant_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +84,14 @@ def features(spark, sf_dir):
     return applicant_features(spark, sf_dir)
 
 
+def stored_features(spark, sf_dir):
+    """The applicant table written once to the shared checkpoint folder, for
+    queries that read it in several passes (fits, splits)."""
+    from riskframe.session import cut_lineage
+
+    return cut_lineage(features(spark, sf_dir))
+
+
 def split_assignment(spark, sf_dir):
     from riskframe.operators.prepare import stratified_split
 
@@ -219,7 +229,7 @@ def q_schema_diff(spark, sf_dir):
 def q_missing_train_test(spark, sf_dir):
     from riskframe.operators.prepare import select_part
 
-    feats, split = features(spark, sf_dir), split_assignment(spark, sf_dir)
+    feats, split = stored_features(spark, sf_dir), split_assignment(spark, sf_dir)
     train = select_part(feats, split, tpch.KEY, "train")
     test = select_part(feats, split, tpch.KEY, "validation").drop(tpch.TARGET)
     return round_doubles(prof.missing_train_test(train, test))
@@ -247,7 +257,7 @@ def q_sample_n(spark, sf_dir):
 
 
 def feature_numeric(spark, sf_dir):
-    df = features(spark, sf_dir)
+    df = stored_features(spark, sf_dir)
     return df, prof.numeric_columns(df, exclude=[tpch.KEY, tpch.TARGET])
 
 
@@ -290,8 +300,10 @@ def q_one_hot(spark, sf_dir):
 
 
 def ready_tables(spark, sf_dir, scale):
-    feats = features(spark, sf_dir)
-    split = split_assignment(spark, sf_dir)
+    from riskframe.session import cut_lineage
+
+    feats = stored_features(spark, sf_dir)
+    split = cut_lineage(split_assignment(spark, sf_dir))
     train = prep.select_part(feats, split, tpch.KEY, "train")
     test = prep.select_part(feats, split, tpch.KEY, "validation").drop(tpch.TARGET)
     return prep.build_ready(train, test, tpch.KEY, tpch.TARGET, scale_numeric=scale)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.exprs import clip_lower, safe_divide, sentinel_to_null
-from riskframe.operators.rollup import Flag, RollupSpec, rollup, two_level_rollup
+from riskframe.operators.rollup import Flag, RollupSpec, attach, rollup, rollup_many, two_level_rollup
 from riskframe.sources.catalog import read_parquet_table
 
 KEY = "c_custkey"
@@ -190,6 +190,28 @@ def installments_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup(rows, installments_spec()).withColumnRenamed("o_custkey", KEY)
 
 
+def orders_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bureau and previous-application roll-ups share ``orders`` and its customer
+    key: one scan of orders, one aggregation for both (the BB join is 1:1)."""
+    lineitem = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag"])
+    orders = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                             "o_orderdate", "o_orderpriority"])
+    enriched = attach(orders, rollup(lineitem, bureau_balance_spec()), on="o_orderkey", features_key="l_orderkey")
+    return rollup_many(enriched, [bureau_spec(), previous_spec()]).withColumnRenamed("o_custkey", KEY)
+
+
+def events_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """POS and card roll-ups in one scan and one aggregation of ``events``."""
+    return rollup_many(_events(spark, sf_dir), [pos_spec(), credit_card_spec()]).withColumnRenamed("user_id", KEY)
+
+
+# Same columns as FAMILIES, fewer scans and shuffles: used to build the applicant table.
+MERGED_FAMILIES = {
+    "orders": orders_families,
+    "events": events_families,
+    "installments": lambda spark, sf_dir: installments_family(spark, sf_dir),
+}
+
 FAMILIES = {
     "bureau": bureau_family,
     "previous_application": previous_family,
