@@ -473,7 +473,7 @@ def ready_summary_sql(scale: bool) -> str:
             x = f"(({x} - a_{i}) / s_{i})"
         src = "ev, med, keep" + (", sc" if scale else "")
         parts.append(f"SELECT '{c.name}' AS feature, COUNT({x}) AS n, ROUND(MIN({x}), {DIGITS}) AS min_value, "
-                     f"ROUND(MAX({x}), {DIGITS}) AS max_value FROM {src} WHERE k_{i}")
+                     f"ROUND(MAX({x}), {DIGITS}) AS max_value FROM {src} WHERE k_{i} GROUP BY k_{i}")
     for i, c in enumerate(feats):
         if c.dtype != STR:
             continue
