@@ -33,7 +33,6 @@ RAW_TABLE_FILES = {
     "pos_cash_balance": "POS_CASH_balance.csv",
     "credit_card_balance": "credit_card_balance.csv",
     "installments_payments": "installments_payments.csv",
-    "columns_description": "HomeCredit_columns_description.csv",
 }
 DAYS_SENTINEL = 365243
 APPLICATION_DERIVED_COLUMNS = [
@@ -191,7 +190,7 @@ def families(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def build_processed_datasets(spark: SparkSession, raw_dir: str, out_dir: str) -> dict:
     """Raw CSVs -> ``train_features`` / ``test_features`` Parquet + manifest JSON."""
     reg = registry(raw_dir)
-    raw = {name: reg.read(spark, name) for name in RAW_TABLE_FILES if name != "columns_description"}
+    raw = {name: reg.read(spark, name) for name in RAW_TABLE_FILES}
     fams = families(raw)
     frames = {"train": clean_application(raw["application_train"]),
               "test": clean_application(raw["application_test"])}

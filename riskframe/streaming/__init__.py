@@ -1,0 +1,6 @@
+"""No streaming operators: the workload is batch over finite tables.
+
+The original pipeline's "streaming" collection is out-of-core batch execution,
+which Spark provides through spilling hash aggregation and sort; there are no
+event-time windows, watermarks or stateful operators to rebuild.
+"""
