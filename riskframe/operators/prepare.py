@@ -79,14 +79,16 @@ def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None
 
 def scaling_frame(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, mean, scale) from one aggregate; population std, 0 or undefined -> 1."""
+    from riskframe.operators.profile import sql_str, stack_rows
+
     aggs = []
     for i, c in enumerate(columns):
-        aggs += [F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}")]
-    entries = F.array(*[F.struct(
-        F.lit(c).alias("column"), F.coalesce(F.col(f"m{i}"), F.lit(0.0)).alias("mean"),
-        F.when(F.col(f"s{i}").isNull() | (F.col(f"s{i}") == 0), F.lit(1.0)).otherwise(F.col(f"s{i}")).alias("scale"))
-        for i, c in enumerate(columns)])
-    return df.agg(*aggs).select(F.explode(entries).alias("e")).select("e.*")
+        x = F.col(c).cast("double")
+        sd = F.stddev_pop(x)
+        aggs += [F.coalesce(F.avg(x), F.lit(0.0)).alias(f"m{i}"),
+                 F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd).alias(f"s{i}")]
+    rows = [[sql_str(c), f"m{i}", f"s{i}"] for i, c in enumerate(columns)]
+    return stack_rows(df.agg(*aggs), rows, ["column", "mean", "scale"])
 
 
 def fit_scaling(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:

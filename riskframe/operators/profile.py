@@ -19,6 +19,18 @@ from pyspark.sql.types import BooleanType, NumericType
 from riskframe.operators.quantiles import quantile_columns
 
 
+def sql_str(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def stack_rows(one_row: DataFrame, rows: Sequence[Sequence[str]], names: Sequence[str]) -> DataFrame:
+    """Unpivot a one-row aggregate result into ``len(rows)`` rows with ONE
+    ``stack`` expression (each row is a list of SQL expressions)."""
+    body = ", ".join(e for r in rows for e in r)
+    return one_row.selectExpr(f"stack({len(rows)}, {body}) as ({', '.join(names)})")
+
+
 # ------------------------------------------------------------------ schema helpers
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -70,13 +82,10 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     """(column, ordinal, null_count, null_pct) from ONE aggregate over all columns."""
     cols = list(columns or df.columns)
     aggs = [F.count(F.lit(1)).alias("__rows")] + [
-        F.sum(F.col(c).isNull().cast("long")).alias(f"__n{i}") for i, c in enumerate(cols)]
-    one = df.agg(*aggs)
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(i).alias("ordinal"),
-                                 F.col(f"__n{i}").alias("null_count")) for i, c in enumerate(cols)])
-    return (one.select("__rows", F.explode(entries).alias("e"))
-            .select("e.column", "e.ordinal", F.coalesce("e.null_count", F.lit(0)).alias("null_count"),
-                    (F.lit(100.0) * F.col("e.null_count") / F.col("__rows")).alias("null_pct")))
+        F.coalesce(F.sum(F.col(c).isNull().cast("long")), F.lit(0).cast("long")).alias(f"__n{i}")
+        for i, c in enumerate(cols)]
+    rows = [[sql_str(c), str(i), f"__n{i}", f"100.0D * __n{i} / __rows"] for i, c in enumerate(cols)]
+    return stack_rows(df.agg(*aggs), rows, ["column", "ordinal", "null_count", "null_pct"])
 
 
 def top_missing(df: DataFrame, top_n: int = 10) -> DataFrame:
@@ -186,12 +195,8 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    one = df.agg(*aggs)
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("count"),
-                                 F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"),
-                                 F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
-                        for i, c in enumerate(cols)])
-    basic = one.select(F.explode(entries).alias("e")).select("e.*")
+    rows = [[sql_str(c), f"c{i}", f"m{i}", f"s{i}", f"lo{i}", f"hi{i}"] for i, c in enumerate(cols)]
+    basic = stack_rows(df.agg(*aggs), rows, ["column", "count", "mean", "std", "min", "max"])
     q = quantile_columns(df, cols, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     return basic.join(q, "column", "left").select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
@@ -204,14 +209,12 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     one = df.agg(*[F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"r{i}_{j}")
                    for i, j in pairs])
-    entries = []
+    rows = []
     for i, j in pairs:
-        entries.append(F.struct(F.lit(cols[i]).alias("feature_a"), F.lit(cols[j]).alias("feature_b"),
-                                F.col(f"r{i}_{j}").alias("corr")))
+        rows.append([sql_str(cols[i]), sql_str(cols[j]), f"r{i}_{j}"])
         if i != j:
-            entries.append(F.struct(F.lit(cols[j]).alias("feature_a"), F.lit(cols[i]).alias("feature_b"),
-                                    F.col(f"r{i}_{j}").alias("corr")))
-    return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+            rows.append([sql_str(cols[j]), sql_str(cols[i]), f"r{i}_{j}"])
+    return stack_rows(one, rows, ["feature_a", "feature_b", "corr"])
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
@@ -252,23 +255,17 @@ def box_stats(df: DataFrame, column: str, by: str) -> DataFrame:
 # ------------------------------------------------------------------ constant columns
 
 def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, is_constant): at most one distinct value, null counting as a value.
+    """(column, ordinal, is_constant): at most one distinct value, null counting as a value.
 
     Constant  <=>  all null, or no null and min = max. One aggregate, no
     distinct (so no ``Expand`` for hundreds of columns).
     """
     cols = list(columns or df.columns)
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for i, c in enumerate(cols):
-        aggs += [F.count(c).alias(f"n{i}"), F.min(c).cast("string").alias(f"lo{i}"),
-                 F.max(c).cast("string").alias(f"hi{i}")]
-    one = df.agg(*aggs)
-    entries = []
-    for i, c in enumerate(cols):
-        n = F.col(f"n{i}")
-        const = (n == 0) | ((n == F.col("__rows")) & (F.col(f"lo{i}") == F.col(f"hi{i}")))
-        entries.append(F.struct(F.lit(c).alias("column"), F.lit(i).alias("ordinal"), const.alias("is_constant")))
-    return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    n = F.count(F.lit(1))
+    aggs = [((F.count(c) == 0) | ((F.count(c) == n) & (F.min(c) == F.max(c)))).alias(f"k{i}")
+            for i, c in enumerate(cols)]
+    rows = [[sql_str(c), str(i), f"k{i}"] for i, c in enumerate(cols)]
+    return stack_rows(df.agg(*aggs), rows, ["column", "ordinal", "is_constant"])
 
 
 def drop_constant(train: DataFrame, others: Sequence[DataFrame], protect: Sequence[str] = ()) -> tuple:

@@ -24,6 +24,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 10_000
+# Exact aggregate buffers allowed per task (values held by ``percentile``) for
+# the small-input path; above it the bracket-and-band path is used.
+SMALL_VALUES_BUDGET = 10_000_000
 
 
 def long_values(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
@@ -39,14 +42,23 @@ def long_values(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     group_cols: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY,
-                    rank_rule: str = "interpolate") -> DataFrame:
+                    rank_rule: str = "interpolate", small_budget: int = SMALL_VALUES_BUDGET) -> DataFrame:
     """Long result: group..., column, p, n, quantile (null when no values).
 
     ``rank_rule="interpolate"``: linear interpolation at position p(n-1).
     ``rank_rule="round"``: the value at 0-based rank round(p*n) - 1, i.e. the
     largest of the first round(p*n) values (null when that count is 0).
+
+    A count pass first: when groups x columns x the largest count fits
+    ``SMALL_VALUES_BUDGET``, Spark's exact ``percentile`` runs as one wide
+    aggregate (its buffers are then provably bounded); otherwise the
+    bracket-and-band path below.
     """
     g = list(group_cols)
+    if rank_rule == "interpolate":
+        small = _small_path(df, columns, probs, g, small_budget)
+        if small is not None:
+            return small
     keys = g + ["column"]
     vals = long_values(df, columns, g)
     eps = 2.0 / accuracy
@@ -95,11 +107,32 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     return counts.join(result, keys + ["p"], "left")
 
 
+def _small_path(df: DataFrame, columns: Sequence[str], probs: Sequence[float], g: list,
+                budget: int) -> DataFrame | None:
+    from riskframe.operators.profile import sql_str, stack_rows
+
+    counts = df.groupBy(*g).agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)])
+    size = counts.agg(F.count(F.lit(1)).alias("groups"),
+                      F.greatest(*[F.max(f"n{i}") for i in range(len(columns))], F.lit(0)).alias("biggest")).first()
+    if size.groups * len(columns) * (size.biggest or 0) > budget:
+        return None
+    ps = [float(p) for p in probs]
+    aggs = []
+    for i, c in enumerate(columns):
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.percentile(x, ps).alias(f"q{i}")]
+    rows = [[*[f"`{x}`" for x in g], sql_str(c), repr(p) + "D", f"n{i}", f"q{i}[{j}]"]
+            for i, c in enumerate(columns) for j, p in enumerate(ps)]
+    return stack_rows(df.groupBy(*g).agg(*aggs), rows, [*g, "column", "p", "n", "quantile"])
+
+
 def quantile_columns(df: DataFrame, columns: Sequence[str], probs: dict[str, float],
-                     group_cols: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                     group_cols: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY,
+                     small_budget: int = SMALL_VALUES_BUDGET) -> DataFrame:
     """Wide form: group..., column, one output column per named probability."""
     names = list(probs)
-    long = exact_quantiles(df, columns, [probs[n] for n in names], group_cols, accuracy)
+    long = exact_quantiles(df, columns, [probs[n] for n in names], group_cols, accuracy,
+                           small_budget=small_budget)
     g = list(group_cols) + ["column"]
     return long.groupBy(*g).agg(*[
         F.max(F.when(F.col("p") == F.lit(float(probs[n])), F.col("quantile"))).alias(n) for n in names])

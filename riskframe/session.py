@@ -16,6 +16,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Long jobs: let the context cleaner drop unreferenced shuffles, broadcasts
+    # and checkpoint files instead of accumulating them for the whole session.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.cleaner.periodicGC.interval": "2min",
 }
 
 

@@ -17,13 +17,28 @@ def test_exact_quantiles_small_and_bracketed(spark):
     vals = [rnd.choice([rnd.random(), 0.5, 0.25]) for _ in range(3000)]
     df = spark.createDataFrame([(v, v * 2 if i % 7 else None) for i, v in enumerate(vals)], "a double, b double")
     probs = [0.0, 0.05, 0.25, 0.5, 0.95, 1.0]
-    for acc in (10, 10_000):  # 10: large-n path (bracket + band); 10000: whole-group band
-        got = {(r.column, r.p): r.quantile for r in exact_quantiles(df, ["a", "b"], probs, accuracy=acc).collect()}
+    # budget 0 forces the bracket path: accuracy 10 -> narrow band, 10000 -> whole-group band;
+    # the default budget takes the exact-aggregate path.
+    for acc, budget in ((10, 0), (10_000, 0), (10_000, 10_000_000)):
+        got = {(r.column, r.p): r.quantile
+               for r in exact_quantiles(df, ["a", "b"], probs, accuracy=acc, small_budget=budget).collect()}
         for c, data in (("a", vals), ("b", [v * 2 for i, v in enumerate(vals) if i % 7])):
             for p in probs:
                 assert math.isclose(got[(c, p)], float(np.quantile(data, p)), rel_tol=1e-12, abs_tol=1e-15)
 
 
+def test_grouped_quantiles_both_paths(spark):
+    rows = [(g, float(v)) for g in ("x", "y") for v in range(1 if g == "x" else 5, 40)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for budget in (0, 10_000_000):
+        got = {(r.g, r.p): r.quantile for r in exact_quantiles(df, ["v"], [0.25, 0.5], ["g"],
+                                                                accuracy=5, small_budget=budget).collect()}
+        for g in ("x", "y"):
+            data = [v for gg, v in rows if gg == g]
+            for p in (0.25, 0.5):
+                assert math.isclose(got[(g, p)], float(np.quantile(data, p)))
+
+
 def test_round_rank_rule(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1, 11)], "x double")
     r = exact_quantiles(df, ["x"], [0.2], rank_rule="round").first()
