@@ -77,12 +77,35 @@ INSTALLMENTS_NUMERICS = [
 # ---------------------------------------------------------------- end of fixed values
 
 
-# Declared schemas for the child tables (keys BIGINT, text STRING, numbers DOUBLE).
-# Column order follows the files; only the declared columns are read.
+def _declared(keys: list[str], strings: list[str], numbers: list[str]) -> StructType:
+    """Keys BIGINT, text STRING, every other number DOUBLE (nullable)."""
+    seen, fields = set(), []
+    for names, kind in ((keys, LongType()), (strings, StringType()), (numbers, DoubleType())):
+        for n in names:
+            if n not in seen:
+                seen.add(n)
+                fields.append(StructField(n, kind))
+    return StructType(fields)
+
+
+_DERIVED = {"PREV_APPLICATION_CREDIT_RATIO", "PREV_DOWN_PAYMENT_RATIO", "CC_DRAWINGS_LIMIT_RATIO",
+            "CC_PAYMENT_BALANCE_RATIO", "INST_PAYMENT_RATIO", "INST_PAYMENT_DIFF", "INST_DPD", "INST_DBD"}
+
+
+def _raw(cols: list[str]) -> list[str]:
+    return [c for c in cols if c not in _DERIVED]
+
+
+# Declared schemas of the child tables: the columns the roll-ups read, in a
+# fixed order. CSV headers are matched by name (``enforceSchema`` off), so the
+# files may hold further columns in any order; those are not read.
 CHILD_SCHEMAS = {
-    "bureau_balance": StructType([StructField("SK_ID_BUREAU", LongType()),
-                                  StructField("MONTHS_BALANCE", DoubleType()),
-                                  StructField("STATUS", StringType())]),
+    "bureau_balance": _declared(["SK_ID_BUREAU"], ["STATUS"], ["MONTHS_BALANCE"]),
+    "bureau": _declared([KEY, "SK_ID_BUREAU"], ["CREDIT_ACTIVE"], BUREAU_NUMERICS),
+    "previous_application": _declared([KEY, "SK_ID_PREV"], ["NAME_CONTRACT_STATUS"], _raw(PREVIOUS_NUMERICS)),
+    "pos_cash_balance": _declared([KEY, "SK_ID_PREV"], ["NAME_CONTRACT_STATUS"], POS_NUMERICS),
+    "credit_card_balance": _declared([KEY, "SK_ID_PREV"], ["NAME_CONTRACT_STATUS"], _raw(CREDIT_CARD_NUMERICS)),
+    "installments_payments": _declared([KEY, "SK_ID_PREV"], [], _raw(INSTALLMENTS_NUMERICS)),
 }
 
 

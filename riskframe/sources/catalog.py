@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 @dataclass(frozen=True)
@@ -50,7 +50,18 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType | None = N
     """
     reader = spark.read.option("header", True).option("mode", "FAILFAST")
     if schema is not None:
-        reader = reader.schema(schema)
+        # Declared columns are matched to the header by name: the header row alone
+        # gives the file's column order (no inference pass over the data); columns
+        # that are not declared are read as strings and not selected by default.
+        header = spark.read.option("header", True).csv(path).columns
+        declared = {f.name: f for f in schema.fields}
+        missing = [n for n in declared if n not in header]
+        if missing:
+            raise ValueError(f"{path}: declared columns missing from the header: {missing}")
+        full = StructType([declared.get(h, StructField(h, StringType())) for h in header])
+        reader = reader.schema(full)
+        if columns is None:
+            columns = schema.fieldNames()
     else:
         reader = reader.option("inferSchema", True)
     if null_values:
