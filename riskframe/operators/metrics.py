@@ -30,6 +30,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.operators.sizing import broadcast_if_small
+
 DEFAULT_BUCKETS = 256
 
 
@@ -65,14 +67,15 @@ def cumulative(scores: DataFrame, group_cols: Sequence[str] = (), label: str = "
     probs = [i / buckets for i in range(1, buckets)]
     cuts = ps.groupBy(*g).agg(F.percentile_approx(score, probs, accuracy).alias("__cuts"))
     s = F.col(score)
-    bucketed = (ps.join(F.broadcast(cuts), g, "left") if g else ps.crossJoin(F.broadcast(cuts)))  # groups x buckets
+    cuts = broadcast_if_small(cuts)  # one row per group
+    bucketed = ps.join(cuts, g, "left") if g else ps.crossJoin(cuts)
     bucketed = bucketed.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < s))).drop("__cuts")
     totals = bucketed.groupBy(*g, "__b").agg(F.sum("pos").alias("__bp"), F.sum("neg").alias("__bn"))
     above = Window.partitionBy(*g).orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*g, "__b", F.coalesce(F.sum("__bp").over(above), F.lit(0)).alias("__op"),
                             F.coalesce(F.sum("__bn").over(above), F.lit(0)).alias("__on"))
     inside = Window.partitionBy(*g, "__b").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    return (bucketed.join(F.broadcast(offsets), g + ["__b"])  # at most groups x buckets rows
+    return (bucketed.join(broadcast_if_small(offsets), g + ["__b"])  # at most groups x buckets rows
             .select(*g, score, "pos", "neg",
                     (F.col("__op") + F.sum("pos").over(inside)).alias("cum_tp"),
                     (F.col("__on") + F.sum("neg").over(inside)).alias("cum_fp")))
@@ -110,7 +113,8 @@ def pr_curve(scores: DataFrame, group_cols: Sequence[str] = (), label: str = "la
     g = list(group_cols)
     cum = cumulative(scores, g, label, score, buckets)
     tot = cum.groupBy(*g).agg(F.sum("pos").alias("__P"))
-    src = cum.join(F.broadcast(tot), g) if g else cum.crossJoin(F.broadcast(tot))  # one row per group
+    tot = broadcast_if_small(tot)  # one row per group
+    src = cum.join(tot, g) if g else cum.crossJoin(tot)
     return src.select(
         *g, (F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))).alias("precision"),
         F.when(F.col("__P") > 0, F.col("cum_tp") / F.col("__P")).alias("recall"),
@@ -152,7 +156,8 @@ def threshold_table(scores: DataFrame, thresholds: Sequence[float] | None = None
                          *_confusion_metrics(F.col("tp"), F.col("fp"), F.col("P"), F.col("N")))
     if with_ranking:
         rank = ranking_metrics(scores, g, label, score, buckets)
-        out = out.join(F.broadcast(rank), g) if g else out.crossJoin(F.broadcast(rank))  # one row per group
+        rank = broadcast_if_small(rank)  # one row per group
+        out = out.join(rank, g) if g else out.crossJoin(rank)
     return out
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.profile import categorical_columns, constant_columns, numeric_columns
 from riskframe.operators.quantiles import exact_quantiles, quantile_columns
+from riskframe.operators.sizing import broadcast_if_small
 
 # ------------------------------------------------------------------ split and sample
 
@@ -50,7 +51,7 @@ def stratified_split(df: DataFrame, key: str, label: str, test_size: float = 0.2
     h = df.select(label, _hash_number(key, seed).alias("__h"))
     cuts = (exact_quantiles(h, ["__h"], [test_size], group_cols=[label], rank_rule="round")
             .select(label, F.col("quantile").alias("__cut")))
-    return (df.join(F.broadcast(cuts), label, "left")  # one row per class
+    return (df.join(broadcast_if_small(cuts), label, "left")  # one row per class
             .withColumn(out, F.when(_hash_number(key, seed) <= F.col("__cut"), "validation").otherwise("train"))
             .drop("__cut"))
 

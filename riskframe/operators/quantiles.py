@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.operators.sizing import broadcast_if_small
+
 DEFAULT_ACCURACY = 10_000
 # Exact aggregate buffers allowed per task (values held by ``percentile``) for
 # the small-input path; above it the bracket-and-band path is used.
@@ -81,7 +83,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
                          else F.round(F.col("p") * F.col("n")) - 1)
              .withColumn("r_lo", F.floor("pos"))
              .withColumn("r_hi", F.ceil("pos")))
-    joined = vals.join(F.broadcast(stats.select(*keys, "p", "lo", "hi")), keys)
+    # one row per (group, column, p): checked before it is broadcast
+    joined = vals.join(broadcast_if_small(stats.select(*keys, "p", "lo", "hi")), keys)
     under = F.col("lo").isNotNull() & (F.col("value") < F.col("lo"))
     inside = ((F.col("lo").isNull() | (F.col("value") >= F.col("lo")))
               & (F.col("hi").isNull() | (F.col("value") <= F.col("hi"))))

@@ -1,0 +1,20 @@
+"""Broadcast only behind a size check.
+
+Frames whose size is fixed by construction (one aggregate row, one row per
+column of a schema) are hinted directly. Frames whose size grows with the
+number of groups go through :func:`broadcast_if_small`: the frame is cached,
+its rows counted, and the hint is applied only under the limit; above it the
+planner's own shuffle join is used.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROW_LIMIT = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    cached = df.cache()
+    return F.broadcast(cached) if cached.count() <= limit else cached
