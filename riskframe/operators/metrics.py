@@ -241,7 +241,8 @@ def blend_sweep_scores(aligned: DataFrame, weights: Sequence[float], keys: Seque
 
 
 def blend_weight_sweep(aligned: DataFrame, weights: Sequence[float] = (0.5, 0.6, 0.7, 0.8, 0.9),
-                       keys: Sequence[str] = (), label: str = "label") -> DataFrame:
+                       keys: Sequence[str] = (), label: str = "label", primary_name: str = "primary",
+                       secondary_name: str = "secondary") -> DataFrame:
     """Per weight: roc_auc, average_precision, F1 at 0.5, and the best-F1 sweep
     result; ordered by (roc_auc, tuned_f1) descending."""
     long = blend_sweep_scores(aligned, weights, keys, label)
@@ -253,7 +254,9 @@ def blend_weight_sweep(aligned: DataFrame, weights: Sequence[float] = (0.5, 0.6,
         F.col("recall").alias("tuned_recall"), F.col("threshold").alias("tuned_threshold"))
     return (default.join(tuned, g)
             .withColumn("secondary_weight", F.lit(1.0) - F.col("primary_weight"))
-            .select("primary_weight", "secondary_weight", "roc_auc", "average_precision", "default_f1",
+            .withColumn("label", F.format_string(f"{primary_name} %.1f + {secondary_name} %.1f",
+                                                 "primary_weight", "secondary_weight"))
+            .select("label", "primary_weight", "secondary_weight", "roc_auc", "average_precision", "default_f1",
                     "tuned_f1", "tuned_precision", "tuned_recall", "tuned_threshold")
             .orderBy(F.desc("roc_auc"), F.desc("tuned_f1")))
 

@@ -105,13 +105,14 @@ def missing_train_test(train: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def schema_diff(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Column-name set algebra between two frames, as rows (column, in_left, in_right)."""
-    spark = left.sparkSession
-    a = spark.createDataFrame([(c, i) for i, c in enumerate(left.columns)], "column string, left_ordinal int")
-    b = spark.createDataFrame([(c, i) for i, c in enumerate(right.columns)], "column string, right_ordinal int")
+    """Column-name set algebra between two tables, as rows (column, in_left,
+    in_right, left_nulls, right_nulls): a full join of their per-column null
+    profiles, so both tables are read once."""
+    a = missing_profile(left).select("column", F.col("null_count").alias("left_nulls"))
+    b = missing_profile(right).select("column", F.col("null_count").alias("right_nulls"))
     return (a.join(b, "column", "full")
-            .select("column", F.col("left_ordinal").isNotNull().alias("in_left"),
-                    F.col("right_ordinal").isNotNull().alias("in_right")))
+            .select("column", F.col("left_nulls").isNotNull().alias("in_left"),
+                    F.col("right_nulls").isNotNull().alias("in_right"), "left_nulls", "right_nulls"))
 
 
 # ------------------------------------------------------------------ categories

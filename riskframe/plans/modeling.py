@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from riskframe.operators import attribution as attr
 from riskframe.operators import metrics as met
 from riskframe.operators import prepare as prep
+from riskframe.operators.profile import missing_profile
 from riskframe.operators import train as tr
 from riskframe.plans import tpch
 from riskframe.plans.assemble import join_families
@@ -135,7 +136,10 @@ def experiment_columns(spark, sf_dir) -> DataFrame:
     for exp in RECOMMENDED_RUNS:
         chosen = {c for g in EXPERIMENTS[exp] for c in groups[g]}
         rows += [(exp, c, i) for i, c in enumerate(c for c in all_cols if c in chosen)]
-    return spark.createDataFrame(rows, "experiment string, feature string, ordinal int")
+    spec = spark.createDataFrame(rows, "experiment string, feature string, ordinal int")
+    # keep only columns present in the assembled table (its null profile, one row per column)
+    present = missing_profile(feats).select(F.col("column").alias("feature"))
+    return spec.join(present, "feature", "left_semi").select("experiment", "feature", "ordinal")
 
 
 def ablation(spark, sf_dir, n_iter: int = 20) -> DataFrame:

@@ -287,13 +287,13 @@ def schema_summary_sql() -> str:
 
 
 def schema_diff_sql() -> str:
-    left = [c.name for c in app_columns()]
-    right = [c.name for c in APPLICANT_COLS if c.name != "TARGET"]
-    lv = ", ".join(f"('{c}')" for c in left)
-    rv = ", ".join(f"('{c}')" for c in right)
-    return (f"SELECT COALESCE(l.name, r.name) AS \"column\", l.name IS NOT NULL AS in_left, "
-            f"r.name IS NOT NULL AS in_right FROM (VALUES {lv}) l(name) FULL JOIN (VALUES {rv}) r(name) "
-            f"ON l.name = r.name")
+    right_cols = [c for c in APPLICANT_COLS if c.name != "TARGET"]
+    left = null_rows(app_columns(), "app")
+    right = null_rows(right_cols, "apps")
+    return (f"WITH {app_cte()}, apps AS ({applicants_sql()}) "
+            f"SELECT COALESCE(l.\"column\", r.\"column\") AS \"column\", l.\"column\" IS NOT NULL AS in_left, "
+            f"r.\"column\" IS NOT NULL AS in_right, l.null_count AS left_nulls, r.null_count AS right_nulls "
+            f"FROM ({left}) l FULL JOIN ({right}) r ON l.\"column\" = r.\"column\"")
 
 
 def table_overview_sql(tables: dict[str, str]) -> str:
@@ -632,7 +632,9 @@ def blend_sweep_sql() -> str:
             f"ROUND(r.roc_auc, {DIGITS}) AS roc_auc, ROUND(r.average_precision, {DIGITS}) AS average_precision, "
             f"ROUND(bm.f1, {DIGITS}) AS default_f1, ROUND(b.f1, {DIGITS}) AS tuned_f1, "
             f"ROUND(b.precision, {DIGITS}) AS tuned_precision, ROUND(b.recall, {DIGITS}) AS tuned_recall, "
-            f"ROUND(b.threshold, {DIGITS}) AS tuned_threshold FROM bm JOIN rnk r USING ({g}) "
+            f"ROUND(b.threshold, {DIGITS}) AS tuned_threshold, "
+            f"printf('quantity %.1f + discount %.1f', bm.primary_weight, 1.0::DOUBLE - bm.primary_weight) AS label "
+            f"FROM bm JOIN rnk r USING ({g}) "
             f"JOIN b ON b.{g} = bm.{g} AND b.rn = 1")
 
 
@@ -748,9 +750,9 @@ def safe_names_sql() -> str:
 
 
 def feature_family_sql(prefixes) -> str:
-    vals = ", ".join(f"('{c.name}')" for c in app_columns())
-    case = " ".join(f"WHEN starts_with(feature, '{p}') THEN '{f}'" for p, f in prefixes)
-    return f"SELECT feature, CASE {case} ELSE 'application' END AS family FROM (VALUES {vals}) v(feature)"
+    case = " ".join(f"WHEN starts_with(\"column\", '{p}') THEN '{f}'" for p, f in prefixes)
+    return (f"WITH {app_cte()} SELECT \"column\" AS feature, CASE {case} ELSE 'application' END AS family, "
+            f"null_count FROM ({null_rows(app_columns(), 'app')})")
 
 
 def parquet_roundtrip_sql() -> str:

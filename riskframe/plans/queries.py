@@ -415,7 +415,8 @@ def q_blend_weight_sweep(spark, sf_dir):
     # both scores of a line sit on the same row, so no key join is needed here
     aligned = scored_lines(spark, sf_dir).select(*SCORE_KEYS, "label", F.col("score_quantity").alias("score_a"),
                                                   F.col("score_discount").alias("score_b"))
-    return round_doubles(met.blend_weight_sweep(aligned, (0.5, 0.6, 0.7, 0.8, 0.9), SCORE_KEYS))
+    return round_doubles(met.blend_weight_sweep(aligned, (0.5, 0.6, 0.7, 0.8, 0.9), SCORE_KEYS,
+                                                primary_name="quantity", secondary_name="discount"))
 
 
 @register("model_leaderboard")
@@ -562,9 +563,11 @@ def q_safe_names(spark, sf_dir):
 
 @register("feature_family")
 def q_feature_family(spark, sf_dir):
-    cols = features(spark, sf_dir).columns
-    names = spark.createDataFrame([(c,) for c in cols], "feature string")
-    return names.select("feature", ex.prefix_family("feature", FAMILY_PREFIXES, "application").alias("family"))
+    """Family label of every applicant column, on its null profile (whole table)."""
+    prof_rows = prof.missing_profile(features(spark, sf_dir))
+    return prof_rows.select(F.col("column").alias("feature"),
+                            ex.prefix_family("column", FAMILY_PREFIXES, "application").alias("family"),
+                            "null_count")
 
 
 # ------------------------------------------------------------------ sources and sinks

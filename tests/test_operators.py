@@ -111,3 +111,20 @@ def test_fold_summary_single_fold(spark):
     df = spark.createDataFrame([("e", "m", 0, 0.7)], "experiment string, model string, fold int, auc double")
     r = fold_summary(df).first()
     assert r.auc_mean == 0.7 and r.auc_std is None
+
+
+def test_csv_null_spellings_and_row_cap(spark, tmp_path):
+    from riskframe.sources.catalog import read_csv_table
+
+    p = tmp_path / "t.csv"
+    p.write_text("k,s,x\n1,NA,1.5\n2,,2.5\n3,ok,NA\n")
+    df = read_csv_table(spark, str(p), null_values=["", "NA"])
+    rows = {r.k: r for r in df.collect()}
+    assert rows[1].s is None and rows[2].s is None and rows[3].s == "ok"
+    assert read_csv_table(spark, str(p), columns=["k"], n_rows=2).count() == 2
+
+
+def test_sigmoid_and_hard_decision(spark):
+    df = spark.createDataFrame([(0.0, 0.5), (2.0, 0.49)], "z double, s double")
+    r = df.select(ex.sigmoid("z").alias("p"), ex.hard_decision("s", 0.5).alias("y")).collect()
+    assert r[0].p == 0.5 and math.isclose(r[1].p, 1 / (1 + math.exp(-2))) and [x.y for x in r] == [1, 0]
