@@ -81,8 +81,10 @@ def score_table(model: Model, df: DataFrame, key: str, label: str, name: str) ->
 
 # ------------------------------------------------------------------ estimators (M1-M4)
 
-def logistic(C: float = 1.0, total_weight: float = 1.0, max_iter: int = 100, label: str = "label") -> LogisticRegression:
-    return LogisticRegression(featuresCol=FEATURES, labelCol=label, weightCol=WEIGHT, maxIter=max_iter,
+def logistic(C: float = 1.0, total_weight: float = 1.0, max_iter: int = 1000, tol: float = 1e-4,
+             label: str = "label") -> LogisticRegression:
+    """``tol`` and ``max_iter`` follow the usual lbfgs defaults of the original learner."""
+    return LogisticRegression(featuresCol=FEATURES, labelCol=label, weightCol=WEIGHT, maxIter=max_iter, tol=tol,
                               regParam=1.0 / (C * total_weight), elasticNetParam=0.0, standardization=False)
 
 
