@@ -78,33 +78,37 @@ def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None
     return {c: got.get(c) for c in columns}
 
 
+EPS = 2.220446049250313e-16  # float64 machine epsilon
+
+
+def constant_variance(var: Column, mean: Column, n: Column) -> Column:
+    """True when a population variance is zero up to floating-point error:
+    var <= n*eps*var + (n*mean*eps)^2. Merging partial moments can leave a
+    constant column with a variance of ~1e-33 instead of 0."""
+    return var <= n * F.lit(EPS) * var + F.pow(n * mean * F.lit(EPS), 2)
+
+
 def scaling_frame(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, mean, scale) from one aggregate; population std, 0 or undefined -> 1."""
+    """(column, mean, scale) from one aggregate; population std, constant or undefined -> 1."""
     from riskframe.operators.profile import sql_str, stack_rows
 
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
-        sd = F.stddev_pop(x)
-        aggs += [F.coalesce(F.avg(x), F.lit(0.0)).alias(f"m{i}"),
-                 F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd).alias(f"s{i}")]
+        mean, var = F.avg(x), F.var_pop(x)
+        aggs += [F.coalesce(mean, F.lit(0.0)).alias(f"m{i}"),
+                 F.when(var.isNull() | constant_variance(var, mean, F.count(x)), F.lit(1.0))
+                 .otherwise(F.sqrt(var)).alias(f"s{i}")]
     rows = [[sql_str(c), f"m{i}", f"s{i}"] for i, c in enumerate(columns)]
     return stack_rows(df.agg(*aggs), rows, ["column", "mean", "scale"])
 
 
 def fit_scaling(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population std per column in one aggregate; std 0 (or undefined) -> 1."""
+    """Mean and population std per column in one aggregate; constant (or undefined) -> 1."""
     if not columns:
         return {}
-    aggs = []
-    for i, c in enumerate(columns):
-        aggs += [F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}")]
-    row = df.agg(*aggs).first()
-    out = {}
-    for i, c in enumerate(columns):
-        m, s = row[f"m{i}"], row[f"s{i}"]
-        out[c] = (0.0 if m is None else m, 1.0 if (s is None or s == 0) else s)
-    return out
+    got = {r.column: (r.mean, r.scale) for r in scaling_frame(df, columns).collect()}  # one row per column
+    return {c: got[c] for c in columns}
 
 
 def modes_frame(df: DataFrame, columns: Sequence[str]) -> DataFrame:

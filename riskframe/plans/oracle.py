@@ -423,6 +423,16 @@ def impute_mode_sql(table: str, columns) -> str:
         f"ORDER BY COUNT(*) DESC, CAST({c} AS VARCHAR) LIMIT 1) AS mode" for c in columns)
 
 
+EPS = 2.220446049250313e-16
+
+
+def scale_expr(x: str) -> str:
+    """Population std, 1 when undefined or zero up to floating-point error."""
+    var, n = f"VAR_POP({x})", f"CAST(COUNT({x}) AS DOUBLE)"
+    const = f"{var} <= {n} * {EPS!r}::DOUBLE * {var} + POWER({n} * AVG({x}) * {EPS!r}::DOUBLE, 2)"
+    return f"CASE WHEN {var} IS NULL OR {const} THEN 1.0::DOUBLE ELSE SQRT({var}) END"
+
+
 def standardize_sql() -> str:
     num = numeric_cols(app_columns(), exclude=("c_custkey", "TARGET"))
     med = ", ".join(f"quantile_cont(CAST({c.name} AS DOUBLE), 0.5) AS m_{i}" for i, c in enumerate(num))
@@ -430,8 +440,7 @@ def standardize_sql() -> str:
     for i, c in enumerate(num):
         x = f"COALESCE(CAST({c.name} AS DOUBLE), m_{i})"
         parts.append(f"SELECT '{c.name}' AS column, ROUND(COALESCE(AVG({x}), 0.0::DOUBLE), {DIGITS}) AS mean, "
-                     f"ROUND(CASE WHEN STDDEV_POP({x}) IS NULL OR STDDEV_POP({x}) = 0 THEN 1.0::DOUBLE "
-                     f"ELSE STDDEV_POP({x}) END, {DIGITS}) AS scale FROM app, med")
+                     f"ROUND({scale_expr(x)}, {DIGITS}) AS scale FROM app, med")
     return f"WITH {app_cte()}, med AS (SELECT {med} FROM app) " + " UNION ALL ".join(parts)
 
 
@@ -462,9 +471,7 @@ def ready_summary_sql(scale: bool) -> str:
         sc = []
         for i, c in num:
             x = f"COALESCE(CAST({c.name} AS DOUBLE), m_{i})"
-            sc += [f"COALESCE(AVG({x}), 0.0::DOUBLE) AS a_{i}",
-                   f"CASE WHEN STDDEV_POP({x}) IS NULL OR STDDEV_POP({x}) = 0 THEN 1.0::DOUBLE "
-                   f"ELSE STDDEV_POP({x}) END AS s_{i}"]
+            sc += [f"COALESCE(AVG({x}), 0.0::DOUBLE) AS a_{i}", f"{scale_expr(x)} AS s_{i}"]
         ctes.append(f"sc AS (SELECT {', '.join(sc)} FROM tr, med)")
     parts = []
     for i, c in num:

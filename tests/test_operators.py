@@ -128,3 +128,13 @@ def test_sigmoid_and_hard_decision(spark):
     df = spark.createDataFrame([(0.0, 0.5), (2.0, 0.49)], "z double, s double")
     r = df.select(ex.sigmoid("z").alias("p"), ex.hard_decision("s", 0.5).alias("y")).collect()
     assert r[0].p == 0.5 and math.isclose(r[1].p, 1 / (1 + math.exp(-2))) and [x.y for x in r] == [1, 0]
+
+
+def test_constant_variance_guard(spark):
+    # a constant column can come out of merged partial moments with var ~1e-33 instead of 0
+    df = spark.createDataFrame([(7.7e-34, 1.0, 15000.0), (0.0, 1.0, 3.0), (0.01, 1.0, 15000.0)],
+                               "var double, mean double, n double")
+    got = [r.c for r in df.select(prep.constant_variance(F.col("var"), F.col("mean"), F.col("n")).alias("c")).collect()]
+    assert got == [True, True, False]
+    many = spark.range(15000).select(F.lit(1.0).alias("v")).repartition(7)
+    assert prep.fit_scaling(many, ["v"])["v"] == (1.0, 1.0)
