@@ -29,9 +29,20 @@ def register(name: str):
     return deco
 
 
+def round_half_away(c, digits: int = DIGITS):
+    """Round on the binary value, half away from zero: sign(y) * floor(|y| + 0.5)
+    / 10^d with y = x * 10^d. The SQL engine used as the reference rounds doubles
+    this way, so identical doubles round identically on both sides (``F.round``
+    rounds the shortest decimal string instead, which differs at some ties)."""
+    scale = float(10 ** digits)
+    y = c.cast("double") * F.lit(scale)
+    r = F.signum(y) * F.floor(F.abs(y) + F.lit(0.5)).cast("double") / F.lit(scale)
+    return F.when(F.abs(y) < F.lit(2.0 ** 52), r).otherwise(y / F.lit(scale))
+
+
 def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name)
+        round_half_away(F.col(f.name), digits).alias(f.name)
         if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
         for f in df.schema.fields])
 
