@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 from riskframe.operators.sizing import broadcast_if_small
 
 DEFAULT_ACCURACY = 10_000
-# Exact aggregate buffers allowed per task (values held by ``percentile``) for
-# the small-input path; above it the bracket-and-band path is used.
-SMALL_VALUES_BUDGET = 10_000_000
+# Values the exact ``percentile`` buffers may hold in one task on the
+# small-input path (groups x columns x largest count; ~60 bytes each, so about
+# 180 MB at the limit). Above it the bracket-and-band path is used.
+SMALL_VALUES_BUDGET = 3_000_000
 
 
 def long_values(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
