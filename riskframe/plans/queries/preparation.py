@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from riskframe.plans import tpch
-from riskframe.plans.queries.common import (  # noqa: F401
-    CORR_COLUMNS, LINEITEM_NUMERIC, OVERVIEW_TABLES, RECORD_SOURCES, STATUS_SOURCES, applicant_features, features, register,
-    round_doubles, split_assignment, stage_dir, stored_features, union_all,
-)
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from riskframe.operators import prepare as prep
 from riskframe.operators import profile as prof
+from riskframe.plans import tpch
+from riskframe.plans.queries.common import (
+    features, register, round_doubles, split_assignment, stored_features,
+)
 
 
 @register("stratified_split")

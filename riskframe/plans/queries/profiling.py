@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskframe.operators import profile as prof
 from riskframe.plans import tpch
-from riskframe.plans.queries.common import (  # noqa: F401
-    CORR_COLUMNS, LINEITEM_NUMERIC, OVERVIEW_TABLES, RECORD_SOURCES, STATUS_SOURCES, applicant_features, features, register,
-    round_doubles, split_assignment, stage_dir, stored_features, union_all,
+from riskframe.plans.queries.common import (
+    CORR_COLUMNS, LINEITEM_NUMERIC, OVERVIEW_TABLES, RECORD_SOURCES, STATUS_SOURCES, features, register,
+    round_doubles, split_assignment, stored_features, union_all,
 )
-from riskframe.operators import profile as prof
 
 
 @register("missing_profile")

@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from riskframe.plans import tpch
-from riskframe.plans.queries.common import (  # noqa: F401
-    CORR_COLUMNS, LINEITEM_NUMERIC, OVERVIEW_TABLES, RECORD_SOURCES, STATUS_SOURCES, applicant_features, features, register,
-    round_doubles, split_assignment, stage_dir, stored_features, union_all,
-)
+from riskframe.plans.queries.common import applicant_features, register, round_doubles
 
 
 @register("applicant_features")
