@@ -10,7 +10,8 @@ Learner mapping (the reference's single-machine learners are not rebuilt):
   ``LogisticRegression(weightCol, regParam = 1 / (C * sum(w)), standardization=False)``
   (same objective: C * sum(w * loss) + |b|^2 / 2, rescaled);
 * random forest -> ``RandomForestClassifier`` (no depth limit -> depth 30,
-  Spark's maximum), balanced weights as ``weightCol``;
+  Spark's maximum), balanced weights as ``weightCol`` (computed once on the
+  training part, not per bootstrap sample);
 * boosted trees -> ``GBTClassifier`` with ``scale_pos_weight`` as a per-row
   weight, row subsampling and per-node feature subsampling;
 * neural network -> ``MultilayerPerceptronClassifier``; it takes no weight
