@@ -99,3 +99,23 @@ def test_unique_count_counts_null_once(spark):
     assert df.groupBy("k").agg(unique_count("v").alias("n")).first().n == 2
     df2 = spark.createDataFrame([(1, 5), (1, 6)], "k long, v long")
     assert df2.groupBy("k").agg(unique_count(F.col("v")).alias("n")).first().n == 2
+
+
+def test_rollup_many_equals_separate_rollups(spark):
+    from riskframe.plans import tpch
+
+    sf = "/root/testdata/sf0.001"
+    merged = tpch.orders_families(spark, sf)
+    separate = tpch.bureau_family(spark, sf).join(tpch.previous_family(spark, sf), tpch.KEY, "full")
+    assert sorted(merged.columns) == sorted(separate.columns)
+    cols = sorted(merged.columns)
+
+    def rows(df):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+                      for r in df.select(*cols).collect())
+
+    assert rows(merged) == rows(separate)
+    ev = tpch.events_families(spark, sf)
+    ev_sep = tpch.pos_family(spark, sf).join(tpch.credit_card_family(spark, sf), tpch.KEY, "full")
+    cols = sorted(ev.columns)
+    assert rows(ev) == rows(ev_sep)
