@@ -138,3 +138,19 @@ def test_constant_variance_guard(spark):
     assert got == [True, True, False]
     many = spark.range(15000).select(F.lit(1.0).alias("v")).repartition(7)
     assert prep.fit_scaling(many, ["v"])["v"] == (1.0, 1.0)
+
+
+def test_broadcast_only_under_limit(spark):
+    from riskframe.operators.sizing import broadcast_if_small
+
+    big = spark.range(100).withColumnRenamed("id", "k")
+    small = spark.range(5).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = big.join(broadcast_if_small(small, limit=10), "k")
+        plain = big.join(broadcast_if_small(small, limit=3), "k")
+        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
+        assert hinted.count() == plain.count() == 5
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
