@@ -82,9 +82,9 @@ def mix(docs: DataFrame, shards: int = SHARDS, blocks_per_shard: int = BLOCKS_PE
     quotas = shard_quotas(targets, shards, blocks_per_shard).groupBy("pos").agg(F.sum("quota").alias("blocks"))
     total = F.sum("source_size").over(Window.partitionBy(F.lit(0)))
     plan = targets.withColumn("block_len", F.greatest(F.lit(1), F.ceil(total / n_blocks)).cast("long")).join(quotas, "pos", "left").select(
-        "source", "pos", "source_size", "target", "block_len", F.coalesce("blocks", F.lit(0)).alias("blocks"))
+        "source", "pos", "source_size", "target", "block_len", F.coalesce("blocks", F.lit(0)).alias("blocks"), (total / n_blocks).alias("quota_words"))
     # The quota holds to within one block; inside that block the words stop at the target.
-    lowest, highest = (F.col("blocks") - 1) * F.col("block_len"), (F.col("blocks") + 1) * F.col("block_len")
+    lowest, highest = F.floor((F.col("blocks") - 1) * F.col("quota_words")), F.ceil((F.col("blocks") + 1) * F.col("quota_words"))
     plan = plan.withColumn("want", F.greatest(lowest, F.least(highest, F.floor(F.col("target") + 0.5))).cast("long"))
     # Whole epochs, and the words that the quota's blocks and the final trim give beyond them.
     plan = plan.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("want") / F.col("source_size"))).otherwise(0).cast("long"))

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import connected_components, materialise, with_row_ids
+from riskframe.llm.groups import sorted_groups
 from riskframe.llm.words import mix, shingle_sets, text_chunks
 
 COORDS = 64
@@ -113,27 +114,6 @@ def _paths(reps: DataFrame, runs: int, bucket_limit: int) -> DataFrame:
     return materialise(leaves, "path-leaves")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]):
-    """(table, group starts) with whole groups from batches sorted by ``keys``; the open group is carried over."""
-    held = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        now = pa.Table.from_batches([batch])
-        now = pa.concat_tables([held, now]) if held is not None else now
-        cols = [now.column(k).to_numpy() for k in keys]
-        change = np.zeros(now.num_rows, bool)
-        change[0] = True
-        for c in cols:
-            change[1:] |= c[1:] != c[:-1]
-        starts = np.flatnonzero(change)
-        if len(starts) > 1:
-            yield now.slice(0, int(starts[-1])).combine_chunks(), starts
-        held = now.slice(int(starts[-1]))
-    if held is not None:
-        yield held.combine_chunks(), np.array([0, held.num_rows])
-
-
 def _bucket_matrix(table: pa.Table, n_slots: int) -> np.ndarray:
     lists = table.column("slots").combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
@@ -182,7 +162,7 @@ _CELL = ["slot", "key", "a", "b"]
 
 def _likely_members(cells: DataFrame, n_slots: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, starts in _groups(batches, _CELL):
+        for table, starts in sorted_groups(batches, _CELL):
             tokens = _list_rows(table, "sketch").reshape(-1, COORDS)
             size = table.column("n").to_numpy()
             block = table.column("block").to_numpy()
@@ -230,7 +210,7 @@ def _overlaps(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarra
 
 def _exact_links(members: DataFrame, n_slots: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, starts in _groups(batches, _CELL):
+        for table, starts in sorted_groups(batches, _CELL):
             buckets = _bucket_matrix(table, n_slots)
             raw = table.column("shingles").to_pylist()
             rep, times, block = (table.column(c).to_numpy() for c in ("rep", "mult", "block"))

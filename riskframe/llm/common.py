@@ -36,16 +36,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_rank(df: DataFrame, groups: Sequence[str], order: Sequence[Column], spread: Column,
-              n_rows: int, out: str, per_bucket: int = 4096, weight: str | None = None) -> DataFrame:
+def with_rank(df: DataFrame, groups: Sequence[str], order: Sequence[Column], spread: Column, n_rows: int, out: str,
+              per_bucket: int = 4096, weight: str | None = None, tier: Column | None = None, n_tiers: int = 1) -> DataFrame:
     """Gapless rank (from 0) within ``groups``, or the running sum of ``weight`` before each row.
 
     Rows are dealt into ``n_rows / per_bucket`` buckets by the hash ``spread`` and ranked inside
     each bucket; offsets come from the small bucket-total table. No group, however large, is
-    sorted in one task. The order is: bucket, then ``order``.
+    sorted in one task. The order is: ``tier`` (0 to ``n_tiers`` - 1) if given, bucket, then ``order``.
     """
     n_buckets = max(1, -(-n_rows // per_bucket))
-    keyed = df.withColumn("_b", F.pmod(spread, F.lit(n_buckets)))
+    bucket = F.pmod(spread, F.lit(n_buckets))
+    keyed = df.withColumn("_b", bucket if tier is None else tier * n_buckets + bucket)
+    n_buckets *= n_tiers
     keys = [*groups, "_b"]
     size = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
     totals = keyed.groupBy(*keys).agg(size.alias("_n"))

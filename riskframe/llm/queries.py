@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import apportion, chosen_path, spaced_seeds, token_blocks, toxicity_fst
+from riskframe.llm import apportion, chosen_path, label_shards, license_dice, pq_dedup, spaced_seeds, text_density, token_blocks, toxicity_fst, weak_pii
 from riskframe.llm.common import table, with_row_ids
 
 
@@ -14,23 +14,45 @@ def op1_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.token_blocks(table(spark, sf_dir, "documents"))
 
 
+def op2_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_density.main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spaced_seeds.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_dice.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_fst.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_label_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return label_shards.label_shards(table(spark, sf_dir, "documents"))
+
+
+def op7_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_pii.find(table(spark, sf_dir, "documents"))
+
+
 def op8_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_row_ids(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "mix-docs")
     return apportion.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "source_blocks")
 
 
+def op9_pq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_texts", "n_copies")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pfor_tokens, op3_spaced_seed_leaks, op5_toxicity_grammar, op8_sainte_lague_mix, op10_chosen_path_join)
+    f.__name__: f
+    for f in (op1_pfor_tokens, op2_text_density, op3_spaced_seed_leaks, op4_license_dice, op5_toxicity_grammar, op6_label_shards,
+              op7_weak_pii, op8_sainte_lague_mix, op9_pq_near_duplicates, op10_chosen_path_join)
 }

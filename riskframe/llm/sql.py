@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from riskframe.llm.license_dice import TEMPLATES, THRESHOLD
+
 # Exact Jaccard on the shingles themselves; components by walking the links to the smallest id.
 _OP10 = """
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\pL\\pM\\pN_]+') AS w FROM documents),
@@ -23,4 +25,40 @@ SELECT d.doc_id, coalesce(c.class_id, d.doc_id) AS class_id, coalesce(g.n_links,
 FROM documents d LEFT JOIN cls c ON d.doc_id = c.a LEFT JOIN deg g ON d.doc_id = g.a LEFT JOIN copies k ON d.doc_id = k.doc_id
 """
 
-ORACLE: dict[str, str] = {"op10_chosen_path_join": _OP10}
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+# Every unit against every template: no guard words, no size bounds.
+_OP4 = f"""
+WITH t AS (SELECT * FROM (VALUES {", ".join(f"({i}, {_literal(n)}, {_literal(x.lower())})" for i, (n, x) in enumerate(TEMPLATES))}) v(no, license, body)),
+tw AS (SELECT no, license, regexp_extract_all(body, '[a-z0-9]+') AS w FROM t),
+tg AS (SELECT no, license, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM tw),
+d AS (SELECT row_number() OVER () AS rid, doc_id, lower(text) AS x FROM documents WHERE text IS NOT NULL),
+u AS (SELECT rid, doc_id, unnest(list_distinct(list_concat(string_split(x, chr(10)), regexp_split_to_array(x, '\\n\\s*\\n'), [x]))) AS u FROM d),
+uw AS (SELECT rid, doc_id, u, regexp_extract_all(u, '[a-z0-9]+') AS w FROM u),
+ug AS (SELECT rid, doc_id, u, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM uw WHERE len(w) > 1),
+ue AS (SELECT rid, doc_id, u, len(g) AS n, unnest(g) AS gram FROM ug),
+te AS (SELECT no, license, len(g) AS n, unnest(g) AS gram FROM tg),
+dice AS (SELECT rid, doc_id, u, no, license, 2 * count(*) / any_value(ue.n + te.n) AS dice FROM ue JOIN te USING (gram) GROUP BY rid, doc_id, u, no, license),
+best AS (SELECT rid, doc_id, u, arg_max(struct_pack(l := license, d := dice), struct_pack(d := dice, f := -no)) AS b FROM dice WHERE dice >= {THRESHOLD} GROUP BY rid, doc_id, u)
+SELECT doc_id, b.l AS license, round(max(b.d), 6) AS dice, count(*) AS n_units FROM best GROUP BY rid, doc_id, b.l
+"""
+
+# Exact cosine of all pairs in double precision; components by walking the links to the smallest id.
+_OP9 = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+u AS (SELECT vec_id, e, sqrt(list_sum([x * x FOR x IN e])) AS n FROM v),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND a.n > 0 AND b.n > 0 AND len(a.e) = len(b.e)
+  AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.95),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+cls AS (SELECT a, min(least(a, b)) AS c FROM reach GROUP BY a),
+deg AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(deg.n, 0) AS n_links, coalesce(c, vec_id) AS component_id, coalesce(c, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN cls ON vec_id = cls.a LEFT JOIN deg ON vec_id = deg.a
+"""
+
+ORACLE: dict[str, str] = {"op4_license_dice": _OP4, "op9_pq_near_duplicates": _OP9, "op10_chosen_path_join": _OP10}
