@@ -8,11 +8,14 @@ frame) followed by one ``groupBy(key).agg(...)``.
 
 Scale notes
 -----------
-* Every aggregate is algebraic (count / sum / min / max / avg), so Spark runs a
+* Every wide aggregate is algebraic (count / sum / min / max), so Spark runs a
   partial aggregate before the shuffle: a key holding a third of all rows costs
   one partial row per map task, not a hot reducer.
-* The unique count is the only distinct aggregate, and there is at most one
-  per spec, so Spark plans it as a two-phase distinct (no ``Expand``).
+* The unique count runs on its own over the two columns it needs (distinct
+  (key, id) pairs, then a count per key) and is joined on the key; the wide
+  buffers are never shuffled by (key, id).
+* A numeric with a declared decimal scale is summed exactly, so its sum and mean
+  don't depend on partitioning or on the order of additions.
 * Output is hash-partitioned by the key, so a later join on the same key
   (the applicant table) reuses that partitioning.
 """
@@ -24,8 +27,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from riskframe.functions.exprs import flag as _flag
+from riskframe.operators.joins import null_safe_join
 
 # Fixed output suffixes, in output order for the numeric pack.
 NUMERIC_STATS = ("MEAN", "MAX", "MIN", "SUM")
@@ -50,6 +55,7 @@ class RollupSpec:
     min_max: Sequence[str] = ()
     flags: Sequence[Flag] = ()
     numerics: Sequence[str] = ()
+    scales: Mapping[str, int] = field(default_factory=dict)  # numeric -> decimal places summed exactly
     unique_name: str = "UNIQUE_LOAN_COUNT"
 
     def feature(self, column: str, stat: str) -> str:
@@ -75,27 +81,29 @@ class RollupSpec:
         return names
 
 
-def unique_count(c: Column | str) -> Column:
-    """Distinct values with null counted as one value (``n_unique``)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.count_distinct(c) + F.max(c.isNull().cast("long"))
-
-
 def numeric_pack(column: str, spec: RollupSpec) -> list[Column]:
-    """MEAN, MAX, MIN, SUM; the sum of an all-null group is 0, the others null."""
+    """MEAN, MAX, MIN, SUM; the sum of an all-null group is 0, the others null.
+
+    With a scale in ``spec.scales`` the sum is taken in decimals of that many
+    places and only then turned into a double; the mean is that sum over the count.
+    """
     c = F.col(column)
+    if column in spec.scales:
+        total = F.sum(c.cast(DecimalType(28, spec.scales[column]))).cast("double")
+        mean, zero = total / F.count(c), F.lit(0.0)
+    else:
+        total, mean, zero = F.sum(c), F.avg(c), F.lit(0)
     return [
-        F.avg(c).alias(spec.feature(column, "MEAN")),
+        mean.alias(spec.feature(column, "MEAN")),
         F.max(c).alias(spec.feature(column, "MAX")),
         F.min(c).alias(spec.feature(column, "MIN")),
-        F.coalesce(F.sum(c), F.lit(0)).alias(spec.feature(column, "SUM")),
+        F.coalesce(total, zero).alias(spec.feature(column, "SUM")),
     ]
 
 
 def aggregations(spec: RollupSpec) -> list[Column]:
+    """All aggregates but the unique count (see ``unique_counts``)."""
     aggs = [F.count(F.lit(1)).alias(spec.count_name)]
-    if spec.unique:
-        aggs.append(unique_count(spec.unique).alias(f"{spec.prefix}_{spec.unique_name}"))
     for c in spec.min_max:
         aggs += [F.min(c).alias(spec.feature(c, "MIN")), F.max(c).alias(spec.feature(c, "MAX"))]
     for fl in spec.flags:
@@ -108,6 +116,22 @@ def aggregations(spec: RollupSpec) -> list[Column]:
     return aggs
 
 
+def unique_counts(df: DataFrame, key: str, column: str, names: Sequence[str]) -> DataFrame:
+    """Distinct values of ``column`` per key, null counted as one value, under every name."""
+    pairs = df.select(key, column).distinct()
+    return pairs.groupBy(key).agg(*[F.count(F.lit(1)).alias(n) for n in names])
+
+
+def _with_unique(wide: DataFrame, children: DataFrame, specs: Sequence[RollupSpec], key: str) -> DataFrame:
+    names: dict[str, list[str]] = {}
+    for s in specs:
+        if s.unique:
+            names.setdefault(s.unique, []).append(f"{s.prefix}_{s.unique_name}")
+    for column, out in names.items():
+        wide = null_safe_join(wide, unique_counts(children, key, column, out), [key])
+    return wide.select(key, *[n for s in specs for n in s.feature_names()])
+
+
 def prepare_children(df: DataFrame, spec: RollupSpec) -> DataFrame:
     """Derived columns and flag columns in ONE ``withColumns`` (parallel semantics)."""
     new_cols = dict(spec.derived)
@@ -118,7 +142,7 @@ def prepare_children(df: DataFrame, spec: RollupSpec) -> DataFrame:
 
 def rollup(df: DataFrame, spec: RollupSpec) -> DataFrame:
     """One row per ``spec.key`` with ``spec.feature_names()`` columns."""
-    return prepare_children(df, spec).groupBy(spec.key).agg(*aggregations(spec))
+    return _with_unique(prepare_children(df, spec).groupBy(spec.key).agg(*aggregations(spec)), df, [spec], spec.key)
 
 
 def attach(parent: DataFrame, features: DataFrame, on: str, features_key: str | None = None) -> DataFrame:
@@ -142,8 +166,8 @@ def two_level_rollup(grandchild: DataFrame, child: DataFrame, inner: RollupSpec,
 
 
 def rollup_many(df: DataFrame, specs: Sequence[RollupSpec]) -> DataFrame:
-    """Several specs over the same child rows and key in ONE scan and ONE
-    aggregation (same result as joining the separate roll-ups on the key)."""
+    """Several specs over the same child rows and key in ONE wide aggregation, plus one
+    narrow unique count per id column (same result as joining the separate roll-ups)."""
     keys = {s.key for s in specs}
     if len(keys) != 1:
         raise ValueError(f"specs must share one key, got {keys}")
@@ -156,4 +180,5 @@ def rollup_many(df: DataFrame, specs: Sequence[RollupSpec]) -> DataFrame:
             raise ValueError(f"derived column names collide across specs: {sorted(clash)}")
         new_cols.update(cols)
     prepared = df.withColumns(new_cols) if new_cols else df
-    return prepared.groupBy(keys.pop()).agg(*[a for s in specs for a in aggregations(s)])
+    key = keys.pop()
+    return _with_unique(prepared.groupBy(key).agg(*[a for s in specs for a in aggregations(s)]), df, specs, key)

@@ -38,6 +38,12 @@ CC_EVENT_FLAGS = {"SIGNUP": "signup", "ERROR": "error", "CLICK": "click"}
 ORDER_DAY_SENTINEL = 1
 # Value thresholds for the overdue-style flags on events.value.
 DPD_THRESHOLD, DPD_30_THRESHOLD, DPD_DEF_THRESHOLD = 0, 30, 100
+# Decimal places of the summed doubles: money and rates as stored, ratios to where a
+# double still resolves the largest of them.
+ORDER_SCALES = {"o_totalprice": 2, "PREV_PRICE_DAY_RATIO": 9}
+EVENT_SCALES = {"value": 2, "CC_VALUE_HOUR_RATIO": 9, "CC_MINUTE_VALUE_RATIO": 9}
+LINE_SCALES = {"l_quantity": 2, "l_extendedprice": 2, "l_discount": 2, "INST_PAYMENT_RATIO": 12,
+               "INST_TAX_DISCOUNT_RATIO": 12, "INST_PAYMENT_DIFF": 4}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
@@ -85,7 +91,7 @@ def bureau_spec() -> RollupSpec:
     return RollupSpec(
         prefix="BUREAU", key="o_custkey", unique="o_orderkey",
         flags=[Flag(f"BUREAU_{name}", F.col("o_orderstatus") == v) for name, v in ORDER_STATUS.items()],
-        numerics=("o_totalprice", *bb))
+        numerics=("o_totalprice", *bb), scales=ORDER_SCALES)
 
 
 def bureau_family(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +113,7 @@ def previous_spec() -> RollupSpec:
             "PREV_PRICE_DAY_RATIO": safe_divide("o_totalprice", day - F.lit(1)),
         },
         flags=[Flag(f"PREV_{name}", F.col("o_orderpriority") == v) for name, v in PRIORITY_FLAGS.items()],
-        numerics=("o_totalprice", "ORDER_DAY", "ORDER_MONTH", "PREV_PRICE_DAY_RATIO"))
+        numerics=("o_totalprice", "ORDER_DAY", "ORDER_MONTH", "PREV_PRICE_DAY_RATIO"), scales=ORDER_SCALES)
 
 
 def previous_family(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +137,7 @@ def pos_spec() -> RollupSpec:
         derived={"EVENT_HOUR": F.hour("ts"), "EVENT_MONTH": F.month("ts")},
         flags=[Flag(f"POS_{name}", F.col("event_type") == v) for name, v in POS_EVENT_FLAGS.items()]
         + _dpd_flags("POS"),
-        numerics=("value", "EVENT_HOUR", "EVENT_MONTH"))
+        numerics=("value", "EVENT_HOUR", "EVENT_MONTH"), scales=EVENT_SCALES)
 
 
 def credit_card_spec() -> RollupSpec:
@@ -144,7 +150,7 @@ def credit_card_spec() -> RollupSpec:
         },
         flags=[Flag(f"CC_{name}", F.col("event_type") == v) for name, v in CC_EVENT_FLAGS.items()]
         + _dpd_flags("CC"),
-        numerics=("value", "EVENT_MINUTE", "CC_VALUE_HOUR_RATIO", "CC_MINUTE_VALUE_RATIO"))
+        numerics=("value", "EVENT_MINUTE", "CC_VALUE_HOUR_RATIO", "CC_MINUTE_VALUE_RATIO"), scales=EVENT_SCALES)
 
 
 def _events(spark, sf_dir):
@@ -179,7 +185,7 @@ def installments_spec() -> RollupSpec:
                Flag("INST_LATE_30", lag >= 30, rate=True),
                Flag("INST_UNDERPAY", paid < price, rate=True)],
         numerics=("l_quantity", "l_extendedprice", "l_discount", "SHIP_LAG_DAYS", "INST_PAYMENT_RATIO",
-                  "INST_TAX_DISCOUNT_RATIO", "INST_PAYMENT_DIFF", "INST_DPD", "INST_DBD"))
+                  "INST_TAX_DISCOUNT_RATIO", "INST_PAYMENT_DIFF", "INST_DPD", "INST_DBD"), scales=LINE_SCALES)
 
 
 def installments_family(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from riskframe.operators.rollup import rollup, unique_count
+from riskframe.operators.rollup import rollup, unique_counts
 from riskframe.plans import loan
 
 
@@ -96,9 +96,9 @@ def test_installments_fixture(spark):
 
 def test_unique_count_counts_null_once(spark):
     df = spark.createDataFrame([(1, 5), (1, None), (1, 5)], "k long, v long")
-    assert df.groupBy("k").agg(unique_count("v").alias("n")).first().n == 2
+    assert unique_counts(df, "k", "v", ["n"]).first().n == 2
     df2 = spark.createDataFrame([(1, 5), (1, 6)], "k long, v long")
-    assert df2.groupBy("k").agg(unique_count(F.col("v")).alias("n")).first().n == 2
+    assert unique_counts(df2, "k", "v", ["n"]).first().n == 2
 
 
 def test_rollup_many_equals_separate_rollups(spark):
