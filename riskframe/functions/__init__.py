@@ -10,9 +10,7 @@ from riskframe.functions.exprs import (  # noqa: F401
     row_mean,
     row_min,
     safe_divide,
-    safe_name_base,
     safe_name_column,
-    safe_names,
     sentinel_to_null,
     sigmoid,
     years_from_days,

@@ -12,8 +12,7 @@ reference pipeline (see the module tests):
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -94,35 +93,8 @@ def hard_decision(score: ColumnLike, threshold: float | Column = 0.5) -> Column:
 
 # ---------------------------------------------------------------- names
 
-_UNSAFE = re.compile(r"[^A-Za-z0-9_]+")
-
-
-def safe_name_base(name: str) -> str:
-    base = _UNSAFE.sub("_", str(name)).strip("_")
-    return base or "feature"
-
-
-def safe_names(names: Iterable[str]) -> list[str]:
-    """Model-safe column names: unsafe runs -> '_', trimmed, empty -> 'feature',
-    repeats get ``_1``, ``_2`` ... (skipping names already taken).
-
-    Column names are schema metadata (a few hundred strings), so this runs on
-    the driver; ``safe_name_column`` is the same rule for a column of names.
-    """
-    used: set[str] = set()
-    out = []
-    for name in names:
-        base = safe_name_base(name)
-        candidate, k = base, 1
-        while candidate in used:
-            candidate, k = f"{base}_{k}", k + 1
-        used.add(candidate)
-        out.append(candidate)
-    return out
-
-
 def safe_name_column(name: ColumnLike) -> Column:
-    """Base safe name of a string column (no de-duplication)."""
+    """A name with unsafe runs turned to '_', trimmed of them; 'feature' if nothing is left."""
     cleaned = F.regexp_replace(F.regexp_replace(col(name), r"[^A-Za-z0-9_]+", "_"), r"^_+|_+$", "")
     return F.when(cleaned == "", F.lit("feature")).otherwise(cleaned)
 

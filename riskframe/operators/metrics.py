@@ -10,12 +10,15 @@ window ordered over the whole table is one task. Instead:
 
 1. aggregate to one row per distinct (group, score) with positive and
    negative counts (ties collapse; partial aggregation absorbs hot scores);
-2. cut each group's distinct scores into ``buckets`` score ranges with
+2. cut each group's distinct scores into ``RANGES`` score ranges with
    ``percentile_approx`` (approximate cut points are fine: any monotone
-   bucketing gives the same exact result);
-3. per (group, bucket) totals -> prefix sums over at most ``buckets`` rows
-   per group -> broadcast back;
-4. a window *within* each bucket adds the running count inside the bucket.
+   bucketing gives the same exact result) and each range evenly into
+   ``RANGES`` sub-ranges;
+3. totals per sub-range, prefix sums over the sub-ranges of a range and over
+   the ranges of a group (at most ``RANGES`` rows each);
+4. a window *within* each sub-range adds the running count inside it.
+
+A null group is a group of its own everywhere.
 
 The threshold sweep assigns every distinct score to the number of grid
 thresholds it passes, counts per slot and suffix-sums over the grid (no row x
@@ -30,9 +33,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.operators.sizing import broadcast_if_small
+from riskframe.operators.joins import null_safe_join
+from riskframe.session import cut_lineage
 
-DEFAULT_BUCKETS = 256
+RANGES = 256
 
 
 def tuning_grid() -> list[float]:
@@ -60,29 +64,40 @@ def per_score(scores: DataFrame, group_cols: Sequence[str] = (), label: str = "l
 
 
 def cumulative(scores: DataFrame, group_cols: Sequence[str] = (), label: str = "label", score: str = "score",
-               buckets: int = DEFAULT_BUCKETS, accuracy: int = 10_000) -> DataFrame:
+               buckets: int = RANGES, accuracy: int = 10_000) -> DataFrame:
     """Per distinct (group, score): pos, neg, cum_tp, cum_fp (counts at scores >= this one)."""
     g = list(group_cols)
     ps = per_score(scores, g, label, score)
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = ps.groupBy(*g).agg(F.percentile_approx(score, probs, accuracy).alias("__cuts"))
+    cuts = ps.groupBy(*g).agg(F.percentile_approx(score, probs, accuracy).alias("__cuts"),
+                              F.min(score).alias("__min"), F.max(score).alias("__max"))
     s = F.col(score)
-    cuts = broadcast_if_small(cuts)  # one row per group
-    bucketed = ps.join(cuts, g, "left") if g else ps.crossJoin(cuts)
-    bucketed = bucketed.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < s))).drop("__cuts")
-    totals = bucketed.groupBy(*g, "__b").agg(F.sum("pos").alias("__bp"), F.sum("neg").alias("__bn"))
-    above = Window.partitionBy(*g).orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*g, "__b", F.coalesce(F.sum("__bp").over(above), F.lit(0)).alias("__op"),
-                            F.coalesce(F.sum("__bn").over(above), F.lit(0)).alias("__on"))
-    inside = Window.partitionBy(*g, "__b").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    return (bucketed.join(broadcast_if_small(offsets), g + ["__b"])  # at most groups x buckets rows
-            .select(*g, score, "pos", "neg",
-                    (F.col("__op") + F.sum("pos").over(inside)).alias("cum_tp"),
-                    (F.col("__on") + F.sum("neg").over(inside)).alias("cum_fp")))
+    placed = null_safe_join(ps, cuts, g).withColumn("__b", F.size(F.filter("__cuts", lambda c: c < s)))
+    # The range's ends: the cut below (or the smallest score) and the cut above (or the largest).
+    lo = F.when(F.col("__b") == 0, F.col("__min")).otherwise(F.get("__cuts", F.col("__b") - 1))
+    hi = F.when(F.col("__b") >= F.size("__cuts"), F.col("__max")).otherwise(F.get("__cuts", F.col("__b")))
+    part = F.floor((s - lo) / (hi - lo) * F.lit(buckets))
+    placed = placed.withColumn("__s", F.when(hi > lo, F.greatest(F.lit(0), F.least(F.lit(buckets - 1), part))).otherwise(0).cast("int"))
+    placed = placed.drop("__cuts", "__min", "__max")
+    totals = placed.groupBy(*g, "__b", "__s").agg(F.sum("pos").alias("__p"), F.sum("neg").alias("__n"))
+    later_sub = Window.partitionBy(*g, "__b").orderBy(F.desc("__s")).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*g).orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = totals.groupBy(*g, "__b").agg(F.sum("__p").alias("__rp"), F.sum("__n").alias("__rn"))
+    ranges = ranges.select(*g, "__b", _running("__rp", later).alias("__rp"), _running("__rn", later).alias("__rn"))
+    offsets = totals.select(*g, "__b", "__s", _running("__p", later_sub).alias("__op"), _running("__n", later_sub).alias("__on"))
+    offsets = null_safe_join(offsets, ranges, [*g, "__b"])
+    inside = Window.partitionBy(*g, "__b", "__s").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
+    counted = placed.select(*g, score, "pos", "neg", "__b", "__s", F.sum("pos").over(inside).alias("__ip"), F.sum("neg").over(inside).alias("__in"))
+    return null_safe_join(counted, offsets, [*g, "__b", "__s"]).select(
+        *g, score, "pos", "neg", (F.col("__rp") + F.col("__op") + F.col("__ip")).alias("cum_tp"), (F.col("__rn") + F.col("__on") + F.col("__in")).alias("cum_fp"))
+
+
+def _running(column: str, window) -> Column:
+    return F.coalesce(F.sum(column).over(window), F.lit(0))
 
 
 def ranking_metrics(scores: DataFrame, group_cols: Sequence[str] = (), label: str = "label",
-                    score: str = "score", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    score: str = "score", buckets: int = RANGES) -> DataFrame:
     """Per group: roc_auc (ties count one half) and average_precision (step-wise,
     sum over distinct scores of recall increase times precision)."""
     g = list(group_cols)
@@ -107,14 +122,12 @@ def average_precision(scores: DataFrame, group_cols: Sequence[str] = (), **kw) -
 
 
 def pr_curve(scores: DataFrame, group_cols: Sequence[str] = (), label: str = "label", score: str = "score",
-             buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+             buckets: int = RANGES) -> DataFrame:
     """precision, recall per distinct score (the threshold); the final (1, 0) point
     is not included."""
     g = list(group_cols)
     cum = cumulative(scores, g, label, score, buckets)
-    tot = cum.groupBy(*g).agg(F.sum("pos").alias("__P"))
-    tot = broadcast_if_small(tot)  # one row per group
-    src = cum.join(tot, g) if g else cum.crossJoin(tot)
+    src = null_safe_join(cum, cum.groupBy(*g).agg(F.sum("pos").alias("__P")), g)
     return src.select(
         *g, (F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))).alias("precision"),
         F.when(F.col("__P") > 0, F.col("cum_tp") / F.col("__P")).alias("recall"),
@@ -133,9 +146,10 @@ def _confusion_metrics(tp: Column, fp: Column, P: Column, N: Column) -> list[Col
 
 def threshold_table(scores: DataFrame, thresholds: Sequence[float] | None = None,
                     group_cols: Sequence[str] = (), label: str = "label", score: str = "score",
-                    with_ranking: bool = True, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    ranking: DataFrame | None = None, buckets: int = RANGES) -> DataFrame:
     """One row per (group, threshold): tp, fp, fn, tn, accuracy, precision, recall,
-    f1 (prediction = score >= threshold), plus roc_auc and average_precision."""
+    f1 (prediction = score >= threshold), plus roc_auc and average_precision
+    (from ``ranking`` if it was computed before)."""
     g = list(group_cols)
     thr = sorted(float(t) for t in (thresholds if thresholds is not None else report_grid()))
     grid = F.array(*[F.lit(t) for t in thr])
@@ -147,30 +161,27 @@ def threshold_table(scores: DataFrame, thresholds: Sequence[float] | None = None
     entries = F.array(*[F.struct(F.lit(j + 1).alias("__slot"), F.lit(t).alias("threshold"))
                         for j, t in enumerate(thr)])
     full = totals.select(*g, "P", "N", F.explode(entries).alias("e")).select(*g, "P", "N", "e.*")
-    joined = full.join(slots, g + ["__slot"], "left").fillna(0, subset=["__p", "__n"])
+    joined = null_safe_join(full, slots, g + ["__slot"], "left").fillna(0, subset=["__p", "__n"])
     suffix = Window.partitionBy(*g).orderBy(F.desc("__slot")).rowsBetween(Window.unboundedPreceding, 0)
     counted = joined.select(*g, "threshold", "P", "N", F.sum("__p").over(suffix).alias("tp"),
                             F.sum("__n").over(suffix).alias("fp"))
     out = counted.select(*g, "threshold", "tp", "fp", (F.col("P") - F.col("tp")).alias("fn"),
                          (F.col("N") - F.col("fp")).alias("tn"),
                          *_confusion_metrics(F.col("tp"), F.col("fp"), F.col("P"), F.col("N")))
-    if with_ranking:
-        rank = ranking_metrics(scores, g, label, score, buckets)
-        rank = broadcast_if_small(rank)  # one row per group
-        out = out.join(rank, g) if g else out.crossJoin(rank)
-    return out
+    rank = ranking_metrics(scores, g, label, score, buckets) if ranking is None else ranking
+    return null_safe_join(out, rank, g)
 
 
 def binary_metrics(scores: DataFrame, threshold: float = 0.5, group_cols: Sequence[str] = (),
-                   label: str = "label", score: str = "score", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   label: str = "label", score: str = "score", buckets: int = RANGES, ranking: DataFrame | None = None) -> DataFrame:
     """accuracy, precision, recall, f1 at ``threshold`` plus roc_auc, average_precision."""
     g = list(group_cols)
     y, pred = F.col(label).cast("long"), (F.col(score) >= F.lit(float(threshold))).cast("long")
     c = scores.groupBy(*g).agg(F.sum(y * pred).alias("tp"), F.sum((1 - y) * pred).alias("fp"),
                                F.sum(y).alias("P"), F.count(F.lit(1)).alias("n"))
     base = c.select(*g, *_confusion_metrics(F.col("tp"), F.col("fp"), F.col("P"), F.col("n") - F.col("P")))
-    rank = ranking_metrics(scores, g, label, score, buckets)
-    return base.join(rank, g) if g else base.crossJoin(rank)  # one row each
+    rank = ranking_metrics(scores, g, label, score, buckets) if ranking is None else ranking
+    return null_safe_join(base, rank, g)
 
 
 def best_threshold(table: DataFrame, group_cols: Sequence[str] = (), metric: str = "f1") -> DataFrame:
@@ -182,10 +193,10 @@ def best_threshold(table: DataFrame, group_cols: Sequence[str] = (), metric: str
 
 
 def best_f1_metrics(scores: DataFrame, group_cols: Sequence[str] = (), label: str = "label",
-                    score: str = "score") -> DataFrame:
+                    score: str = "score", ranking: DataFrame | None = None) -> DataFrame:
     """Metrics at the best-F1 threshold of the 91-value grid, with ``threshold``
     and ``best_f1_from_sweep``."""
-    table = threshold_table(scores, tuning_grid(), group_cols, label, score)
+    table = threshold_table(scores, tuning_grid(), group_cols, label, score, ranking)
     best = best_threshold(table, group_cols, "f1")
     return best.select(*group_cols, "accuracy", "precision", "recall", "f1", "roc_auc", "average_precision",
                        "threshold", F.col("f1").alias("best_f1_from_sweep"))
@@ -211,10 +222,13 @@ def target_precision_threshold(scores: DataFrame, target_precision: float = 0.30
 # ------------------------------------------------------------------ blending and alignment
 
 def align_scores(primary: DataFrame, secondary: DataFrame, keys: Sequence[str], label: str = "label") -> DataFrame:
-    """Key join of two score tables (never positional): keys, label, score_a, score_b."""
+    """Key join of two score tables (never positional): keys, label, score_a, score_b.
+
+    A key whose two labels differ raises an error when the row is read."""
     a = primary.select(*keys, F.col(label).alias("__la"), F.col("score").alias("score_a"))
     b = secondary.select(*keys, F.col(label).alias("__lb"), F.col("score").alias("score_b"))
-    return a.join(b, list(keys), "inner").select(*keys, F.col("__la").alias(label), "__lb", "score_a", "score_b")
+    same = F.when(F.col("__la").eqNullSafe(F.col("__lb")), F.col("__la")).otherwise(F.raise_error(F.lit("labels of the two score tables differ")).cast("int"))
+    return a.join(b, list(keys), "inner").select(*keys, same.alias(label), "score_a", "score_b")
 
 
 def alignment_check(primary: DataFrame, secondary: DataFrame, keys: Sequence[str], label: str = "label") -> DataFrame:
@@ -247,9 +261,10 @@ def blend_weight_sweep(aligned: DataFrame, weights: Sequence[float] = (0.5, 0.6,
     result; ordered by (roc_auc, tuned_f1) descending."""
     long = blend_sweep_scores(aligned, weights, keys, label)
     g = ["primary_weight"]
-    default = binary_metrics(long, 0.5, g, label).select(*g, "roc_auc", "average_precision",
-                                                        F.col("f1").alias("default_f1"))
-    tuned = best_f1_metrics(long, g, label).select(
+    rank = cut_lineage(ranking_metrics(long, g, label))  # one row per weight, used twice
+    default = binary_metrics(long, 0.5, g, label, ranking=rank).select(*g, "roc_auc", "average_precision",
+                                                                      F.col("f1").alias("default_f1"))
+    tuned = best_f1_metrics(long, g, label, ranking=rank).select(
         *g, F.col("f1").alias("tuned_f1"), F.col("precision").alias("tuned_precision"),
         F.col("recall").alias("tuned_recall"), F.col("threshold").alias("tuned_threshold"))
     return (default.join(tuned, g)
@@ -265,10 +280,11 @@ def leaderboard(long_scores: DataFrame, model_col: str = "model", label: str = "
     """Default (0.5) and tuned (best-F1) metrics per model, stacked, ordered by
     (average_precision, roc_auc, f1) descending within each kind."""
     g = [model_col]
-    default = binary_metrics(long_scores, 0.5, g, label).select(
+    rank = cut_lineage(ranking_metrics(long_scores, g, label))  # one row per model, used twice
+    default = binary_metrics(long_scores, 0.5, g, label, ranking=rank).select(
         F.lit("default").alias("kind"), *g, "accuracy", "precision", "recall", "f1", "roc_auc",
         "average_precision", F.lit(0.5).alias("threshold"))
-    tuned = best_f1_metrics(long_scores, g, label).select(
+    tuned = best_f1_metrics(long_scores, g, label, ranking=rank).select(
         F.lit("tuned").alias("kind"), *g, "accuracy", "precision", "recall", "f1", "roc_auc",
         "average_precision", "threshold")
     return default.unionByName(tuned).orderBy("kind", F.desc("average_precision"), F.desc("roc_auc"),

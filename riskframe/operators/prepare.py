@@ -3,8 +3,8 @@
 ``fit_*`` functions run one or two aggregate passes and return a small spec
 (one entry per column: a median, a mean and scale, a category list); these
 specs are the only things collected to the driver, and their size is bounded
-by the number of columns and, for one-hot, the category count (checked
-against ``max_categories``). ``apply``/``transform`` are single ``select``s.
+by the number of columns of the output (``one_hot_vectors`` keeps categories
+in a model for columns of very many values). ``transform`` is a single ``select``.
 """
 
 from __future__ import annotations
@@ -12,12 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators.profile import categorical_columns, constant_columns, numeric_columns
+from riskframe.operators.joins import null_safe_join
 from riskframe.operators.quantiles import exact_quantiles, quantile_columns
-from riskframe.operators.sizing import broadcast_if_small
 
 # ------------------------------------------------------------------ split and sample
 
@@ -51,7 +52,7 @@ def stratified_split(df: DataFrame, key: str, label: str, test_size: float = 0.2
     h = df.select(label, _hash_number(key, seed).alias("__h"))
     cuts = (exact_quantiles(h, ["__h"], [test_size], group_cols=[label], rank_rule="round")
             .select(label, F.col("quantile").alias("__cut")))
-    return (df.join(broadcast_if_small(cuts), label, "left")  # one row per class
+    return (null_safe_join(df, cuts, [label], "left")
             .withColumn(out, F.when(_hash_number(key, seed) <= F.col("__cut"), "validation").otherwise("train"))
             .drop("__cut"))
 
@@ -129,30 +130,28 @@ def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
     return {c: got.get(c) for c in columns}
 
 
-def fit_categories(df: DataFrame, columns: Sequence[str], max_categories: int = 1000,
-                   null_category: str = "own") -> dict[str, list]:
+def fit_categories(df: DataFrame, columns: Sequence[str], null_category: str = "own") -> dict[str, list]:
     """Sorted category list per column; null is its own (last) category when
-    ``null_category="own"`` and present. Raises if a column exceeds ``max_categories``."""
+    ``null_category="own"`` and present. One entry per output column of the wide
+    encoding; for columns of very many values use ``one_hot_vectors``."""
     if not columns:
         return {}
     long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
         [], list(columns), "column", "value")
-    distinct = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    bound = max_categories * len(columns)
-    rows = distinct.select("column", "value").limit(bound + 1).collect()  # bounded collect
     cats: dict[str, list] = {c: [] for c in columns}
-    has_null: dict[str, bool] = {c: False for c in columns}
-    for r in rows:
-        if r.value is None:
-            has_null[r.column] = True
-        else:
+    for r in long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).select("column", "value").toLocalIterator():
+        if r.value is not None or null_category == "own":
             cats[r.column].append(r.value)
-    too_big = {c: len(v) for c, v in cats.items() if len(v) + has_null[c] > max_categories}
-    if too_big or len(rows) > bound:
-        raise ValueError(f"too many categories for one-hot (limit {max_categories}): {too_big}")
-    for c in columns:
-        cats[c] = sorted(cats[c]) + ([None] if has_null[c] and null_category == "own" else [])
-    return cats
+    return {c: sorted(v, key=lambda x: (x is None, x or "")) for c, v in cats.items()}
+
+
+def one_hot_vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One sparse 0/1 vector column ``<column>_onehot`` per column, for any number of
+    categories (alphabetical positions; null and unseen values share the last position)."""
+    index = StringIndexer(inputCols=list(columns), outputCols=[f"__{c}" for c in columns], handleInvalid="keep", stringOrderType="alphabetAsc")
+    hot = OneHotEncoder(inputCols=[f"__{c}" for c in columns], outputCols=[f"{c}_onehot" for c in columns], dropLast=False)
+    fitted = index.fit(df).transform(df)
+    return hot.fit(fitted).transform(fitted).drop(*[f"__{c}" for c in columns])
 
 
 def one_hot_columns(column: str, categories: Sequence) -> list[Column]:

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
+from riskframe.operators.joins import null_safe_join
 from riskframe.operators.quantiles import quantile_columns
-from riskframe.operators.sizing import broadcast_if_small
 
 
 def sql_str(text: str) -> str:
@@ -163,7 +163,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def with_balanced_weight(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
     """Attach the balanced class weight to every row (for ``weightCol``)."""
     w = class_weights(df, label).select(label, F.col("balanced_weight").alias(weight_col))
-    return df.join(broadcast_if_small(w), label, "left")  # one row per class
+    return null_safe_join(df, w, [label], "left")
 
 
 # ------------------------------------------------------------------ per-id distribution
@@ -246,7 +246,7 @@ def box_stats(df: DataFrame, column: str, by: str) -> DataFrame:
     fences = q.withColumn("iqr", F.col("q3") - F.col("q1")).withColumns({
         "lo_fence": F.col("q1") - 1.5 * F.col("iqr"), "hi_fence": F.col("q3") + 1.5 * F.col("iqr")})
     x = F.col(column).cast("double")
-    rows = df.where(x.isNotNull()).select(by, x.alias("x")).join(broadcast_if_small(fences), by)  # row per group
+    rows = null_safe_join(df.where(x.isNotNull()).select(by, x.alias("x")), fences, [by])
     inside = (F.col("x") >= F.col("lo_fence")) & (F.col("x") <= F.col("hi_fence"))
     return rows.groupBy(by, "q1", "median", "q3", "iqr").agg(
         F.min(F.when(inside, F.col("x"))).alias("whisker_low"),

@@ -2,141 +2,125 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, which for a whole column means one task holding the whole
-column. Here the exact answer comes from two passes that never do that:
-
-1. per (group, column): the non-null count ``n`` and, from
-   ``percentile_approx`` with accuracy ``A``, a bracket ``[lo, hi]`` around
-   each wanted rank (rank error of the sketch is at most ``n / A``);
-2. per (group, column, p): the number of values below ``lo``, and the values
-   inside the bracket counted per distinct value (about ``4n/A`` rows at
-   most); a running count over that small band gives the values at ranks
-   ``floor(p(n-1))`` and ``ceil(p(n-1))``.
-
-The per-(group, column) statistics table has one row per group and column
-(metadata-sized), so it is broadcast to the row-level side.
+column. Here the exact answer comes from three passes that never do that, the
+same for every input size:
+
+1. per group, one wide aggregate: the non-null count ``n`` of each column and,
+   from ``percentile_approx`` with accuracy ``A``, a bracket ``[lo, hi]`` around
+   each wanted rank (rank error of the sketch is at most ``n / A``, the bracket
+   spans ``2 n / A`` each side);
+2. per group, one wide conditional aggregate: the number of values below ``lo``,
+   and the next value outside each end, which widens the bracket by a rank;
+3. only the values inside a bracket leave their row: counted per distinct value
+   (about ``4n/A`` of them at most), cut into sub-ranges with prefix sums, they
+   give the values at ranks ``floor(p(n-1))`` and ``ceil(p(n-1))``.
+
+A rank that falls outside its bracket, which the sketch's error bound rules out,
+raises an error instead of giving a wrong value.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.operators.sizing import broadcast_if_small
+from riskframe.operators.joins import null_safe_join
 
 DEFAULT_ACCURACY = 10_000
-# Values the exact ``percentile`` buffers may hold in one task on the
-# small-input path (groups x columns x largest count; ~60 bytes each, so about
-# 180 MB at the limit). Above it the bracket-and-band path is used.
-SMALL_VALUES_BUDGET = 3_000_000
-
-
-def long_values(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
-    """(group..., column, value) for non-null values, all cast to double."""
-    if len(columns) == 1:
-        c = columns[0]
-        out = df.select(*group_cols, F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-    else:
-        out = df.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-            list(group_cols), list(columns), "column", "value")
-    return out.where(F.col("value").isNotNull())
+SUB_RANGES = 256
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     group_cols: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY,
-                    rank_rule: str = "interpolate", small_budget: int = SMALL_VALUES_BUDGET) -> DataFrame:
+                    rank_rule: str = "interpolate") -> DataFrame:
     """Long result: group..., column, p, n, quantile (null when no values).
 
     ``rank_rule="interpolate"``: linear interpolation at position p(n-1).
     ``rank_rule="round"``: the value at 0-based rank round(p*n) - 1, i.e. the
     largest of the first round(p*n) values (null when that count is 0).
-
-    A count pass first: when groups x columns x the largest count fits
-    ``SMALL_VALUES_BUDGET``, Spark's exact ``percentile`` runs as one wide
-    aggregate (its buffers are then provably bounded); otherwise the
-    bracket-and-band path below.
     """
-    g = list(group_cols)
-    if rank_rule == "interpolate":
-        small = _small_path(df, columns, probs, g, small_budget)
-        if small is not None:
-            return small
-    keys = g + ["column"]
-    vals = long_values(df, columns, g)
+    g, cols, ps = list(group_cols), list(columns), [float(p) for p in probs]
+    values = df.select(*g, *[F.col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)])
+    brackets = _brackets(values, g, len(cols), ps, accuracy)
+    edges = _edges(values, brackets, g, len(cols), ps)
+    # One row per group, column and p: its rank, bracket and the count below the bracket.
+    cells = edges.select(*g, F.explode(F.array(*[
+        F.struct(F.lit(cols[i]).alias("column"), F.lit(p).alias("p"), F.col(f"__n{i}").alias("n"), F.col(f"__below{i}_{j}").alias("below"),
+                 F.least(f"__lo{i}_{j}", f"__under{i}_{j}").alias("first"), F.greatest(f"__hi{i}_{j}", f"__over{i}_{j}").alias("last"), F.col(f"__lo{i}_{j}").alias("lo"))
+        for i in range(len(cols)) for j, p in enumerate(ps)])).alias("c")).select(*g, "c.*")
+    pos = F.col("p") * (F.col("n") - 1) if rank_rule == "interpolate" else F.round(F.col("p") * F.col("n")) - 1
+    cells = cells.withColumn("pos", pos).withColumn("r_lo", F.floor("pos")).withColumn("r_hi", F.ceil("pos"))
+
+    band = _band(values, edges, g, cols, ps)
+    found = _at_ranks(band, cells, [*g, "column", "p"])
+    out = null_safe_join(cells, found, [*g, "column", "p"], "left")
+    missed = (F.col("n") > 0) & (F.col("pos") >= 0) & (F.col("v_lo").isNull() | F.col("v_hi").isNull())
+    quantile = F.col("v_lo") + (F.col("pos") - F.col("r_lo")) * (F.col("v_hi") - F.col("v_lo"))
+    return out.select(*g, "column", "p", "n", F.when(missed, F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")).otherwise(quantile).alias("quantile"))
+
+
+def _brackets(values: DataFrame, g: Sequence[str], n_cols: int, ps: Sequence[float], accuracy: int) -> DataFrame:
     eps = 2.0 / accuracy
-    bracket = []
-    for p in probs:
-        bracket += [max(0.0, p - eps), min(1.0, p + eps)]
-    stats = vals.groupBy(*keys).agg(
-        F.count("value").alias("n"),
-        F.percentile_approx("value", bracket, accuracy).alias("bracket"))
-    p_rows = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.lit(i).alias("i")) for i, p in enumerate(probs)])
-    stats = (stats.select(*keys, "n", F.explode(p_rows).alias("pp"), "bracket")
-             .select(*keys, "n", F.col("pp.p").alias("p"),
-                     F.col("bracket")[F.col("pp.i") * 2].alias("lo"),
-                     F.col("bracket")[F.col("pp.i") * 2 + 1].alias("hi"))
-             # Small groups (n < 4A) use the whole group as the band; above that the
-             # sketch's rank error n/A leaves at least 3 ranks of slack each side.
-             .withColumn("lo", F.when(F.col("n") >= 4 * accuracy, F.col("lo")))
-             .withColumn("hi", F.when(F.col("n") >= 4 * accuracy, F.col("hi")))
-             .withColumn("pos", F.col("p") * (F.col("n") - 1) if rank_rule == "interpolate"
-                         else F.round(F.col("p") * F.col("n")) - 1)
-             .withColumn("r_lo", F.floor("pos"))
-             .withColumn("r_hi", F.ceil("pos")))
-    # one row per (group, column, p): checked before it is broadcast
-    joined = vals.join(broadcast_if_small(stats.select(*keys, "p", "lo", "hi")), keys)
-    under = F.col("lo").isNotNull() & (F.col("value") < F.col("lo"))
-    inside = ((F.col("lo").isNull() | (F.col("value") >= F.col("lo")))
-              & (F.col("hi").isNull() | (F.col("value") <= F.col("hi"))))
-    # One pass: rows below the bracket collapse into a null-valued counter row per
-    # (keys, p); rows inside it are counted per distinct value; the rest is dropped.
-    tagged = (joined.where(under | inside)
-              .select(*keys, "p", F.when(inside, F.col("value")).alias("value"))
-              .groupBy(*keys, "p", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    below = tagged.where(F.col("value").isNull()).select(*keys, "p", F.col("cnt").alias("below"))
-    band = tagged.where(F.col("value").isNotNull())
-    w = Window.partitionBy(*keys, "p").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    band = (band.join(below, keys + ["p"], "left")
-            .withColumn("cum_le", F.coalesce(F.col("below"), F.lit(0)) + F.sum("cnt").over(w)))
-    band = band.join(stats.select(*keys, "p", "r_lo", "r_hi", "pos"), keys + ["p"])
-    picked = band.groupBy(*keys, "p").agg(
-        F.min(F.when(F.col("cum_le") > F.col("r_lo"), F.col("value"))).alias("v_lo"),
-        F.min(F.when(F.col("cum_le") > F.col("r_hi"), F.col("value"))).alias("v_hi"),
-        F.first("pos").alias("pos"), F.first("r_lo").alias("r_lo"))
-    result = picked.select(
-        *keys, "p",
-        (F.col("v_lo") + (F.col("pos") - F.col("r_lo")) * (F.col("v_hi") - F.col("v_lo"))).alias("quantile"))
-    counts = stats.select(*keys, "p", "n")
-    return counts.join(result, keys + ["p"], "left")
-
-
-def _small_path(df: DataFrame, columns: Sequence[str], probs: Sequence[float], g: list,
-                budget: int) -> DataFrame | None:
-    from riskframe.operators.profile import sql_str, stack_rows
-
-    counts = df.groupBy(*g).agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)])
-    size = counts.agg(F.count(F.lit(1)).alias("groups"),
-                      F.greatest(*[F.max(f"n{i}") for i in range(len(columns))], F.lit(0)).alias("biggest")).first()
-    if size.groups * len(columns) * (size.biggest or 0) > budget:
-        return None
-    ps = [float(p) for p in probs]
+    wanted = [q for p in ps for q in (max(0.0, p - eps), min(1.0, p + eps))]
+    aggs = []
+    for i in range(n_cols):
+        aggs += [F.count(f"__v{i}").alias(f"__n{i}"), F.percentile_approx(f"__v{i}", wanted, accuracy).alias(f"__q{i}")]
+    stats = values.groupBy(*g).agg(*aggs)
+    return stats.select(*g, *[f"__n{i}" for i in range(n_cols)], *[
+        F.col(f"__q{i}")[2 * j + side].alias(f"__{name}{i}_{j}")
+        for i in range(n_cols) for j in range(len(ps)) for side, name in enumerate(("lo", "hi"))])
+
+
+def _edges(values: DataFrame, brackets: DataFrame, g: Sequence[str], n_cols: int, ps: Sequence[float]) -> DataFrame:
+    """Brackets with the count below them and the next values outside."""
+    both = null_safe_join(values, brackets, g)
     aggs = []
-    for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.percentile(x, ps).alias(f"q{i}")]
-    rows = [[*[f"`{x}`" for x in g], sql_str(c), repr(p) + "D", f"n{i}", f"q{i}[{j}]"]
-            for i, c in enumerate(columns) for j, p in enumerate(ps)]
-    return stack_rows(df.groupBy(*g).agg(*aggs), rows, [*g, "column", "p", "n", "quantile"])
+    for i in range(n_cols):
+        v = F.col(f"__v{i}")
+        for j in range(len(ps)):
+            lo, hi = F.col(f"__lo{i}_{j}"), F.col(f"__hi{i}_{j}")
+            aggs += [F.count_if(v < lo).alias(f"__below{i}_{j}"), F.max(F.when(v < lo, v)).alias(f"__under{i}_{j}"), F.min(F.when(v > hi, v)).alias(f"__over{i}_{j}")]
+    return null_safe_join(brackets, both.groupBy(*g).agg(*aggs), g)
+
+
+def _band(values: DataFrame, edges: DataFrame, g: Sequence[str], cols: Sequence[str], ps: Sequence[float]) -> DataFrame:
+    """(group..., column, p, value, cnt) of the values inside each widened bracket."""
+    both = null_safe_join(values, edges, g)
+    hits = []
+    for i, c in enumerate(cols):
+        v = F.col(f"__v{i}")
+        for j, p in enumerate(ps):
+            inside = v.between(F.least(f"__lo{i}_{j}", f"__under{i}_{j}"), F.greatest(f"__hi{i}_{j}", f"__over{i}_{j}"))
+            hits.append(F.when(inside, F.struct(F.lit(c).alias("column"), F.lit(p).alias("p"), v.alias("value"))))
+    rows = both.select(*g, F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("h"))
+    return rows.select(*g, "h.*").groupBy(*g, "column", "p", "value").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def _at_ranks(band: DataFrame, cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Values at ranks r_lo and r_hi: running counts within sub-ranges of each bracket."""
+    band = null_safe_join(band, cells.select(*keys, "first", "last", "lo", "below", "r_lo", "r_hi"), keys)
+    span = F.col("last") - F.col("first")
+    sub = F.when(span > 0, F.least(F.lit(SUB_RANGES - 1), F.floor((F.col("value") - F.col("first")) / span * SUB_RANGES))).otherwise(0)
+    band = band.withColumn("sub", sub.cast("int"))
+    totals = band.groupBy(*keys, "sub").agg(F.sum("cnt").alias("t"), F.sum(F.when(F.col("value") < F.col("lo"), F.col("cnt")).otherwise(0)).alias("early"))
+    upto = Window.partitionBy(*keys).orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)
+    # Values of the band before lo are also counted in ``below``.
+    starts = totals.select(*keys, "sub", (F.coalesce(F.sum("t").over(upto), F.lit(0)) - F.sum("early").over(Window.partitionBy(*keys))).alias("before"))
+    inside = Window.partitionBy(*keys, "sub").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    band = null_safe_join(band.withColumn("run", F.sum("cnt").over(inside)), starts, [*keys, "sub"])
+    upto_value: Column = F.col("below") + F.col("before") + F.col("run")
+    return band.withColumn("cum", upto_value).groupBy(*keys).agg(
+        F.min(F.when((F.col("cum") > F.col("r_lo")) & (F.col("cum") - F.col("cnt") <= F.col("r_lo")), F.col("value"))).alias("v_lo"),
+        F.min(F.when((F.col("cum") > F.col("r_hi")) & (F.col("cum") - F.col("cnt") <= F.col("r_hi")), F.col("value"))).alias("v_hi"))
 
 
 def quantile_columns(df: DataFrame, columns: Sequence[str], probs: dict[str, float],
-                     group_cols: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY,
-                     small_budget: int = SMALL_VALUES_BUDGET) -> DataFrame:
+                     group_cols: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Wide form: group..., column, one output column per named probability."""
     names = list(probs)
-    long = exact_quantiles(df, columns, [probs[n] for n in names], group_cols, accuracy,
-                           small_budget=small_budget)
+    long = exact_quantiles(df, columns, [probs[n] for n in names], group_cols, accuracy)
     g = list(group_cols) + ["column"]
     return long.groupBy(*g).agg(*[
         F.max(F.when(F.col("p") == F.lit(float(probs[n])), F.col("quantile"))).alias(n) for n in names])

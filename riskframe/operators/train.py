@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import metrics as met
 from riskframe.operators.profile import class_weights
-from riskframe.operators.sizing import broadcast_if_small
 
 FEATURES = "features"
 WEIGHT = "weight"
@@ -57,8 +56,8 @@ def with_weights(df: DataFrame, label: str, scheme: str) -> DataFrame:
         col = F.when(F.col(label) == 1, F.col("scale_pos_weight")).otherwise(F.lit(1.0))
     else:
         return df.withColumn(WEIGHT, F.lit(1.0))
-    return df.join(broadcast_if_small(w.select(label, "balanced_weight", "scale_pos_weight")), label).withColumn(
-        WEIGHT, col.cast("double")).drop("balanced_weight", "scale_pos_weight")  # one row per class
+    return df.join(w.select(label, "balanced_weight", "scale_pos_weight"), label).withColumn(
+        WEIGHT, col.cast("double")).drop("balanced_weight", "scale_pos_weight")
 
 
 def oversample_positives(df: DataFrame, label: str) -> DataFrame:
@@ -66,7 +65,7 @@ def oversample_positives(df: DataFrame, label: str) -> DataFrame:
     w = class_weights(df, label).select(label, "scale_pos_weight").where(F.col(label) == 1)
     k = F.greatest(F.lit(1), F.round(F.coalesce(F.col("scale_pos_weight"), F.lit(1.0))).cast("int"))
     reps = F.when(F.col(label) == 1, k).otherwise(F.lit(1))
-    return (df.join(broadcast_if_small(w), label, "left")  # one row
+    return (df.join(w, label, "left")
             .withColumn("__rep", F.explode(F.array_repeat(F.lit(1), reps))).drop("__rep", "scale_pos_weight"))
 
 

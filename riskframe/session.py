@@ -43,8 +43,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set a local one only when unset.
 
-    On a cluster the setting names a shared folder every executor can reach; the
-    fallback below is for local runs and tests only.
+    On a cluster the setting must name a shared folder every executor can reach;
+    without it this raises. The fallback is for local masters (tests, laptops).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="riskframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -61,13 +61,16 @@ def test_tree_shap_matches_brute_force_and_adds_up(spark, tmp_path):
     base = attr.base_value(trees)
     for r in rows:
         x = r.features.toArray()
-        phi = attr.ensemble_contributions(trees, x, 3)
+        phi = attr.ensemble_contributions(trees, x[None])[0]
         brute = 2.0 * sum(t.weight * _brute_shap(t, x, 3) for t in trees)
         assert np.allclose(phi, brute, atol=1e-9)
         margin = sum(t.weight * _leaf_value(t, x) for t in trees)
         assert math.isclose(base + phi.sum(), 2.0 * margin, abs_tol=1e-9)
     long = attr.attribute(model, vec.limit(20), "k", ["a", "b", "c"], str(tmp_path / "gbt2"))
-    assert long.count() == 60
+    assert long.count() == 60 and long.rdd.getNumPartitions() > 1
+    whole = attr.ensemble_contributions(trees, np.stack([r.features.toArray() for r in vec.orderBy("k").limit(20).collect()]))
+    got = {(r.k, r.feature): r.contribution for r in long.collect()}
+    assert all(math.isclose(got[k, f], whole[k, j], abs_tol=1e-9) for k in range(20) for j, f in enumerate("abc"))
 
 
 def _leaf_value(tree, x):

@@ -17,11 +17,9 @@ def test_exact_quantiles_small_and_bracketed(spark):
     vals = [rnd.choice([rnd.random(), 0.5, 0.25]) for _ in range(3000)]
     df = spark.createDataFrame([(v, v * 2 if i % 7 else None) for i, v in enumerate(vals)], "a double, b double")
     probs = [0.0, 0.05, 0.25, 0.5, 0.95, 1.0]
-    # budget 0 forces the bracket path: accuracy 10 -> narrow band, 10000 -> whole-group band;
-    # the default budget takes the exact-aggregate path.
-    for acc, budget in ((10, 0), (10_000, 0), (10_000, 10_000_000)):
+    for acc in (10, 100, 10_000):  # narrow and whole-range brackets take the same path
         got = {(r.column, r.p): r.quantile
-               for r in exact_quantiles(df, ["a", "b"], probs, accuracy=acc, small_budget=budget).collect()}
+               for r in exact_quantiles(df, ["a", "b"], probs, accuracy=acc).collect()}
         for c, data in (("a", vals), ("b", [v * 2 for i, v in enumerate(vals) if i % 7])):
             for p in probs:
                 assert math.isclose(got[(c, p)], float(np.quantile(data, p)), rel_tol=1e-12, abs_tol=1e-15)
@@ -30,9 +28,8 @@ def test_exact_quantiles_small_and_bracketed(spark):
 def test_grouped_quantiles_both_paths(spark):
     rows = [(g, float(v)) for g in ("x", "y") for v in range(1 if g == "x" else 5, 40)]
     df = spark.createDataFrame(rows, "g string, v double")
-    for budget in (0, 10_000_000):
-        got = {(r.g, r.p): r.quantile for r in exact_quantiles(df, ["v"], [0.25, 0.5], ["g"],
-                                                                accuracy=5, small_budget=budget).collect()}
+    for acc in (5, 10_000):
+        got = {(r.g, r.p): r.quantile for r in exact_quantiles(df, ["v"], [0.25, 0.5], ["g"], accuracy=acc).collect()}
         for g in ("x", "y"):
             data = [v for gg, v in rows if gg == g]
             for p in (0.25, 0.5):
@@ -91,7 +88,11 @@ def test_preparation_fixture(spark):
 
 
 def test_safe_names_and_families(spark):
-    assert ex.safe_names(["A/B", "A B", "A_B", "***", ""]) == ["A_B", "A_B_1", "A_B_2", "feature", "feature_1"]
+    from riskframe.operators.naming import safe_name_list
+
+    assert safe_name_list(spark, ["A/B", "A B", "A_B", "***", ""]) == ["A_B", "A_B_1", "A_B_2", "feature", "feature_1"]
+    assert safe_name_list(spark, ["A B", "A/B", "A_B_1", "A_B"]) == ["A_B", "A_B_1", "A_B_1_1", "A_B_2"]
+    assert safe_name_list(spark, ["A_B_1", "A B", "A/B"]) == ["A_B_1", "A_B", "A_B_2"]
     df = spark.createDataFrame([("BUREAU_X",), ("PREV_Y",), ("AMT",)], "f string")
     fam = [r.g for r in df.select(ex.prefix_family("f", [("BUREAU_", "bureau_family"), ("PREV_", "prev")],
                                                    "application").alias("g")).collect()]
@@ -140,17 +141,44 @@ def test_constant_variance_guard(spark):
     assert prep.fit_scaling(many, ["v"])["v"] == (1.0, 1.0)
 
 
-def test_broadcast_only_under_limit(spark):
-    from riskframe.operators.sizing import broadcast_if_small
-
-    big = spark.range(100).withColumnRenamed("id", "k")
-    small = spark.range(5).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        hinted = big.join(broadcast_if_small(small, limit=10), "k")
-        plain = big.join(broadcast_if_small(small, limit=3), "k")
-        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
-        assert hinted.count() == plain.count() == 5
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_quantiles_of_every_small_size(spark):
+    probs = [0.0, 0.01, 0.25, 0.5, 0.95, 0.99, 1.0]
+    data = {n: [float((i * 7919) % 101) for i in range(n)] for n in [*range(1, 12), 19, 20, 21, 100, 101]}
+    df = spark.createDataFrame([(n, v) for n, vs in data.items() for v in vs] + [(0, None), (None, 4.0)], "g int, v double").repartition(3)
+    rows = {(r.g, r.p): (r.n, r.quantile) for r in exact_quantiles(df, ["v"], probs, ["g"]).collect()}
+    for n, vs in data.items():
+        for p in probs:
+            assert rows[n, p][0] == n and math.isclose(rows[n, p][1], float(np.quantile(vs, p)), abs_tol=1e-12), (n, p)
+    assert rows[0, 0.5] == (0, None) and rows[None, 0.5] == (1, 4.0)
+
+
+def test_no_frame_stays_cached(spark):
+    from riskframe.operators import metrics as met
+
+    df = spark.createDataFrame([(i % 2, i / 50) for i in range(50)], "label int, score double")
+    met.binary_metrics(df).collect()
+    met.threshold_table(df).collect()
+    exact_quantiles(df, ["score"], [0.5], ["label"]).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_sums_do_not_depend_on_partitioning(spark):
+    from riskframe.operators.rollup import RollupSpec, rollup
+
+    rnd = random.Random(1)
+    rows = [(i % 5, round(rnd.random() * 1e5, 2)) for i in range(4000)]
+    spec = RollupSpec(prefix="T", key="k", numerics=("v",), scales={"v": 2}, unique="v")
+    got = [sorted(map(tuple, rollup(spark.createDataFrame(rows, "k int, v double").repartition(n), spec).collect())) for n in (1, 3, 7)]
+    assert got[0] == got[1] == got[2]
+    from decimal import Decimal
+    for k, n, unique, mean, _hi, _lo, total in got[0]:
+        exact = sum(Decimal(str(v)) for kk, v in rows if kk == k)
+        assert total == float(exact) and mean == float(exact) / n and unique == len({v for kk, v in rows if kk == k})
+
+
+def test_null_group_keeps_its_row(spark):
+    from riskframe.operators import metrics as met
+
+    df = spark.createDataFrame([(g, i % 2, (i * 7 % 10) / 10) for g in ("a", None) for i in range(20)], "model string, label int, score double")
+    for out in (met.binary_metrics(df, group_cols=["model"]), met.best_f1_metrics(df, ["model"]), met.pr_curve(df, ["model"])):
+        assert {r.model for r in out.collect()} == {"a", None}
