@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from riskframe.functions.exprs import (
     clip_lower, row_max, row_mean, row_min, safe_divide, sentinel_to_null,
 )
 from riskframe.operators.rollup import Flag, RollupSpec, rollup, two_level_rollup
 from riskframe.plans.assemble import build_applicant_tables, feature_groups
-from riskframe.sources.catalog import TableRegistry, manifest_frame, write_json, write_parquet
+from riskframe.sources.catalog import TableRegistry, manifest_of, write_json, write_parquet
 
 KEY = "SK_ID_CURR"
 TARGET = "TARGET"
@@ -88,29 +88,14 @@ def _declared(keys: list[str], strings: list[str], numbers: list[str]) -> Struct
     return StructType(fields)
 
 
-_DERIVED = {"PREV_APPLICATION_CREDIT_RATIO", "PREV_DOWN_PAYMENT_RATIO", "CC_DRAWINGS_LIMIT_RATIO",
-            "CC_PAYMENT_BALANCE_RATIO", "INST_PAYMENT_RATIO", "INST_PAYMENT_DIFF", "INST_DPD", "INST_DBD"}
+def _raw(cols: list[str], prefix: str) -> list[str]:
+    """The numerics read from the file; those the roll-up derives carry the family's prefix."""
+    return [c for c in cols if not c.startswith(f"{prefix}_")]
 
 
-def _raw(cols: list[str]) -> list[str]:
-    return [c for c in cols if c not in _DERIVED]
-
-
-# Declared schemas of the child tables: the columns the roll-ups read, in a
-# fixed order. CSV headers are matched by name (``enforceSchema`` off), so the
-# files may hold further columns in any order; those are not read.
-CHILD_SCHEMAS = {
-    "bureau_balance": _declared(["SK_ID_BUREAU"], ["STATUS"], ["MONTHS_BALANCE"]),
-    "bureau": _declared([KEY, "SK_ID_BUREAU"], ["CREDIT_ACTIVE"], BUREAU_NUMERICS),
-    "previous_application": _declared([KEY, "SK_ID_PREV"], ["NAME_CONTRACT_STATUS"], _raw(PREVIOUS_NUMERICS)),
-    "pos_cash_balance": _declared([KEY, "SK_ID_PREV"], ["NAME_CONTRACT_STATUS"], POS_NUMERICS),
-    "credit_card_balance": _declared([KEY, "SK_ID_PREV"], ["NAME_CONTRACT_STATUS"], _raw(CREDIT_CARD_NUMERICS)),
-    "installments_payments": _declared([KEY, "SK_ID_PREV"], [], _raw(INSTALLMENTS_NUMERICS)),
-}
-
-
-def registry(root: str) -> TableRegistry:
-    return TableRegistry(root=root, files=RAW_TABLE_FILES, schemas=CHILD_SCHEMAS)
+def _scales(numerics: list[str]) -> dict[str, int]:
+    """Decimal places of exact sums: 12 for ratios, 6 for amounts, rates and day counts."""
+    return {c: 12 if "RATIO" in c else 6 for c in numerics}
 
 
 # ---------------------------------------------------------------- specs
@@ -146,7 +131,7 @@ def bureau_spec() -> RollupSpec:
     return RollupSpec(
         prefix="BUREAU", key=KEY, unique="SK_ID_BUREAU",
         flags=[Flag(f"BUREAU_{n}", F.col("CREDIT_ACTIVE") == v) for n, v in CREDIT_ACTIVE_VALUES.items()],
-        numerics=(*BUREAU_NUMERICS, *bureau_balance_spec().feature_names()))
+        numerics=(*BUREAU_NUMERICS, *bureau_balance_spec().feature_names()), scales=_scales(BUREAU_NUMERICS))
 
 
 def previous_spec() -> RollupSpec:
@@ -156,7 +141,7 @@ def previous_spec() -> RollupSpec:
     return RollupSpec(
         prefix="PREV", key=KEY, unique="SK_ID_PREV", derived=derived,
         flags=[Flag(f"PREV_{n}", F.col("NAME_CONTRACT_STATUS") == v) for n, v in PREV_STATUS_VALUES.items()],
-        numerics=PREVIOUS_NUMERICS)
+        numerics=PREVIOUS_NUMERICS, scales=_scales(PREVIOUS_NUMERICS))
 
 
 def _contract_flags(prefix: str) -> list[Flag]:
@@ -168,7 +153,7 @@ def _contract_flags(prefix: str) -> list[Flag]:
 
 def pos_spec() -> RollupSpec:
     return RollupSpec(prefix="POS", key=KEY, unique="SK_ID_PREV", flags=_contract_flags("POS"),
-                      numerics=POS_NUMERICS)
+                      numerics=POS_NUMERICS, scales=_scales(POS_NUMERICS))
 
 
 def credit_card_spec() -> RollupSpec:
@@ -176,7 +161,7 @@ def credit_card_spec() -> RollupSpec:
         prefix="CC", key=KEY, unique="SK_ID_PREV", flags=_contract_flags("CC"),
         derived={"CC_DRAWINGS_LIMIT_RATIO": safe_divide("AMT_DRAWINGS_CURRENT", "AMT_CREDIT_LIMIT_ACTUAL"),
                  "CC_PAYMENT_BALANCE_RATIO": safe_divide("AMT_PAYMENT_TOTAL_CURRENT", "AMT_BALANCE")},
-        numerics=CREDIT_CARD_NUMERICS)
+        numerics=CREDIT_CARD_NUMERICS, scales=_scales(CREDIT_CARD_NUMERICS))
 
 
 def installments_spec() -> RollupSpec:
@@ -191,7 +176,40 @@ def installments_spec() -> RollupSpec:
         },
         flags=[Flag("INST_LATE", late > 0, rate=True), Flag("INST_LATE_30", late >= 30, rate=True),
                Flag("INST_UNDERPAY", F.col("AMT_PAYMENT") < F.col("AMT_INSTALMENT"), rate=True)],
-        numerics=INSTALLMENTS_NUMERICS)
+        numerics=INSTALLMENTS_NUMERICS, scales=_scales(INSTALLMENTS_NUMERICS))
+
+
+# Declared schemas of the child tables: the columns the roll-ups read, in a
+# fixed order. CSV headers are matched by name (``enforceSchema`` off), so the
+# files may hold further columns in any order; those are not read.
+CHILD_SCHEMAS = {
+    "bureau_balance": _declared(["SK_ID_BUREAU"], ["STATUS"], ["MONTHS_BALANCE"]),
+    "bureau": _declared([KEY, "SK_ID_BUREAU"], ["CREDIT_ACTIVE"], BUREAU_NUMERICS),
+    "previous_application": _declared([KEY, "SK_ID_PREV"], ["NAME_CONTRACT_STATUS"], _raw(PREVIOUS_NUMERICS, "PREV")),
+    "pos_cash_balance": _declared([KEY, "SK_ID_PREV"], ["NAME_CONTRACT_STATUS"], POS_NUMERICS),
+    "credit_card_balance": _declared([KEY, "SK_ID_PREV"], ["NAME_CONTRACT_STATUS"], _raw(CREDIT_CARD_NUMERICS, "CC")),
+    "installments_payments": _declared([KEY, "SK_ID_PREV"], [], _raw(INSTALLMENTS_NUMERICS, "INST")),
+}
+
+
+# Application tables: these columns are text, the key a long, the target an integer and every
+# other column of the header a double.
+APPLICATION_TEXT = ["NAME_CONTRACT_TYPE", "CODE_GENDER", "FLAG_OWN_CAR", "FLAG_OWN_REALTY", "NAME_TYPE_SUITE", "NAME_INCOME_TYPE",
+                    "NAME_EDUCATION_TYPE", "NAME_FAMILY_STATUS", "NAME_HOUSING_TYPE", "OCCUPATION_TYPE", "WEEKDAY_APPR_PROCESS_START",
+                    "ORGANIZATION_TYPE", "FONDKAPREMONT_MODE", "HOUSETYPE_MODE", "WALLSMATERIAL_MODE", "EMERGENCYSTATE_MODE"]
+
+
+def application_type(column: str) -> DataType:
+    if column == KEY:
+        return LongType()
+    if column == TARGET:
+        return IntegerType()
+    return StringType() if column in APPLICATION_TEXT else DoubleType()
+
+
+def registry(root: str) -> TableRegistry:
+    return TableRegistry(root=root, files=RAW_TABLE_FILES, schemas=CHILD_SCHEMAS,
+                         column_types={"application_train": application_type, "application_test": application_type})
 
 
 # ---------------------------------------------------------------- families
@@ -211,20 +229,24 @@ def families(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def build_processed_datasets(spark: SparkSession, raw_dir: str, out_dir: str) -> dict:
-    """Raw CSVs -> ``train_features`` / ``test_features`` Parquet + manifest JSON."""
+    """Raw CSVs -> ``train_features`` / ``test_features`` Parquet + manifest JSON.
+
+    Each family is rolled up and written once, below ``out_dir/families``; both
+    applicant tables join the stored families.
+    """
     reg = registry(raw_dir)
     raw = {name: reg.read(spark, name) for name in RAW_TABLE_FILES}
-    fams = families(raw)
+    fams = {}
+    for name, df in families(raw).items():
+        path = f"{out_dir}/families/{name}.parquet"
+        write_parquet(df, path)
+        fams[name] = spark.read.schema(df.schema).parquet(path)
     frames = {"train": clean_application(raw["application_train"]),
               "test": clean_application(raw["application_test"])}
     out = build_applicant_tables(frames, fams, KEY)
     for name, df in out.items():
         write_parquet(df, f"{out_dir}/{name}_features.parquet")
     written = {name: spark.read.parquet(f"{out_dir}/{name}_features.parquet") for name in out}
-    groups = feature_groups(fams, KEY, APPLICATION_DERIVED_COLUMNS)
-    row = manifest_frame(spark, written, TARGET, groups).select("train_rows", "test_rows").first()
-    manifest = {"train_rows": row["train_rows"], "test_rows": row["test_rows"],
-                "train_columns": written["train"].columns, "test_columns": written["test"].columns,
-                "target_column": TARGET, "feature_groups": groups}
-    write_json(manifest, f"{out_dir}/feature_definitions.json")
+    manifest = manifest_of(written, TARGET, feature_groups(fams, KEY, APPLICATION_DERIVED_COLUMNS))
+    write_json(spark, manifest, f"{out_dir}/feature_definitions.json")
     return manifest

@@ -2,8 +2,8 @@
 
 Ready tables come from :func:`riskframe.operators.prepare.build_ready`, fitted
 on the training part of the stratified split (the key is kept, so every
-later comparison is a key join). Model sizes below are set for the test
-scales; they are arguments, not limits on the data.
+later comparison is a key join). Model sizes are arguments whose defaults are
+the original pipeline's; model columns carry safe names.
 """
 
 from __future__ import annotations
@@ -11,50 +11,76 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.functions.exprs import blend
 from riskframe.operators import attribution as attr
 from riskframe.operators import metrics as met
 from riskframe.operators import prepare as prep
 from riskframe.operators.profile import missing_profile
 from riskframe.operators import train as tr
+from riskframe.operators.naming import safe_name_list
 from riskframe.plans import tpch
 from riskframe.plans.assemble import join_families
 from riskframe.session import cut_lineage
 
 KEY, TARGET = tpch.KEY, tpch.TARGET
 
-# Experiments: which feature groups each ablation run includes (fixed values).
-FEATURE_GROUPS = ("application", "bureau", "previous_application", "pos_cash", "credit_card", "installments")
+# The feature groups each ablation run includes, and the recommended runs.
 EXPERIMENTS = {
     "application_only": ["application"],
-    "full_features": list(FEATURE_GROUPS),
-    **{f"full_minus_{g}": [x for x in FEATURE_GROUPS if x != g] for g in FEATURE_GROUPS[1:]},
+    "app_plus_bureau_family": ["application", "bureau_family"],
+    "app_plus_previous_application": ["application", "previous_application"],
+    "app_plus_pos_cash": ["application", "pos_cash"],
+    "app_plus_credit_card": ["application", "credit_card"],
+    "app_plus_installments": ["application", "installments"],
+    "full_features": ["application", "bureau_family", "previous_application", "pos_cash", "credit_card", "installments"],
+    "full_minus_bureau_family": ["application", "previous_application", "pos_cash", "credit_card", "installments"],
+    "full_minus_previous_application": ["application", "bureau_family", "pos_cash", "credit_card", "installments"],
+    "full_minus_pos_cash": ["application", "bureau_family", "previous_application", "credit_card", "installments"],
+    "full_minus_credit_card": ["application", "bureau_family", "previous_application", "pos_cash", "installments"],
+    "full_minus_installments": ["application", "bureau_family", "previous_application", "pos_cash", "credit_card"],
 }
-RECOMMENDED_RUNS = ["application_only", "full_features", "full_minus_bureau", "full_minus_previous_application",
+RECOMMENDED_RUNS = ["application_only", "full_features", "full_minus_bureau_family", "full_minus_previous_application",
                     "full_minus_pos_cash", "full_minus_credit_card", "full_minus_installments"]
+# The tuning grids (dropout has no counterpart in Spark's network, so its points fall together).
+LOGISTIC_GRID = {"C": [0.1, 1.0, 5.0]}
+FOREST_GRID = {"n_estimators": [200, 400], "max_depth": [12, 20, None], "min_samples_leaf": [5, 10], "min_samples_split": [10, 20]}
+BOOSTED_GRID = {"n_estimators": [300, 500], "learning_rate": [0.03, 0.05], "num_leaves": [31, 64, 96], "min_child_samples": [20, 50]}
+NETWORK_GRID = {"hidden_dims": [(256, 128), (128, 64), (256, 64)], "dropout": [0.2, 0.3], "learning_rate": [0.001, 0.0005], "epochs": [15, 20]}
+# The registered queries train smaller models than the defaults below so that each ends within
+# minutes on one machine; the defaults are the original sizes.
+QUERY_TREES, QUERY_ROUNDS, QUERY_HIDDEN = 50, 50, (32, 8)
+
+_STORED: dict[tuple, DataFrame] = {}
+
+
+def stored(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """``build()`` written once per session to the shared checkpoint folder, then read back."""
+    full = (spark.sparkContext.applicationId, *key)
+    if full not in _STORED:
+        _STORED[full] = cut_lineage(build())
+    return _STORED[full]
 
 
 def split_frames(spark: SparkSession, sf_dir: str):
-    # Materialise the wide table once in the shared checkpoint folder: every fit
-    # pass below reads it instead of re-running five roll-ups.
-    feats = cut_lineage(join_families(tpch.applicants(spark, sf_dir),
-                                      {n: b(spark, sf_dir) for n, b in tpch.MERGED_FAMILIES.items()}, KEY))
-    apps = feats.select(KEY, TARGET)
-    split = cut_lineage(prep.stratified_split(apps, KEY, TARGET, 0.2, 42))
-    train = prep.select_part(feats, split, KEY, "train")
-    valid = prep.select_part(feats, split, KEY, "validation")
-    return feats, train, valid
-
-
-def ready(spark: SparkSession, sf_dir: str, scale: bool, columns: list[str] | None = None, frames=None):
+    """Applicant table, training part, validation part; the table is built once per session."""
+    feats = stored(spark, ("features", sf_dir), lambda: join_families(
+        tpch.applicants(spark, sf_dir), {n: b(spark, sf_dir) for n, b in tpch.MERGED_FAMILIES.items()}, KEY))
+    split = stored(spark, ("split", sf_dir), lambda: prep.stratified_split(feats.select(KEY, TARGET), KEY, TARGET, 0.2, 42))
+    return feats, prep.select_part(feats, split, KEY, "train"), prep.select_part(feats, split, KEY, "validation")
+
+
+def ready(spark: SparkSession, sf_dir: str, scale: bool, columns: list[str] | None = None):
     """(train vectors, validation vectors, model feature names, raw columns, dropped constants)."""
-    _feats, train, valid = frames or split_frames(spark, sf_dir)
+    _feats, train, valid = split_frames(spark, sf_dir)
     if columns is not None:
         train, valid = train.select(KEY, TARGET, *columns), valid.select(KEY, TARGET, *columns)
     rt, rv, spec, dropped = prep.build_ready(train, valid, KEY, TARGET, scale_numeric=scale)
-    names = spec.output_columns()
-    keep = [KEY, TARGET]
-    return (cut_lineage(tr.assemble(rt, names, keep)), cut_lineage(tr.assemble(rv, names, keep)), names,
-            [c for c in train.columns if c not in keep], dropped)
+    raw_names, keep = spec.output_columns(), [KEY, TARGET]
+    names = safe_name_list(spark, raw_names)
+    renamed = [F.col(f"`{old}`").alias(new) for old, new in zip(raw_names, names)]
+    tag = (sf_dir, scale, tuple(columns) if columns is not None else None)
+    parts = [stored(spark, (side, *tag), lambda df=df: tr.assemble(df.select(*keep, *renamed), names, keep)) for side, df in (("train", rt), ("valid", rv))]
+    return (*parts, names, [c for c in train.columns if c not in keep], dropped)
 
 
 def evaluate(scores: DataFrame) -> DataFrame:
@@ -72,41 +98,87 @@ def train_logistic(spark, sf_dir, C: float = 1.0):
     return model, scores, t, v
 
 
-def train_forest(spark, sf_dir, n_trees: int = 50, max_depth=None, min_leaf: int = 10):
+def train_forest(spark, sf_dir, n_trees: int = 400, max_depth=None, min_leaf: int = 5):
     t, v, _names, _, _ = ready(spark, sf_dir, scale=False)
     est = tr.random_forest(n_trees, max_depth, min_leaf, label=TARGET)
     model, scores = tr.fit_and_score(est, t, v, KEY, TARGET, "random_forest", "balanced")
     return model, scores, t, v
 
 
-def train_boosted(spark, sf_dir, n_iter: int = 50, step: float = 0.1, max_depth: int = 4, min_leaf: int = 20,
-                  columns=None, frames=None):
-    t, v, names, raw, dropped = ready(spark, sf_dir, scale=False, columns=columns, frames=frames)
+def train_boosted(spark, sf_dir, n_iter: int = 500, step: float = 0.05, max_depth: int = 6, min_leaf: int = 20, columns=None):
+    t, v, names, raw, dropped = ready(spark, sf_dir, scale=False, columns=columns)
     est = tr.boosted_trees(n_iter, step, max_depth, min_leaf, label=TARGET)
     model, scores = tr.fit_and_score(est, t, v, KEY, TARGET, "boosted_trees", "pos_ratio")
     return model, scores, t, v, names, raw, dropped
 
 
-def train_network(spark, sf_dir, hidden=(32, 8), max_iter: int = 50):
+def train_network(spark, sf_dir, hidden=(256, 64), max_iter: int = 20):
     t, v, names, _, _ = ready(spark, sf_dir, scale=True)
     est = tr.neural_net(len(names), hidden, max_iter, label=TARGET)
     model, scores = tr.fit_and_score(est, t, v, KEY, TARGET, "neural_net")
     return model, scores, t, v
 
 
-def logistic_grid(spark, sf_dir, Cs=(0.1, 1.0, 5.0)) -> DataFrame:
+def network_history(model) -> list[tuple[int, float]]:
+    """(iteration, loss) of a fitted network, from its training summary."""
+    return [(i, float(x)) for i, x in enumerate(model.summary().objectiveHistory)]
+
+
+def logistic_grid(spark, sf_dir, grid=LOGISTIC_GRID) -> DataFrame:
     t, v, _names, _, _ = ready(spark, sf_dir, scale=True)
     total = tr.total_weight(t, TARGET, "balanced")
-    table, _best, _model = tr.grid_search(lambda C: tr.logistic(C, total, label=TARGET), {"C": list(Cs)},
-                                          t, v, KEY, TARGET, "balanced", "logistic_regression")
-    return table
+    return tr.grid_search(lambda C: tr.logistic(C, total, label=TARGET), grid, t, v, KEY, TARGET, "balanced", "logistic_regression")[0]
+
+
+def forest_grid(spark, sf_dir, grid=FOREST_GRID) -> DataFrame:
+    """A node that must hold ``min_samples_split`` rows to split is one whose halves hold half as many."""
+    t, v, _names, _, _ = ready(spark, sf_dir, scale=False)
+    def build(n_estimators, max_depth, min_samples_leaf, min_samples_split):
+        return tr.random_forest(n_estimators, max_depth, max(min_samples_leaf, min_samples_split // 2), label=TARGET)
+    return tr.grid_search(build, grid, t, v, KEY, TARGET, "balanced", "random_forest")[0]
+
+
+def boosted_grid(spark, sf_dir, grid=BOOSTED_GRID) -> DataFrame:
+    """Leaf counts become the depth of a full tree with at least as many leaves."""
+    t, v, _names, _, _ = ready(spark, sf_dir, scale=False)
+    def build(n_estimators, learning_rate, num_leaves, min_child_samples):
+        return tr.boosted_trees(n_estimators, learning_rate, (num_leaves - 1).bit_length(), min_child_samples, label=TARGET)
+    return tr.grid_search(build, grid, t, v, KEY, TARGET, "pos_ratio", "boosted_trees")[0]
+
 
+def network_grid(spark, sf_dir, grid=NETWORK_GRID) -> DataFrame:
+    t, v, names, _, _ = ready(spark, sf_dir, scale=True)
+    def build(hidden_dims, dropout, learning_rate, epochs):
+        return tr.neural_net(len(names), hidden_dims, epochs, learning_rate, label=TARGET)
+    return tr.grid_search(build, grid, t, v, KEY, TARGET, None, "neural_net")[0]
+
+
+def trained_scores(spark, sf_dir, which: str, n_iter: int = 500) -> DataFrame:
+    """Validation scores (model, key, label, score) of a trained model, fitted once per session."""
+    fit = {"logistic_regression": lambda: train_logistic(spark, sf_dir)[1],
+           "boosted_trees": lambda: train_boosted(spark, sf_dir, n_iter)[1]}[which]
+    return stored(spark, ("scores", sf_dir, which, n_iter), fit)
+
+
+def hybrid_sweep(spark, sf_dir, n_iter: int = 500) -> DataFrame:
+    """Blend weights over the trained boosted trees and logistic scores, joined by key with the label guard."""
+    a, b = trained_scores(spark, sf_dir, "boosted_trees", n_iter), trained_scores(spark, sf_dir, "logistic_regression", n_iter)
+    aligned = met.align_scores(a, b, [KEY])
+    return met.blend_weight_sweep(aligned, (0.5, 0.6, 0.7, 0.8, 0.9), [KEY], primary_name="boosted_trees", secondary_name="logistic_regression")
+
+
+def trained_leaderboard(spark, sf_dir, n_iter: int = 500, weight: float = 0.8) -> DataFrame:
+    """Default and tuned boards of the trained models and their blend."""
+    a, b = trained_scores(spark, sf_dir, "boosted_trees", n_iter), trained_scores(spark, sf_dir, "logistic_regression", n_iter)
+    blended = met.align_scores(a, b, [KEY]).select(F.lit("hybrid").alias("model"), KEY, "label", blend("score_a", "score_b", weight).alias("score"))
+    return met.leaderboard(a.unionByName(b).unionByName(blended))
 
-def stacked(spark, sf_dir) -> DataFrame:
+
+def stacked(spark, sf_dir, n_trees: int = 400, n_iter: int = 500, hidden=(256, 64)) -> DataFrame:
     """Four base models' in-sample train probabilities as features of a balanced
     logistic stacker; evaluated on the validation part (key joins only)."""
-    bases = {"lr": train_logistic(spark, sf_dir), "rf": train_forest(spark, sf_dir, n_trees=20),
-             "gbt": train_boosted(spark, sf_dir, n_iter=20)[:4], "mlp": train_network(spark, sf_dir)}
+    bases = {"lr": train_logistic(spark, sf_dir), "rf": train_forest(spark, sf_dir, n_trees),
+             "gbt": train_boosted(spark, sf_dir, n_iter)[:4], "mlp": train_network(spark, sf_dir, hidden)}
 
     def layer(part_index):
         out = None
@@ -117,47 +189,52 @@ def stacked(spark, sf_dir) -> DataFrame:
         return out
 
     cols = [f"{n}_prob" for n in bases]
-    train_meta = tr.assemble(layer(0), cols, [KEY, TARGET])
+    train_meta = cut_lineage(tr.assemble(layer(0), cols, [KEY, TARGET]))
     valid_meta = tr.assemble(layer(1), cols, [KEY, TARGET])
     est = tr.logistic(1.0, tr.total_weight(train_meta, TARGET, "balanced"), label=TARGET)
     _m, scores = tr.fit_and_score(est, train_meta, valid_meta, KEY, TARGET, "stacked_ensemble", "balanced")
     return evaluate(scores)
 
 
+def experiment_features(columns: list[str]) -> dict[str, list[str]]:
+    """Experiment -> the applicant columns it uses, in table order (names only)."""
+    groups = {("bureau_family" if n == "bureau" else n): set(spec().feature_names()) for n, spec in tpch.FAMILY_SPECS.items()}
+    raw = [c for c in columns if c not in (KEY, TARGET)]
+    groups["application"] = set(raw).difference(*groups.values())
+    return {exp: [c for c in raw if any(c in groups[g] for g in names)] for exp, names in EXPERIMENTS.items()}
+
+
 def experiment_columns(spark, sf_dir) -> DataFrame:
-    """(experiment, feature): the raw columns each ablation run uses, in table order."""
-    feats = join_families(tpch.applicants(spark, sf_dir),
-                          {n: b(spark, sf_dir) for n, b in tpch.MERGED_FAMILIES.items()}, KEY)
-    groups = {n: spec().feature_names() for n, spec in tpch.FAMILY_SPECS.items()}
-    aux = {c for cols in groups.values() for c in cols}
-    all_cols = [c for c in feats.columns if c not in (KEY, TARGET)]
-    groups["application"] = [c for c in all_cols if c not in aux]
-    rows = []
-    for exp in RECOMMENDED_RUNS:
-        chosen = {c for g in EXPERIMENTS[exp] for c in groups[g]}
-        rows += [(exp, c, i) for i, c in enumerate(c for c in all_cols if c in chosen)]
+    """(experiment, feature, ordinal, null_count): the raw columns each ablation run uses, in table
+    order, with their nulls in the applicant table."""
+    feats = split_frames(spark, sf_dir)[0]
+    rows = [(exp, c, i) for exp, cols in experiment_features(feats.columns).items() for i, c in enumerate(cols)]
     spec = spark.createDataFrame(rows, "experiment string, feature string, ordinal int")
-    # keep only columns present in the assembled table (its null profile, one row per column)
-    present = missing_profile(feats).select(F.col("column").alias("feature"))
-    return spec.join(present, "feature", "left_semi").select("experiment", "feature", "ordinal")
-
-
-def ablation(spark, sf_dir, n_iter: int = 20) -> DataFrame:
-    cols = experiment_columns(spark, sf_dir)
-    per_exp = {}
-    for r in cols.collect():  # spec expansion: a few hundred names
-        per_exp.setdefault(r.experiment, []).append(r.feature)
-    frames = split_frames(spark, sf_dir)  # one materialised feature table for every run
-    results = None
-    for exp in RECOMMENDED_RUNS:
-        _m, scores, _t, _v, names, raw, dropped = train_boosted(spark, sf_dir, n_iter=n_iter, columns=per_exp[exp],
-                                                                frames=frames)
-        row = evaluate(scores).select(
-            F.lit(exp).alias("experiment"), F.lit(len(raw)).alias("raw_feature_count"),
-            F.lit(len(dropped)).alias("dropped_constant_count"), F.lit(len(names)).alias("model_feature_count"),
-            "accuracy", "precision", "recall", "f1", "roc_auc", "average_precision")
-        results = row if results is None else results.unionByName(row)
-    return results.orderBy(F.desc("roc_auc"))
+    nulls = missing_profile(feats).select(F.col("column").alias("feature"), "null_count")
+    return spec.join(nulls, "feature").select("experiment", "feature", "ordinal", "null_count")
+
+
+def ablation(spark, sf_dir, n_iter: int = 500, runs=RECOMMENDED_RUNS) -> DataFrame:
+    """One boosted model per run over the shared applicant table; fitted once per session."""
+    def fit():
+        per_exp = experiment_features(split_frames(spark, sf_dir)[0].columns)
+        results = None
+        for exp in runs:
+            _m, scores, _t, _v, names, raw, dropped = train_boosted(spark, sf_dir, n_iter, columns=per_exp[exp])
+            counts = scores.agg(F.count(F.lit(1)).alias("validation_rows"), F.sum("label").alias("validation_positives"))
+            row = evaluate(scores).crossJoin(counts).select(  # one row x one row
+                F.lit(exp).alias("experiment"), F.lit(len(raw)).alias("raw_feature_count"),
+                F.lit(len(dropped)).alias("dropped_constant_count"), F.lit(len(names)).alias("model_feature_count"),
+                "validation_rows", "validation_positives", "accuracy", "precision", "recall", "f1", "roc_auc", "average_precision")
+            results = row if results is None else results.unionByName(row)
+        return results
+    return stored(spark, ("ablation", sf_dir, n_iter, tuple(runs)), fit).orderBy(F.desc("roc_auc"))
+
+
+def reorder(results: DataFrame, names: list[str], column: str = "experiment") -> DataFrame:
+    """Rows in the order of ``names`` (join to their ordinals; names without a row give nulls)."""
+    order = results.sparkSession.createDataFrame(list(enumerate(names)), f"ordinal int, {column} string")
+    return order.join(results, column, "left").orderBy("ordinal")
 
 
 def removal_impact(results: DataFrame) -> DataFrame:
@@ -171,9 +248,12 @@ def removal_impact(results: DataFrame) -> DataFrame:
             .drop("__auc", "__ap").orderBy(F.desc("roc_auc_drop_vs_full")))
 
 
-def attributions(spark, sf_dir, sample: int = 2000, n_iter: int = 20) -> DataFrame:
+def attributions(spark, sf_dir, sample: int = 2000, n_iter: int = 500) -> DataFrame:
+    """Long (key, feature, contribution) of a seeded sample of validation rows; fitted once per session."""
     from riskframe.plans.queries import stage_dir
 
-    model, _scores, _t, v, names, _raw, _d = train_boosted(spark, sf_dir, n_iter=n_iter)
-    rows = prep.sample_n(v, KEY, sample, seed=42)
-    return attr.attribute(model, rows, KEY, names, stage_dir(spark, "gbt-model"))
+    def fit():
+        model, _scores, _t, v, names, _raw, _d = train_boosted(spark, sf_dir, n_iter)
+        rows = prep.sample_n(v, KEY, sample, seed=42)
+        return attr.attribute(model, rows, KEY, names, stage_dir(spark, "gbt-model"))
+    return stored(spark, ("attribution", sf_dir, sample, n_iter), fit)

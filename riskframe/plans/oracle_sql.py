@@ -83,7 +83,10 @@ add("parquet_roundtrip", o.parquet_roundtrip_sql())
 add("csv_scan", o.csv_scan_sql())
 add("csv_report_roundtrip", o.threshold_table_sql())
 add("feature_manifest", o.feature_manifest_sql())
+add("manifest_roundtrip", o.manifest_roundtrip_sql())
 # modeling (spec expansion only; trained-model outputs get the rows-only check)
 from riskframe.plans import modeling as _mdl  # noqa: E402
 
-add("ablation_columns", o.ablation_columns_sql(_mdl.EXPERIMENTS, _mdl.RECOMMENDED_RUNS))
+add("ablation_columns", o.ablation_columns_sql(_mdl.EXPERIMENTS))
+add("ablation_counts", o.ablation_counts_sql(_mdl.EXPERIMENTS, _mdl.RECOMMENDED_RUNS))
+add("score_alignment_trained", o.score_alignment_trained_sql())

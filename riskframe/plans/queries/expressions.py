@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions import exprs as ex
 from riskframe.operators import profile as prof
+from riskframe.operators.naming import safe_names
 from riskframe.operators.rollup import Flag, RollupSpec, rollup
 from riskframe.plans import tpch
 from riskframe.plans.queries.common import features, register, round_doubles, union_all
@@ -105,7 +106,7 @@ def q_flag_rollup(spark, sf_dir):
 
 @register("numeric_stat_pack")
 def q_numeric_stat_pack(spark, sf_dir):
-    spec = RollupSpec(prefix="ORDERS", key="o_custkey", numerics=("o_totalprice",))
+    spec = RollupSpec(prefix="ORDERS", key="o_custkey", numerics=("o_totalprice",), scales=tpch.ORDER_SCALES)
     return round_doubles(rollup(tpch.table(spark, sf_dir, "orders", ["o_custkey", "o_totalprice"]), spec))
 
 
@@ -122,11 +123,7 @@ def one_hot_names(spark, sf_dir) -> DataFrame:
 
 @register("safe_names")
 def q_safe_names(spark, sf_dir):
-    names = one_hot_names(spark, sf_dir).withColumn("base", ex.safe_name_column("name"))
-    k = F.row_number().over(Window.partitionBy("base").orderBy("name")) - 1
-    return names.withColumn("k", k).select(
-        "name", F.when(F.col("k") == 0, F.col("base")).otherwise(F.concat_ws("_", "base", F.col("k").cast("string")))
-        .alias("safe_name"))
+    return safe_names(one_hot_names(spark, sf_dir), order="name").select("name", "safe_name")
 
 
 @register("feature_family")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from riskframe.operators import metrics as met
 from riskframe.operators import prepare as prep
 from riskframe.plans import tpch
@@ -49,6 +47,16 @@ def q_feature_manifest(spark, sf_dir):
     test = prep.select_part(feats, split, tpch.KEY, "validation").drop(tpch.TARGET)
     groups = {name: spec().feature_names() for name, spec in tpch.FAMILY_SPECS.items()}
     groups["application_derived"] = tpch.APPLICATION_DERIVED_COLUMNS
-    m = cat.manifest_frame(spark, {"train": train, "test": test}, tpch.TARGET, groups)
-    return m.select("train_rows", "test_rows", F.lit(len(train.columns)).alias("train_columns"),
-                    F.lit(len(test.columns)).alias("test_columns"), F.lit(tpch.TARGET).alias("target_column"))
+    return cat.manifest_frame({"train": train, "test": test}, tpch.TARGET, groups)
+
+
+@register("manifest_roundtrip")
+def q_manifest_roundtrip(spark, sf_dir):
+    """The manifest of the applicant tables written as JSON and read back: one row per feature group."""
+    apps = tpch.applicants(spark, sf_dir)
+    groups = {name: spec().feature_names() for name, spec in tpch.FAMILY_SPECS.items()}
+    path = f"{stage_dir(spark, 'manifest')}/feature_definitions.json"
+    cat.write_json(spark, cat.manifest_of({"applicants": apps}, tpch.TARGET, groups), path)
+    back = cat.read_json(spark, path)
+    rows = [(g, len(cols), cols[0], cols[-1], back["applicants_rows"]) for g, cols in back["feature_groups"].items()]
+    return spark.createDataFrame(rows, "feature_group string, features int, first_feature string, last_feature string, applicants_rows long")

@@ -11,12 +11,12 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 
 @dataclass(frozen=True)
@@ -26,13 +26,16 @@ class TableRegistry:
     root: str
     files: Mapping[str, str]
     schemas: Mapping[str, StructType]
+    # Tables read whole: the type of every column the header names.
+    column_types: Mapping[str, Callable[[str], DataType]] = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{self.files[name]}"
 
     def read(self, spark: SparkSession, name: str, columns: Sequence[str] | None = None,
              n_rows: int | None = None) -> DataFrame:
-        return read_csv_table(spark, self.path(name), self.schemas.get(name), columns, n_rows)
+        return read_csv_table(spark, self.path(name), self.schemas.get(name), columns, n_rows,
+                              column_type=self.column_types.get(name))
 
     def register_views(self, spark: SparkSession, names: Sequence[str] | None = None) -> None:
         for name in names or list(self.files):
@@ -41,9 +44,12 @@ class TableRegistry:
 
 def read_csv_table(spark: SparkSession, path: str, schema: StructType | None = None,
                    columns: Sequence[str] | None = None, n_rows: int | None = None,
-                   null_values: Sequence[str] | None = None) -> DataFrame:
+                   null_values: Sequence[str] | None = None,
+                   column_type: Callable[[str], DataType] | None = None) -> DataFrame:
     """CSV with header; empty fields are null. ``null_values`` adds one more
-    spelling (such as ``NA``) for pandas-style readers.
+    spelling (such as ``NA``) for pandas-style readers. Types come from ``schema``
+    or, for all columns of the header, from ``column_type``; only a file with
+    neither is scanned to infer them.
 
     ``columns`` and ``n_rows`` become a projection and a limit that Catalyst
     pushes into the scan.
@@ -62,6 +68,9 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType | None = N
         reader = reader.schema(full)
         if columns is None:
             columns = schema.fieldNames()
+    elif column_type is not None:
+        header = spark.read.option("header", True).csv(path).columns
+        reader = reader.schema(StructType([StructField(h, column_type(h)) for h in header]))
     else:
         reader = reader.option("inferSchema", True)
     if null_values:
@@ -116,30 +125,52 @@ def read_report_csv(spark: SparkSession, path: str, schema: StructType | None =
 
 # ------------------------------------------------------------------ manifests
 
-def manifest_frame(spark: SparkSession, tables: Mapping[str, DataFrame], target: str,
-                   feature_groups: Mapping[str, Sequence[str]]) -> DataFrame:
-    """One-row manifest: row count per table (one aggregate each, run by Spark),
-    column lists from the schemas, target name and feature groups, as a JSON
-    string column ``manifest`` plus typed columns."""
+def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row with ``<name>_rows`` of every table (one aggregate each)."""
     counts = None
     for name, df in tables.items():
         c = df.agg(F.count(F.lit(1)).alias(f"{name}_rows"))
         counts = c if counts is None else counts.crossJoin(c)  # one row x one row
-    meta = {
-        **{f"{name}_columns": list(df.columns) for name, df in tables.items()},
-        "target_column": target,
-        "feature_groups": {k: list(v) for k, v in feature_groups.items()},
-    }
-    return counts.withColumn("meta", F.lit(json.dumps(meta, sort_keys=False))).withColumn(
-        "manifest", F.to_json(F.struct(*[F.col(f"{n}_rows") for n in tables], F.col("meta"))))
+    return counts
+
+
+def manifest_frame(tables: Mapping[str, DataFrame], target: str, feature_groups: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Long manifest (section, name, ordinal, value): row counts, the column list of each
+    table, the target and the feature groups. One row per column, so report-sized."""
+    spark = next(iter(tables.values())).sparkSession
+    rows = [(f"{t}_columns", c, i, None) for t, df in tables.items() for i, c in enumerate(df.columns)]
+    rows += [("target_column", target, 0, None)]
+    rows += [(f"feature_groups.{g}", c, i, None) for g, cols in feature_groups.items() for i, c in enumerate(cols)]
+    lists = spark.createDataFrame(rows, "section string, name string, ordinal int, value long")
+    counts = row_counts(tables)
+    names = [f"{t}_rows" for t in tables]
+    stacked = counts.selectExpr(f"stack({len(names)}, " + ", ".join(f"'{n}', {n}" for n in names) + ") as (name, value)")
+    return stacked.select(F.lit("rows").alias("section"), "name", F.lit(0).alias("ordinal"), "value").unionByName(lists)
+
+
+def manifest_of(tables: Mapping[str, DataFrame], target: str, feature_groups: Mapping[str, Sequence[str]]) -> dict:
+    """The manifest as a dictionary: counts from Spark, column lists from the schemas."""
+    counts = row_counts(tables).first()
+    return {**{f"{t}_rows": counts[f"{t}_rows"] for t in tables}, **{f"{t}_columns": list(df.columns) for t, df in tables.items()},
+            "target_column": target, "feature_groups": {k: list(v) for k, v in feature_groups.items()}}
+
+
+def _file(spark: SparkSession, path: str):
+    """(file system, path) of a URI, through the session's Hadoop configuration."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def write_json(obj, path: str) -> None:
-    """Driver-side JSON for small metadata dicts (column lists, counts)."""
-    with open(path, "w", encoding="utf-8") as fh:
-        json.dump(obj, fh, indent=2)
+def write_json(spark: SparkSession, obj, path: str) -> None:
+    """One JSON file for a metadata dict (column lists, counts), on any file system Spark writes to."""
+    fs, where = _file(spark, path)
+    out = fs.create(where, True)
+    try:
+        out.write(bytearray(json.dumps(obj, indent=2).encode("utf-8")))
+    finally:
+        out.close()
 
 
-def read_json(path: str):
-    with open(path, encoding="utf-8") as fh:
-        return json.load(fh)
+def read_json(spark: SparkSession, path: str):
+    return json.loads(spark.read.text(path, wholetext=True).first().value)
