@@ -41,8 +41,8 @@ from riskframe.llm.words import mix, shingle_sets, text_chunks
 COORDS = 64
 BRANCH = 2
 MAX_DEPTH = 3
-BUCKET_LIMIT = 256
-BLOCK = 256
+BUCKET_LIMIT = 2048
+BLOCK = 512
 THRESHOLD = (4, 5)  # similarity 0.8 as a fraction
 LIKELY = 35  # of COORDS equal tokens: below it a pair of similarity 0.8 falls once in about 1e6
 TARGET_RECALL = 0.9999
