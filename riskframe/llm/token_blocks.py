@@ -22,9 +22,11 @@ columns of the input are ignored.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskframe.llm.words import text_chunks
+from riskframe.llm.words import text_chunks, worker_state
 from riskframe.session import ensure_checkpoint_dir
 
 BLOCK = 128
@@ -123,47 +125,77 @@ def unpack_segment(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     return unpack_blocks(payload), _layout(payload)[1][0].astype(np.int64)
 
 
-def _encoder(tokenizer_name: str):
-    """texts -> list of id arrays, equal to encoding every whole text.
+# Letters of Latin-1 and a run of ASCII punctuation (no apostrophe): a piece of this form is cut
+# by the pre-tokenizer between the two, and lower-casing and normalising change nothing else.
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+_CACHE_ENTRIES = 200_000
+
+
+def _byte_alphabet() -> list[str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return [chr(b) if b in set(shown) else chr(256 + hidden.index(b)) for b in range(256)]
 
-    The tokenizer's normaliser and pre-tokenizer never join across a plain space, so each
-    space-separated piece is encoded once per worker and texts are assembled from the pieces.
-    """
-    import public_tokenizers
-    from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(public_tokenizers.path(tokenizer_name))
-    tok.encode_special_tokens = True
-    known: dict[str, int] = {}
-    flat, ends = [np.empty(0, np.int64)], [0]
+class _Encoder:
+    """texts -> (ids, ids per text), equal to encoding every whole text.
 
-    def encode(texts: pa.Array):
-        nonlocal known, flat, ends
-        lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+    The tokenizer's normaliser and pre-tokenizer never join across white space, so each different
+    space-separated piece is encoded once, and texts are assembled from the pieces. Simple pieces go
+    to the tokenizer's model as letters and punctuation. Two generations of at most
+    ``_CACHE_ENTRIES`` parts each are kept between the tasks of a worker.
+    """
+
+    def __init__(self, tokenizer_name: str):
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(public_tokenizers.path(tokenizer_name))
+        self.tok.encode_special_tokens = True
+        self.model, self.alphabet = self.tok.model, _byte_alphabet()
+        self.new, self.old = {"": ()}, {}
+
+    def _part(self, word: str) -> tuple:
+        got = self.new.get(word)
+        if got is None:
+            got = self.old.get(word)
+            if got is None:
+                shown = word if word.isascii() else "".join(self.alphabet[b] for b in word.encode())
+                got = tuple(t.id for t in self.model.tokenize(shown))
+            if len(self.new) >= _CACHE_ENTRIES:
+                self.old, self.new = self.new, {"": ()}
+            self.new[word] = got
+        return got
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         coded = pc.dictionary_encode(pc.list_flatten(lists))
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
         pieces = coded.dictionary.to_pylist()
-        if len(known) > 400_000:  # bounded memory: start the piece table anew
-            known, flat, ends = {}, [np.empty(0, np.int64)], [0]
-        new = [p for p in pieces if p not in known]
-        encoded = [e.ids for e in tok.encode_batch_fast(new, add_special_tokens=False)] if new else []
-        for p, ids in zip(new, encoded):
-            known[p] = len(ends) - 1
-            ends.append(ends[-1] + len(ids))
-        flat = [np.concatenate([*flat, np.fromiter((i for ids in encoded for i in ids), np.int64)])]
-        end = np.asarray(ends, np.int64)
-        of_piece = np.fromiter((known[p] for p in pieces), np.int64, len(pieces))
-        which = of_piece[coded.indices.to_numpy(zero_copy_only=False)]
-        n_ids = end[which + 1] - end[which]
-        at = np.concatenate([[0], np.cumsum(n_ids)])
-        source = np.repeat(end[which] - at[:-1], n_ids) + np.arange(at[-1])
-        ids = flat[0][source]
+        ids_of, other = [], []
+        for n, piece in enumerate(pieces):
+            m = _SIMPLE.fullmatch(piece)
+            if m is None:
+                other.append(n)
+                ids_of.append(())
+            else:
+                word, marks = m.groups()
+                got = self._part(word.lower())
+                ids_of.append(got + self._part(marks) if marks else got)
+        for n, e in zip(other, self.tok.encode_batch_fast([pieces[n] for n in other], add_special_tokens=False) if other else ()):
+            ids_of[n] = e.ids
+        n_ids = np.fromiter(map(len, ids_of), np.int64, len(ids_of))
+        flat = np.fromiter(chain.from_iterable(ids_of), np.int32, int(n_ids.sum()))
+        first = np.cumsum(n_ids) - n_ids
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        counts = n_ids[which]
+        at = np.concatenate([[0], np.cumsum(counts)])
+        ids = flat[np.repeat(first[which] - at[:-1], counts) + np.arange(at[-1])]
         cuts = at[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])]
         return ids, np.diff(cuts)
 
-    return encode
-
 
 def encode_segments(docs: DataFrame, tokenizer_name: str = "word_bpe_49k.json", end_id: int = END_ID,
                     percentile: float = PERCENTILE, segment_tokens: int = SEGMENT_TOKENS) -> DataFrame:
@@ -176,7 +208,8 @@ def encode_segments(docs: DataFrame, tokenizer_name: str = "word_bpe_49k.json",
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        part, segment, encode_texts = TaskContext.get().partitionId(), 0, None
+        part, segment = TaskContext.get().partitionId(), 0
+        kept = worker_state()
         ids, lengths, doc_ids, held = [], [], [], 0
 
         def emit():
@@ -192,9 +225,10 @@ def encode_segments(docs: DataFrame, tokenizer_name: str = "word_bpe_49k.json",
             return row
 
         for batch in batches:
-            for chunk in text_chunks(batch):
-                encode_texts = encode_texts or _encoder(tokenizer_name)
-                got, n = encode_texts(chunk.column("text"))
+            for chunk in text_chunks(batch, chars=16_000_000):
+                if tokenizer_name not in kept:
+                    kept[tokenizer_name] = _Encoder(tokenizer_name)
+                got, n = kept[tokenizer_name].encode(chunk.column("text"))
                 with_end = np.insert(got, np.cumsum(n), end_id)
                 ids.append(with_end), lengths.append(n + 1), doc_ids.append(chunk.column("doc_id").cast(pa.int64()))
                 held += len(with_end)

@@ -81,3 +81,11 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text", chars: int = 8_000_
         end = max(start + 1, int(np.searchsorted(size, base + chars, side="right")))
         yield batch.slice(start, end - start)
         start = end
+
+
+def worker_state() -> dict:
+    """A dictionary that lives as long as the Python worker, across its tasks."""
+    import sys
+    import types
+
+    return vars(sys.modules.setdefault("_riskframe_worker_state", types.ModuleType("_riskframe_worker_state")))
