@@ -27,6 +27,8 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.common import materialise
+
 THRESHOLD = 0.8
 
 # Licence names, and notices or texts as their authors publish them.
@@ -95,7 +97,9 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
     held = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.lower("text").alias("t")).where(F.col("t").rlike(guard))
     units = held.select("rid", "doc_id", F.explode(F.array_distinct(F.concat(F.split("t", "\n"), F.split("t", r"\n\s*\n"), F.array("t")))).alias("u"))
     units = units.where(F.col("u").rlike(guard)).select("rid", "doc_id", F.xxhash64("u", F.length("u")).alias("unit"), F.filter(F.split("u", "[^a-z0-9]+"), lambda w: w != "").alias("w"))
-    pairs = F.transform(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), lambda w, i: F.concat_ws(" ", w, F.get("w", i + 1)))
+    units = materialise(units, "license-units")  # the few units with a guard word; what follows reads their words several times
+    # Words beside their successors; an index into the words inside a lambda would split the unit anew for each.
+    pairs = F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.size("w")), lambda a, b: F.concat_ws(" ", a, b))
     units = units.select("rid", "doc_id", "unit", F.array_distinct(pairs).alias("g")).withColumn("u_size", F.size("g"))
     least, most = (f(b) for f, b in ((min, [size_bounds(len(bigrams(t)), threshold)[0] for _, t in templates]), (max, [size_bounds(len(bigrams(t)), threshold)[1] for _, t in templates])))
     units = units.where(F.col("u_size").between(least, most)).select("rid", "doc_id", "unit", "u_size", F.explode("g").alias("gram"))
