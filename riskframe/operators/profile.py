@@ -16,13 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
+from riskframe.functions.exprs import clip_upper
 from riskframe.operators.joins import null_safe_join
-from riskframe.operators.quantiles import quantile_columns
-
-
-def sql_str(text: str) -> str:
-    """A SQL string literal."""
-    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+from riskframe.operators.quantiles import quantile_columns, sql_str
 
 
 def stack_rows(one_row: DataFrame, rows: Sequence[Sequence[str]], names: Sequence[str]) -> DataFrame:
@@ -160,12 +156,6 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
         F.when(F.col("__pos") > 0, F.col("__neg") / F.col("__pos")).alias("scale_pos_weight"))
 
 
-def with_balanced_weight(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
-    """Attach the balanced class weight to every row (for ``weightCol``)."""
-    w = class_weights(df, label).select(label, F.col("balanced_weight").alias(weight_col))
-    return null_safe_join(df, w, [label], "left")
-
-
 # ------------------------------------------------------------------ per-id distribution
 
 def records_per_id(df: DataFrame, id_col: str, table_name: str) -> DataFrame:
@@ -184,7 +174,7 @@ def clip_at_quantile(df: DataFrame, column: str, q: float = 0.99, out: str | Non
     thr = quantile_columns(df, [column], {"__q": q}).select("__q")
     c = F.col(column)
     return df.crossJoin(F.broadcast(thr)).withColumn(
-        out or column, F.when(c > F.col("__q"), F.col("__q")).otherwise(c.cast("double"))).drop("__q")
+        out or column, clip_upper(c.cast("double"), F.col("__q"))).drop("__q")
 
 
 # ------------------------------------------------------------------ numeric summaries
@@ -268,10 +258,3 @@ def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
             for i, c in enumerate(cols)]
     rows = [[sql_str(c), str(i), f"k{i}"] for i, c in enumerate(cols)]
     return stack_rows(df.agg(*aggs), rows, ["column", "ordinal", "is_constant"])
-
-
-def drop_constant(train: DataFrame, others: Sequence[DataFrame], protect: Sequence[str] = ()) -> tuple:
-    """Drop columns that are constant on ``train`` from train and every other frame."""
-    flags = constant_columns(train, [c for c in train.columns if c not in protect]).where("is_constant")
-    dropped = [r.column for r in flags.select("column").collect()]  # column names only
-    return train.drop(*dropped), [o.drop(*dropped) for o in others], dropped

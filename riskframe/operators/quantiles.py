@@ -27,8 +27,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators.joins import null_safe_join
+from riskframe.session import cut_lineage
 
 DEFAULT_ACCURACY = 10_000
+
+
+def sql_str(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 SUB_RANGES = 256
 
 
@@ -43,17 +51,17 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """
     g, cols, ps = list(group_cols), list(columns), [float(p) for p in probs]
     values = df.select(*g, *[F.col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)])
-    brackets = _brackets(values, g, len(cols), ps, accuracy)
-    edges = _edges(values, brackets, g, len(cols), ps)
+    # Each step's result is read by several later ones: stored once (a row per group, then the band).
+    brackets = cut_lineage(_brackets(values, g, len(cols), ps, accuracy))
+    edges = cut_lineage(_edges(values, brackets, g, len(cols), ps))
     # One row per group, column and p: its rank, bracket and the count below the bracket.
-    cells = edges.select(*g, F.explode(F.array(*[
-        F.struct(F.lit(cols[i]).alias("column"), F.lit(p).alias("p"), F.col(f"__n{i}").alias("n"), F.col(f"__below{i}_{j}").alias("below"),
-                 F.least(f"__lo{i}_{j}", f"__under{i}_{j}").alias("first"), F.greatest(f"__hi{i}_{j}", f"__over{i}_{j}").alias("last"), F.col(f"__lo{i}_{j}").alias("lo"))
-        for i in range(len(cols)) for j, p in enumerate(ps)])).alias("c")).select(*g, "c.*")
+    cells = edges.select(*g, F.expr("inline(array(" + ", ".join(
+        f"struct({sql_str(c)} AS column, {p!r}D AS p, __n{i} AS n, __below{i}_{j} AS below, {_first(i, j)} AS first, {_last(i, j)} AS last, __lo{i}_{j} AS lo)"
+        for i, c in enumerate(cols) for j, p in enumerate(ps)) + "))"))
     pos = F.col("p") * (F.col("n") - 1) if rank_rule == "interpolate" else F.round(F.col("p") * F.col("n")) - 1
     cells = cells.withColumn("pos", pos).withColumn("r_lo", F.floor("pos")).withColumn("r_hi", F.ceil("pos"))
 
-    band = _band(values, edges, g, cols, ps)
+    band = cut_lineage(_band(values, edges, g, cols, ps))
     found = _at_ranks(band, cells, [*g, "column", "p"])
     out = null_safe_join(cells, found, [*g, "column", "p"], "left")
     missed = (F.col("n") > 0) & (F.col("pos") >= 0) & (F.col("v_lo").isNull() | F.col("v_hi").isNull())
@@ -61,41 +69,42 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     return out.select(*g, "column", "p", "n", F.when(missed, F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")).otherwise(quantile).alias("quantile"))
 
 
+# Wide tables have hundreds of columns, so the steps below are written as SQL expressions:
+# one call for each instead of one for each operand.
+
+def _first(i: int, j: int) -> str:
+    return f"least(__lo{i}_{j}, __under{i}_{j})"
+
+
+def _last(i: int, j: int) -> str:
+    return f"greatest(__hi{i}_{j}, __over{i}_{j})"
+
+
 def _brackets(values: DataFrame, g: Sequence[str], n_cols: int, ps: Sequence[float], accuracy: int) -> DataFrame:
+    """Per group: the count of each column and a bracket around each wanted rank."""
     eps = 2.0 / accuracy
-    wanted = [q for p in ps for q in (max(0.0, p - eps), min(1.0, p + eps))]
-    aggs = []
-    for i in range(n_cols):
-        aggs += [F.count(f"__v{i}").alias(f"__n{i}"), F.percentile_approx(f"__v{i}", wanted, accuracy).alias(f"__q{i}")]
-    stats = values.groupBy(*g).agg(*aggs)
-    return stats.select(*g, *[f"__n{i}" for i in range(n_cols)], *[
-        F.col(f"__q{i}")[2 * j + side].alias(f"__{name}{i}_{j}")
-        for i in range(n_cols) for j in range(len(ps)) for side, name in enumerate(("lo", "hi"))])
+    wanted = ", ".join(f"{q!r}D" for p in ps for q in (max(0.0, p - eps), min(1.0, p + eps)))
+    aggs = [F.expr(e) for i in range(n_cols) for e in (f"count(__v{i}) AS __n{i}", f"percentile_approx(__v{i}, array({wanted}), {accuracy}) AS __q{i}")]
+    sides = [f"__q{i}[{2 * j + side}] AS __{name}{i}_{j}" for i in range(n_cols) for j in range(len(ps)) for side, name in enumerate(("lo", "hi"))]
+    return values.groupBy(*g).agg(*aggs).selectExpr(*[f"`{c}`" for c in g], *[f"__n{i}" for i in range(n_cols)], *sides)
 
 
 def _edges(values: DataFrame, brackets: DataFrame, g: Sequence[str], n_cols: int, ps: Sequence[float]) -> DataFrame:
     """Brackets with the count below them and the next values outside."""
-    both = null_safe_join(values, brackets, g)
     aggs = []
     for i in range(n_cols):
-        v = F.col(f"__v{i}")
         for j in range(len(ps)):
-            lo, hi = F.col(f"__lo{i}_{j}"), F.col(f"__hi{i}_{j}")
-            aggs += [F.count_if(v < lo).alias(f"__below{i}_{j}"), F.max(F.when(v < lo, v)).alias(f"__under{i}_{j}"), F.min(F.when(v > hi, v)).alias(f"__over{i}_{j}")]
-    return null_safe_join(brackets, both.groupBy(*g).agg(*aggs), g)
+            v, lo, hi = f"__v{i}", f"__lo{i}_{j}", f"__hi{i}_{j}"
+            aggs += [f"count_if({v} < {lo}) AS __below{i}_{j}", f"max(CASE WHEN {v} < {lo} THEN {v} END) AS __under{i}_{j}", f"min(CASE WHEN {v} > {hi} THEN {v} END) AS __over{i}_{j}"]
+    return null_safe_join(brackets, null_safe_join(values, brackets, g).groupBy(*g).agg(*[F.expr(e) for e in aggs]), g)
 
 
 def _band(values: DataFrame, edges: DataFrame, g: Sequence[str], cols: Sequence[str], ps: Sequence[float]) -> DataFrame:
     """(group..., column, p, value, cnt) of the values inside each widened bracket."""
-    both = null_safe_join(values, edges, g)
-    hits = []
-    for i, c in enumerate(cols):
-        v = F.col(f"__v{i}")
-        for j, p in enumerate(ps):
-            inside = v.between(F.least(f"__lo{i}_{j}", f"__under{i}_{j}"), F.greatest(f"__hi{i}_{j}", f"__over{i}_{j}"))
-            hits.append(F.when(inside, F.struct(F.lit(c).alias("column"), F.lit(p).alias("p"), v.alias("value"))))
-    rows = both.select(*g, F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("h"))
-    return rows.select(*g, "h.*").groupBy(*g, "column", "p", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    hits = ", ".join(f"CASE WHEN __v{i} BETWEEN {_first(i, j)} AND {_last(i, j)} THEN struct({sql_str(c)} AS column, {p!r}D AS p, __v{i} AS value) END"
+                     for i, c in enumerate(cols) for j, p in enumerate(ps))
+    rows = null_safe_join(values, edges, g).select(*g, F.expr(f"inline(filter(array({hits}), x -> x IS NOT NULL))"))
+    return rows.groupBy(*g, "column", "p", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def _at_ranks(band: DataFrame, cells: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -231,6 +231,16 @@ def ablation(spark, sf_dir, n_iter: int = 500, runs=RECOMMENDED_RUNS) -> DataFra
     return stored(spark, ("ablation", sf_dir, n_iter, tuple(runs)), fit).orderBy(F.desc("roc_auc"))
 
 
+def experiment_counts(spark, sf_dir) -> DataFrame:
+    """What an ablation run holds whatever its learner: columns, validation rows and positives, in
+    the recommended order."""
+    feats, _train, valid = split_frames(spark, sf_dir)
+    chosen = experiment_features(feats.columns)
+    counts = spark.createDataFrame([(exp, len(cols)) for exp, cols in chosen.items()], "experiment string, raw_feature_count int")
+    rows = valid.agg(F.count(F.lit(1)).alias("validation_rows"), F.sum(TARGET).alias("validation_positives"))
+    return reorder(counts.crossJoin(rows), RECOMMENDED_RUNS)  # one-row side
+
+
 def reorder(results: DataFrame, names: list[str], column: str = "experiment") -> DataFrame:
     """Rows in the order of ``names`` (join to their ordinals; names without a row give nulls)."""
     order = results.sparkSession.createDataFrame(list(enumerate(names)), f"ordinal int, {column} string")

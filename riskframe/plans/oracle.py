@@ -296,6 +296,15 @@ def schema_summary_sql() -> str:
             f"{len(cols)} AS columns, {len(cols) - n_cat} AS numeric_columns, {n_cat} AS categorical_columns FROM app")
 
 
+def dtype_counts_sql() -> str:
+    names = {INT: "int", BIG: "bigint", DBL: "double", STR: "string"}
+    counts: dict[str, int] = {}
+    for c in app_columns():
+        counts[names[c.dtype]] = counts.get(names[c.dtype], 0) + 1
+    values = ", ".join(f"('{t}', {n})" for t, n in counts.items())
+    return (f"SELECT dtype, CAST(n AS BIGINT) AS columns, (SELECT COUNT(*) FROM customer) AS rows FROM (VALUES {values}) v(dtype, n)")
+
+
 def schema_diff_sql() -> str:
     right_cols = [c for c in APPLICANT_COLS if c.name != "TARGET"]
     left = null_rows(app_columns(), "app")
@@ -818,7 +827,7 @@ def ablation_columns_sql(experiments: dict) -> str:
             f"FROM (VALUES {', '.join(rows)}) v(experiment, feature, ordinal) JOIN nulls ON nulls.\"column\" = v.feature")
 
 
-def ablation_counts_sql(experiments: dict, runs: list[str]) -> str:
+def experiment_counts_sql(experiments: dict, runs: list[str]) -> str:
     cols = [c.name for c in app_columns() if c.name not in ("c_custkey", "TARGET")]
     groups = {("bureau_family" if n == "bureau" else n): {c.name for c in FAMILY_SQL[n]().columns()} for n in FAMILY_SQL}
     groups["application"] = set(cols).difference(*groups.values())

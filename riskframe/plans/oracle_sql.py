@@ -39,6 +39,7 @@ add("constant_columns", o.constant_columns_sql())
 add("class_weights", o.class_weights_sql())
 add("clip_at_quantile", o.clip_at_quantile_sql())
 add("schema_diff", o.schema_diff_sql())
+add("dtype_counts", o.dtype_counts_sql())
 add("missing_train_test", o.missing_train_test_sql())
 # split, sample, preparation
 add("stratified_split", o.stratified_split_sql())
@@ -88,5 +89,5 @@ add("manifest_roundtrip", o.manifest_roundtrip_sql())
 from riskframe.plans import modeling as _mdl  # noqa: E402
 
 add("ablation_columns", o.ablation_columns_sql(_mdl.EXPERIMENTS))
-add("ablation_counts", o.ablation_counts_sql(_mdl.EXPERIMENTS, _mdl.RECOMMENDED_RUNS))
+add("experiment_counts", o.experiment_counts_sql(_mdl.EXPERIMENTS, _mdl.RECOMMENDED_RUNS))
 add("score_alignment_trained", o.score_alignment_trained_sql())

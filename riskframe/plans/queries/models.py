@@ -72,11 +72,9 @@ def q_ablation(spark, sf_dir):
     return round_doubles(mdl.ablation(spark, sf_dir, mdl.QUERY_ROUNDS))
 
 
-@register("ablation_counts")
-def q_ablation_counts(spark, sf_dir):
-    """The parts of the ablation that do not depend on the learner, in the recommended order."""
-    counts = mdl.ablation(spark, sf_dir, mdl.QUERY_ROUNDS).select("experiment", "raw_feature_count", "validation_rows", "validation_positives")
-    return mdl.reorder(counts, mdl.RECOMMENDED_RUNS)
+@register("experiment_counts")
+def q_experiment_counts(spark, sf_dir):
+    return mdl.experiment_counts(spark, sf_dir)
 
 
 @register("removal_impact")

@@ -32,6 +32,14 @@ def q_schema_summary(spark, sf_dir):
     return prof.schema_summary(features(spark, sf_dir), "applicant_features")
 
 
+@register("dtype_counts")
+def q_dtype_counts(spark, sf_dir):
+    """Columns per data type of the applicant table, with its rows."""
+    feats = features(spark, sf_dir)
+    rows = feats.agg(F.count(F.lit(1)).alias("rows"))
+    return prof.dtype_counts(feats).crossJoin(rows)  # one-row side
+
+
 @register("status_counts")
 def q_status_counts(spark, sf_dir):
     parts = []
