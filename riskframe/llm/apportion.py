@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskframe.llm.common import _null_safe_join, materialise, with_rank
+from riskframe.llm.common import materialise, scratch, with_rank
+from riskframe.operators.joins import null_safe_join
 
 WORD = r"[^\x20\x09-\x0D]+"
 SHARDS = 16
@@ -101,7 +102,7 @@ def mix(docs: DataFrame, shards: int = SHARDS, blocks_per_shard: int = BLOCKS_PE
     # Documents along their source in seeded order; words chosen up to a place x are
     # before(block of x) + min(part, x - start of block).
     laid = with_rank(sized, ["source"], [F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "size", "rid"], F.xxhash64(F.lit(seed + 1), "doc_id"), n_rows, "begin", weight="size")
-    laid = _null_safe_join(laid, plan, ["source"])
+    laid = null_safe_join(laid, plan, ["source"])
     laid = laid.withColumn("end", F.col("begin") + F.col("size"))
     for side, at in (("b", "begin"), ("e", "end")):
         block = F.least(F.floor(F.col(at) / F.col("block_len")), F.floor((F.greatest(F.col("source_size"), F.lit(1)) - 1) / F.col("block_len"))).cast("int")
@@ -120,7 +121,9 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     columns = docs.columns
     stored = materialise(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-docs")
-    plan = mix(stored.select(F.col("_mix_row").alias("rid"), "doc_id", "source", "text"), **options)
-    copies = plan.where("size > 0").select(F.col("rid").alias("_mix_row"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_mix_copies")).where("_mix_copies > 0")
+    with scratch(docs.sparkSession):
+        plan = mix(stored.select(F.col("_mix_row").alias("rid"), "doc_id", "source", "text"), **options)
+        copies = plan.where("size > 0").select(F.col("rid").alias("_mix_row"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_mix_copies"))
+        copies = materialise(copies.where("_mix_copies > 0"), "mix-copies", keep=True)
     out = stored.join(copies, "_mix_row").withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
     return out.select(*[F.col(f"`{c}`") for c in columns])

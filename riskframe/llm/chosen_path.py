@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import connected_components, materialise, with_row_ids
+from riskframe.llm.common import connected_components, materialise, scratch, small_batches, with_row_ids
 from riskframe.llm.groups import sorted_groups
 from riskframe.llm.words import mix, shingle_sets, text_chunks
 
@@ -263,6 +263,7 @@ def jaccard_join(docs: DataFrame, width: int = 5, target_recall: float = TARGET_
     One row per document: rid, doc_id, class_id, n_links (other documents at 0.8 or more, copies
     included), n_texts (linked documents' distinct shingle sets), n_copies, keeper (one row of each class).
     """
+    small_batches(docs.sparkSession)
     runs = runs_for(target_recall)
     n_slots = BRANCH * runs * _SLOTS
     rows = materialise(_sketch_rows(docs, width), "path-sketches")
@@ -308,13 +309,15 @@ def jaccard_join(docs: DataFrame, width: int = 5, target_recall: float = TARGET_
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``jaccard_join`` of a table (doc_id, text) without row ids of its own."""
-    return jaccard_join(with_row_ids(docs.select("doc_id", "text"), "path-docs"), **options)
+    with scratch(docs.sparkSession):
+        return materialise(jaccard_join(with_row_ids(docs.select("doc_id", "text"), "path-docs"), **options), "path-result", keep=True)
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of every class of near duplicates (smallest doc_id), columns unchanged."""
     columns = docs.columns
     stored = materialise(docs.withColumn("_path_row", F.monotonically_increasing_id()), "path-docs")
-    found = jaccard_join(stored.select(F.col("_path_row").alias("rid"), "doc_id", "text"), **options)
-    gone = found.where(~F.col("keeper")).select(F.col("rid").alias("_path_row"))
+    with scratch(docs.sparkSession):
+        found = jaccard_join(stored.select(F.col("_path_row").alias("rid"), "doc_id", "text"), **options)
+        gone = materialise(found.where(~F.col("keeper")).select(F.col("rid").alias("_path_row")), "path-gone", keep=True)
     return stored.join(gone, "_path_row", "left_anti").select(*[F.col(f"`{c}`") for c in columns])

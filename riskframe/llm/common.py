@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from riskframe.operators.joins import null_safe_join
 from riskframe.session import ensure_checkpoint_dir
 
 
@@ -16,26 +18,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+def materialise(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage at a stored table: a lost executor re-reads it, nothing is recomputed.
+    Inside ``scratch`` the table goes with the scope unless ``keep`` is set.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm-{tag}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    scopes = _scopes[:-1] if keep else _scopes
+    if scopes:
+        scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables materialised inside are deleted at the end; results leave as ``materialise(..., keep=True)``."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Hand texts to Python at most ``rows`` at a time: Spark's 10,000 would hold whole books in memory.
+
+    Lowers ``spark.sql.execution.arrow.maxRecordsPerBatch`` of the session if it is above ``rows``.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def with_row_ids(docs: DataFrame, tag: str) -> DataFrame:
     """``docs`` stored with a row id ``rid`` that later reads agree on."""
     return materialise(docs.withColumn("rid", F.monotonically_increasing_id()), tag)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def with_rank(df: DataFrame, groups: Sequence[str], order: Sequence[Column], spread: Column, n_rows: int, out: str,
               per_bucket: int = 4096, weight: str | None = None, tier: Column | None = None, n_tiers: int = 1) -> DataFrame:
     """Gapless rank (from 0) within ``groups``, or the running sum of ``weight`` before each row.
@@ -60,21 +87,14 @@ def with_rank(df: DataFrame, groups: Sequence[str], order: Sequence[Column], spr
     supers = supers.withColumn("_so", F.coalesce(F.sum("_sn").over(
         outer.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_sn")
     offsets = totals.withColumn("_io", F.coalesce(F.sum("_n").over(inner), F.lit(0)))
-    offsets = _null_safe_join(offsets, supers, [*groups, "_s"]).select(*keys, (F.col("_io") + F.col("_so")).alias("_o"))
+    offsets = null_safe_join(offsets, supers, [*groups, "_s"]).select(*keys, (F.col("_io") + F.col("_so")).alias("_o"))
     within = Window.partitionBy(*keys).orderBy(*order)
     if weight:
         before = F.coalesce(F.sum(weight).over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")
     else:
         before = (F.row_number().over(within) - 1).cast("long")
     ranked = keyed.withColumn("_r", before)
-    return _null_safe_join(ranked, offsets, keys).withColumn(out, (F.col("_r") + F.col("_o")).cast("long")).drop("_r", "_o", "_b")
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` in which null equals null; keeps the left key columns."""
-    renamed = right.select(*[F.col(k).alias(f"_k_{k}") if k in keys else F.col(k) for k in right.columns])
-    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    return left.join(renamed, cond, how).drop(*[f"_k_{k}" for k in keys])
+    return null_safe_join(ranked, offsets, keys).withColumn(out, (F.col("_r") + F.col("_o")).cast("long")).drop("_r", "_o", "_b")
 
 
 def connected_components(edges: DataFrame, tag: str, max_rounds: int = 40) -> DataFrame:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import _null_safe_join, materialise, with_rank
+from riskframe.llm.common import materialise, with_rank
 
 SHARDS = 16
 ROUNDS = 5

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskframe.llm import apportion, chosen_path, label_shards, license_dice, pq_dedup, spaced_seeds, text_density, token_blocks, toxicity_fst, weak_pii
-from riskframe.llm.common import table, with_row_ids
+from riskframe.llm.common import materialise, scratch, table, with_row_ids
 
 
 def op1_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,8 +39,10 @@ def op7_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = with_row_ids(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "mix-docs")
-    return apportion.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "source_blocks")
+    with scratch(spark):
+        docs = with_row_ids(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "mix-docs")
+        mixed = apportion.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "source_blocks")
+        return materialise(mixed, "mix-result", keep=True)
 
 
 def op9_pq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

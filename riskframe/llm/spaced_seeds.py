@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.common import small_batches
 from riskframe.llm.words import mix, split_words, text_chunks, word_hashes
 
 MASKS = ("1101011", "1110111", "110010111", "1011000111")
@@ -129,6 +130,7 @@ def test_blocks(tests: DataFrame, block_tokens: int = BLOCK_TOKENS):
 def detect(docs: DataFrame, tests: DataFrame, min_tokens: int = MIN_TOKENS, masks=MASKS, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Rows (doc_id, item_id, first_token, n_tokens, n_equal): the best overlap of every contaminated text and item."""
     spark = docs.sparkSession
+    small_batches(spark)
     schema = "doc_id long, item_id long, first_token long, n_tokens long, n_equal long"
     out = None
     for rows in test_blocks(tests, block_tokens):
@@ -152,6 +154,7 @@ def detect(docs: DataFrame, tests: DataFrame, min_tokens: int = MIN_TOKENS, mask
 def remove(docs: DataFrame, tests: DataFrame, min_tokens: int = MIN_TOKENS, masks=MASKS, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """``docs`` without its contaminated texts, all columns kept."""
     spark = docs.sparkSession
+    small_batches(spark)
     for rows in test_blocks(tests, block_tokens):
         shared = spark.sparkContext.broadcast(build_index(rows, masks))
 

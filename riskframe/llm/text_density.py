@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.common import small_batches
+
 # HTML vocabulary.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NEVER = frozenset("script style noscript template iframe object svg math canvas audio video map form button select textarea input label fieldset nav aside footer menu dialog head title frameset noframes".split())
@@ -213,6 +215,7 @@ def article_text(html: str | None) -> str:
 
 def main_text(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
+    small_batches(pages.sparkSession)
 
     @F.pandas_udf("string")
     def extract(html: pd.Series) -> pd.Series:

@@ -26,7 +26,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from riskframe.llm.common import small_batches
 from riskframe.llm.words import text_chunks, worker_state
 from riskframe.session import ensure_checkpoint_dir
 
@@ -127,8 +128,11 @@ def unpack_segment(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 # Letters of Latin-1 and a run of ASCII punctuation (no apostrophe): a piece of this form is cut
 # by the pre-tokenizer between the two, and lower-casing and normalising change nothing else.
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
-_CACHE_ENTRIES = 200_000
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]*"
+_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+_SIMPLE = f"^{_LETTERS}[{re.escape(_MARKS)}]*$"
+_CACHE_ENTRIES = 140_000
+_SLICE_PIECES = 100_000
 
 
 def _byte_alphabet() -> list[str]:
@@ -139,11 +143,11 @@ def _byte_alphabet() -> list[str]:
 
 
 class _Encoder:
-    """texts -> (ids, ids per text), equal to encoding every whole text.
+    """texts -> slices of (ids, ids per text), equal to encoding every whole text.
 
     The tokenizer's normaliser and pre-tokenizer never join across white space, so each different
     space-separated piece is encoded once, and texts are assembled from the pieces. Simple pieces go
-    to the tokenizer's model as letters and punctuation. Two generations of at most
+    to the tokenizer's model as a word and its marks. Two generations of at most
     ``_CACHE_ENTRIES`` parts each are kept between the tasks of a worker.
     """
 
@@ -154,52 +158,63 @@ class _Encoder:
         self.tok = Tokenizer.from_file(public_tokenizers.path(tokenizer_name))
         self.tok.encode_special_tokens = True
         self.model, self.alphabet = self.tok.model, _byte_alphabet()
-        self.new, self.old = {"": ()}, {}
+        self.new, self.old = {"": b""}, {}
 
-    def _part(self, word: str) -> tuple:
+    def _part(self, word: str) -> bytes:
+        """Ids of one word or run of marks, as little-endian 32-bit integers (a third of a tuple's memory)."""
         got = self.new.get(word)
         if got is None:
             got = self.old.get(word)
             if got is None:
                 shown = word if word.isascii() else "".join(self.alphabet[b] for b in word.encode())
-                got = tuple(t.id for t in self.model.tokenize(shown))
+                tokens = self.model.tokenize(shown)
+                got = pack(f"<{len(tokens)}I", *[t.id for t in tokens])
             if len(self.new) >= _CACHE_ENTRIES:
-                self.old, self.new = self.new, {"": ()}
+                self.old, self.new = self.new, {"": b""}
             self.new[word] = got
         return got
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         coded = pc.dictionary_encode(pc.list_flatten(lists))
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
-        pieces = coded.dictionary.to_pylist()
-        ids_of, other = [], []
-        for n, piece in enumerate(pieces):
-            m = _SIMPLE.fullmatch(piece)
-            if m is None:
-                other.append(n)
-                ids_of.append(())
-            else:
-                word, marks = m.groups()
-                got = self._part(word.lower())
-                ids_of.append(got + self._part(marks) if marks else got)
-        for n, e in zip(other, self.tok.encode_batch_fast([pieces[n] for n in other], add_special_tokens=False) if other else ()):
-            ids_of[n] = e.ids
-        n_ids = np.fromiter(map(len, ids_of), np.int64, len(ids_of))
-        flat = np.fromiter(chain.from_iterable(ids_of), np.int32, int(n_ids.sum()))
+        pieces = coded.dictionary
+        simple = pc.match_substring_regex(pieces, _SIMPLE)
+        words = pc.dictionary_encode(pc.if_else(simple, pc.utf8_rtrim(pc.utf8_lower(pieces), _MARKS), ""))
+        marks = pc.dictionary_encode(pc.if_else(simple, pc.replace_substring_regex(pieces, f"^{_LETTERS}", ""), ""))
+        other = pieces.filter(pc.invert(simple)).to_pylist()
+        # Parts: the different words, the different marks, the other pieces, the empty part. A piece is two of them.
+        parts = [self._part(w) for w in words.dictionary.to_pylist()] + [self._part(m) for m in marks.dictionary.to_pylist()]
+        first_other = len(parts)
+        parts += [np.asarray(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(other, add_special_tokens=False)] if other else []
+        parts.append(b"")
+        plain = simple.to_numpy(zero_copy_only=False)
+        head = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        tail = marks.indices.to_numpy(zero_copy_only=False).astype(np.int64) + len(words.dictionary)
+        head[~plain] = first_other + np.arange(len(other))
+        tail[~plain] = len(parts) - 1
+        n_ids = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        flat = np.frombuffer(b"".join(parts), "<i4")
         first = np.cumsum(n_ids) - n_ids
         which = coded.indices.to_numpy(zero_copy_only=False)
-        counts = n_ids[which]
-        at = np.concatenate([[0], np.cumsum(counts)])
-        ids = flat[np.repeat(first[which] - at[:-1], counts) + np.arange(at[-1])]
-        cuts = at[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])]
-        return ids, np.diff(cuts)
+        cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+        start = 0
+        while start < len(texts):  # assembled a slice of texts at a time, so the index arrays stay small
+            end = max(start + 1, int(np.searchsorted(cuts, cuts[start] + _SLICE_PIECES, side="right")) - 1)
+            seen = which[cuts[start]: cuts[end]]
+            part = np.stack([head[seen], tail[seen]], axis=1).ravel()
+            counts = n_ids[part]
+            at = np.concatenate([[0], np.cumsum(counts)])
+            ids = flat[np.repeat(first[part] - at[:-1], counts) + np.arange(at[-1])]
+            yield ids, np.diff(at[2 * (cuts[start: end + 1] - cuts[start])])
+            start = end
 
 
 def encode_segments(docs: DataFrame, tokenizer_name: str = "word_bpe_49k.json", end_id: int = END_ID,
                     percentile: float = PERCENTILE, segment_tokens: int = SEGMENT_TOKENS) -> DataFrame:
     """One row per PFOR segment, in ascending doc_id order over (part, segment)."""
+    small_batches(docs.sparkSession)
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,15 +240,17 @@ def encode_segments(docs: DataFrame, tokenizer_name: str = "word_bpe_49k.json",
             return row
 
         for batch in batches:
-            for chunk in text_chunks(batch, chars=16_000_000):
+            for chunk in text_chunks(batch, chars=5_000_000):
                 if tokenizer_name not in kept:
                     kept[tokenizer_name] = _Encoder(tokenizer_name)
-                got, n = kept[tokenizer_name].encode(chunk.column("text"))
-                with_end = np.insert(got, np.cumsum(n), end_id)
-                ids.append(with_end), lengths.append(n + 1), doc_ids.append(chunk.column("doc_id").cast(pa.int64()))
-                held += len(with_end)
-                if held >= segment_tokens:
-                    yield emit()
+                names = chunk.column("doc_id").cast(pa.int64())
+                done = 0
+                for got, n in kept[tokenizer_name].encode(chunk.column("text")):
+                    with_end = np.insert(got, np.cumsum(n), end_id)
+                    ids.append(with_end), lengths.append(n + 1), doc_ids.append(names.slice(done, len(n)))
+                    done, held = done + len(n), held + len(with_end)
+                    if held >= segment_tokens:
+                        yield emit()
         if held:
             yield emit()
 

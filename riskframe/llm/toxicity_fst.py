@@ -32,6 +32,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.common import materialise, small_batches
+
 # Seed vocabulary of the grammar.
 INSULTS = ("idiot", "stupid", "moron", "loser", "scum", "worthless", "pathetic", "disgusting", "trash", "clown", "imbecile", "vermin", "garbage")
 THREATS = ("kill", "hurt", "destroy", "stab", "shoot", "beat", "strangle")
@@ -198,8 +200,6 @@ def _evidence(pos, neg, n_pos, n_neg):
 
 def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, min_evidence: float = 24.0, min_forms: int = 6) -> ToxicityModel:
     """Fit the insult arcs and the curve on the bounded training sample."""
-    from riskframe.llm.common import materialise
-
     train = materialise(training_rows(docs, labels, train_rows), "tox-train")
     n_pos, n_neg = train.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0))).first()
     n_pos, n_neg = int(n_pos), int(n_neg)
@@ -245,6 +245,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray, penalty: float = 0.05, rounds: int =
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``docs`` with a column ``toxicity`` (0 to 1) from the text alone."""
+    small_batches(docs.sparkSession)
     @F.pandas_udf("double")
     def value(texts: pd.Series) -> pd.Series:
         return pd.Series(model.scores(model.values(pa.Array.from_pandas(texts, type=pa.string()))))

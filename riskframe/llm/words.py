@@ -72,7 +72,7 @@ def shingle_sets(texts: pa.Array, width: int = 5) -> list[np.ndarray]:
     return out
 
 
-def text_chunks(batch: pa.RecordBatch, column: str = "text", chars: int = 8_000_000):
+def text_chunks(batch: pa.RecordBatch, column: str = "text", chars: int = 4_000_000):
     """Slices of a batch holding about ``chars`` bytes of text each, so memory does not follow row size."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     start = 0
@@ -81,6 +81,7 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text", chars: int = 8_000_
         end = max(start + 1, int(np.searchsorted(size, base + chars, side="right")))
         yield batch.slice(start, end - start)
         start = end
+    pa.default_memory_pool().release_unused()  # workers are kept between tasks; what they hold back adds up
 
 
 def worker_state() -> dict:
