@@ -78,3 +78,41 @@ def _leaf_value(tree, x):
     while tree.left[node] >= 0:
         node = tree.left[node] if x[tree.feature[node]] <= tree.threshold[node] else tree.right[node]
     return tree.value[node]
+
+
+def test_grids_blend_and_boards_of_trained_models(spark):
+    from riskframe.plans import modeling as mdl
+
+    sf = "/root/testdata/sf0.001"
+    tables = [mdl.forest_grid(spark, sf, {"n_estimators": [3], "max_depth": [None], "min_samples_leaf": [5], "min_samples_split": [10, 20]}),
+              mdl.boosted_grid(spark, sf, {"n_estimators": [2], "learning_rate": [0.05], "num_leaves": [7], "min_child_samples": [5]}),
+              mdl.network_grid(spark, sf, {"hidden_dims": [(4, 3)], "dropout": [0.2], "learning_rate": [0.001], "epochs": [3]})]
+    assert [t.count() for t in tables] == [2, 1, 1]
+    assert [len(tr.expand_grid(g)) for g in (mdl.LOGISTIC_GRID, mdl.FOREST_GRID, mdl.BOOSTED_GRID, mdl.NETWORK_GRID)] == [3, 24, 24, 24]
+    sweep = mdl.hybrid_sweep(spark, sf, n_iter=2).collect()
+    assert len(sweep) == 5 and sweep[0].roc_auc >= sweep[-1].roc_auc
+    board = {(r.kind, r.model) for r in mdl.trained_leaderboard(spark, sf, n_iter=2).collect()}
+    assert board == {(k, m) for k in ("default", "tuned") for m in ("boosted_trees", "logistic_regression", "hybrid")}
+    losses = [x for _, x in mdl.network_history(mdl.train_network(spark, sf, (4, 3), max_iter=5)[0])]
+    assert len(losses) > 1 and losses[-1] <= losses[0]
+
+
+def test_label_guard_and_reorder(spark):
+    import pytest
+    from riskframe.plans import modeling as mdl
+
+    a = spark.createDataFrame([(1, 0, 0.2), (2, 1, 0.7)], "k long, label int, score double")
+    b = spark.createDataFrame([(1, 0, 0.3), (2, 0, 0.6)], "k long, label int, score double")
+    assert met.align_scores(a, a, ["k"]).count() == 2
+    with pytest.raises(Exception, match="labels of the two score tables differ"):
+        met.align_scores(a, b, ["k"]).collect()
+    got = mdl.reorder(spark.createDataFrame([("x", 1), ("y", 2)], "experiment string, v int"), ["y", "z", "x"]).collect()
+    assert [(r.experiment, r.v) for r in got] == [("y", 2), ("z", None), ("x", 1)]
+
+
+def test_sparse_one_hot(spark):
+    from riskframe.operators import prepare as prep
+
+    df = spark.createDataFrame([(i, f"c{i % 1500}") for i in range(3000)] + [(-1, None)], "k int, c string")
+    rows = prep.one_hot_vectors(df, ["c"]).collect()
+    assert {r.c_onehot.size for r in rows} == {1501} and all(r.c_onehot.values.tolist() == [1.0] for r in rows)
