@@ -41,11 +41,10 @@ def main():
     shown = {
         "applicant_features (flagship)": q.applicant_features(spark, sf_dir),
         "ranking metrics (AUC / AP per model)": met.ranking_metrics(q.model_scores(spark, sf_dir), ["model"]),
-        "threshold sweep (19 thresholds, one pass)": met.threshold_table(
-            q.model_scores(spark, sf_dir), met.report_grid(), ["model"], with_ranking=False),
-        "exact quantiles, bracket path (lineitem prices by return flag)": exact_quantiles(
-            q.returned_lines(spark, sf_dir), ["l_extendedprice"], [0.25, 0.5, 0.75], ["is_returned"],
-            small_budget=0),
+        "threshold sweep (19 thresholds, one pass) with ranking": met.threshold_table(
+            q.model_scores(spark, sf_dir), met.report_grid(), ["model"]),
+        "exact quantiles, last step over the stored bands (lineitem prices by return flag)": exact_quantiles(
+            q.returned_lines(spark, sf_dir), ["l_extendedprice"], [0.25, 0.5, 0.75], ["is_returned"]),
         "instalment roll-up": tpch.installments_family(spark, sf_dir),
     }
     for title, df in shown.items():
