@@ -214,7 +214,7 @@ class _Encoder:
 def encode_segments(docs: DataFrame, tokenizer_name: str = "word_bpe_49k.json", end_id: int = END_ID,
                     percentile: float = PERCENTILE, segment_tokens: int = SEGMENT_TOKENS) -> DataFrame:
     """One row per PFOR segment, in ascending doc_id order over (part, segment)."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 4000)
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +240,7 @@ def encode_segments(docs: DataFrame, tokenizer_name: str = "word_bpe_49k.json",
             return row
 
         for batch in batches:
-            for chunk in text_chunks(batch, chars=5_000_000):
+            for chunk in text_chunks(batch, chars=10_000_000):
                 if tokenizer_name not in kept:
                     kept[tokenizer_name] = _Encoder(tokenizer_name)
                 names = chunk.column("doc_id").cast(pa.int64())
