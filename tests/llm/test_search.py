@@ -106,6 +106,23 @@ def test_license_equals_brute_force(spark):
     assert got == want and (2, "MIT") in got and (9, "GPL-2.0") in got
 
 
+def test_license_inside_long_documents(spark):
+    names, texts = zip(*license_dice.TEMPLATES)
+    long = [(n, t) for n, t in license_dice.TEMPLATES if len(license_dice.bigrams(t)) >= license_dice.LONG]
+    assert {"MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"} <= {n for n, _ in long}
+    prose = lambda k, n=400: " ".join(f"p{k}x{i}" for i in range(n))
+    wrap = lambda t, n=9: "\n".join(" ".join(t.split()[i: i + n]) for i in range(0, len(t.split()), n))
+    mit = names.index("MIT", 3)
+    docs = [prose(0) + "\n\n" + texts[mit].replace(": The above", ":\n\nThe above").replace(". THE", ".\n\nTHE") + "\n\n" + prose(1)]  # paragraphs in a long document
+    docs += [prose(2) + "\n" + wrap(t) + "\nint main ( ) " + prose(3) for _, t in long]  # hard-wrapped, code directly after it
+    docs += [prose(4) + " " + t + " " + prose(5) for _, t in long]  # in the middle of a line
+    docs += [prose(6) + "\n" + wrap(texts[mit]) + "\n" + prose(7, 30) + "\n" + wrap(texts[mit]) + "\n" + prose(8), prose(9) + " " + " ".join(texts[mit].split()[:60]) + " " + prose(10)]
+    rows = license_dice.scan(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()
+    want = {(i, n): (1.0, 1) for i, n in enumerate(["MIT", *[n for n, _ in long] * 2])} | {(len(docs) - 2, "MIT"): (1.0, 2)}
+    want[next(i for i, n in want if n == "Apache-2.0"), "Apache-2.0"] = (1.0, 2)  # its first wrapped line is a short notice too
+    assert {(r.doc_id, r.license): (r.dice, r.n_units) for r in rows} == want
+
+
 def test_license_awkward(awkward, no_docs):
     assert license_dice.scan(awkward).count() == 0 and license_dice.scan(no_docs).count() == 0
 
