@@ -4,9 +4,14 @@ A mask such as ``1101011`` keeps the token positions marked 1 and ignores the re
 still hashes alike when an ignored token was replaced. Every window of every test item is hashed
 under each mask; the windows of the training texts are looked up in those hashes, and around each
 hit the test item and the text are compared token by token on the same diagonal. The overlap is
-the segment with the highest sum of +1 for an equal and -4 for a replaced token, that is, one
-which stays at 80 % equal tokens or more. A text is contaminated by an item if the overlap has at
-least ``min_tokens`` equal tokens, or for a shorter item 80 % of all its tokens.
+the segment with the most equal tokens among all that hold 80 % equal tokens or more, without the
+replaced tokens at its ends. A text is contaminated by an item if the overlap has at least
+``min_tokens`` equal tokens, or for a shorter item 80 % of all its tokens.
+
+Items shorter than the longest mask are also looked up whole, each with one token left out in turn:
+below ten tokens 80 % allow one replaced token. Items of fewer than ``SHORTEST`` words are not looked
+up; single everyday words and phrases would match. Of longer items a mask may miss an overlap whose
+replaced tokens lie on its kept positions everywhere.
 
 Test items are taken in blocks of about ``block_tokens`` tokens; only one block (its words and
 hashes) is sent to the tasks at a time, so what is broadcast is bounded whatever the test set's
@@ -33,6 +38,7 @@ from riskframe.llm.words import mix, split_words, text_chunks, word_hashes
 MASKS = ("1101011", "1110111", "110010111", "1011000111")
 MIN_TOKENS = 10
 BLOCK_TOKENS = 1_000_000
+SHORTEST = 5
 _MISS = -4
 
 
@@ -56,10 +62,15 @@ def build_index(items: list[tuple[int, str]], masks=MASKS) -> dict:
     owner = np.repeat(np.arange(len(items)), np.diff(offsets))
     index = {"ids": np.array([i for i, _ in items], np.int64), "offsets": offsets, "codes": codes,
              "known": np.unique(codes), "masks": list(masks), "tables": []}
-    for salt, mask in enumerate(masks):
+    lengths = np.diff(offsets)
+    short = [n for n in np.unique(lengths).tolist() if SHORTEST <= n < max(map(len, masks), default=0)]
+    index["masks"] += ["1" * k + "0" + "1" * (n - k - 1) for n in short for k in range(n)]
+    for salt, mask in enumerate(index["masks"]):
         h = _window_hashes(codes, mask, salt)
         at = np.arange(len(h))
         whole = owner[at] == owner[at + len(mask) - 1] if len(h) else np.empty(0, bool)  # not across items
+        if salt >= len(masks) and len(h):
+            whole &= lengths[owner[at]] == len(mask)
         h, at = h[whole], at[whole]
         order = np.argsort(h, kind="stable")
         index["tables"].append((h[order], at[order], len(mask)))
@@ -67,12 +78,13 @@ def build_index(items: list[tuple[int, str]], masks=MASKS) -> dict:
 
 
 def _best_segment(equal: np.ndarray) -> tuple[int, int, int]:
-    """(first, length, equal tokens) of the highest-scoring segment of a diagonal."""
-    gain = np.concatenate([[0], np.cumsum(np.where(equal, 1, _MISS))])
-    low = np.minimum.accumulate(gain)
-    end = int(np.argmax(gain - low))
-    first = int(np.flatnonzero(gain[: end + 1] == low[end])[-1])
-    return first, end - first, int(equal[first:end].sum())
+    """(first, length, equal tokens) of the segment with the most equal tokens among those of 80 % or more."""
+    gain = np.concatenate([[0], np.cumsum(np.where(equal, 1, _MISS))])  # not less at the end than at the start: 80 %
+    count = np.concatenate([[0], np.cumsum(equal)])
+    first = np.searchsorted(-np.minimum.accumulate(gain), -gain)  # the earliest start for each end
+    end = int(np.argmax(count - count[first]))
+    kept = first[end] + np.flatnonzero(equal[first[end]: end])
+    return (int(kept[0]), int(kept[-1] - kept[0] + 1), len(kept)) if len(kept) else (0, 0, 0)
 
 
 def find_overlaps(texts: pa.Array, index: dict, min_tokens: int = MIN_TOKENS) -> list[tuple[int, int, int, int, int]]:

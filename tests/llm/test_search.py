@@ -79,6 +79,34 @@ def test_masks_hit_every_window_with_two_substitutions():
         assert any(all(s + o not in bad for o in spaced_seeds._offsets(m)) for m in spaced_seeds.MASKS for s in range(13 - len(m) + 1))
 
 
+def test_best_segment_equals_brute_force():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        equal = rng.random(rng.integers(1, 30)) < rng.choice([0.3, 0.7, 0.85])
+        most = max((int(equal[i:j].sum()) for i in range(len(equal)) for j in range(i + 1, len(equal) + 1) if 5 * equal[i:j].sum() >= 4 * (j - i)), default=0)
+        first, length, n = spaced_seeds._best_segment(equal)
+        assert n == most == equal[first: first + length].sum() and 5 * n >= 4 * length
+
+
+@pytest.mark.parametrize("words, replaced, least", [(5, 1, 1), (6, 1, 1), (7, 1, 1), (8, 1, 1), (9, 1, 1), (10, 1, 0.9), (12, 1, 1), (15, 2, 0.9), (15, 3, 0.9), (20, 3, 0.9), (20, 4, 0.9), (40, 8, 0.9)])
+def test_whole_copies_with_replaced_words_are_found(words, replaced, least):
+    rnd = random.Random(words * 100 + replaced)
+    items = [[f"i{i}w{k}" for k in range(words)] for i in range(300)]
+    texts = []
+    for w in items:
+        bad = rnd.sample(range(words), replaced)
+        texts.append(" ".join(["before", "it"] + [f"new{k}" if k in bad else x for k, x in enumerate(w)] + ["behind"]))
+    index = spaced_seeds.build_index([(i, " ".join(w)) for i, w in enumerate(items)])
+    found = {(t, i): n for t, i, _, _, n in spaced_seeds.find_overlaps(pa.array(texts), index)}
+    assert set(found) <= {(i, i) for i in range(300)} and len(found) >= least * 300
+
+
+def test_short_items_need_80_percent():
+    index = spaced_seeds.build_index([(1, "a b c d e"), (2, "k l m n o p")])
+    texts = pa.array(["x a b c d e", "a b x d e", "a x c x e", "k l m n o x", "k l m x x p"])
+    assert sorted(spaced_seeds.find_overlaps(texts, index)) == [(0, 0, 1, 5, 5), (1, 0, 0, 5, 4), (3, 1, 0, 5, 5)]
+
+
 def test_leaks_awkward(awkward, no_docs, spark):
     tests = spark.createDataFrame([(1, "one two three four"), (None, "a text of no known number at all here"), (3, None)], "item_id long, text string")
     got = spaced_seeds.detect(awkward, tests).collect()
