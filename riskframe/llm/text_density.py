@@ -1,7 +1,12 @@
 """Main text of HTML pages by composite text density.
 
 A page becomes a tree of elements. Elements that are never article text (by tag, role, class or
-id, or hidden) are left out. For every other node the composite density is
+id, or hidden) are left out. A class, id or role counts if its first or last word is boilerplate and
+none says that something is there or not (``has-sidebar``, ``no-comments``). Headings and paragraphs
+are never left out by name, nor are sections, or parts of an article, by an id that may be a topic's
+anchor. A form or named element stays if it holds most of the body's characters outside links and no
+``article`` or ``main`` with text lies outside it, nor an ``h1`` if it is named after readers' comments.
+For every other node the composite density is
 
     C / T * log(C / LC * T / LT) / log(ln(C / (C - LC) * LC + LCb / Cb * C + e))
 
@@ -33,7 +38,7 @@ from riskframe.llm.common import small_batches
 
 # HTML vocabulary.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NEVER = frozenset("script style noscript template iframe object svg math canvas audio video map form button select textarea input label fieldset nav aside footer menu dialog head title frameset noframes".split())
+NEVER = frozenset("script style noscript template iframe object svg math canvas audio video map button select textarea input label fieldset nav aside footer menu dialog head title frameset noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure figcaption footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
@@ -45,17 +50,21 @@ BOILERPLATE = frozenset((
     "footer topbar toolbar cookie cookies consent gdpr notice notices notification alert popup modal overlay paywall newsletter subscribe subscription signup login comment comments commentlist "
     "respond disqus discussion replies reply share sharing social related recommended recommendations widget widgets pagination pager skip copyright legal disclaimer search searchbox "
     "complementary contentinfo search form").split())
+REPLIES = frozenset("comment comments commentlist respond disqus discussion replies reply".split())
+STATES = frozenset("has have no not non without with is show hide hidden allow enable enabled disable disabled".split())
+# As an id these may name a topic of the text; as whole values the others hardly do.
+TOPICS = frozenset("discussion related legal notice notices disclaimer copyright search share sharing social promotion banner menu navigation alert notification subscription consent cookies recommendations recommended reply replies form skip widgets advertising advertisement gdpr".split())
 _TOKEN = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class _Tree(HTMLParser):
-    """Elements and texts as flat lists: parent, tag, dropped flag; texts carry their node and order."""
+    """Elements and texts as flat lists: parent, tag, dropped flag, boilerplate words; texts carry their node and order."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.tag, self.parent, self.dropped, self.items = ["#page"], [-1], [False], []
+        self.tag, self.parent, self.dropped, self.named, self.items = ["#page"], [-1], [False], [frozenset()], []
         self.stack = [0]
 
     def _open(self, tag, attrs):
@@ -64,6 +73,7 @@ class _Tree(HTMLParser):
         self.tag.append(tag)
         self.parent.append(up)
         self.dropped.append(self.dropped[up] or self._never(tag, attrs))
+        self.named.append(frozenset() if self.dropped[node] else self._names(tag, attrs))
         self.items.append((node, None))
         return node
 
@@ -74,20 +84,33 @@ class _Tree(HTMLParser):
             return False
         if tag == "header":  # a page's header goes; an article's own keeps its headings (see article_text)
             return not any(self.tag[n] in ("article", "main") for n in self.stack)
-        names = set()
         for key, value in attrs:
-            if key == "hidden":
+            if key == "hidden" or key == "style" and value and _HIDDEN.search(value) or key == "aria-hidden" and value == "true":
                 return True
-            if value and key in ("class", "id", "role"):
-                names.update(_TOKEN.findall(value.lower()))
-            elif key == "style" and value and _HIDDEN.search(value):
-                return True
-            elif key == "aria-hidden" and value == "true":
-                return True
-        hit = names & BOILERPLATE
+        return False
+
+    def _names(self, tag, attrs):
+        """The boilerplate words by which an element goes, unless it holds most of the page (see article_text)."""
+        if tag == "form":
+            return frozenset(("form",))
+        if tag in ("html", "body", "header", "p") or tag in HEADINGS:
+            return frozenset()
+        anchors = tag == "section" or any(self.tag[n] in ("article", "main") for n in self.stack)
+        hit = set()
+        for key, value in attrs:
+            if not value or key not in ("class", "id", "role"):
+                continue
+            for name in value.lower().split():
+                words = _TOKEN.findall(name)
+                if not words or STATES.intersection(words):
+                    continue
+                if key == "id" and anchors:
+                    hit.update(BOILERPLATE.difference(TOPICS).intersection(words) if BOILERPLATE.issuperset(words) else ())
+                else:
+                    hit.update(BOILERPLATE.intersection((words[0], words[-1])))
         if tag in ("article", "main"):
-            return bool(hit & {"comment", "comments", "ad", "ads", "advert", "related", "promo", "sponsored"})
-        return bool(hit)
+            hit &= {"comment", "comments", "ad", "ads", "advert", "related", "promo", "sponsored"}
+        return frozenset(hit)
 
     def handle_starttag(self, tag, attrs):
         if tag in ("html", "body") and tag in (self.tag[n] for n in self.stack):
@@ -127,6 +150,26 @@ class _Tree(HTMLParser):
             self.items.append((node, data))
 
 
+def _drop_named(tree: _Tree) -> None:
+    """Drop the elements named as boilerplate, but for those which hold most of the page."""
+    tag, parent, n = tree.tag, tree.parent, len(tree.tag)
+    if any(tree.named):
+        in_link, plain, homes, titles = [False] * n, [0] * n, [0] * n, [0] * n
+        for i in range(1, n):
+            in_link[i] = in_link[parent[i]] or tag[i] == "a"
+        for node, text in tree.items:
+            if text is not None and not in_link[node]:
+                plain[node] += len(_SPACE.sub("", text))
+        for i in range(n - 1, 0, -1):
+            homes[i] += plain[i] > 0 and tag[i] in ("article", "main")
+            titles[i] += plain[i] > 0 and tag[i] == "h1"
+            for count in (plain, homes, titles):
+                count[parent[i]] += count[i]
+        for i in range(1, n):
+            most = 2 * plain[i] > plain[0] and homes[i] == homes[0] and (titles[i] == titles[0] or not tree.named[i] & REPLIES)
+            tree.dropped[i] = tree.dropped[i] or tree.dropped[parent[i]] or bool(tree.named[i]) and not most
+
+
 def article_text(html: str | None) -> str:
     """The main text of one page."""
     if not html:
@@ -135,13 +178,14 @@ def article_text(html: str | None) -> str:
     tree.feed(html)
     tree.close()
     tag, parent, dropped, n = tree.tag, tree.parent, tree.dropped, len(tree.tag)
+    _drop_named(tree)
     in_link, in_header = [False] * n, [False] * n
     for i in range(1, n):
         in_link[i] = in_link[parent[i]] or tag[i] == "a"
         in_header[i] = (in_header[parent[i]] or tag[i] == "header") and tag[i] not in HEADINGS
     chars, link_chars, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     for node, text in tree.items:
-        if text is not None and not in_header[node]:
+        if text is not None and not in_header[node] and not dropped[node]:
             size = len(_SPACE.sub("", text))
             chars[node] += size
             link_chars[node] += size * in_link[node]

@@ -23,6 +23,23 @@ def test_article_text(html):
     assert text_density.article_text(html) == CASES[html]
 
 
+_TEXT = "A sentence of the article that is long enough to count."
+KEPT = {
+    f"<body><div class='content has-sidebar'><h1>T</h1><p>{_TEXT}</p></div><div class='sidebar'><p>x y</p></div></body>": f"T\n{_TEXT}",
+    f"<body><div class='post no-comments'><h1>T</h1><p>{_TEXT}</p></div></body>": f"T\n{_TEXT}",
+    f"<body><form id='aspnetForm'><div class='body'><h1>T</h1><p>{_TEXT}</p></div><div class='left-sidebar'><p>x y</p></div></form></body>": f"T\n{_TEXT}",
+    f"<body><div class='sidebar-layout'><h1>T</h1><p>{_TEXT}</p><div class='newsletter'>Sign up</div></div></body>": f"T\n{_TEXT}",
+    f"<article><p>{_TEXT}</p><section id='discussion'><h2>Discussion</h2><p>{_TEXT}</p></section><h2 id='related-work'>Related</h2><p id='search-terms'>Terms</p><div id='comments'>nice</div></article>": f"{_TEXT}\nDiscussion\n{_TEXT}\nRelated\nTerms",
+    f"<body><div class='ad'>{_TEXT} {_TEXT}</div><article><h1>T</h1><p>Short.</p></article></body>": "T\nShort.",
+    f"<body><div class='post'><h1>T</h1><p>{_TEXT}</p></div><div class='comments'><p>{_TEXT}</p><p>{_TEXT}</p><p>{_TEXT}</p></div></body>": f"T\n{_TEXT}",
+}
+
+
+@pytest.mark.parametrize("html", list(KEPT))
+def test_names_drop_boilerplate_only(html):
+    assert text_density.article_text(html) == KEPT[html]
+
+
 def test_pages_equal_their_article_elements(spark):
     import html as entities
 
