@@ -32,6 +32,8 @@ SHARDS = 16
 BLOCKS_PER_SHARD = 1024
 MAX_EPOCHS = 3
 SEED = 20240229
+_UNIT = 1 << 24
+_TIERS = 32
 
 
 def source_targets(sizes: DataFrame, weight_cycle: int = 3, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -115,15 +117,27 @@ def mix(docs: DataFrame, shards: int = SHARDS, blocks_per_shard: int = BLOCKS_PE
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` as the mix holds them: each row taken / size times, rounded to whole rows; columns unchanged.
+    """``docs`` as the mix holds them: each row taken / size times, in whole rows; columns unchanged.
 
+    The shares taken / size are rounded as running sums along each source, larger rows first (by powers
+    of two, hash bucket, size and seed), so a row comes the whole number below or above its share
+    times. What one row is rounded by is made up by the next of about its size, and a source's words
+    stay within half its largest row of the target where one bucket holds a power of two's rows.
     Rows of size 0 are never taken.
     """
     columns = docs.columns
+    seed = options.get("seed", SEED)
     stored = materialise(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-docs")
     with scratch(docs.sparkSession):
         plan = mix(stored.select(F.col("_mix_row").alias("rid"), "doc_id", "source", "text"), **options)
-        copies = plan.where("size > 0").select(F.col("rid").alias("_mix_row"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_mix_copies"))
+        # Shares in fixed point, so that running sums don't depend on their order.
+        shares = plan.where("size > 0").select("rid", "doc_id", "source", "size", F.round(F.lit(float(_UNIT)) * F.col("taken") / F.col("size")).cast("long").alias("share"))
+        shares = materialise(shares, "mix-shares")
+        tier = F.greatest(F.lit(0), F.lit(_TIERS - 1) - F.floor(F.log2("size")).cast("int"))
+        laid = with_rank(shares, ["source"], [F.col("size").desc(), F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "rid"], F.xxhash64(F.lit(seed + 2), "doc_id"),
+                         shares.count(), "before", weight="share", tier=tier, n_tiers=_TIERS)
+        whole = lambda x: F.shiftright(x + _UNIT // 2, _UNIT.bit_length() - 1)
+        copies = laid.select(F.col("rid").alias("_mix_row"), (whole(F.col("before") + F.col("share")) - whole(F.col("before"))).cast("int").alias("_mix_copies"))
         copies = materialise(copies.where("_mix_copies > 0"), "mix-copies", keep=True)
     out = stored.join(copies, "_mix_row").withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
     return out.select(*[F.col(f"`{c}`") for c in columns])

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from riskframe.llm import apportion, token_blocks
 from riskframe.llm.common import table, with_row_ids
@@ -106,6 +107,17 @@ def test_mix_meets_targets(spark):
     assert again == sorted((r.doc_id, r.taken) for r in rows)
 
 
+@pytest.mark.parametrize("sf, error", [("sf0.01", 0.15), ("sf0.1", 0.06)])
+def test_whole_rows_meet_targets(spark, sf, error):
+    docs = table(spark, f"/root/testdata/{sf}", "documents")
+    size = F.coalesce(F.regexp_count("text", F.lit(apportion.WORD)), F.lit(0)).cast("long")
+    target = {r.source: r.target for r in apportion.source_targets(docs.select("source", size.alias("size"))).collect()}
+    largest = {r.source: r.m for r in docs.groupBy("source").agg(F.max(size).alias("m")).collect()}
+    got = {r.source: r.n for r in apportion.mixed_documents(docs).groupBy("source").agg(F.sum(size).alias("n")).collect()}
+    assert all(abs(got.get(s, 0) - t) <= max(0.5 * largest[s] + 1, 0.01 * t) for s, t in target.items())
+    assert all(abs(got.get(s, 0) / t - 1) <= error for s, t in target.items())
+
+
 def test_mix_awkward(awkward, no_docs, spark):
     rows = apportion.mix(awkward.select("doc_id", "source", "text").withColumn("rid", __import__("pyspark").sql.functions.monotonically_increasing_id())).collect()
     assert len(rows) == 11 and sum(r["size"] for r in rows) > 30_000
