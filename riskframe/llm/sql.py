@@ -61,4 +61,54 @@ SELECT vec_id, coalesce(deg.n, 0) AS n_links, coalesce(c, vec_id) AS component_i
 FROM embeddings LEFT JOIN cls ON vec_id = cls.a LEFT JOIN deg ON vec_id = deg.a
 """
 
-ORACLE: dict[str, str] = {"op4_license_dice": _OP4, "op9_pq_near_duplicates": _OP9, "op10_chosen_path_join": _OP10}
+# Every kept term in every group, every pair of groups of a language.
+_OP11 = """
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+occ AS (SELECT rid, lang, source, unnest(regexp_extract_all(x, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM occ GROUP BY lang, term HAVING count(DISTINCT rid) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+cells AS (SELECT lang, source, term, count(*) AS n FROM occ SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+tot AS (SELECT lang, source, sum(n) AS total FROM cells GROUP BY lang, source),
+grid AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(t.total, 0) + 2 * v.v) AS p,
+  1 + (1000000000::HUGEINT * (k.n + 2)) // (v.total + 2 * v.v) AS q
+  FROM g JOIN kept k USING (lang) JOIN v USING (lang) LEFT JOIN cells c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+  LEFT JOIN tot t ON t.lang = g.lang AND t.source = g.source),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM grid WHERE n > 0 AND p > q),
+both_parts AS (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+SELECT lang, source, part, item, value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM both_parts QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
+def _op12(rounds: int = 4) -> str:
+    """Every part against every entry; vectors of one length that 4 divides."""
+    steps = ["""
+WITH v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+c AS MATERIALIZED (SELECT rid, (j - 1) // (n // 4) AS k, (j - 1) % (n // 4) AS i, x FROM (SELECT rid, len(v) AS n, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM v)),
+b0 AS MATERIALIZED (SELECT k, rid - 1 AS e, i, x FROM c WHERE rid <= 256)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+d{r} AS (SELECT c.rid, c.k, b.e, sum((c.x - b.x) * (c.x - b.x))::BIGINT AS d FROM c JOIN b{r} b ON c.k = b.k AND c.i = b.i GROUP BY c.rid, c.k, b.e),
+a{r} AS MATERIALIZED (SELECT rid, k, min(struct_pack(d := d, e := e)) AS m FROM d{r} GROUP BY rid, k)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} AS (SELECT c.k, a.m.e AS e, c.i, (sum(c.x)::BIGINT - (sum(c.x)::BIGINT % count(*) + count(*)) % count(*)) // count(*) AS x FROM c JOIN a{r} a ON c.rid = a.rid AND c.k = a.k GROUP BY c.k, a.m.e, c.i),
+b{r + 1} AS MATERIALIZED (SELECT b.k, b.e, b.i, coalesce(m.x, b.x) AS x FROM b{r} b LEFT JOIN m{r} m ON b.k = m.k AND b.e = m.e AND b.i = m.i)""")
+    last = f"""
+coded AS (SELECT rid, string_agg(printf('%02x', m.e), '' ORDER BY k) AS code, sum(m.d)::BIGINT AS error FROM a{rounds} GROUP BY rid)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY k, e, i)) FROM b{rounds}) AS codebooks_sha256
+FROM v JOIN coded USING (rid)
+"""
+    return ",".join([*steps, last])
+
+
+ORACLE: dict[str, str] = {"op4_license_dice": _OP4, "op9_pq_near_duplicates": _OP9, "op10_chosen_path_join": _OP10,
+                          "op11_packed_term_audit": _OP11, "op12_slice_codes": _op12()}
