@@ -174,3 +174,14 @@ def write_json(spark: SparkSession, obj, path: str) -> None:
 
 def read_json(spark: SparkSession, path: str):
     return json.loads(spark.read.text(path, wholetext=True).first().value)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _file(spark, path)
+    return fs.exists(where)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder that this library wrote; nothing happens where there is none."""
+    fs, where = _file(spark, path)
+    fs.delete(where, True)
