@@ -146,10 +146,13 @@ def grid_search(build, grid: dict, train: DataFrame, valid: DataFrame, key: str,
     long = scored[0]
     for s in scored[1:]:
         long = long.unionByName(s)
-    res = met.binary_metrics(long, 0.5, ["grid_index"])
-    spark = train.sparkSession
-    params = spark.createDataFrame([(i, str(p)) for i, p in enumerate(points)], "grid_index int, params string")
-    table = (res.join(F.broadcast(params), "grid_index")  # one row per grid point
-             .orderBy(F.desc("average_precision"), F.desc("roc_auc"), "grid_index"))
+    table = grid_table(long, points)
     best = table.first()
     return table, points[best.grid_index], models[best.grid_index]
+
+
+def grid_table(scores: DataFrame, points: Sequence[dict]) -> DataFrame:
+    """Metrics of all grid points (column ``grid_index`` of the validation scores), best first."""
+    params = scores.sparkSession.createDataFrame([(i, str(p)) for i, p in enumerate(points)], "grid_index int, params string")
+    return (met.binary_metrics(scores, 0.5, ["grid_index"]).join(F.broadcast(params), "grid_index")  # one row per grid point
+            .orderBy(F.desc("average_precision"), F.desc("roc_auc"), "grid_index"))

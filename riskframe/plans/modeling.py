@@ -8,14 +8,20 @@ the original pipeline's; model columns carry safe names.
 
 from __future__ import annotations
 
+import functools
+import operator
+from dataclasses import dataclass
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.exprs import blend
 from riskframe.operators import attribution as attr
+from riskframe.operators import binning, boosting
 from riskframe.operators import metrics as met
 from riskframe.operators import prepare as prep
-from riskframe.operators.profile import missing_profile
+from riskframe.operators.profile import class_weights, missing_profile
 from riskframe.operators import train as tr
 from riskframe.operators.naming import safe_name_list
 from riskframe.plans import tpch
@@ -48,7 +54,7 @@ BOOSTED_GRID = {"n_estimators": [300, 500], "learning_rate": [0.03, 0.05], "num_
 NETWORK_GRID = {"hidden_dims": [(256, 128), (128, 64), (256, 64)], "dropout": [0.2, 0.3], "learning_rate": [0.001, 0.0005], "epochs": [15, 20]}
 # The registered queries train smaller models than the defaults below so that each ends within
 # minutes on one machine; the defaults are the original sizes.
-QUERY_TREES, QUERY_ROUNDS, QUERY_HIDDEN = 50, 50, (32, 8)
+QUERY_TREES, QUERY_ROUNDS, QUERY_HIDDEN, QUERY_GRID_ROUNDS = 50, 50, (32, 8), [6, 10]
 
 _STORED: dict[tuple, DataFrame] = {}
 
@@ -69,18 +75,68 @@ def split_frames(spark: SparkSession, sf_dir: str):
     return feats, prep.select_part(feats, split, KEY, "train"), prep.select_part(feats, split, KEY, "validation")
 
 
-def ready(spark: SparkSession, sf_dir: str, scale: bool, columns: list[str] | None = None):
+@dataclass
+class Ready:
+    """Stored train and validation vectors, with what their columns are."""
+
+    train: DataFrame
+    valid: DataFrame
+    names: list[str]  # model features
+    origin: list[str]  # the applicant column that each model feature comes from
+    raw: list[str]
+    dropped: list[str]
+
+
+_READY: dict[tuple, Ready] = {}
+
+
+def prepared(spark: SparkSession, sf_dir: str, scale: bool) -> Ready:
+    """The ready tables of one profile, fitted on the train part once per session.
+
+    Every statistic of the preparation belongs to one column, so a feature subset's ready table is
+    a choice of these columns: no run over fewer columns needs a fit of its own.
+    """
+    at = (spark.sparkContext.applicationId, sf_dir, scale)
+    if at not in _READY:
+        _feats, train, valid = split_frames(spark, sf_dir)
+        rt, rv, spec, dropped = prep.build_ready(train, valid, KEY, TARGET, scale_numeric=scale)
+        keep, names = [KEY, TARGET], safe_name_list(spark, spec.output_columns())
+        renamed = [F.col(f"`{old}`").alias(new) for old, new in zip(spec.output_columns(), names)]
+        parts = [cut_lineage(tr.assemble(df.select(*keep, *renamed), names, keep)) for df in (rt, rv)]
+        origin = spec.numeric + [c for c in spec.categorical for _ in spec.categories[c]]
+        _READY[at] = Ready(*parts, names, origin, [c for c in train.columns if c not in keep], dropped)
+    return _READY[at]
+
+
+def ready(spark: SparkSession, sf_dir: str, scale: bool):
     """(train vectors, validation vectors, model feature names, raw columns, dropped constants)."""
-    _feats, train, valid = split_frames(spark, sf_dir)
-    if columns is not None:
-        train, valid = train.select(KEY, TARGET, *columns), valid.select(KEY, TARGET, *columns)
-    rt, rv, spec, dropped = prep.build_ready(train, valid, KEY, TARGET, scale_numeric=scale)
-    raw_names, keep = spec.output_columns(), [KEY, TARGET]
-    names = safe_name_list(spark, raw_names)
-    renamed = [F.col(f"`{old}`").alias(new) for old, new in zip(raw_names, names)]
-    tag = (sf_dir, scale, tuple(columns) if columns is not None else None)
-    parts = [stored(spark, (side, *tag), lambda df=df: tr.assemble(df.select(*keep, *renamed), names, keep)) for side, df in (("train", rt), ("valid", rv))]
-    return (*parts, names, [c for c in train.columns if c not in keep], dropped)
+    r = prepared(spark, sf_dir, scale)
+    return r.train, r.valid, r.names, r.raw, r.dropped
+
+
+@dataclass
+class Binned:
+    """The tree profile's ready tables as bin numbers: what all boosted runs read."""
+
+    train: DataFrame
+    valid: DataFrame
+    n_bins: int
+    positive_weight: float
+
+
+_BINNED: dict[tuple, Binned] = {}
+
+
+def binned(spark: SparkSession, sf_dir: str) -> Binned:
+    """Cut points fitted on the train part and both parts binned, once per session."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _BINNED:
+        r, x = prepared(spark, sf_dir, scale=False), vector_to_array("features")
+        bins = binning.fit_bins(r.train, x, r.names)
+        parts = [cut_lineage(binning.bin_table(df, x, bins, [KEY, TARGET])) for df in (r.train, r.valid)]
+        weights = {w[TARGET]: w.scale_pos_weight for w in class_weights(r.train, TARGET).collect()}
+        _BINNED[at] = Binned(*parts, bins.n_bins, float(weights.get(1) or 1.0))
+    return _BINNED[at]
 
 
 def evaluate(scores: DataFrame) -> DataFrame:
@@ -105,11 +161,31 @@ def train_forest(spark, sf_dir, n_trees: int = 400, max_depth=None, min_leaf: in
     return model, scores, t, v
 
 
-def train_boosted(spark, sf_dir, n_iter: int = 500, step: float = 0.05, max_depth: int = 6, min_leaf: int = 20, columns=None):
-    t, v, names, raw, dropped = ready(spark, sf_dir, scale=False, columns=columns)
-    est = tr.boosted_trees(n_iter, step, max_depth, min_leaf, label=TARGET)
-    model, scores = tr.fit_and_score(est, t, v, KEY, TARGET, "boosted_trees", "pos_ratio")
-    return model, scores, t, v, names, raw, dropped
+def boost_spec(name: str, features, data: Binned, n_iter: int, step: float = 0.05, num_leaves: int = 31, min_child: int = 50) -> boosting.BoostSpec:
+    return boosting.BoostSpec(name, tuple(features), n_iter, step, num_leaves, min_child, positive_weight=data.positive_weight)
+
+
+_BOOSTED: dict[tuple, boosting.BoostedModel] = {}
+
+
+def boosted_model(spark, sf_dir, n_iter: int = 500) -> boosting.BoostedModel:
+    """The leaf-wise model on all features, fitted once per session."""
+    at = (spark.sparkContext.applicationId, sf_dir, n_iter)
+    if at not in _BOOSTED:
+        data = binned(spark, sf_dir)
+        spec = boost_spec("boosted_trees", range(len(prepared(spark, sf_dir, False).names)), data, n_iter)
+        _BOOSTED[at] = boosting.fit(data.train, data.n_bins, [spec], KEY, TARGET)[0]
+    return _BOOSTED[at]
+
+
+def _boosted_scores(df: DataFrame, models, at=None) -> DataFrame:
+    return boosting.score(df, models, KEY, TARGET, at).withColumnRenamed(TARGET, "label")
+
+
+def train_boosted(spark, sf_dir, n_iter: int = 500):
+    """(model, validation scores, binned train rows, binned validation rows)."""
+    data, model = binned(spark, sf_dir), boosted_model(spark, sf_dir, n_iter)
+    return model, _boosted_scores(data.valid, [model]), data.train, data.valid
 
 
 def train_network(spark, sf_dir, hidden=(256, 64), max_iter: int = 20):
@@ -138,12 +214,18 @@ def forest_grid(spark, sf_dir, grid=FOREST_GRID) -> DataFrame:
     return tr.grid_search(build, grid, t, v, KEY, TARGET, "balanced", "random_forest")[0]
 
 
-def boosted_grid(spark, sf_dir, grid=BOOSTED_GRID) -> DataFrame:
-    """Leaf counts become the depth of a full tree with at least as many leaves."""
-    t, v, _names, _, _ = ready(spark, sf_dir, scale=False)
-    def build(n_estimators, learning_rate, num_leaves, min_child_samples):
-        return tr.boosted_trees(n_estimators, learning_rate, (num_leaves - 1).bit_length(), min_child_samples, label=TARGET)
-    return tr.grid_search(build, grid, t, v, KEY, TARGET, "pos_ratio", "boosted_trees")[0]
+def boosted_grid(spark, sf_dir, grid=BOOSTED_GRID, progress: str | None = None) -> DataFrame:
+    """All points on one binned table in the same passes. Points that differ in their number of
+    trees only are one model, scored after fewer rounds. ``progress`` names a folder from which a
+    stopped run goes on."""
+    data, points = binned(spark, sf_dir), tr.expand_grid(grid)
+    features = range(len(prepared(spark, sf_dir, False).names))
+    fits = list(dict.fromkeys((p["learning_rate"], p["num_leaves"], p["min_child_samples"]) for p in points))
+    specs = [boost_spec(f"fit {i}", features, data, max(p["n_estimators"] for p in points), *f) for i, f in enumerate(fits)]
+    models = boosting.fit(data.train, data.n_bins, specs, KEY, TARGET, progress)
+    at = [(str(i), fits.index((p["learning_rate"], p["num_leaves"], p["min_child_samples"])), p["n_estimators"]) for i, p in enumerate(points)]
+    scores = _boosted_scores(data.valid, models, at).withColumn("grid_index", F.col("model").cast("int"))
+    return tr.grid_table(scores, points)
 
 
 def network_grid(spark, sf_dir, grid=NETWORK_GRID) -> DataFrame:
@@ -154,7 +236,7 @@ def network_grid(spark, sf_dir, grid=NETWORK_GRID) -> DataFrame:
 
 
 def trained_scores(spark, sf_dir, which: str, n_iter: int = 500) -> DataFrame:
-    """Validation scores (model, key, label, score) of a trained model, fitted once per session."""
+    """Validation scores (model, key, label, score) of a trained model, stored once per session."""
     fit = {"logistic_regression": lambda: train_logistic(spark, sf_dir)[1],
            "boosted_trees": lambda: train_boosted(spark, sf_dir, n_iter)[1]}[which]
     return stored(spark, ("scores", sf_dir, which, n_iter), fit)
@@ -178,13 +260,14 @@ def stacked(spark, sf_dir, n_trees: int = 400, n_iter: int = 500, hidden=(256, 6
     """Four base models' in-sample train probabilities as features of a balanced
     logistic stacker; evaluated on the validation part (key joins only)."""
     bases = {"lr": train_logistic(spark, sf_dir), "rf": train_forest(spark, sf_dir, n_trees),
-             "gbt": train_boosted(spark, sf_dir, n_iter)[:4], "mlp": train_network(spark, sf_dir, hidden)}
+             "gbt": train_boosted(spark, sf_dir, n_iter), "mlp": train_network(spark, sf_dir, hidden)}
 
     def layer(part_index):
         out = None
         for name, (model, _s, t, v) in bases.items():
             df = (t, v)[part_index]
-            s = _scores(model, df, name).select(KEY, F.col("label").alias(TARGET), F.col("score").alias(f"{name}_prob"))
+            scored = _boosted_scores(df, [model]) if name == "gbt" else _scores(model, df, name)
+            s = scored.select(KEY, F.col("label").alias(TARGET), F.col("score").alias(f"{name}_prob"))
             out = s if out is None else out.join(s.drop(TARGET), KEY)
         return out
 
@@ -214,23 +297,47 @@ def experiment_columns(spark, sf_dir) -> DataFrame:
     return spec.join(nulls, "feature").select("experiment", "feature", "ordinal", "null_count")
 
 
-def ablation(spark, sf_dir, n_iter: int = 500, runs=RECOMMENDED_RUNS) -> DataFrame:
-    """One boosted model per run over the shared applicant table; fitted once per session."""
+def ablation(spark, sf_dir, n_iter: int = 500, runs=RECOMMENDED_RUNS, progress: str | None = None) -> DataFrame:
+    """One leaf-wise model per run, all trained in the same passes over the one binned table: a run is
+    the choice of the bins that come from its columns. Stored once per session."""
     def fit():
-        per_exp = experiment_features(split_frames(spark, sf_dir)[0].columns)
-        results = None
-        for exp in runs:
-            _m, scores, _t, _v, names, raw, dropped = train_boosted(spark, sf_dir, n_iter, columns=per_exp[exp])
-            counts = scores.agg(F.count(F.lit(1)).alias("validation_rows"), F.sum("label").alias("validation_positives"))
-            row = evaluate(scores).crossJoin(counts).select(  # one row x one row
-                F.lit(exp).alias("experiment"), F.lit(len(raw)).alias("raw_feature_count"),
-                F.lit(len(dropped)).alias("dropped_constant_count"), F.lit(len(names)).alias("model_feature_count"),
-                "validation_rows", "validation_positives", "accuracy", "precision", "recall", "f1", "roc_auc", "average_precision")
-            results = row if results is None else results.unionByName(row)
-        return results
+        r, data = prepared(spark, sf_dir, scale=False), binned(spark, sf_dir)
+        per_exp = experiment_features([KEY, TARGET, *r.raw])
+        of_run = {exp: [i for i, c in enumerate(r.origin) if c in set(per_exp[exp])] for exp in runs}
+        models = boosting.fit(data.train, data.n_bins, [boost_spec(exp, f, data, n_iter) for exp, f in of_run.items()], KEY, TARGET, progress)
+        scores = cut_lineage(_boosted_scores(data.valid, models))
+        counts = scores.groupBy("model").agg(F.count(F.lit(1)).alias("validation_rows"), F.sum("label").alias("validation_positives"))
+        sizes = [(exp, len(per_exp[exp]), len(set(r.dropped) & set(per_exp[exp])), len(of_run[exp])) for exp in runs]
+        held = spark.createDataFrame(sizes, "experiment string, raw_feature_count int, dropped_constant_count int, model_feature_count int")
+        metrics = met.binary_metrics(scores, 0.5, ["model"]).join(counts, "model").withColumnRenamed("model", "experiment")
+        return held.join(metrics, "experiment").select(*held.columns, "validation_rows", "validation_positives", "accuracy", "precision", "recall", "f1", "roc_auc", "average_precision")
     return stored(spark, ("ablation", sf_dir, n_iter, tuple(runs)), fit).orderBy(F.desc("roc_auc"))
 
 
+def ablation_invariants(results: DataFrame) -> DataFrame:
+    """What must hold in an ablation table whatever the learner found: columns of every run, rows and
+    positives, metrics within their ranges, and the removal drop equal to the full run's value less its own."""
+    inside = [F.col(c).between(0, 1) for c in ("accuracy", "precision", "recall", "f1", "roc_auc", "average_precision")]
+    full = results.where("experiment = 'full_features'").select(F.col("roc_auc").alias("full_auc"))
+    drops = removal_impact(results).select("experiment", "roc_auc_drop_vs_full")
+    out = results.join(drops, "experiment", "left").crossJoin(F.broadcast(full))  # one-row side
+    fits = F.col("roc_auc_drop_vs_full").isNull() | (F.abs(F.col("full_auc") - F.col("roc_auc") - F.col("roc_auc_drop_vs_full")) < 1e-12)
+    return out.select("experiment", "raw_feature_count", "validation_rows", "validation_positives", F.expr("roc_auc_drop_vs_full is not null").alias("has_drop"),
+                      (functools.reduce(operator.and_, inside) & fits & (F.col("model_feature_count") > 0)).alias("holds"))
+
+
+def boosted_invariants(spark, sf_dir, n_iter: int = 500) -> DataFrame:
+    """One row: validation rows scored, trees, and what breaks their rules: scores outside 0 to 1, trees of
+    more leaves than allowed, leaves of too few rows, trees whose leaves don't hold all train rows."""
+    model, scores, train, _ = train_boosted(spark, sf_dir, n_iter)
+    n = train.count()
+    leaves = [t.cover[t.feature < 0] for t in model.trees]
+    broken = [("leaf_counts", sum(len(x) > model.spec.num_leaves for x in leaves)), ("leaf_rows", sum(bool((x < model.spec.min_child).any()) for x in leaves if len(x) > 1)),
+              ("tree_rows", sum(int(x.sum()) != n for x in leaves))]
+    out = scores.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("score").between(0, 1)).alias("bad_scores"))
+    return out.withColumns({"trees": F.lit(len(model.trees)).cast("long"), **{f"bad_{k}": F.lit(int(v)).cast("long") for k, v in broken}})
+
+
 def experiment_counts(spark, sf_dir) -> DataFrame:
     """What an ablation run holds whatever its learner: columns, validation rows and positives, in
     the recommended order."""
@@ -259,11 +366,8 @@ def removal_impact(results: DataFrame) -> DataFrame:
 
 
 def attributions(spark, sf_dir, sample: int = 2000, n_iter: int = 500) -> DataFrame:
-    """Long (key, feature, contribution) of a seeded sample of validation rows; fitted once per session."""
-    from riskframe.plans.queries import stage_dir
-
+    """Long (key, feature, contribution, base, margin) of a seeded sample of validation rows; stored once per session."""
     def fit():
-        model, _scores, _t, v, names, _raw, _d = train_boosted(spark, sf_dir, n_iter)
-        rows = prep.sample_n(v, KEY, sample, seed=42)
-        return attr.attribute(model, rows, KEY, names, stage_dir(spark, "gbt-model"))
+        rows = prep.sample_n(binned(spark, sf_dir).valid, KEY, sample, seed=42)
+        return attr.attribute_binned(boosted_model(spark, sf_dir, n_iter), rows, KEY, prepared(spark, sf_dir, False).names)
     return stored(spark, ("attribution", sf_dir, sample, n_iter), fit)

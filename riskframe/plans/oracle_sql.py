@@ -91,3 +91,6 @@ from riskframe.plans import modeling as _mdl  # noqa: E402
 add("ablation_columns", o.ablation_columns_sql(_mdl.EXPERIMENTS))
 add("experiment_counts", o.experiment_counts_sql(_mdl.EXPERIMENTS, _mdl.RECOMMENDED_RUNS))
 add("score_alignment_trained", o.score_alignment_trained_sql())
+add("attribution_additivity", o.attribution_additivity_sql(2000))
+add("boosted_invariants", o.boosted_invariants_sql(_mdl.QUERY_ROUNDS))
+add("ablation_invariants", o.ablation_invariants_sql(_mdl.EXPERIMENTS, _mdl.RECOMMENDED_RUNS))

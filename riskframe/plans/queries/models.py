@@ -5,6 +5,7 @@ learner have a SQL twin."""
 from __future__ import annotations
 
 from riskframe.operators import metrics as met
+from riskframe.operators.attribution import additivity, top_features
 from riskframe.plans import modeling as mdl
 from riskframe.plans.queries.common import register, round_doubles
 from riskframe.plans.queries.expressions import FAMILY_PREFIXES
@@ -84,11 +85,29 @@ def q_removal_impact(spark, sf_dir):
 
 @register("tree_attribution")
 def q_tree_attribution(spark, sf_dir):
-    return round_doubles(mdl.attributions(spark, sf_dir, n_iter=mdl.QUERY_ROUNDS))
+    return round_doubles(mdl.attributions(spark, sf_dir, n_iter=mdl.QUERY_ROUNDS).select(mdl.KEY, "feature", "contribution"))
+
+
+@register("attribution_additivity")
+def q_attribution_additivity(spark, sf_dir):
+    return additivity(mdl.attributions(spark, sf_dir, n_iter=mdl.QUERY_ROUNDS), mdl.KEY)
+
+
+@register("ablation_invariants")
+def q_ablation_invariants(spark, sf_dir):
+    return mdl.ablation_invariants(mdl.ablation(spark, sf_dir, mdl.QUERY_ROUNDS))
+
+
+@register("boosted_grid")
+def q_boosted_grid(spark, sf_dir):
+    return round_doubles(mdl.boosted_grid(spark, sf_dir, mdl.BOOSTED_GRID | {"n_estimators": mdl.QUERY_GRID_ROUNDS}))
+
+
+@register("boosted_invariants")
+def q_boosted_invariants(spark, sf_dir):
+    return mdl.boosted_invariants(spark, sf_dir, mdl.QUERY_ROUNDS)
 
 
 @register("top_features")
 def q_top_features(spark, sf_dir):
-    from riskframe.operators.attribution import top_features
-
     return round_doubles(top_features(mdl.attributions(spark, sf_dir, n_iter=mdl.QUERY_ROUNDS), 10, FAMILY_PREFIXES))
