@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from math import isfinite
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, Window
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.profile import categorical_columns, constant_columns, numeric_columns
 from riskframe.operators.joins import null_safe_join
-from riskframe.operators.quantiles import exact_quantiles, quantile_columns
+from riskframe.operators.quantiles import exact_quantiles, quantile_columns, sql_name, sql_str
 
 # ------------------------------------------------------------------ split and sample
 
@@ -91,15 +92,13 @@ def constant_variance(var: Column, mean: Column, n: Column) -> Column:
 
 def scaling_frame(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, mean, scale) from one aggregate; population std, constant or undefined -> 1."""
-    from riskframe.operators.profile import sql_str, stack_rows
+    from riskframe.operators.profile import stack_rows
 
     aggs = []
     for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
-        mean, var = F.avg(x), F.var_pop(x)
-        aggs += [F.coalesce(mean, F.lit(0.0)).alias(f"m{i}"),
-                 F.when(var.isNull() | constant_variance(var, mean, F.count(x)), F.lit(1.0))
-                 .otherwise(F.sqrt(var)).alias(f"s{i}")]
+        x = f"CAST({sql_name(c)} AS DOUBLE)"
+        mean, var, n = (F.expr(f"{f}({x})") for f in ("avg", "var_pop", "count"))
+        aggs += [F.expr(f"coalesce(avg({x}), 0D) AS m{i}"), F.when(var.isNull() | constant_variance(var, mean, n), F.lit(1.0)).otherwise(F.expr(f"sqrt(var_pop({x}))")).alias(f"s{i}")]
     rows = [[sql_str(c), f"m{i}", f"s{i}"] for i, c in enumerate(columns)]
     return stack_rows(df.agg(*aggs), rows, ["column", "mean", "scale"])
 
@@ -154,11 +153,14 @@ def one_hot_vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return hot.fit(fitted).transform(fitted).drop(*[f"__{c}" for c in columns])
 
 
+def one_hot_sql(value: str, column: str, categories: Sequence) -> list[str]:
+    """One 0/1 double per category of the string expression ``value``; null matches the null category; unknown -> all 0."""
+    return [f"CASE WHEN {value} <=> {'CAST(NULL AS STRING)' if v is None else sql_str(v)} THEN 1D ELSE 0D END AS {sql_name(f'{column}_{v}')}" for v in categories]
+
+
 def one_hot_columns(column: str, categories: Sequence) -> list[Column]:
-    """One 0/1 double per category; null matches the null category; unknown -> all 0."""
-    c = F.col(column).cast("string")
-    return [F.when(c.eqNullSafe(F.lit(v)), F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{column}_{v}")
-            for v in categories]
+    """The columns of :func:`one_hot_sql` for a column of any type."""
+    return [F.expr(e) for e in one_hot_sql(f"CAST({sql_name(column)} AS STRING)", column, categories)]
 
 
 # ------------------------------------------------------------------ preprocessor
@@ -187,7 +189,7 @@ def fit_preprocessor(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
     spec = PrepSpec(list(numeric), list(categorical), scale_numeric=scale_numeric, null_category=null_category)
     spec.medians = fit_medians(df, spec.numeric)
     if scale_numeric:
-        imputed = df.select(*[impute(c, spec.medians[c]).alias(c) for c in spec.numeric])
+        imputed = df.selectExpr(*[f"{imputed_sql(c, spec.medians[c])} AS {sql_name(c)}" for c in spec.numeric])
         spec.scaling = fit_scaling(imputed, spec.numeric)
     if null_category == "mode":
         spec.modes = fit_modes(df, spec.categorical)
@@ -199,28 +201,37 @@ def fit_preprocessor(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
     return spec
 
 
+def sql_double(value: float) -> str:
+    """A SQL literal of a double, whatever its value."""
+    x = float(value)
+    return f"({x!r}D)" if isfinite(x) else f"CAST('{x!r}' AS DOUBLE)"
+
+
+def imputed_sql(column: str, value) -> str:
+    x = f"CAST({sql_name(column)} AS DOUBLE)"
+    return x if value is None else f"coalesce({x}, {sql_double(value)})"
+
+
 def impute(column: str, value) -> Column:
-    c = F.col(column).cast("double")
-    return c if value is None else F.coalesce(c, F.lit(float(value)))
+    return F.expr(imputed_sql(column, value))
 
 
 def transform(df: DataFrame, spec: PrepSpec, keep: Sequence[str] = ()) -> DataFrame:
-    """Numeric block then one-hot block, as doubles; ``keep`` columns (key, target) first."""
-    cols = [F.col(k) for k in keep]
+    """Numeric block then one-hot block, as doubles; ``keep`` columns (key, target) first. Written as
+    SQL expressions: one call for each output column instead of one for each operand."""
+    out = [sql_name(k) for k in keep]
     for c in spec.numeric:
-        x = impute(c, spec.medians.get(c))
+        x = imputed_sql(c, spec.medians.get(c))
         if spec.scale_numeric:
             m, s = spec.scaling[c]
-            x = (x - F.lit(m)) / F.lit(s)
-        cols.append(x.alias(c))
+            x = f"({x} - {sql_double(m)}) / {sql_double(s)}"
+        out.append(f"{x} AS {sql_name(c)}")
     for c in spec.categorical:
-        src = c
-        if spec.null_category == "mode":
-            df = df.withColumn(f"__{c}", F.coalesce(F.col(c).cast("string"), F.lit(spec.modes.get(c))))
-            src = f"__{c}"
-        cols += [col.alias(f"{c}_{v}") for col, v in zip(one_hot_columns(src, spec.categories[c]),
-                                                          spec.categories[c])]
-    return df.select(*cols)
+        value = f"CAST({sql_name(c)} AS STRING)"
+        if spec.null_category == "mode" and spec.modes.get(c) is not None:
+            value = f"coalesce({value}, {sql_str(spec.modes[c])})"
+        out += one_hot_sql(value, c, spec.categories[c])
+    return df.selectExpr(*out)
 
 
 # ------------------------------------------------------------------ ready tables

@@ -18,7 +18,7 @@ from pyspark.sql.types import BooleanType, NumericType
 
 from riskframe.functions.exprs import clip_upper
 from riskframe.operators.joins import null_safe_join
-from riskframe.operators.quantiles import quantile_columns, sql_str
+from riskframe.operators.quantiles import quantile_columns, sql_name, sql_str
 
 
 def stack_rows(one_row: DataFrame, rows: Sequence[Sequence[str]], names: Sequence[str]) -> DataFrame:
@@ -253,8 +253,6 @@ def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     distinct (so no ``Expand`` for hundreds of columns).
     """
     cols = list(columns or df.columns)
-    n = F.count(F.lit(1))
-    aggs = [((F.count(c) == 0) | ((F.count(c) == n) & (F.min(c) == F.max(c)))).alias(f"k{i}")
-            for i, c in enumerate(cols)]
+    aggs = [F.expr(f"count({c}) = 0 OR (count({c}) = count(1) AND min({c}) = max({c})) AS k{i}") for i, c in enumerate(map(sql_name, cols))]
     rows = [[sql_str(c), str(i), f"k{i}"] for i, c in enumerate(cols)]
     return stack_rows(df.agg(*aggs), rows, ["column", "ordinal", "is_constant"])

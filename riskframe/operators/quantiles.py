@@ -37,6 +37,11 @@ def sql_str(text: str) -> str:
     return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def sql_name(column: str) -> str:
+    """A column's name as a SQL identifier."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 SUB_RANGES = 256
 
 

@@ -20,6 +20,7 @@ from riskframe.functions.exprs import blend
 from riskframe.operators import attribution as attr
 from riskframe.operators import binning, boosting
 from riskframe.operators import metrics as met
+from riskframe.operators import network
 from riskframe.operators import prepare as prep
 from riskframe.operators.profile import class_weights, missing_profile
 from riskframe.operators import train as tr
@@ -47,7 +48,7 @@ EXPERIMENTS = {
 }
 RECOMMENDED_RUNS = ["application_only", "full_features", "full_minus_bureau_family", "full_minus_previous_application",
                     "full_minus_pos_cash", "full_minus_credit_card", "full_minus_installments"]
-# The tuning grids (dropout has no counterpart in Spark's network, so its points fall together).
+# The tuning grids.
 LOGISTIC_GRID = {"C": [0.1, 1.0, 5.0]}
 FOREST_GRID = {"n_estimators": [200, 400], "max_depth": [12, 20, None], "min_samples_leaf": [5, 10], "min_samples_split": [10, 20]}
 BOOSTED_GRID = {"n_estimators": [300, 500], "learning_rate": [0.03, 0.05], "num_leaves": [31, 64, 96], "min_child_samples": [20, 50]}
@@ -134,8 +135,7 @@ def binned(spark: SparkSession, sf_dir: str) -> Binned:
         r, x = prepared(spark, sf_dir, scale=False), vector_to_array("features")
         bins = binning.fit_bins(r.train, x, r.names)
         parts = [cut_lineage(binning.bin_table(df, x, bins, [KEY, TARGET])) for df in (r.train, r.valid)]
-        weights = {w[TARGET]: w.scale_pos_weight for w in class_weights(r.train, TARGET).collect()}
-        _BINNED[at] = Binned(*parts, bins.n_bins, float(weights.get(1) or 1.0))
+        _BINNED[at] = Binned(*parts, bins.n_bins, positive_weight(r.train))
     return _BINNED[at]
 
 
@@ -188,16 +188,34 @@ def train_boosted(spark, sf_dir, n_iter: int = 500):
     return model, _boosted_scores(data.valid, [model]), data.train, data.valid
 
 
-def train_network(spark, sf_dir, hidden=(256, 64), max_iter: int = 20):
-    t, v, names, _, _ = ready(spark, sf_dir, scale=True)
-    est = tr.neural_net(len(names), hidden, max_iter, label=TARGET)
-    model, scores = tr.fit_and_score(est, t, v, KEY, TARGET, "neural_net")
-    return model, scores, t, v
+_NETWORKS: dict[tuple, network.Network] = {}
+
+
+def network_spec(name: str, weight: float, hidden=(256, 64), dropout: float = 0.2, learning_rate: float = 0.001, epochs: int = 20) -> network.NetworkSpec:
+    return network.NetworkSpec(name, tuple(hidden), dropout, learning_rate, epochs, weight)
+
+
+def positive_weight(train: DataFrame) -> float:
+    return float({w[TARGET]: w.scale_pos_weight for w in class_weights(train, TARGET).collect()}.get(1) or 1.0)
+
+
+def train_network(spark, sf_dir, hidden=(256, 64), epochs: int = 20):
+    """(network, validation scores, train vectors, validation vectors); fitted once per session."""
+    r, x = prepared(spark, sf_dir, scale=True), vector_to_array("features")
+    at = (spark.sparkContext.applicationId, sf_dir, tuple(hidden), epochs)
+    if at not in _NETWORKS:
+        spec = network_spec("neural_net", positive_weight(r.train), hidden, epochs=epochs)
+        _NETWORKS[at] = network.fit(r.train, x, len(r.names), [spec], KEY, TARGET)[0]
+    return _NETWORKS[at], _network_scores(r.valid, [_NETWORKS[at]]), r.train, r.valid
+
+
+def _network_scores(df: DataFrame, networks) -> DataFrame:
+    return network.score(df, vector_to_array("features"), networks, KEY, TARGET).withColumnRenamed(TARGET, "label")
 
 
-def network_history(model) -> list[tuple[int, float]]:
-    """(iteration, loss) of a fitted network, from its training summary."""
-    return [(i, float(x)) for i, x in enumerate(model.summary().objectiveHistory)]
+def network_history(model: network.Network) -> list[tuple[int, float]]:
+    """(epoch, mean train loss) of a fitted network."""
+    return [(i + 1, float(x)) for i, x in enumerate(model.history)]
 
 
 def logistic_grid(spark, sf_dir, grid=LOGISTIC_GRID) -> DataFrame:
@@ -229,10 +247,12 @@ def boosted_grid(spark, sf_dir, grid=BOOSTED_GRID, progress: str | None = None)
 
 
 def network_grid(spark, sf_dir, grid=NETWORK_GRID) -> DataFrame:
-    t, v, names, _, _ = ready(spark, sf_dir, scale=True)
-    def build(hidden_dims, dropout, learning_rate, epochs):
-        return tr.neural_net(len(names), hidden_dims, epochs, learning_rate, label=TARGET)
-    return tr.grid_search(build, grid, t, v, KEY, TARGET, None, "neural_net")[0]
+    """All points trained in the same mini-batch jobs."""
+    r, points = prepared(spark, sf_dir, scale=True), tr.expand_grid(grid)
+    weight = positive_weight(r.train)
+    specs = [network_spec(str(i), weight, p["hidden_dims"], p["dropout"], p["learning_rate"], p["epochs"]) for i, p in enumerate(points)]
+    networks = network.fit(r.train, vector_to_array("features"), len(r.names), specs, KEY, TARGET)
+    return tr.grid_table(_network_scores(r.valid, networks).withColumn("grid_index", F.col("model").cast("int")), points)
 
 
 def trained_scores(spark, sf_dir, which: str, n_iter: int = 500) -> DataFrame:
@@ -266,7 +286,7 @@ def stacked(spark, sf_dir, n_trees: int = 400, n_iter: int = 500, hidden=(256, 6
         out = None
         for name, (model, _s, t, v) in bases.items():
             df = (t, v)[part_index]
-            scored = _boosted_scores(df, [model]) if name == "gbt" else _scores(model, df, name)
+            scored = {"gbt": _boosted_scores, "mlp": _network_scores}[name](df, [model]) if name in ("gbt", "mlp") else _scores(model, df, name)
             s = scored.select(KEY, F.col("label").alias(TARGET), F.col("score").alias(f"{name}_prob"))
             out = s if out is None else out.join(s.drop(TARGET), KEY)
         return out

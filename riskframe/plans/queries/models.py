@@ -37,6 +37,11 @@ def q_network_history(spark, sf_dir):
     return round_doubles(spark.createDataFrame(history, "iteration int, loss double"))
 
 
+@register("network_grid")
+def q_network_grid(spark, sf_dir):
+    return round_doubles(mdl.network_grid(spark, sf_dir))
+
+
 @register("grid_search")
 def q_grid_search(spark, sf_dir):
     return round_doubles(mdl.logistic_grid(spark, sf_dir))

@@ -93,8 +93,8 @@ def test_grids_blend_and_boards_of_trained_models(spark):
     assert len(sweep) == 5 and sweep[0].roc_auc >= sweep[-1].roc_auc
     board = {(r.kind, r.model) for r in mdl.trained_leaderboard(spark, sf, n_iter=2).collect()}
     assert board == {(k, m) for k in ("default", "tuned") for m in ("boosted_trees", "logistic_regression", "hybrid")}
-    losses = [x for _, x in mdl.network_history(mdl.train_network(spark, sf, (4, 3), max_iter=5)[0])]
-    assert len(losses) > 1 and losses[-1] <= losses[0]
+    losses = [x for _, x in mdl.network_history(mdl.train_network(spark, sf, (4, 3), epochs=5)[0])]
+    assert len(losses) == 5 and losses[-1] <= losses[0]
 
 
 def test_label_guard_and_reorder(spark):
