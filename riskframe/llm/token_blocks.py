@@ -156,7 +156,6 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(public_tokenizers.path(tokenizer_name))
-        self.tok.encode_special_tokens = True
         self.model, self.alphabet = self.tok.model, _byte_alphabet()
         self.new, self.old = {"": b""}, {}
 

@@ -32,7 +32,6 @@ def _whole(texts):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tok.encode_special_tokens = True
     return [tok.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
 
 
@@ -47,7 +46,7 @@ def test_tokens_equal_whole_text_encoding(spark):
 
 
 def test_odd_spacing_and_special_strings(spark):
-    texts = ["  a  b ", "it's   I'm", "x y z", "<|endoftext|> <|startoftext|>a", "é ́x", "a\tb\nc\r\nd", "1234 56", "don' t"]
+    texts = ["  a  b ", "it's   I'm", "x y z", "<|endoftext|> <|startoftext|>a", "hello <|endoftext|> world", "x<|endoftext|>\n<|endoftext|><|startoftext|>Y.", "<|EndOfText|> <|endoftext |>", "é ́x", "a\tb\nc\r\nd", "1234 56", "don' t"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_blocks.token_blocks(docs).collect()}
     want = {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in enumerate(_whole(texts))}
