@@ -4,7 +4,7 @@ Scores always leave a model as a long table ``(model, key, label, score)``
 keyed by the entity id, so every comparison (blend, stack, leaderboard) is a
 key join, never a positional alignment.
 
-Learner mapping (the reference's single-machine learners are not rebuilt):
+Learner mapping:
 
 * logistic regression, ``C`` and balanced class weights ->
   ``LogisticRegression(weightCol, regParam = 1 / (C * sum(w)), standardization=False)``
@@ -12,17 +12,20 @@ Learner mapping (the reference's single-machine learners are not rebuilt):
 * random forest -> ``RandomForestClassifier`` (no depth limit -> depth 30,
   Spark's maximum), balanced weights as ``weightCol`` (computed once on the
   training part, not per bootstrap sample);
-* boosted trees -> ``GBTClassifier`` with ``scale_pos_weight`` as a per-row
-  weight, row subsampling and per-node feature subsampling;
-* neural network -> ``MultilayerPerceptronClassifier``; it takes no weight
-  column, so positives are replicated ``round(neg/pos)`` times instead.
+* boosted trees -> :mod:`riskframe.operators.boosting` (leaf counts, features drawn per tree);
+  ``GBTClassifier`` stays for vectors that are not binned;
+* neural network -> :mod:`riskframe.operators.network` (weighted loss, dropout, mini-batches);
+  ``MultilayerPerceptronClassifier`` stays, with positives replicated ``round(neg/pos)`` times.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -32,11 +35,14 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators import metrics as met
 from riskframe.operators.profile import class_weights
+from riskframe.session import cut_lineage, ensure_checkpoint_dir
+from riskframe.sources.catalog import path_exists, read_json, write_json
 
 FEATURES = "features"
 WEIGHT = "weight"
@@ -133,26 +139,52 @@ def expand_grid(grid: dict) -> list[dict]:
 
 
 def grid_search(build, grid: dict, train: DataFrame, valid: DataFrame, key: str, label: str,
-                weighting: str | None, name: str = "model"):
-    """Fit every grid point on the same split; evaluate all validation scores in
-    ONE grouped metrics job; best by average_precision, then roc_auc, then the
-    earliest grid point. Returns (results table, best params, best model)."""
-    points = expand_grid(grid)
-    scored, models = [], []
-    for i, params in enumerate(points):
-        model, s = fit_and_score(build(**params), train, valid, key, label, name, weighting)
-        models.append(model)
-        scored.append(s.withColumn("grid_index", F.lit(i)))
-    long = scored[0]
-    for s in scored[1:]:
-        long = long.unionByName(s)
-    table = grid_table(long, points)
-    best = table.first()
-    return table, points[best.grid_index], models[best.grid_index]
+                weighting: str | None, name: str = "model", results: str | None = None, workers: int = 4):
+    """Fit every grid point on the same split, ``workers`` of them at a time; best by average_precision,
+    then roc_auc, then the earliest grid point. Returns (results table, best params, best model).
+
+    Every point's validation metrics and model are written to the folder ``results`` when the point
+    is ready (a fresh one in the shared checkpoint folder by default), so the driver holds the models
+    being fitted only, and a run started again with the same folder skips finished points. A folder of
+    another grid raises.
+    """
+    spark, points = train.sparkSession, expand_grid(grid)
+    folder = results or f"{ensure_checkpoint_dir(spark)}/grid-{uuid.uuid4().hex}"
+    described = {"name": name, "points": [str(p) for p in points]}
+    if path_exists(spark, f"{folder}/grid.json"):
+        if read_json(spark, f"{folder}/grid.json") != described:
+            raise ValueError(f"{folder} holds the results of another grid")
+    else:
+        write_json(spark, described, f"{folder}/grid.json")
+    weighted = cut_lineage(oversample_positives(train, label) if isinstance(build(**points[0]), MultilayerPerceptronClassifier) else with_weights(train, label, weighting or "none"))
+
+    def run(i: int) -> None:
+        at = f"{folder}/point-{i}"
+        if path_exists(spark, f"{at}/_SUCCESS"):
+            return
+        model = build(**points[i]).fit(weighted)
+        model.write().overwrite().save(f"{folder}/model-{i}")
+        scores = score_table(model, valid, key, label, name).withColumn("grid_index", F.lit(i))
+        met.binary_metrics(scores, 0.5, ["grid_index"]).coalesce(1).write.mode("overwrite").parquet(at)  # one row
+
+    with ThreadPoolExecutor(workers) as pool:  # Spark runs the points' jobs side by side
+        list(pool.map(inheritable_thread_target(spark)(run), range(len(points))))
+    found = spark.read.parquet(*[f"{folder}/point-{i}" for i in range(len(points))])
+    table = _best_first(found, points)
+    best = table.first().grid_index
+    return table, points[best], _load(spark, f"{folder}/model-{best}")
+
+
+def _load(spark, path: str):
+    """A stored model of whatever class its metadata names."""
+    return DefaultParamsReader.loadParamsInstance(path, spark)
 
 
 def grid_table(scores: DataFrame, points: Sequence[dict]) -> DataFrame:
     """Metrics of all grid points (column ``grid_index`` of the validation scores), best first."""
-    params = scores.sparkSession.createDataFrame([(i, str(p)) for i, p in enumerate(points)], "grid_index int, params string")
-    return (met.binary_metrics(scores, 0.5, ["grid_index"]).join(F.broadcast(params), "grid_index")  # one row per grid point
-            .orderBy(F.desc("average_precision"), F.desc("roc_auc"), "grid_index"))
+    return _best_first(met.binary_metrics(scores, 0.5, ["grid_index"]), points)
+
+
+def _best_first(metrics: DataFrame, points: Sequence[dict]) -> DataFrame:
+    params = metrics.sparkSession.createDataFrame([(i, str(p)) for i, p in enumerate(points)], "grid_index int, params string")
+    return metrics.join(F.broadcast(params), "grid_index").orderBy(F.desc("average_precision"), F.desc("roc_auc"), "grid_index")  # one row per grid point

@@ -55,7 +55,7 @@ BOOSTED_GRID = {"n_estimators": [300, 500], "learning_rate": [0.03, 0.05], "num_
 NETWORK_GRID = {"hidden_dims": [(256, 128), (128, 64), (256, 64)], "dropout": [0.2, 0.3], "learning_rate": [0.001, 0.0005], "epochs": [15, 20]}
 # The registered queries train smaller models than the defaults below so that each ends within
 # minutes on one machine; the defaults are the original sizes.
-QUERY_TREES, QUERY_ROUNDS, QUERY_HIDDEN, QUERY_GRID_ROUNDS = 50, 50, (32, 8), [6, 10]
+QUERY_TREES, QUERY_ROUNDS, QUERY_HIDDEN, QUERY_GRID_ROUNDS, QUERY_GRID_TREES = 50, 50, (32, 8), [6, 10], [5, 10]
 
 _STORED: dict[tuple, DataFrame] = {}
 
@@ -218,18 +218,18 @@ def network_history(model: network.Network) -> list[tuple[int, float]]:
     return [(i + 1, float(x)) for i, x in enumerate(model.history)]
 
 
-def logistic_grid(spark, sf_dir, grid=LOGISTIC_GRID) -> DataFrame:
+def logistic_grid(spark, sf_dir, grid=LOGISTIC_GRID, results: str | None = None) -> DataFrame:
     t, v, _names, _, _ = ready(spark, sf_dir, scale=True)
     total = tr.total_weight(t, TARGET, "balanced")
-    return tr.grid_search(lambda C: tr.logistic(C, total, label=TARGET), grid, t, v, KEY, TARGET, "balanced", "logistic_regression")[0]
+    return tr.grid_search(lambda C: tr.logistic(C, total, label=TARGET), grid, t, v, KEY, TARGET, "balanced", "logistic_regression", results)[0]
 
 
-def forest_grid(spark, sf_dir, grid=FOREST_GRID) -> DataFrame:
+def forest_grid(spark, sf_dir, grid=FOREST_GRID, results: str | None = None) -> DataFrame:
     """A node that must hold ``min_samples_split`` rows to split is one whose halves hold half as many."""
     t, v, _names, _, _ = ready(spark, sf_dir, scale=False)
     def build(n_estimators, max_depth, min_samples_leaf, min_samples_split):
         return tr.random_forest(n_estimators, max_depth, max(min_samples_leaf, min_samples_split // 2), label=TARGET)
-    return tr.grid_search(build, grid, t, v, KEY, TARGET, "balanced", "random_forest")[0]
+    return tr.grid_search(build, grid, t, v, KEY, TARGET, "balanced", "random_forest", results)[0]
 
 
 def boosted_grid(spark, sf_dir, grid=BOOSTED_GRID, progress: str | None = None) -> DataFrame:

@@ -47,6 +47,11 @@ def q_grid_search(spark, sf_dir):
     return round_doubles(mdl.logistic_grid(spark, sf_dir))
 
 
+@register("forest_grid")
+def q_forest_grid(spark, sf_dir):
+    return round_doubles(mdl.forest_grid(spark, sf_dir, mdl.FOREST_GRID | {"n_estimators": mdl.QUERY_GRID_TREES}))
+
+
 @register("hybrid_trained")
 def q_hybrid_trained(spark, sf_dir):
     return round_doubles(mdl.hybrid_sweep(spark, sf_dir, mdl.QUERY_ROUNDS))

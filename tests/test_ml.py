@@ -116,3 +116,29 @@ def test_sparse_one_hot(spark):
     df = spark.createDataFrame([(i, f"c{i % 1500}") for i in range(3000)] + [(-1, None)], "k int, c string")
     rows = prep.one_hot_vectors(df, ["c"]).collect()
     assert {r.c_onehot.size for r in rows} == {1501} and all(r.c_onehot.values.tolist() == [1.0] for r in rows)
+
+
+def test_grids_run_side_by_side_and_go_on_after_a_stop(spark, tmp_path):
+    import pytest
+
+    vec = tr.assemble(_separable(spark, 200), ["a", "b", "c"], ["k", "label"])
+    train, valid = vec.where("k % 4 != 0"), vec.where("k % 4 = 0")
+    grid, built = {"C": [0.01, 1.0, 100.0]}, []
+
+    def build(C):
+        built.append(C)
+        if C == 100.0 and built.count(C) == 1:
+            raise RuntimeError("lost")
+        return tr.logistic(C, 150.0)
+
+    search = lambda g: tr.grid_search(build, g, train, valid, "k", "label", "balanced", results=f"{tmp_path}/grid", workers=2)
+    with pytest.raises(RuntimeError, match="lost"):
+        search(grid)
+    table, best, model = search(grid)
+    assert built.count(0.01) <= 3 and built.count(1.0) == 1 and table.count() == 3  # the first point is also built to see its kind
+    rows = {r.grid_index: r for r in table.collect()}
+    own = tr.fit_and_score(tr.logistic(1.0, 150.0), train, valid, "k", "label", "m", "balanced")[1]
+    assert abs(met.roc_auc(own).first().roc_auc - rows[1].roc_auc) < 1e-12
+    assert best in tr.expand_grid(grid) and abs(met.roc_auc(tr.score_table(model, valid, "k", "label", "m")).first().roc_auc - table.first().roc_auc) < 1e-12
+    with pytest.raises(ValueError, match="another grid"):
+        search({"C": [2.0]})
