@@ -291,6 +291,14 @@ def leaderboard(long_scores: DataFrame, model_col: str = "model", label: str = "
                                               F.desc("f1"), model_col)
 
 
+def fold_records(scores: DataFrame, experiment: str, fold_col: str = "fold", threshold: float = 0.5, extra: dict | None = None) -> DataFrame:
+    """One record (model, experiment, fold, metrics, then the ``extra`` fields) per model and fold of long scores,
+    all evaluated in one job; the input of :func:`fold_summary`."""
+    metrics = binary_metrics(scores, threshold, ["model", fold_col])
+    values = [c for c in metrics.columns if c not in ("model", fold_col)]
+    return metrics.select("model", F.lit(experiment).alias("experiment"), fold_col, *values, *[F.lit(v).alias(k) for k, v in (extra or {}).items()])
+
+
 def fold_summary(fold_metrics: DataFrame, group_cols: Sequence[str] = ("experiment", "model"),
                  fold_col: str = "fold") -> DataFrame:
     """Mean and sample std of every numeric metric per group (``metric_mean``, ``metric_std``)."""

@@ -58,6 +58,24 @@ def stratified_split(df: DataFrame, key: str, label: str, test_size: float = 0.2
             .drop("__cut"))
 
 
+def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
+    """Add ``out``: 0 to k - 1, dealt by hash order within each class. Fold i of a class of n rows holds
+    round((i + 1) n / k) - round(i n / k) of them, so the folds of a class differ by one row at most.
+
+    The k - 1 hash values at which folds change are exact quantiles of every class, joined on the
+    class: no window holds a whole class. A null class is a class.
+    """
+    h = df.select(label, _hash_number(key, seed).alias("__h"))
+    cuts = exact_quantiles(h, ["__h"], [i / k for i in range(1, k)], group_cols=[label], rank_rule="round") if k > 1 else None
+    if cuts is None:
+        return df.withColumn(out, F.lit(0))
+    # A class too small for a fold has no value at its rank: that fold ends before the first row.
+    per_class = cuts.groupBy(label).agg(F.collect_list(F.coalesce("quantile", F.lit(-1.0))).alias("__cuts"))
+    below = F.size(F.filter("__cuts", lambda c: c < F.col("__h")))
+    joined = null_safe_join(df.withColumn("__h", _hash_number(key, seed)), per_class, [label], "left")
+    return joined.withColumn(out, below.cast("int")).drop("__h", "__cuts")
+
+
 def select_part(df: DataFrame, assignment: DataFrame, key: str, part: str, split_col: str = "split") -> DataFrame:
     """Rows of ``df`` whose key is assigned to ``part`` (semi join on the key)."""
     keys = assignment.where(F.col(split_col) == part).select(key)

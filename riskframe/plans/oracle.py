@@ -674,6 +674,20 @@ def leaderboard_sql() -> str:
             f"FROM b WHERE rn = 1")
 
 
+def stratified_folds_sql(k: int = 5, seed: int = 42) -> str:
+    ends = " + ".join(f"CASE WHEN rn > ROUND({i / k!r}::DOUBLE * n) THEN 1 ELSE 0 END" for i in range(1, k))
+    return (f"SELECT c_custkey, TARGET, CAST({ends} AS INTEGER) AS fold FROM (SELECT c_custkey, TARGET, COUNT(*) OVER (PARTITION BY TARGET) AS n, "
+            f"ROW_NUMBER() OVER (PARTITION BY TARGET ORDER BY md5('{seed}:' || CAST(c_custkey AS VARCHAR)), c_custkey) AS rn FROM ({applicants_sql()}) a)")
+
+
+def fold_records_sql(folds: int = 5) -> str:
+    fold = (f"CAST((CAST('0x' || substr(md5('fold:' || CAST(l_orderkey AS VARCHAR) || ':' || "
+            f"CAST(l_linenumber AS VARCHAR)), 1, 8) AS BIGINT) % {folds}) AS INTEGER)")
+    values = ", ".join(f"ROUND({'r' if c in ('roc_auc', 'average_precision') else 'bm'}.{c}, {DIGITS}) AS {c}" for c in METRIC_COLS)
+    return (f"WITH {SCORES_CTE}, {long_cte(extra=', ' + fold + ' AS fold')}, {rank_ctes('model, fold')}, {at_threshold_cte('model, fold')} "
+            f"SELECT bm.model, 'lineitem_scores' AS experiment, bm.fold, {values}, {folds} AS folds FROM bm JOIN rnk r ON bm.model = r.model AND bm.fold = r.fold")
+
+
 def fold_summary_sql(folds: int = 5) -> str:
     fold = (f"CAST((CAST('0x' || substr(md5('fold:' || CAST(l_orderkey AS VARCHAR) || ':' || "
             f"CAST(l_linenumber AS VARCHAR)), 1, 8) AS BIGINT) % {folds}) AS INTEGER)")

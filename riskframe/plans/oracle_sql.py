@@ -43,6 +43,8 @@ add("dtype_counts", o.dtype_counts_sql())
 add("missing_train_test", o.missing_train_test_sql())
 # split, sample, preparation
 add("stratified_split", o.stratified_split_sql())
+add("stratified_folds", o.stratified_folds_sql())
+add("fold_records", o.fold_records_sql())
 add("split_semi_join", o.split_semi_join_sql())
 add("sample_n", o.sample_n_sql(200, 42))
 add("impute_median", o.impute_median_sql())

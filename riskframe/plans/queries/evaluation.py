@@ -114,6 +114,12 @@ def fold_of(keys) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(tag), 1, 8), 16, 10).cast("long"), F.lit(FOLDS)).cast("int")
 
 
+@register("fold_records")
+def q_fold_records(spark, sf_dir):
+    long = model_scores(spark, sf_dir).withColumn("fold", fold_of(SCORE_KEYS))
+    return round_doubles(met.fold_records(long, "lineitem_scores", extra={"folds": FOLDS}))
+
+
 @register("fold_summary")
 def q_fold_summary(spark, sf_dir):
     long = model_scores(spark, sf_dir).withColumn("fold", fold_of(SCORE_KEYS))

@@ -13,6 +13,12 @@ from riskframe.plans.queries.common import (
 )
 
 
+@register("stratified_folds")
+def q_stratified_folds(spark, sf_dir):
+    apps = tpch.applicants(spark, sf_dir).select(tpch.KEY, tpch.TARGET)
+    return prep.stratified_folds(apps, tpch.KEY, tpch.TARGET, 5)
+
+
 @register("stratified_split")
 def q_stratified_split(spark, sf_dir):
     return split_assignment(spark, sf_dir)

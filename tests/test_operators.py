@@ -182,3 +182,22 @@ def test_null_group_keeps_its_row(spark):
     df = spark.createDataFrame([(g, i % 2, (i * 7 % 10) / 10) for g in ("a", None) for i in range(20)], "model string, label int, score double")
     for out in (met.binary_metrics(df, group_cols=["model"]), met.best_f1_metrics(df, ["model"]), met.pr_curve(df, ["model"])):
         assert {r.model for r in out.collect()} == {"a", None}
+
+
+def test_folds_of_every_class_differ_by_one_row_at_most(spark):
+    from collections import Counter
+
+    from riskframe.operators import prepare as prep
+
+    classes = [0] * 203 + [1] * 31 + [2] * 3 + [None] * 7 + [4]
+    df = spark.createDataFrame(list(enumerate(classes)), "k int, label int").repartition(5)
+    rows = prep.stratified_folds(df, "k", "label", 5).collect()
+    assert sorted(r.k for r in rows) == list(range(len(classes)))
+    sizes = Counter((r.label, r.fold) for r in rows)
+    for label, n in Counter(classes).items():
+        own = [sizes[label, f] for f in range(5)]
+        assert sum(own) == n and max(own) - min(own) <= 1
+    again = {r.k: r.fold for r in prep.stratified_folds(df.repartition(2), "k", "label", 5).collect()}
+    assert again == {r.k: r.fold for r in rows}
+    assert {r.fold for r in prep.stratified_folds(df, "k", "label", 1).collect()} == {0}
+    assert prep.stratified_folds(df.where("k < 0"), "k", "label", 5).count() == 0
