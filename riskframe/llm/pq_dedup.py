@@ -1,8 +1,8 @@
 """Embedding near-duplicates by inverted lists and product quantisation.
 
 1. Vectors become unit vectors in double precision. ``n_lists`` coarse centroids and, for each of
-   ``N_SUB`` sub-spaces, ``N_CODES`` residual codewords are fitted by k-means on a bounded sample
-   (``train_rows``, documented); every vector is then indexed.
+   ``N_SUB`` sub-spaces, ``N_CODES`` residual codewords are fitted by k-means on a bounded sample of
+   different vectors (``train_rows``, documented); every vector is then indexed.
 2. A vector lives in the list of its nearest centroid as residual codes, plus the exact length of
    what the codes leave over. As a query it probes the lists that a vector within the link radius
    can live in: list c is left out if the bisector between c and the own centroid is further away
@@ -16,14 +16,15 @@
    a list of any size is spread. Tasks return link counts and one spanning edge per vector, never
    pairs. Components are the connected components of the links.
 
-Defined cases: null, zero and differently long vectors, and vectors with null or non-finite
-components, link with nothing (their own component; the most frequent length is the one indexed);
-repeated rows and tied ids count as other vectors; an empty table gives an empty result; other
+Defined cases: null and zero vectors, and vectors with null or non-finite components, link with
+nothing (their own component); vectors of each length have an index of their own and link only
+among themselves; repeated rows and tied ids count as other vectors; an empty table gives an empty result; other
 columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -107,25 +108,15 @@ def _unit(col: pa.Array) -> np.ndarray:
     return x / np.sqrt((x ** 2).sum(axis=1))[:, None]
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS, list_rows: int = LIST_ROWS) -> DataFrame:
-    """One row per vector of (vec_id, embedding): vec_id, n_links, component_id, kept."""
-    spark = vectors.sparkSession
+def _links_of(usable: DataFrame, n: int, stored_type: str, threshold: float, train_rows: int, list_rows: int) -> DataFrame:
+    """(rid, links, near) of the ``n`` usable vectors (rid, vec) of one length: link counts, and spanning edges with 0 links."""
+    spark = usable.sparkSession
     radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
-    stored_type = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
-    rows = with_row_ids(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(stored_type).alias("vec")), "pq-rows")
-    finite = ~F.exists("vec", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    usable = rows.where(F.col("vec").isNotNull() & finite & F.exists("vec", lambda v: v != 0))
-    lengths = usable.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    if not lengths:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    n = lengths[0]["count"]
-    usable = usable.where(F.size("vec") == lengths[0]["d"]).select("rid", "vec_id", "vec")
-
     share = min(1.0, train_rows / n)
     picked = usable.where(F.pmod(F.xxhash64("vec"), F.lit(1_000_000)) < max(1, int(share * 1_000_000)))
     if not picked.limit(1).count():
         picked = usable.limit(1)
-    sample = np.array([r.vec for r in picked.select("vec").collect()])
+    sample = np.unique(np.array([r.vec for r in picked.select("vec").distinct().collect()]), axis=0)
     sample /= np.sqrt((sample ** 2).sum(axis=1))[:, None]
     # One centroid for about list_rows rows, up to what the sample can support.
     index = spark.sparkContext.broadcast(fit_index(sample, int(max(1, min(n // list_rows, len(sample) // 8)))))
@@ -143,7 +134,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, train_rows
                      pa.array([bytes(c) for c in codes[r]], pa.binary()), pa.array(left[r]), batch.column("vec").take(rows_at)],
                     names=["rid", "list", "member", "codes", "left", "vec"])
 
-    placed = materialise(usable.select("rid", "vec").mapInArrow(place, f"rid long, list int, member boolean, codes binary, left double, vec {stored_type}"), "pq-placed")
+    placed = materialise(usable.mapInArrow(place, f"rid long, list int, member boolean, codes binary, left double, vec {stored_type}"), "pq-placed")
     sizes = placed.groupBy("list").agg(F.ceil(F.sum(F.col("member").cast("int")) / BLOCK).cast("int").alias("m_blocks"), F.ceil(F.count("*") / BLOCK).cast("int").alias("q_blocks"))
     sizes = materialise(sizes.where("m_blocks > 0"), "pq-sizes")
     laid = placed.join(sizes, "list")
@@ -176,7 +167,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, train_rows
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[c] for f in found])) for c in range(3)], names=["rid", "links", "near"])
 
-    links_table = materialise(cells.mapInArrow(compare, "rid long, links long, near long"), "pq-links")
+    return cells.mapInArrow(compare, "rid long, links long, near long")
+
+
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS, list_rows: int = LIST_ROWS) -> DataFrame:
+    """One row per vector of (vec_id, embedding): vec_id, n_links, component_id, kept."""
+    stored_type = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    rows = with_row_ids(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(stored_type).alias("vec")), "pq-rows")
+    finite = ~F.exists("vec", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    usable = rows.where(F.col("vec").isNotNull() & finite & F.exists("vec", lambda v: v != 0))
+    lengths = usable.groupBy(F.size("vec").alias("d")).count().orderBy("d").collect()  # one row for each vector length
+    if not lengths:
+        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    found = [_links_of(usable.where(F.size("vec") == r.d).select("rid", "vec"), r["count"], stored_type, threshold, train_rows, list_rows) for r in lengths]
+    links_table = materialise(functools.reduce(DataFrame.unionByName, found), "pq-links")
     counts = links_table.groupBy("rid").agg(F.sum("links").alias("n_links"))
     edges = links_table.where("rid <> near").select(F.col("rid").alias("a"), F.col("near").alias("b")).distinct()
     parts = connected_components(edges, "pq").withColumnRenamed("node", "rid")

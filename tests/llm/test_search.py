@@ -188,6 +188,17 @@ def test_embeddings_awkward(spark):
     assert pq_dedup.near_duplicates(_vectors(spark, [])).count() == 0
 
 
+def test_embeddings_of_every_length_link_among_themselves(spark):
+    rows = [(i, [1.0, 0.0, 0.0, float(i)], 0) for i in range(6)] + [(10, [0.5, 0.5], 0), (11, [2.0, 2.0], 0), (12, [1.0, -1.0], 0)]
+    rows += [(20, [3.0], 0), (21, [4.0], 0), (22, [-4.0], 0)] + [(30 + i, [1.0, 1.0, 2.0], 0) for i in range(40)]
+    table = _vectors(spark, rows).withColumns({"rid": F.lit("x"), "vec": F.lit(7), "list": F.lit(1), "near": F.lit(0.5)})
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pq_dedup.near_duplicates(table).collect()}
+    for i, x, _ in rows:
+        near = [j for j, y, _ in rows if j != i and len(x) == len(y) and np.dot(x, y) / np.linalg.norm(x) / np.linalg.norm(y) >= 0.95]
+        assert got[i][0] == len(near), i
+    assert got[10] == (1, 10) and got[11] == (1, 10) and got[12] == (0, 12) and got[21] == (1, 20) and got[22] == (0, 22) and got[45] == (39, 30)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_probes_are_sufficient(seed):
     rng = np.random.default_rng(seed)
