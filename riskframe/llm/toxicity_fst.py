@@ -13,6 +13,8 @@ Insult forms and their weights are learned: the documents of a bounded sample of
 and other documents that hold it; those which stand out become arcs of the insult transducer with
 their log-odds as weight. The seed words below only add to them.
 
+Composed and decomposed letters are the same: texts and arcs are compared in composed form (NFC).
+
 Defined cases: null, empty and wordless texts get the curve's value at 0 (the score of no match);
 repeated rows score alike; labels given twice count once, as toxic if any says so; with no usable
 labels the seeds and a fixed curve are used; an empty table gives an empty result; other columns
@@ -23,12 +25,14 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +50,7 @@ FOLDS = 5
 _STEMS = (4, 5, 6, 7)
 _SPLIT = r"[^\p{L}\p{M}\p{N}_]+"
 _CLAUSE = re.compile(r"[^.!?;:\n]+")
-_WORD = re.compile(r"\w+")
+_WORD = regex.compile(r"[\p{L}\p{M}\p{N}_]+")  # the words that ``_SPLIT`` leaves when arcs are learned
 _SYMBOLS = "ITPNRO"
 
 
@@ -130,7 +134,8 @@ class ToxicityModel:
 
     def pattern(self) -> str:
         """A substring pattern that every text with a positive clause matches."""
-        return "(?i)" + "|".join(sorted(re.escape(w) for w in {*self.words, *self.stems, *INSULTS, *THREATS}))
+        forms = {unicodedata.normalize(f, w) for w in (*self.words, *self.stems, *INSULTS, *THREATS) for f in ("NFC", "NFD")}
+        return "(?i)" + "|".join(sorted(map(re.escape, forms)))
 
     def values(self, texts: pa.Array) -> np.ndarray:
         """Sum of clause values per text; texts without any of the forms are skipped by one scan."""
@@ -138,7 +143,8 @@ class ToxicityModel:
         out = np.zeros(len(texts))
         some = np.flatnonzero(pc.match_substring_regex(texts, self.pattern()).to_numpy(zero_copy_only=False))
         for i in some:
-            out[i] = sum(self.clause_value(c) for c in _CLAUSE.findall(texts[int(i)].as_py().lower()))
+            text = unicodedata.normalize("NFC", texts[int(i)].as_py().lower())
+            out[i] = sum(self.clause_value(c) for c in _CLAUSE.findall(text))
         return out
 
     def scores(self, values: np.ndarray) -> np.ndarray:
@@ -221,8 +227,8 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, min_
         if not covered:
             weight = math.log((r.pos + 0.5) / (n_pos + 1)) - math.log((r.neg + 0.5) / (n_neg + 1))
             arcs.append((r.p, min(weight, 6.0)))
-    model.words = {p: w for p, w in arcs if not p.startswith("<")}
-    model.stems = {p[1:]: w for p, w in arcs if p.startswith("<")}
+    model.words = {unicodedata.normalize("NFC", p): w for p, w in arcs if not p.startswith("<")}
+    model.stems = {unicodedata.normalize("NFC", p[1:]): w for p, w in arcs if p.startswith("<")}
     values = train.select("toxic", F.pandas_udf(lambda t: pd.Series(model.values(pa.Array.from_pandas(t, type=pa.string()))), "double")("text").alias("v"))
     sample = np.array([(r.toxic, r.v) for r in values.collect()], float)
     model.slope, model.intercept = fit_curve(np.minimum(sample[:, 1], 50.0), sample[:, 0])

@@ -2,6 +2,7 @@ import hashlib
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +58,16 @@ def test_main_text_awkward(spark):
     assert text_density.main_text(pages.limit(0)).count() == 0
 
 
+def test_decomposed_letters_score_as_composed_ones():
+    import unicodedata
+
+    m = toxicity_fst.ToxicityModel({"imbécile": 4.0}, {"dégu": 3.0})
+    texts = ["Tu es un imbécile, vraiment", "quel dégueulasse, imbécile !", "bonjour à toi", "IMBÉCILE"]
+    composed = m.values(pa.array([unicodedata.normalize("NFC", t) for t in texts]))
+    assert (composed == m.values(pa.array([unicodedata.normalize("NFD", t) for t in texts]))).all()
+    assert composed[0] > 0 and composed[1] > composed[3] > 0 and composed[2] == 0
+
+
 def test_grammar_scopes():
     m = toxicity_fst.ToxicityModel({"zork": 4.0}, {"blee": 3.0})
     assert m.clause_value("you are a zork") > m.clause_value("what a zork") == 4.0
