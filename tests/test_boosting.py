@@ -76,8 +76,7 @@ def _brute_tree(x, g, h, spec, features):
     return leaves
 
 
-@pytest.mark.parametrize("in_memory_rows", [0, 150, 10**9])
-@pytest.mark.parametrize("num_leaves, min_child", [(4, 20), (9, 5), (31, 30)])
+@pytest.mark.parametrize("in_memory_rows, num_leaves, min_child", [(0, 9, 5), (150, 31, 30), (150, 9, 5), (10**9, 4, 20), (10**9, 31, 30)])
 def test_trees_equal_brute_force(binned, in_memory_rows, num_leaves, min_child):
     table, bins = binned
     x, y = _matrix(table)
