@@ -59,6 +59,25 @@ class BoostSpec:
     l2: float = 0.0
     seed: int = 42
 
+    # What other kinds of trees on the same passes change: limits, and whether trees add up.
+    max_depth = None
+    min_split = 0
+    additive = True
+
+    def is_leaf(self, rows: int, depth: int) -> bool:
+        return rows < max(2 * max(1, self.min_child), self.min_split) or self.max_depth is not None and depth >= self.max_depth
+
+    def row_weights(self, key_hash: np.ndarray, round_no: int) -> np.ndarray:
+        """How often a tree holds each row."""
+        return _drawn(key_hash, self, round_no)
+
+    def gradients(self, label: np.ndarray, margin: np.ndarray, weight: np.ndarray, scale: float) -> tuple[np.ndarray, np.ndarray]:
+        return _gradients(label, margin, self, scale)
+
+    def node_features(self, path: str) -> np.ndarray | None:
+        """The features that a node may be split on, or None for all of its tree."""
+        return None
+
     def tree_features(self, round_no: int) -> np.ndarray:
         """The features of one tree, ascending."""
         k = max(1, round(self.feature_fraction * len(self.features))) if self.features else 0
@@ -147,6 +166,17 @@ def best_split(histogram: np.ndarray, features: np.ndarray, spec: BoostSpec, sca
     return (float(gain[f, b]), int(features[f]), int(b), tuple(left[f, b].tolist())) if gain[f, b] > MIN_GAIN else None
 
 
+def node_split(histogram: np.ndarray, features: np.ndarray, spec: BoostSpec, scale: float, path: str):
+    """:func:`best_split` within what the model allows at a node."""
+    if not len(features) or spec.is_leaf(int(histogram[0, :, 0].sum()), len(path)):
+        return None
+    own = spec.node_features(path)
+    if own is not None:
+        keep = np.isin(features, own)
+        histogram, features = histogram[keep], features[keep]
+    return best_split(histogram, features, spec, scale)
+
+
 def _gradients(label: np.ndarray, margin: np.ndarray, spec: BoostSpec, scale: float) -> tuple[np.ndarray, np.ndarray]:
     """Fixed-point gradients and hessians of the weighted logistic loss."""
     p = 1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500)))
@@ -158,10 +188,15 @@ def _drawn(key_hash: np.ndarray, spec: BoostSpec, round_no: int) -> np.ndarray:
     """Rows that a tree is grown on, by a hash of key, seed and round."""
     if spec.row_fraction >= 1:
         return np.ones(len(key_hash), bool)
-    x = key_hash.astype(np.uint64) ^ np.uint64((spec.seed * 1_000_003 + round_no * 7919) & 0xFFFFFFFFFFFFFFFF)
+    return row_hash(key_hash, spec.seed, round_no) < np.uint64(int(spec.row_fraction * 2**64))
+
+
+def row_hash(key_hash: np.ndarray, seed: int, round_no: int) -> np.ndarray:
+    """Uniform 64-bit numbers by key, seed and round."""
+    x = key_hash.astype(np.uint64) ^ np.uint64((seed * 1_000_003 + round_no * 7919) & 0xFFFFFFFFFFFFFFFF)
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return (x ^ (x >> np.uint64(31))) < np.uint64(int(spec.row_fraction * 2**64))
+    return x ^ (x >> np.uint64(31))
 
 
 # ------------------------------------------------------------------ trees on the driver
@@ -187,7 +222,7 @@ class Growth:
         if split:
             for side, part in (("0", split[3]), ("1", tuple(a - b for a, b in zip(sums, split[3])))):
                 if path + side not in self.nodes:
-                    self.nodes[path + side] = Node(part, part[0] < 2 * max(1, self.spec.min_child))
+                    self.nodes[path + side] = Node(part, self.spec.is_leaf(part[0], len(path) + 1))
 
     def best_first(self) -> tuple[set[str], list[str]]:
         """(paths of the split nodes, leaves) by the splits known so far; of equal gains the first path."""
@@ -222,14 +257,14 @@ class Growth:
             if p in chosen:
                 _, out.feature[i], out.bin[i], _ = self.nodes[p].split
                 out.left[i], out.right[i] = at[p + "0"], at[p + "1"]
-            elif chosen:  # a tree without any split adds nothing
+            elif chosen or not self.spec.additive:  # a boosted tree without any split adds nothing
                 weight = h / scale + self.spec.l2
                 out.value[i] = -self.spec.learning_rate * (g / scale) / weight if weight > 0 else 0.0
         return out, paths
 
 
-def grow_in_memory(bins: np.ndarray, g: np.ndarray, h: np.ndarray, spec: BoostSpec, features: np.ndarray, n_bins: int, scale: float) -> list[tuple]:
-    """(path, sums, split) of every node of a subtree grown best first to ``num_leaves`` leaves."""
+def grow_in_memory(bins: np.ndarray, g: np.ndarray, h: np.ndarray, spec: BoostSpec, features: np.ndarray, n_bins: int, scale: float, root: str = "") -> list[tuple]:
+    """(path, sums, split) of every node of the subtree at ``root`` grown best first to ``num_leaves`` leaves; paths from there."""
     bins = bins[:, features] if len(features) else np.zeros((len(bins), 0), np.uint8)
     position = {int(f): i for i, f in enumerate(features)}
     slot = np.zeros(len(bins), np.int64)
@@ -237,7 +272,7 @@ def grow_in_memory(bins: np.ndarray, g: np.ndarray, h: np.ndarray, spec: BoostSp
 
     def explore(path, rows, histogram):
         sums = (len(rows), int(g[rows].sum()), int(h[rows].sum()))
-        split = best_split(histogram, features, spec, scale) if len(features) else None
+        split = node_split(histogram, features, spec, scale, root + path)
         found.append((path, sums, split))
         if split:
             held[path] = (rows, histogram, split)
@@ -254,7 +289,7 @@ def grow_in_memory(bins: np.ndarray, g: np.ndarray, h: np.ndarray, spec: BoostSp
         small = min(sides, key=lambda s: len(sides[s]))
         part = _histogram(bins[sides[small]], g[sides[small]], h[sides[small]], slot[: len(sides[small])], 1, n_bins)[0]
         for side, own in sides.items():
-            if len(own) >= 2 * max(1, spec.min_child):
+            if not spec.is_leaf(len(own), len(root + path) + 1):
                 explore(path + side, own, part if side == small else histogram - part)
     return found
 
@@ -272,6 +307,7 @@ class _Work:
     features: np.ndarray
     tree: BinTree
     slot: np.ndarray
+    paths: list[str]  # of each slot
 
 
 def _rows_of(batches: Iterator[pa.RecordBatch], work: dict[int, _Work], scale: float, label: str):
@@ -285,12 +321,13 @@ def _rows_of(batches: Iterator[pa.RecordBatch], work: dict[int, _Work], scale: f
         stored = matrix_rows(batch.column("raw"), np.float64)
         for model, w in work.items():
             slot = w.slot[w.tree.leaf_of(bins)]
-            rows = np.flatnonzero((slot >= 0) & _drawn(hashed, w.spec, w.round_no))
+            weight = w.spec.row_weights(hashed, w.round_no)
+            rows = np.flatnonzero((slot >= 0) & (weight > 0))
             if len(rows):
-                margin = stored[rows, model].copy()
+                margin = stored[rows, model].copy() if w.spec.additive else np.zeros(len(rows))
                 for tree in w.since:
                     margin += tree.value[tree.leaf_of(bins[rows])]
-                yield batch, model, bins, rows, slot[rows], *_gradients(target[rows], margin, w.spec, scale)
+                yield batch, model, bins, rows, slot[rows], *w.spec.gradients(target[rows], margin, weight[rows], scale)
 
 
 _SPLIT = "model int, slot int, path string, n long, g long, h long, gain double, feature int, cut int, left_n long, left_g long, left_h long"
@@ -328,7 +365,7 @@ def _histogram_pass(state: DataFrame, work: dict[int, _Work], n_bins: int, scale
         for (m, s), by_feature in total.items():
             order = sorted(by_feature)
             histogram = np.stack([by_feature[f] for f in order]).reshape(len(order), n_bins, 3)
-            out.append((m, s, "", tuple(histogram[0].sum(axis=0).tolist()), best_split(histogram, work[m].features[order], work[m].spec, scale)))
+            out.append((m, s, "", tuple(histogram[0].sum(axis=0).tolist()), node_split(histogram, work[m].features[order], work[m].spec, scale, work[m].paths[s])))
         if out:
             yield _split_batch(out)
 
@@ -347,7 +384,7 @@ def _subtree_pass(state: DataFrame, work: dict[int, _Work], n_bins: int, scale:
     def grow(table: pa.Table) -> pa.Table:
         model, slot = table.column("model")[0].as_py(), table.column("slot")[0].as_py()
         w = work[model]
-        found = grow_in_memory(matrix_rows(table.column("bins")), table.column("g").to_numpy(), table.column("h").to_numpy(), w.spec, w.features, n_bins, scale)
+        found = grow_in_memory(matrix_rows(table.column("bins")), table.column("g").to_numpy(), table.column("h").to_numpy(), w.spec, w.features, n_bins, scale, w.paths[slot])
         return pa.Table.from_batches([_split_batch([(model, slot, *node) for node in found])])
 
     return state.mapInArrow(rows_of, "model int, slot int, bins binary, g long, h long").groupBy("model", "slot").applyInArrow(grow, _SPLIT).collect()
@@ -372,7 +409,7 @@ def _grow_trees(state: DataFrame, models: list[BoostedModel], stored: int, activ
             if wanted:
                 tree, paths = t.tree(scale)
                 number = {p: i for i, p in enumerate(wanted)}
-                work[m] = _Work(models[m].spec, models[m].base, models[m].trees[stored:], round_no, t.features, tree, np.array([number.get(p, -1) for p in paths]))
+                work[m] = _Work(models[m].spec, models[m].base, models[m].trees[stored:], round_no, t.features, tree, np.array([number.get(p, -1) for p in paths]), wanted)
                 leaf_at[m] = wanted
         if work:
             found: dict[tuple, tuple] = {}
