@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.profile import categorical_columns, constant_columns, numeric_columns
 from riskframe.operators.joins import null_safe_join
+from riskframe.operators.sketches import column_sketches, sketch_statistics
 from riskframe.operators.quantiles import exact_quantiles, quantile_columns, sql_name, sql_str
 
 # ------------------------------------------------------------------ split and sample
@@ -89,10 +90,17 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 
 # ------------------------------------------------------------------ fitted statistics
 
-def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """Exact median per column (linear interpolation); null-only columns -> None."""
+def fit_medians(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> dict[str, float | None]:
+    """Exact median per column (linear interpolation); null-only columns -> None.
+
+    ``approximate`` takes a value whose rank is within ``sketches.RANK_ERROR`` of the middle, from one pass.
+    """
     if not columns:
         return {}
+    if approximate:
+        rows = sketch_statistics(column_sketches(df, columns), {"median": 0.5}).collect()  # one row per column
+        got = {r.column: r.median for r in rows}
+        return {c: got.get(c) for c in columns}
     rows = quantile_columns(df, list(columns), {"median": 0.5}).collect()  # one row per column
     got = {r.column: r.median for r in rows}
     return {c: got.get(c) for c in columns}

@@ -3,15 +3,17 @@
 Every family table is grouped by the applicant key, so each comes out
 hash-partitioned on it; the join chain then shuffles only the applicant side
 (or nothing, when AQE turns a small family into a broadcast after measuring
-it). Writing the families bucketed by the key (``write_families``) removes
-the remaining exchange for repeated use.
+it). Families stored bucketed by the key (``stored_families``) are joined to any
+number of applicant frames without an exchange of their own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from riskframe.sources.catalog import write_parquet
 
@@ -38,7 +40,24 @@ def build_applicant_tables(frames: Mapping[str, DataFrame], families: Mapping[st
     return {name: join_families(df, families, key) for name, df in frames.items()}
 
 
-def write_families(families: Mapping[str, DataFrame], root: str, key: str, buckets: int) -> None:
-    """Persist each family bucketed by the applicant key (co-located joins)."""
+def write_families(families: Mapping[str, DataFrame], root: str, key: str, buckets: int, prefix: str = "family_") -> None:
+    """Persist each family bucketed by the applicant key (co-located joins), one file per bucket."""
     for name, df in families.items():
-        write_parquet(df, f"{root}/{name}", bucket_by=(buckets, key), table_name=f"family_{name}")
+        write_parquet(df.repartition(buckets, key), f"{root}/{name}", bucket_by=(buckets, key), table_name=f"{prefix}{name}")
+
+
+@contextmanager
+def stored_families(spark: SparkSession, families: Mapping[str, DataFrame], root: str, key: str,
+                    buckets: int | None = None) -> Iterator[dict[str, DataFrame]]:
+    """The families written bucketed below ``root``, as tables that joins on ``key`` read in place.
+
+    ``buckets`` defaults to ``spark.sql.shuffle.partitions``. The catalog holds the tables, under names of this
+    run, until the block ends; the files stay.
+    """
+    prefix = f"family_{uuid.uuid4().hex}_"
+    try:
+        write_families(families, root, key, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), prefix)
+        yield {name: spark.table(f"{prefix}{name}") for name in families}
+    finally:
+        for name in families:
+            spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}")

@@ -15,7 +15,7 @@ from riskframe.functions.exprs import (
     clip_lower, row_max, row_mean, row_min, safe_divide, sentinel_to_null,
 )
 from riskframe.operators.rollup import Flag, RollupSpec, rollup, two_level_rollup
-from riskframe.plans.assemble import build_applicant_tables, feature_groups
+from riskframe.plans.assemble import build_applicant_tables, feature_groups, stored_families
 from riskframe.sources.catalog import TableRegistry, manifest_of, write_json, write_parquet
 
 KEY = "SK_ID_CURR"
@@ -228,25 +228,22 @@ def families(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def build_processed_datasets(spark: SparkSession, raw_dir: str, out_dir: str) -> dict:
+def build_processed_datasets(spark: SparkSession, raw_dir: str, out_dir: str, buckets: int | None = None) -> dict:
     """Raw CSVs -> ``train_features`` / ``test_features`` Parquet + manifest JSON.
 
-    Each family is rolled up and written once, below ``out_dir/families``; both
-    applicant tables join the stored families.
+    Each family is rolled up and written once, below ``out_dir/families`` and bucketed by the
+    applicant key; both applicant tables join the stored families without moving them again.
     """
     reg = registry(raw_dir)
     raw = {name: reg.read(spark, name) for name in RAW_TABLE_FILES}
-    fams = {}
-    for name, df in families(raw).items():
-        path = f"{out_dir}/families/{name}.parquet"
-        write_parquet(df, path)
-        fams[name] = spark.read.schema(df.schema).parquet(path)
     frames = {"train": clean_application(raw["application_train"]),
               "test": clean_application(raw["application_test"])}
-    out = build_applicant_tables(frames, fams, KEY)
-    for name, df in out.items():
-        write_parquet(df, f"{out_dir}/{name}_features.parquet")
+    with stored_families(spark, families(raw), f"{out_dir}/families", KEY, buckets) as fams:
+        out = build_applicant_tables(frames, fams, KEY)
+        for name, df in out.items():
+            write_parquet(df, f"{out_dir}/{name}_features.parquet")
+        groups = feature_groups(fams, KEY, APPLICATION_DERIVED_COLUMNS)
     written = {name: spark.read.parquet(f"{out_dir}/{name}_features.parquet") for name in out}
-    manifest = manifest_of(written, TARGET, feature_groups(fams, KEY, APPLICATION_DERIVED_COLUMNS))
+    manifest = manifest_of(written, TARGET, groups)
     write_json(spark, manifest, f"{out_dir}/feature_definitions.json")
     return manifest

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.exprs import blend
 from riskframe.operators import attribution as attr
-from riskframe.operators import binning, boosting
+from riskframe.operators import binning, boosting, forest
 from riskframe.operators import metrics as met
 from riskframe.operators import network
 from riskframe.operators import prepare as prep
@@ -358,6 +358,35 @@ def boosted_invariants(spark, sf_dir, n_iter: int = 500) -> DataFrame:
     return out.withColumns({"trees": F.lit(len(model.trees)).cast("long"), **{f"bad_{k}": F.lit(int(v)).cast("long") for k, v in broken}})
 
 
+_FORESTS: dict[tuple, forest.Forest] = {}
+
+
+def train_balanced_forest(spark, sf_dir, n_trees: int = 400, max_depth=None, min_leaf: int = 5, min_split: int = 10):
+    """(forest, validation scores, binned train rows): classes weigh the same in every tree's bootstrap.
+    Fitted once per session."""
+    data, at = binned(spark, sf_dir), (spark.sparkContext.applicationId, sf_dir, n_trees, max_depth, min_leaf, min_split)
+    if at not in _FORESTS:
+        spec = forest.ForestSpec("balanced_forest", tuple(range(len(prepared(spark, sf_dir, False).names))), n_trees, max_depth, min_leaf, min_split)
+        _FORESTS[at] = forest.fit(data.train, data.n_bins, [spec], KEY, TARGET)[0]
+    return _FORESTS[at], forest.score(data.valid, [_FORESTS[at]], KEY, TARGET).withColumnRenamed(TARGET, "label"), data.train
+
+
+def forest_invariants(spark, sf_dir, n_trees: int = 400) -> DataFrame:
+    """One row: validation rows scored, trees, and what breaks their rules: scores outside 0 to 1, leaves of
+    too few rows, trees whose leaves don't hold their whole draw, draws whose classes don't weigh the same."""
+    model, scores, train = train_balanced_forest(spark, sf_dir, n_trees)
+    spec = model.spec
+    draws = [(spec.seed, t) for t in range(spec.n_trees)]
+    masses = forest.draw_masses(train, KEY, TARGET, draws)
+    uneven = sum(abs(masses[d][0] * w[0] - masses[d][1] * w[1]) > 1e-6 for d, w in zip(draws, model.class_weights))
+    drawn = forest.draw_rows(train, KEY, draws)
+    leaves = [t.cover[t.feature < 0] for t in model.trees]
+    broken = [("leaf_rows", sum(bool((x < spec.min_leaf).any()) for x in leaves if len(x) > 1)),
+              ("tree_rows", sum(int(x.sum()) != drawn[d] for x, d in zip(leaves, draws))), ("class_mass", uneven)]
+    out = scores.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("score").between(0, 1)).alias("bad_scores"))
+    return out.withColumns({"trees": F.lit(len(model.trees)).cast("long"), **{f"bad_{k}": F.lit(int(v)).cast("long") for k, v in broken}})
+
+
 def experiment_counts(spark, sf_dir) -> DataFrame:
     """What an ablation run holds whatever its learner: columns, validation rows and positives, in
     the recommended order."""

@@ -868,3 +868,29 @@ def boosted_invariants_sql(rounds: int) -> str:
 def ablation_invariants_sql(experiments: dict, runs: list[str]) -> str:
     return (f"SELECT experiment, raw_feature_count, validation_rows, validation_positives, starts_with(experiment, 'full_minus') AS has_drop, true AS holds "
             f"FROM ({experiment_counts_sql(experiments, runs)})")
+
+
+def forest_invariants_sql(trees: int) -> str:
+    zeros = ", ".join(f"0::BIGINT AS {c}" for c in ("bad_scores", "bad_leaf_rows", "bad_tree_rows", "bad_class_mass"))
+    return f"WITH {split_cte()} SELECT COUNT(*) AS rows, {trees}::BIGINT AS trees, {zeros} FROM split WHERE split = 'validation'"
+
+
+def csv_inferred_sql(sample_rows: int) -> str:
+    return f"""
+WITH t AS (
+  SELECT o_orderkey AS k, o_orderstatus AS status, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS place, FLOOR(o_totalprice)::BIGINT AS whole,
+         o_orderkey % 11 < 3 AS missing, o_orderkey * 2 > MAX(o_orderkey) OVER () AND o_orderkey % 13 = 0 AS half
+  FROM orders),
+a AS (SELECT *, NOT missing AND half AS broken, BOOL_OR(NOT missing AND half AND place <= {sample_rows}) OVER () AS real FROM t)
+SELECT 'o_orderkey' AS "column", 'bigint' AS type, COUNT(*) AS rows, 0::BIGINT AS nulls, 0::BIGINT AS unparsed, SUM(k)::DOUBLE AS total FROM a
+UNION ALL
+SELECT 'amount', CASE WHEN BOOL_OR(real) THEN 'double' ELSE 'bigint' END, COUNT(*), COUNT(*) FILTER (WHERE missing),
+       COUNT(*) FILTER (WHERE broken AND NOT real), SUM(CASE WHEN missing OR (broken AND NOT real) THEN NULL ELSE whole + CASE WHEN half THEN 0.5 ELSE 0 END END)::DOUBLE FROM a
+UNION ALL
+SELECT 'is_open', 'boolean', COUNT(*), 0::BIGINT, 0::BIGINT, COUNT(*) FILTER (WHERE status = 'O')::DOUBLE FROM a
+UNION ALL
+SELECT 'status', 'string', COUNT(*), 0::BIGINT, 0::BIGINT, NULL::DOUBLE FROM a"""
+
+
+def sketch_accuracy_sql(columns: list[str]) -> str:
+    return " UNION ALL ".join(f"""SELECT '{c}' AS "column", COUNT(*) AS n_rows, COUNT({c}) AS n_values, true AS distinct_holds, true AS quantiles_hold FROM lineitem""" for c in columns)

@@ -96,3 +96,9 @@ add("score_alignment_trained", o.score_alignment_trained_sql())
 add("attribution_additivity", o.attribution_additivity_sql(2000))
 add("boosted_invariants", o.boosted_invariants_sql(_mdl.QUERY_ROUNDS))
 add("ablation_invariants", o.ablation_invariants_sql(_mdl.EXPERIMENTS, _mdl.RECOMMENDED_RUNS))
+add("forest_invariants", o.forest_invariants_sql(_mdl.QUERY_TREES))
+from riskframe.plans.queries.profiling import SKETCH_COLUMNS  # noqa: E402
+from riskframe.sources.inference import SAMPLE_ROWS  # noqa: E402
+
+add("csv_inferred", o.csv_inferred_sql(SAMPLE_ROWS))
+add("sketch_accuracy", o.sketch_accuracy_sql(SKETCH_COLUMNS))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from riskframe.operators import metrics as met
 from riskframe.operators import prepare as prep
 from riskframe.plans import tpch
 from riskframe.plans.queries.common import features, register, round_doubles, split_assignment, stage_dir
 from riskframe.plans.queries.evaluation import model_scores
 from riskframe.sources import catalog as cat
+from riskframe.sources.inference import infer_csv
 
 
 @register("parquet_roundtrip")
@@ -31,6 +34,26 @@ def q_csv_scan(spark, sf_dir):
     return cat.read_csv_table(spark, path, schema, columns=["o_orderkey", "o_custkey", "o_totalprice"])
 
 
+@register("csv_inferred")
+def q_csv_inferred(spark, sf_dir):
+    """Orders as CSV in key order, with three null spellings and, in the second half, some fractions among whole
+    amounts: per column the inferred type, nulls, values that didn't parse and the total."""
+    path = stage_dir(spark, "orders-untyped")
+    orders = tpch.table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus", "o_totalprice"])
+    k = F.col("o_orderkey")
+    last = orders.agg(F.max(k).alias("__last"))
+    whole = F.floor("o_totalprice").cast("string")
+    amount = F.when(k % 11 == 0, "NA").when(k % 11 == 1, "n/a").when(k % 11 == 2, F.lit(None)).otherwise(
+        F.concat(whole, F.when((k * 2 > F.col("__last")) & (k % 13 == 0), ".5").otherwise("")))
+    text = orders.crossJoin(F.broadcast(last)).select(  # one-row side
+        "o_orderkey", amount.alias("amount"), (F.col("o_orderstatus") == "O").alias("is_open"), F.col("o_orderstatus").alias("status"))
+    text.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").write.mode("overwrite").option("header", True).csv(path)
+    table = infer_csv(spark, path, null_spellings=["NA", "n/a"])
+    typed = table.read().select("o_orderkey", F.col("amount").cast("double").alias("amount"), F.col("is_open").cast("int").alias("is_open"))
+    totals = typed.agg(*[F.sum(c).cast("double").alias(c) for c in typed.columns]).unpivot([], typed.columns, "column", "total")
+    return table.failures().join(totals, "column", "left")
+
+
 @register("csv_report_roundtrip")
 def q_csv_report_roundtrip(spark, sf_dir):
     path = stage_dir(spark, "threshold-report")

@@ -121,3 +121,13 @@ def q_boosted_invariants(spark, sf_dir):
 @register("top_features")
 def q_top_features(spark, sf_dir):
     return round_doubles(top_features(mdl.attributions(spark, sf_dir, n_iter=mdl.QUERY_ROUNDS), 10, FAMILY_PREFIXES))
+
+
+@register("balanced_forest")
+def q_balanced_forest(spark, sf_dir):
+    return round_doubles(mdl.evaluate(mdl.train_balanced_forest(spark, sf_dir, mdl.QUERY_TREES)[1]))
+
+
+@register("forest_invariants")
+def q_forest_invariants(spark, sf_dir):
+    return mdl.forest_invariants(spark, sf_dir, mdl.QUERY_TREES)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskframe.operators import profile as prof
+from riskframe.operators import sketches as sk
 from riskframe.plans import tpch
 from riskframe.plans.queries.common import (
     CORR_COLUMNS, LINEITEM_NUMERIC, OVERVIEW_TABLES, RECORD_SOURCES, STATUS_SOURCES, features, register,
-    round_doubles, split_assignment, stored_features, union_all,
+    round_doubles, split_assignment, stage_dir, stored_features, union_all,
 )
 
 
@@ -131,3 +132,28 @@ def q_missing_train_test(spark, sf_dir):
     train = select_part(feats, split, tpch.KEY, "train")
     test = select_part(feats, split, tpch.KEY, "validation").drop(tpch.TARGET)
     return round_doubles(prof.missing_train_test(train, test))
+
+
+SKETCH_COLUMNS = ["l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+
+
+@register("sketch_accuracy")
+def q_sketch_accuracy(spark, sf_dir):
+    """Sketches stored by return flag, one part refreshed, merged: per column the counts, and whether distinct
+    counts (four deviations) and quartiles (twice the rank error) hold against the exact ones."""
+    path = stage_dir(spark, "lineitem-sketches")
+    items = tpch.table(spark, sf_dir, "lineitem", ["l_returnflag", *SKETCH_COLUMNS])
+    sk.refresh_sketches(spark, path, items, "l_returnflag", SKETCH_COLUMNS)
+    stored = sk.refresh_sketches(spark, path, items.where("l_returnflag = 'R'"), "l_returnflag", SKETCH_COLUMNS)
+    probs = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    found = sk.sketch_statistics(stored, probs)
+    long = items.select(*[F.col(c).cast("double").alias(c) for c in SKETCH_COLUMNS]).unpivot([], SKETCH_COLUMNS, "column", "x")
+    # One row per column: its exact distinct count, and the ranks that the estimates take.
+    near = long.join(F.broadcast(found), "column").groupBy("column").agg(
+        F.count_distinct("x").alias("exact"), F.count("x").alias("n"),
+        *[F.count_if(F.col("x") < F.col(q)).alias(f"{q}_low") for q in probs], *[F.count_if(F.col("x") <= F.col(q)).alias(f"{q}_high") for q in probs])
+    slack = 2 * sk.RANK_ERROR
+    within = [(F.col(f"{q}_low") / F.col("n") <= p + slack) & (F.col(f"{q}_high") / F.col("n") >= p - slack) for q, p in probs.items()]
+    return found.join(near, "column").select(
+        "column", "n_rows", "n_values", (F.abs(F.col("n_unique") - F.col("exact")) <= 4 * sk.DISTINCT_ERROR * F.col("exact") + 1).alias("distinct_holds"),
+        (within[0] & within[1] & within[2]).alias("quantiles_hold"))

@@ -4,7 +4,7 @@ import csv
 import json
 
 from riskframe.plans import loan
-from riskframe.plans.assemble import write_families
+from riskframe.plans.assemble import build_applicant_tables, stored_families, write_families
 from riskframe.sources.catalog import read_csv_table
 
 APP_COLS = ["SK_ID_CURR", "TARGET", "DAYS_EMPLOYED", "DAYS_BIRTH", "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY",
@@ -80,3 +80,23 @@ def test_bucketed_families_join_without_exchange(spark, tmp_path):
         assert "Exchange" not in plan and joined.count() == 100
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_stored_families_are_joined_in_place(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fams = {n: spark.range(0, 100, i + 2).selectExpr("id AS k", f"id * {i} AS {n}") for i, n in enumerate("abcde")}
+        frames = {"train": spark.range(60).selectExpr("id AS k", "id AS x"), "test": spark.range(60, 90).selectExpr("id AS k", "id AS x")}
+        with stored_families(spark, fams, str(tmp_path / "fam"), "k", 4) as stored:
+            before = len(spark.catalog.listTables())
+            for name, df in build_applicant_tables(frames, stored, "k").items():
+                plan = df._jdf.queryExecution().executedPlan().toString()
+                assert plan.count("Exchange hashpartitioning") == 1  # the applicants
+                assert plan.count("SortMergeJoin") == 5 and plan.count("Bucketed: true") == 5
+                got = {r.k: r for r in df.collect()}
+                assert len(got) == frames[name].count()
+                assert all(r.b == (k if k % 3 == 0 else None) and r.c == (2 * k if k % 4 == 0 else None) for k, r in got.items())
+        assert len(spark.catalog.listTables()) == before - 5
+        assert spark.read.parquet(str(tmp_path / "fam" / "a")).count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
