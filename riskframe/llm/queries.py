@@ -41,7 +41,7 @@ def op7_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     with scratch(spark):
         docs = with_row_ids(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "mix-docs")
-        mixed = apportion.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "source_blocks")
+        mixed = apportion.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "source_blocks", "shard_words")
         return materialise(mixed, "mix-result", keep=True)
 
 

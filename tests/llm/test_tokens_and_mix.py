@@ -93,6 +93,88 @@ def test_quotas_are_sainte_lague(spark):
         assert got[shard] == {p: part.count(p) for p in set(part)} and sum(got[shard].values()) == 10
 
 
+@pytest.mark.parametrize("large, small, shards, blocks", [(10_000.0, 20_000, 4, 256), (1_000_000.0, 3, 2, 500), (7.0, 50, 3, 10)])
+def test_quotas_equal_a_heap_with_many_small_sources(spark, large, small, shards, blocks):
+    import heapq
+
+    rows = [(1, large)] + [(i + 2, 0.5) for i in range(small)]
+    heap, want = [(-t, p, 1) for p, t in rows], []
+    heapq.heapify(heap)
+    for _ in range(shards * blocks):
+        key, p, d = heapq.heappop(heap)
+        want.append(p)
+        heapq.heappush(heap, (-rows[p - 1][1] / (d + 2), p, d + 2))
+    got = {(r["shard"], r.pos): r.quota for r in apportion.shard_quotas(spark.createDataFrame(rows, "pos int, target double"), shards, blocks).collect()}
+    expected = {}
+    for at, p in enumerate(want):
+        expected[at // blocks, p] = expected.get((at // blocks, p), 0) + 1
+    assert got == expected
+
+
+def _words_by_shard(docs, plan, shards, blocks, seed):
+    """Every word of every source's selection dealt one by one: {rid: words per shard}."""
+    n_blocks, total = shards * blocks, sum(len_ for _, _, len_ in docs)
+    out = {}
+    for source, (bounds, want, order, drawn) in plan.items():
+        place = {}
+        at = 0
+        for rid, n in order:
+            out.setdefault(rid, [0] * shards)
+            for _ in range(n):
+                place[at] = rid
+                at += 1
+        size, block = at, max(1, -(-total // n_blocks))
+        words = [w for b in drawn for w in range(b * block, min(size, (b + 1) * block))]
+        for i in range(want):
+            shard = next(s for s in range(shards) if bounds[s] <= i < bounds[s + 1])
+            out[place[words[i % size]]][shard] += 1
+    return out
+
+
+def test_shards_get_their_quotas_of_words(spark):
+    """Shards hold whole quotas, documents at most their epochs, and both sums agree."""
+    docs = with_row_ids(table(spark, "/root/testdata/sf0.01", "documents"), "t")
+    rows = apportion.mix(docs, shards=5, blocks_per_shard=64).collect()
+    by = {}
+    for r in rows:
+        assert len(r.shard_words) == 5 and min(r.shard_words) >= 0 and sum(r.shard_words) == r.taken
+        words = by.setdefault(r.source, [0] * 5)
+        by[r.source] = [a + b for a, b in zip(words, r.shard_words)]
+    sized = docs.select("source", F.coalesce(F.regexp_count("text", F.lit(apportion.WORD)), F.lit(0)).cast("long").alias("size"))
+    targets = apportion.source_targets(sized)
+    block = sum(r["size"] for r in rows) / 320
+    source = {r.pos: r.source for r in targets.collect()}
+    quota = {}
+    for r in apportion.shard_quotas(targets, 5, 64).collect():
+        quota[source[r.pos], r["shard"]] = r.quota
+    for s, words in by.items():
+        assert all(abs(w - quota.get((s, i), 0) * block) <= block for i, w in enumerate(words)) or not any(quota.get((s, i)) for i in range(5))
+    whole = [sum(w[i] for w in by.values()) for i in range(5)]
+    assert all(abs(w - 64 * block) <= 0.5 * block * len(by) for w in whole)
+
+
+def test_words_of_shards_equal_dealing_one_by_one(spark):
+    """One source of 30 words three times, another of 300 words in part, on 3 shards of 4 blocks."""
+    sizes = [("a", 10), ("a", 3), ("a", 17), ("b", 120), ("b", 1), ("b", 179), ("c", 1)]
+    docs = with_row_ids(spark.createDataFrame([(i, s, "w " * n) for i, (s, n) in enumerate(sizes)], "doc_id long, source string, text string").coalesce(1), "t")
+    rows = {r.doc_id: r for r in apportion.mix(docs, shards=3, blocks_per_shard=4, seed=5).collect()}
+    h = {r.doc_id: (r.place, r.spread) for r in docs.select("doc_id", F.xxhash64(F.lit(5), "doc_id").alias("place"), F.xxhash64(F.lit(6), "doc_id").alias("spread")).collect()}
+    targets = {r.source: r for r in apportion.source_targets(docs.select("source", F.size(F.split(F.trim("text"), " ")).cast("long").alias("size"))).collect()}
+    frame = spark.createDataFrame([(t.pos, t.target) for t in targets.values()], "pos int, target double")
+    quota = {(r.pos, r["shard"]): r.quota for r in apportion.shard_quotas(frame, 3, 4).collect()}
+    plan, total = {}, sum(n for _, n in sizes)
+    for s, t in targets.items():
+        want, q = int(t.target + 0.5), [quota.get((t.pos, i), 0) for i in range(3)]
+        bounds = [0] + ([int(want * (sum(q[: i + 1]) / sum(q)) + 0.5) for i in range(3)] if sum(q) else [want if i >= t.pos % 3 else 0 for i in range(3)])
+        order = [(i, n) for i, (x, n) in sorted(enumerate(sizes), key=lambda d: h[d[0]][0]) if x == s]
+        n_blocks = -(-t.source_size // -(-total // 12))
+        seeded = spark.range(n_blocks).select(F.col("id").cast("int").alias("b"), F.xxhash64(F.lit(5), F.lit(s), F.col("id").cast("int")).alias("h")).orderBy("h", "b").collect()
+        plan[s] = (bounds, want, order, [r.b for r in seeded])
+    want = _words_by_shard([(i, s, n) for i, (s, n) in enumerate(sizes)], plan, 3, 4, 5)
+    assert {i: list(r.shard_words) for i, r in rows.items()} == want
+    assert max(sum(w) / sizes[i][1] for i, w in want.items()) == 3
+
+
 def test_mix_meets_targets(spark):
     docs = with_row_ids(table(spark, "/root/testdata/sf0.01", "documents"), "t")
     rows = apportion.mix(docs).collect()
