@@ -14,7 +14,8 @@ with C characters, T tags, LC link characters, LT link tags below it (1 where a
 the body's LCb, Cb: characters per tag, less the more of them are links. The node with the largest
 sum of its children's densities holds the article. The smallest density on the path from it to the
 body is the threshold: headings and text blocks beside that path join the article from it upwards.
-Where the node lies in an ``article`` or ``main`` element, that element is the article.
+Where the node lies in an ``article`` or ``main`` element, that element is the article. Lists of links
+in it are menus and go, unless their heading names them as references. Formulas are part of their line.
 
 Text: character references decoded, white space in a block turned into one space, trimmed, blocks
 joined in page order by a line feed. ``br`` is white space.
@@ -38,8 +39,9 @@ from riskframe.llm.common import small_batches
 
 # HTML vocabulary.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NEVER = frozenset("script style noscript template iframe object svg math canvas audio video map button select textarea input label fieldset nav aside footer menu dialog head title frameset noframes".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+NEVER = frozenset("script style noscript template iframe object svg annotation canvas audio video map button select textarea input label fieldset nav aside footer menu dialog head title frameset noframes".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+                   "math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot msup msub msubsup mover munder munderover mfenced menclose mpadded mstyle mmultiscripts mtable mtr mtd".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure figcaption footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 SIBLING_TEXT = HEADINGS | frozenset("p blockquote pre ul ol dl table figure section".split())
@@ -54,6 +56,9 @@ REPLIES = frozenset("comment comments commentlist respond disqus discussion repl
 STATES = frozenset("has have no not non without with is show hide hidden allow enable enabled disable disabled".split())
 # As an id these may name a topic of the text; as whole values the others hardly do.
 TOPICS = frozenset("discussion related legal notice notices disclaimer copyright search share sharing social promotion banner menu navigation alert notification subscription consent cookies recommendations recommended reply replies form skip widgets advertising advertisement gdpr".split())
+# Headings of reference lists.
+REFERENCES = frozenset("references reference sources bibliography citations cited footnotes endnotes quellen literatur literaturverzeichnis einzelnachweise nachweise références bibliographie referencias fuentes bibliografía".split())
+_WORD = re.compile(r"\w+")
 _TOKEN = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -170,6 +175,12 @@ def _drop_named(tree: _Tree) -> None:
             tree.dropped[i] = tree.dropped[i] or tree.dropped[parent[i]] or bool(tree.named[i]) and not most
 
 
+def _lists_references(tree: _Tree, heading: int) -> bool:
+    end = next((i for i in range(heading + 1, len(tree.tag)) if tree.parent[i] < heading), len(tree.tag))
+    title = " ".join(text for node, text in tree.items if text is not None and heading <= node < end)
+    return not REFERENCES.isdisjoint(_WORD.findall(title.lower()))
+
+
 def article_text(html: str | None) -> str:
     """The main text of one page."""
     if not html:
@@ -233,10 +244,13 @@ def article_text(html: str | None) -> str:
         for i in range(n):
             if not dropped[i] and parent[i] in on_path and i not in on_path and parent[i] != best and tag[i] in SIBLING_TEXT and density[i] >= threshold > 0:
                 keep[i] = True
+    last: dict[int, int] = {}  # the element before, of the same parent
     for i in range(1, n):
+        before, last[parent[i]] = last.get(parent[i]), i
         keep[i] = (keep[i] or keep[parent[i]]) and not dropped[i]
         if keep[i] and tag[i] in ("ul", "ol", "div", "section") and link_tags[i] >= 3 and link_chars[i] >= 0.8 * chars[i]:
-            keep[i] = False  # a list of links inside the article is a menu
+            # A list of links inside the article is a menu, unless a heading says that it is the article's references.
+            keep[i] = tag[i] in ("ul", "ol") and before is not None and keep[before] and tag[before] in HEADINGS and _lists_references(tree, before)
     blocks, open_block = [], []
 
     def flush():

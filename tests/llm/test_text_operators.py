@@ -32,6 +32,11 @@ KEPT = {
     f"<body><div class='sidebar-layout'><h1>T</h1><p>{_TEXT}</p><div class='newsletter'>Sign up</div></div></body>": f"T\n{_TEXT}",
     f"<article><p>{_TEXT}</p><section id='discussion'><h2>Discussion</h2><p>{_TEXT}</p></section><h2 id='related-work'>Related</h2><p id='search-terms'>Terms</p><div id='comments'>nice</div></article>": f"{_TEXT}\nDiscussion\n{_TEXT}\nRelated\nTerms",
     f"<body><div class='ad'>{_TEXT} {_TEXT}</div><article><h1>T</h1><p>Short.</p></article></body>": "T\nShort.",
+    "<article><p>The sum is <math><mi>x</mi><mo>+</mo><mn>1</mn><annotation>x+1</annotation></math> here.</p><svg><text>no</text></svg></article>": "The sum is x+1 here.",
+    f"<article><p>{_TEXT}</p><h2>Sources <i>and</i> Notes</h2><ol><li><a href='a'>First title</a></li><li><a href='b'>Second title</a></li><li><a href='c'>Third title</a></li></ol></article>":
+        f"{_TEXT}\nSources and Notes\nFirst title\nSecond title\nThird title",
+    f"<article><p>{_TEXT}</p><h2>References</h2><p>{_TEXT}</p><ul><li><a href='a'>First title</a></li><li><a href='b'>Second title</a></li><li><a href='c'>Third title</a></li></ul></article>": f"{_TEXT}\nReferences\n{_TEXT}",
+    f"<article><p>{_TEXT}</p><h3>More from us</h3><ul><li><a href='a'>First title</a></li><li><a href='b'>Second title</a></li><li><a href='c'>Third title</a></li></ul></article>": f"{_TEXT}\nMore from us",
     f"<body><div class='post'><h1>T</h1><p>{_TEXT}</p></div><div class='comments'><p>{_TEXT}</p><p>{_TEXT}</p><p>{_TEXT}</p></div></body>": f"T\n{_TEXT}",
 }
 
