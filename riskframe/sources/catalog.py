@@ -1,7 +1,7 @@
 """Readers, writers and the table registry.
 
 * Raw tables are CSV with a header; they are read with a declared
-  ``StructType`` (no inference pass over the data).
+  ``StructType``, or typed by their first rows (no inference pass over the data).
 * Stage tables are Parquet. Writers overwrite one path per stage.
 * Small reports (metric tables, manifests) are written as one CSV / JSON file
   each; they are report-sized by construction (one row per model, threshold,
@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
+from riskframe.sources.inference import infer_csv
+
 
 @dataclass(frozen=True)
 class TableRegistry:
@@ -46,10 +48,11 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType | None = N
                    columns: Sequence[str] | None = None, n_rows: int | None = None,
                    null_values: Sequence[str] | None = None,
                    column_type: Callable[[str], DataType] | None = None) -> DataFrame:
-    """CSV with header; empty fields are null. ``null_values`` adds one more
-    spelling (such as ``NA``) for pandas-style readers. Types come from ``schema``
-    or, for all columns of the header, from ``column_type``; only a file with
-    neither is scanned to infer them.
+    """CSV with header; empty fields are null. ``null_values`` adds spellings
+    (such as ``NA``) for pandas-style readers, in columns of every type. Types come from
+    ``schema`` or, for all columns of the header, from ``column_type``; a file with neither
+    takes those of its first rows (see :mod:`riskframe.sources.inference`), and values
+    further down that don't fit read as null. Values that don't fit a declared type raise.
 
     ``columns`` and ``n_rows`` become a projection and a limit that Catalyst
     pushes into the scan.
@@ -72,16 +75,13 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType | None = N
         header = spark.read.option("header", True).csv(path).columns
         reader = reader.schema(StructType([StructField(h, column_type(h)) for h in header]))
     else:
-        reader = reader.option("inferSchema", True)
-    if null_values:
-        reader = reader.option("nullValue", null_values[0])
+        return infer_csv(spark, path, null_spellings=null_values or ()).read(columns, n_rows)
     df = reader.csv(path)
-    if null_values and len(null_values) > 1:
-        extra = list(null_values[1:])
-        df = df.select(*[
-            F.when(F.col(f.name).isin(extra), F.lit(None)).otherwise(F.col(f.name)).alias(f.name)
-            if f.dataType.typeName() == "string" else F.col(f.name)
-            for f in df.schema.fields])
+    if null_values:
+        # Spellings are compared as text, before the declared types are taken.
+        text = reader.schema(StructType([StructField(c, StringType()) for c in df.columns])).csv(path)
+        spelled = {c: F.trim(F.col(f"`{c}`")).isin(*null_values) for c in df.columns}
+        df = text.select(*[F.when(~spelled[f.name], F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name) for f in df.schema.fields])
     if columns:
         df = df.select(*columns)
     if n_rows is not None:

@@ -2,6 +2,7 @@
 
 import pytest
 
+from riskframe.sources.catalog import read_csv_table
 from riskframe.sources.inference import infer_csv
 
 
@@ -40,3 +41,18 @@ def test_odd_files(spark, tmp_path):
     _csv(parts, "a.csv", ["v", "1", "2"])
     _csv(parts, "b.csv", ["v", "3", "x"])
     assert infer_csv(spark, str(parts), sample_rows=3).types["v"] == "bigint" and infer_csv(spark, str(parts), sample_rows=4).types["v"] == "string"
+
+
+def test_declared_types_take_null_spellings_too(spark, tmp_path):
+    path = _csv(tmp_path, "typed.csv", ["k,x,s,other", "1,NA,NA,q", "n/a, 2.5,n/a,NA", ",,,", "3,-,-,-"])
+    schema = "k long, x double, s string"
+    from pyspark.sql.types import _parse_datatype_string
+
+    df = read_csv_table(spark, path, _parse_datatype_string(schema), null_values=["NA", "n/a", "-"])
+    assert df.dtypes == [("k", "bigint"), ("x", "double"), ("s", "string")]
+    assert [tuple(r) for r in df.collect()] == [(1, None, None), (None, 2.5, None), (None, None, None), (3, None, None)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|MALFORMED"):
+        read_csv_table(spark, path, _parse_datatype_string(schema), null_values=["NA"]).collect()
+    untyped = read_csv_table(spark, path, columns=["x", "k"], null_values=["NA", "n/a", "-"])
+    assert untyped.dtypes == [("x", "double"), ("k", "bigint")] and [tuple(r) for r in untyped.collect()][:2] == [(None, 1), (2.5, None)]
+    assert read_csv_table(spark, path).dtypes[3] == ("other", "string")
