@@ -20,6 +20,7 @@ from riskframe.functions.exprs import clip_upper
 from riskframe.operators.joins import null_safe_join
 from riskframe.operators.sketches import column_sketches, sketch_statistics
 from riskframe.operators.quantiles import quantile_columns, sql_name, sql_str
+from riskframe.session import cut_lineage
 
 
 def stack_rows(one_row: DataFrame, rows: Sequence[Sequence[str]], names: Sequence[str]) -> DataFrame:
@@ -167,8 +168,11 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 # ------------------------------------------------------------------ per-id distribution
 
 def records_per_id(df: DataFrame, id_col: str, table_name: str) -> DataFrame:
-    """ids, mean / median / p95 / max of the number of records per id."""
-    counts = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("record_count"))
+    """ids, mean / median / p95 / max of the number of records per id.
+
+    The records are read once; the passes of the quantiles read one stored number per id.
+    """
+    counts = cut_lineage(df.groupBy(id_col).agg(F.count(F.lit(1)).alias("record_count")).select("record_count"))
     q = quantile_columns(counts, ["record_count"], {"median_records": 0.5, "p95_records": 0.95})
     basic = counts.agg(F.count(F.lit(1)).alias("unique_ids"), F.avg("record_count").alias("mean_records"),
                        F.max("record_count").alias("max_records"))

@@ -27,10 +27,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 from riskframe.functions.exprs import flag as _flag
 from riskframe.operators.joins import null_safe_join
+from riskframe.operators.quantiles import sql_name
 
 # Fixed output suffixes, in output order for the numeric pack.
 NUMERIC_STATS = ("MEAN", "MAX", "MIN", "SUM")
@@ -87,30 +87,31 @@ def numeric_pack(column: str, spec: RollupSpec) -> list[Column]:
     With a scale in ``spec.scales`` the sum is taken in decimals of that many
     places and only then turned into a double; the mean is that sum over the count.
     """
-    c = F.col(column)
+    c = sql_name(column)
     if column in spec.scales:
-        total = F.sum(c.cast(DecimalType(28, spec.scales[column]))).cast("double")
-        mean, zero = total / F.count(c), F.lit(0.0)
+        total, zero = f"CAST(sum(CAST({c} AS DECIMAL(28, {spec.scales[column]}))) AS DOUBLE)", "0D"
+        mean = f"{total} / count({c})"
     else:
-        total, mean, zero = F.sum(c), F.avg(c), F.lit(0)
-    return [
-        mean.alias(spec.feature(column, "MEAN")),
-        F.max(c).alias(spec.feature(column, "MAX")),
-        F.min(c).alias(spec.feature(column, "MIN")),
-        F.coalesce(total, zero).alias(spec.feature(column, "SUM")),
-    ]
+        total, mean, zero = f"sum({c})", f"avg({c})", "0"
+    packed = {"MEAN": mean, "MAX": f"max({c})", "MIN": f"min({c})", "SUM": f"coalesce({total}, {zero})"}
+    return [_named(packed[s], spec.feature(column, s)) for s in NUMERIC_STATS]
+
+
+def _named(aggregate: str, name: str) -> Column:
+    return F.expr(f"{aggregate} AS {sql_name(name)}")
 
 
 def aggregations(spec: RollupSpec) -> list[Column]:
-    """All aggregates but the unique count (see ``unique_counts``)."""
-    aggs = [F.count(F.lit(1)).alias(spec.count_name)]
+    """All aggregates but the unique count (see ``unique_counts``), as SQL: one call for each
+    output column instead of one for each operand."""
+    aggs = [_named("count(1)", spec.count_name)]
     for c in spec.min_max:
-        aggs += [F.min(c).alias(spec.feature(c, "MIN")), F.max(c).alias(spec.feature(c, "MAX"))]
+        aggs += [_named(f"{f}({sql_name(c)})", spec.feature(c, f.upper())) for f in ("min", "max")]
     for fl in spec.flags:
-        flag_col = F.col(f"{fl.name}_FLAG")
-        aggs.append(F.sum(flag_col).alias(f"{fl.name}_COUNT"))
+        flag_col = sql_name(f"{fl.name}_FLAG")
+        aggs.append(_named(f"sum({flag_col})", f"{fl.name}_COUNT"))
         if fl.rate:
-            aggs.append(F.avg(flag_col).alias(f"{fl.name}_RATE"))
+            aggs.append(_named(f"avg({flag_col})", f"{fl.name}_RATE"))
     for c in spec.numerics:
         aggs += numeric_pack(c, spec)
     return aggs
