@@ -212,6 +212,33 @@ def test_probes_are_sufficient(seed):
     assert all((i, home[j]) in seen for i, j in zip(*np.nonzero(d <= 0.4)))
 
 
+def test_one_sided_probes_are_known_to_the_other_end():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 6)) @ rng.normal(size=(6, 300))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    index = pq_dedup.fit_index(x, 20)
+    home, _, _ = pq_dedup.encode(x, index)
+    seen = set(zip(*(v.tolist() for v in pq_dedup.probes(x, home, index, 0.31))))
+    for h in range(20):
+        mine = np.flatnonzero(home == h)
+        for c in range(20):
+            assert pq_dedup.reaches(x[mine], h, np.full(len(mine), c), index, 0.31).tolist() == [(i, c) in seen for i in mine]
+    assert any((i, home[j]) in seen and (j, home[i]) not in seen for i in range(500) for j in range(500))
+
+
+def test_low_rank_links_count_for_both_ends(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 5)) @ rng.normal(size=(5, 300))
+    rows = [(i, [float(f) for f in v], 0) for i, v in enumerate(x)] + [(900 + i, [float(f) for f in x[0]], 0) for i in range(450)]
+    got = {r.vec_id: r for r in pq_dedup.near_duplicates(_vectors(spark, rows), list_rows=60).collect()}
+    y = np.array([v for _, v, _ in rows], np.float32).astype(float)
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    true = (y @ y.T >= 0.95).sum(axis=1) - 1
+    links = np.array([got[i].n_links for i in range(len(rows))])
+    assert (links <= true).all() and links.sum() >= 0.9 * true.sum() and links.sum() % 2 == 0
+    assert len({(got[i].n_links, got[i].component_id) for i in [0, *range(900, 1350)]}) == 1 and links[0] >= 450
+
+
 def test_components(spark):
     from riskframe.llm.common import connected_components
 
