@@ -155,3 +155,33 @@ def test_nothing_to_learn(spark, binned):
     assert all(t.n_leaves == 1 and t.value.tolist() == [0.0] for t in alike.trees)
     (none,) = boosting.fit(table, bins.n_bins, [BoostSpec("none", (), rounds=1)], "k", "label")
     assert none.trees[0].n_leaves == 1
+
+
+def test_histograms_of_many_rows_equal_counting_one_by_one():
+    rng = np.random.default_rng(8)
+    for n in (5, 3000, 20_000):
+        bins, slot = rng.integers(0, 7, (n, 3)).astype(np.uint8), rng.integers(0, 2, n)
+        g, h = rng.integers(-(2**30), 2**30, n), rng.integers(0, 2**30, n)
+        found = boosting._histogram(bins, g, h, slot, 2, 7)
+        want = np.zeros((2, 3, 7, 3), np.int64)
+        for f in range(3):
+            for column, values in enumerate((np.ones(n, np.int64), g, h)):
+                np.add.at(want[:, f, :, column], (slot, bins[:, f]), values)
+        assert (found == want).all()
+
+
+def test_a_leaf_of_a_hundred_thousand_rows_is_grown_in_one_pass(monkeypatch):
+    assert boosting.IN_MEMORY_ROWS >= 120_000
+    calls = []
+
+    def passed(kind):
+        def run(state, work, *rest):
+            calls.append(kind)
+            return []
+        return run
+
+    monkeypatch.setattr(boosting, "_histogram_pass", passed("histograms"))
+    monkeypatch.setattr(boosting, "_subtree_pass", passed("subtrees"))
+    model = boosting.BoostedModel(BoostSpec("m", (0, 1), min_child=2), 0.0)
+    boosting._grow_trees(None, [model], 0, [0], 0, 120_000, 4, 1.0, "label", boosting.IN_MEMORY_ROWS)
+    assert calls == ["subtrees"]
