@@ -1,11 +1,13 @@
 """Feed-forward networks trained by distributed mini-batch steps.
 
 ReLU layers with dropout, one logit, binary cross-entropy in which positives weigh
-``positive_weight``, Adam. Rows are dealt into mini-batches once, by a hash of their key, and
-written partitioned by batch; an epoch visits the batches in a seeded order, so it reads every row
-once. One step is one job: tasks add up the gradients of their rows, blocks of gradients are summed
-by (model, block), and the driver, which holds parameters only, takes the Adam step. All specs
-given to :func:`fit` that share the batches are trained in the same jobs.
+``positive_weight``, Adam. Rows are dealt into mini-batches once, by a hash of their key: a batch is
+one partition (or several, if it holds more than ``PIECE_ROWS`` rows) of an RDD of packed rows that
+stays persisted while the networks are trained. An epoch visits the batches in a seeded order, so it
+reads every row once. One step is one job over the partitions of its batch, with one task for each of
+them and model; tasks add up the gradients of their rows and the driver, which holds parameters only,
+takes the Adam step. All specs given to :func:`fit` share the jobs, and specs that differ in their
+number of epochs only are trained once.
 
 Dropout masks are a hash of key, epoch, layer and unit, and the sums of blocks of rows are rounded to
 fixed-point integers before they are added, so another partitioning changes a gradient by no more
@@ -15,21 +17,19 @@ number of rows.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.binning import binary_rows, matrix_rows
-from riskframe.session import ensure_checkpoint_dir
-from riskframe.sources.catalog import remove_path
 
 UNIT = 2.0**36  # fixed-point gradients: a batch's sum must stay below 2 ** 27
-BLOCK = 4096  # gradient components in one shuffled row
+PIECE_ROWS = 8192  # rows of a batch that one task of a step reads, about
 _ROWS = 2048  # rows whose activations are held at once
 
 
@@ -104,55 +104,30 @@ def loss_and_gradient(spec: NetworkSpec, flat: np.ndarray, x: np.ndarray, label:
     return loss, np.concatenate(parts)
 
 
-def _gradient_job(rows: DataFrame, specs: Sequence[NetworkSpec], parameters: Sequence[np.ndarray], epoch: int, label: str) -> tuple[list[np.ndarray], list[float]]:
-    """Gradient and loss sums of all models over the rows of one batch. Block -1 holds the loss."""
-    shared = rows.sparkSession.sparkContext.broadcast(list(parameters))  # model-sized
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, total, loss = shared.value, None, None
-        for batch in batches:
-            for at in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(at, _ROWS)
-                x = matrix_rows(part.column("x"), np.float64)
-                y, w, hashed = (part.column(c).to_numpy(zero_copy_only=False) for c in (label, "weight", "__hash"))
-                if total is None:
-                    total, loss = [np.zeros(len(f), np.int64) for f in flat], [0] * len(flat)
-                for m, spec in enumerate(specs):
-                    own_loss, gradient = loss_and_gradient(spec, flat[m], x, y.astype(np.float64), w, hashed, epoch)
-                    total[m] += np.rint(gradient * UNIT).astype(np.int64)
-                    loss[m] += round(own_loss * UNIT)
+def _gradient_job(blocks: RDD, parts: Sequence[int], specs: Sequence[NetworkSpec], parameters: Sequence[np.ndarray], epoch: int) -> tuple[list[np.ndarray], list[float]]:
+    """Gradient and loss sums of all models over the rows of one batch, which are the partitions ``parts`` of ``blocks``."""
+    sc, n_parts = blocks.context, blocks.getNumPartitions()
+    shared = sc.broadcast(list(parameters))  # model-sized
+    of_models = sc.union([blocks] * len(specs)) if len(specs) > 1 else blocks  # partition m * n_parts + p: model m on partition p
+
+    def add(index: int, rows: Iterator[tuple]) -> Iterator[tuple[int, np.ndarray, int]]:
+        m = index // n_parts
+        spec, flat, total, loss = specs[m], shared.value[m], None, 0
+        for y, w, hashed, x in rows:
+            label = np.frombuffer(y, np.int32).astype(np.float64)
+            own_loss, gradient = loss_and_gradient(spec, flat, np.frombuffer(x, np.float64).reshape(len(label), -1), label, np.frombuffer(w, np.float64), np.frombuffer(hashed, np.int64), epoch)
+            part = np.rint(gradient * UNIT).astype(np.int64)
+            total, loss = part if total is None else total + part, loss + round(own_loss * UNIT)
         if total is not None:
-            model, block, sums = [], [], []
-            for m, gradient in enumerate(total):
-                padded = np.zeros(-(-len(gradient) // BLOCK) * BLOCK, np.int64)
-                padded[: len(gradient)] = gradient
-                tail = np.zeros(BLOCK, np.int64)
-                tail[0] = loss[m]
-                sums += [*padded.reshape(-1, BLOCK), tail]
-                block += [*range(len(padded) // BLOCK), -1]
-                model += [m] * (len(padded) // BLOCK + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(model, pa.int32()), pa.array(block, pa.int32()), binary_rows(np.stack(sums))], names=["model", "block", "sums"])
-
-    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            for m, b, sums in zip(batch.column("model").to_pylist(), batch.column("block").to_pylist(), matrix_rows(batch.column("sums"), np.int64)):
-                total[m, b] = total[m, b] + sums if (m, b) in total else sums
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array([m for m, _ in total], pa.int32()), pa.array([b for _, b in total], pa.int32()), binary_rows(np.stack(list(total.values())))],
-                                             names=["model", "block", "sums"])
-
-    schema = "model int, block int, sums binary"
-    found = rows.mapInArrow(add, schema).repartition("model", "block").mapInArrow(combine, schema).collect()  # the models' sizes
+            yield m, total, loss
+
+    found = sc.runJob(of_models.mapPartitionsWithIndex(add), lambda rows: rows, [m * n_parts + p for m in range(len(specs)) for p in parts])  # the models' sizes
     shared.destroy()
-    gradients, losses = [np.zeros(-(-len(p) // BLOCK) * BLOCK) for p in parameters], [0.0] * len(specs)
-    for r in found:
-        sums = np.frombuffer(bytes(r.sums), np.int64)
-        if r.block < 0:
-            losses[r.model] = sums[0] / UNIT
-        else:
-            gradients[r.model][r.block * BLOCK: (r.block + 1) * BLOCK] = sums / UNIT
-    return [g[: len(p)] for g, p in zip(gradients, parameters)], losses
+    gradients, losses = [np.zeros(len(p), np.int64) for p in parameters], [0] * len(specs)
+    for m, total, loss in found:
+        gradients[m] += total
+        losses[m] += loss
+    return [g / UNIT for g in gradients], [x / UNIT for x in losses]
 
 
 def fit(df: DataFrame, features: Column, inputs: int, specs: Sequence[NetworkSpec], key: str, label: str, batch_size: int = 1024, weight: Column | None = None) -> list[Network]:
@@ -161,32 +136,51 @@ def fit(df: DataFrame, features: Column, inputs: int, specs: Sequence[NetworkSpe
     ``weight`` multiplies a row's loss, and a batch's loss and gradient are divided by its sum of weights:
     a row of weight 2 counts as that row twice. Null and NaN features count as 0.
     """
-    spark = df.sparkSession
     n = df.count()
-    n_batches = max(1, -(-n // batch_size))
-    networks = [Network(s, inputs, s.initial(inputs)) for s in specs]
-    folder = f"{ensure_checkpoint_dir(spark)}/network-{uuid.uuid4().hex}"
-    dealt = _deal(df, features, key, label, weight, n_batches)
-    dealt.write.mode("overwrite").partitionBy("batch").parquet(folder)
-    table = spark.read.schema(dealt.schema).parquet(folder)
-    sizes = {r.batch: r.n for r in table.groupBy("batch").agg(F.sum("weight").alias("n")).collect()}  # one row for each batch
-    first, second = [np.zeros(len(m.parameters)) for m in networks], [np.zeros(len(m.parameters)) for m in networks]
-    taken = 0
-    for epoch in range(max((s.epochs for s in specs), default=0)):
-        active = [i for i, s in enumerate(specs) if epoch < s.epochs]
-        losses = [0.0] * len(specs)
-        for batch in np.random.default_rng((specs[0].seed, epoch)).permutation(sorted(sizes)).tolist():
-            gradients, lost = _gradient_job(table.where(F.col("batch") == batch), [specs[i] for i in active], [networks[i].parameters for i in active], epoch, label)
-            taken += 1
-            for i, g, loss in zip(active, gradients, lost):
-                losses[i] += loss
-                _adam(networks[i].parameters, g / sizes[batch], first[i], second[i], taken, specs[i].learning_rate)
-        for i in active:
-            networks[i].history.append(losses[i] / max(1e-300, sum(sizes.values())))
-    remove_path(spark, folder)
+    n_batches, pieces = max(1, -(-n // batch_size)), max(1, -(-batch_size // PIECE_ROWS))
+    epochs: dict[NetworkSpec, int] = {}  # what is trained, whatever its name, and how long
+    for s in specs:
+        epochs[_run(s)] = max(s.epochs, epochs.get(_run(s), 0))
+    runs = {s: Network(s, inputs, s.initial(inputs)) for s in epochs}
+    first, second = ({s: np.zeros(len(r.parameters)) for s, r in runs.items()} for _ in range(2))
+    networks = [Network(s, inputs, runs[_run(s)].parameters.copy()) for s in specs]
+    blocks = _blocks(_deal(df, features, key, label, weight, n_batches), label, n_batches, pieces).rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sizes: dict[int, float] = {}
+        for part, size in blocks.mapPartitionsWithIndex(_weights).collect():  # one row for each batch
+            sizes[part // pieces] = sizes.get(part // pieces, 0.0) + size
+        taken = 0
+        for epoch in range(max(epochs.values(), default=0)):
+            active = [s for s in runs if epoch < epochs[s]]
+            losses = dict.fromkeys(active, 0.0)
+            for batch in np.random.default_rng((specs[0].seed, epoch)).permutation(sorted(sizes)).tolist():
+                gradients, lost = _gradient_job(blocks, range(batch * pieces, (batch + 1) * pieces), active, [runs[s].parameters for s in active], epoch)
+                taken += 1
+                for s, g, loss in zip(active, gradients, lost):
+                    losses[s] += loss
+                    _adam(runs[s].parameters, g / sizes[batch], first[s], second[s], taken, s.learning_rate)
+            for s in active:
+                runs[s].history.append(losses[s] / max(1e-300, sum(sizes.values())))
+            for net in networks:
+                if net.spec.epochs == epoch + 1:
+                    net.parameters, net.history = runs[_run(net.spec)].parameters.copy(), list(runs[_run(net.spec)].history)
+    finally:
+        blocks.unpersist()
     return networks
 
 
+def _run(spec: NetworkSpec) -> NetworkSpec:
+    """What specs that differ in their name and number of epochs only have in common."""
+    return replace(spec, name="", epochs=0)
+
+
+def _weights(part: int, rows: Iterator[tuple]) -> Iterator[tuple[int, float]]:
+    """The sum of weights of a partition that holds rows."""
+    found = [float(np.frombuffer(w, np.float64).sum()) for _, w, _, _ in rows]
+    if found:
+        yield part, sum(found)
+
+
 def _deal(df: DataFrame, features: Column, key: str, label: str, weight: Column | None, n_batches: int) -> DataFrame:
     """Rows with their batch, weight and features as bytes."""
     source = df.select(F.col(label).cast("int").alias(label), (F.lit(1.0) if weight is None else weight.cast("double")).alias("weight"),
@@ -199,7 +193,24 @@ def _deal(df: DataFrame, features: Column, key: str, label: str, weight: Column
                 x = np.nan_to_num(batch.column("__x").flatten().to_numpy(zero_copy_only=False).astype(np.float64)).reshape(batch.num_rows, -1)
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (label, "weight", "__hash", "batch")), binary_rows(x)], names=[label, "weight", "__hash", "batch", "x"])
 
-    return source.mapInArrow(pack, f"{label} int, weight double, __hash long, batch int, x binary").repartitionByRange("batch", "__hash").sortWithinPartitions("batch", "__hash")
+    return source.mapInArrow(pack, f"{label} int, weight double, __hash long, batch int, x binary")
+
+
+def _blocks(dealt: DataFrame, label: str, n_batches: int, pieces: int) -> DataFrame:
+    """Blocks of rows (labels, weights, hashes and features as bytes); partition batch * pieces + piece holds the rows
+    of that piece of a batch."""
+
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(at, _ROWS)
+                y, w, hashed = (part.column(c).to_numpy(zero_copy_only=False).astype(t) for c, t in ((label, np.int32), ("weight", np.float64), ("__hash", np.int64)))
+                packed = [y, w, hashed, matrix_rows(part.column("x"), np.float64)]
+                yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in packed], names=["y", "w", "hashed", "x"])
+
+    part = F.col("batch") * pieces + F.pmod(F.xxhash64("__hash", F.lit(18)), F.lit(pieces)).cast("int")
+    rows = dealt.withColumn("part", part).repartitionById(n_batches * pieces, "part").sortWithinPartitions("__hash")
+    return rows.mapInArrow(block, "y binary, w binary, hashed binary, x binary")
 
 
 def _adam(parameters: np.ndarray, gradient: np.ndarray, first: np.ndarray, second: np.ndarray, step: int, rate: float) -> None:

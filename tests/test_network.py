@@ -86,3 +86,27 @@ def test_nulls_and_empty_tables(spark):
     assert np.isfinite(_fit(holes, [spec])[0].parameters).all()
     (empty,) = _fit(df.where("k < 0"), [spec])
     assert np.allclose(empty.parameters, spec.initial(4)) and empty.history == [0.0]
+
+
+def test_every_partition_of_the_blocks_is_one_piece_of_a_batch(spark):
+    dealt = network._deal(_rows(spark), F.col("x"), "k", "label", None, 5)
+    blocks = network._blocks(dealt, "label", 5, 3).rdd.map(tuple)
+    found = blocks.mapPartitionsWithIndex(lambda i, rows: [(i // 3, h) for _, _, hashed, _ in rows for h in np.frombuffer(hashed, np.int64).tolist()]).collect()
+    assert blocks.getNumPartitions() == 15 and sorted(found) == sorted((r.batch, r["__hash"]) for r in dealt.collect())
+
+
+def test_a_step_is_one_job_without_a_shuffle_and_equal_runs_are_trained_once(spark, monkeypatch):
+    calls = []
+    step = network._gradient_job
+    monkeypatch.setattr(network, "_gradient_job", lambda blocks, parts, specs, *a: calls.append(len(specs)) or step(blocks, parts, specs, *a))
+    specs = [NetworkSpec("a", (4,), 0.1, 0.02, epochs=3), NetworkSpec("b", (4,), 0.1, 0.02, epochs=1), NetworkSpec("c", (3,), 0.1, 0.02, epochs=1)]
+    spark.sparkContext.setJobGroup("network", "fit")
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    a, b, c = _fit(_rows(spark), specs)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("network"))
+    spark.sparkContext._jsc.clearJobGroup()
+    assert calls == [2] * 4 + [1] * 8 and jobs <= 12 + 8  # one job for each step, and the dealing
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    assert [len(n.history) for n in (a, b, c)] == [3, 1, 1] and a.history[:1] == b.history
+    alone = _fit(_rows(spark), specs[1:2])[0]
+    assert (alone.parameters == b.parameters).all() and alone.history == b.history and (a.parameters != b.parameters).any()
