@@ -142,3 +142,16 @@ def test_grids_run_side_by_side_and_go_on_after_a_stop(spark, tmp_path):
     assert best in tr.expand_grid(grid) and abs(met.roc_auc(tr.score_table(model, valid, "k", "label", "m")).first().roc_auc - table.first().roc_auc) < 1e-12
     with pytest.raises(ValueError, match="another grid"):
         search({"C": [2.0]})
+
+
+def test_class_weights_are_joined_without_dealing_the_rows_by_class(spark):
+    df = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(100)], "k int, label int").repartition(5, "k")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as with a table whose size is not known
+    try:
+        for out in (tr.with_weights(df, "label", "balanced"), tr.oversample_positives(df, "label")):
+            assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        assert tr.with_weights(df, "label", "balanced").groupBy("label").agg(F.sum("weight").alias("w")).where("abs(w - 50) < 1e-9").count() == 2
+        assert tr.oversample_positives(df, "label").count() == 90 + 90
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
