@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from riskframe.functions import exprs as ex
@@ -201,3 +202,28 @@ def test_folds_of_every_class_differ_by_one_row_at_most(spark):
     assert again == {r.k: r.fold for r in rows}
     assert {r.fold for r in prep.stratified_folds(df, "k", "label", 1).collect()} == {0}
     assert prep.stratified_folds(df.where("k < 0"), "k", "label", 5).count() == 0
+
+
+def test_few_groups_are_joined_without_dealing_the_rows_by_group(spark):
+    from riskframe.operators.joins import null_safe_join, small_side
+
+    few = spark.createDataFrame([(0, 1.0), (1, 2.0), (None, 3.0)], "g int, cut double").checkpoint()
+    many = spark.range(2000).selectExpr("cast(id as int) g", "1D cut").checkpoint()
+    rows = spark.range(30).selectExpr("CASE WHEN id < 20 THEN cast(id % 2 as int) END g", "id")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as with a table whose size is not known
+    try:
+        plan = lambda side: null_safe_join(rows, small_side(side, ["g"]), ["g"])._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan(few) and "BroadcastHashJoin" not in plan(many)
+        assert null_safe_join(rows, small_side(few, ["g"]), ["g"]).groupBy("cut").count().count() == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_experiment_counts_build_no_family_column(spark, monkeypatch):
+    from riskframe.plans import modeling as mdl
+
+    monkeypatch.setattr(mdl, "split_frames", lambda *a: pytest.fail("the wide table is stored"))
+    counts = mdl.experiment_counts(spark, "/root/testdata/sf0.001").collect()
+    assert [r.experiment for r in counts] == mdl.RECOMMENDED_RUNS
+    assert {r.validation_rows for r in counts} == {round(spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count() * 0.2)}
