@@ -41,7 +41,7 @@ from riskframe.llm.common import small_batches
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NEVER = frozenset("script style noscript template iframe object svg annotation canvas audio video map button select textarea input label fieldset nav aside footer menu dialog head title frameset noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
-                   "math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot msup msub msubsup mover munder munderover mfenced menclose mpadded mstyle mmultiscripts mtable mtr mtd".split())
+                   "math semantics annotation mrow mi mn mo ms mtext mspace mfrac msqrt mroot msup msub msubsup mover munder munderover mfenced menclose mpadded mstyle mmultiscripts mtable mtr mtd".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure figcaption footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 SIBLING_TEXT = HEADINGS | frozenset("p blockquote pre ul ol dl table figure section".split())
