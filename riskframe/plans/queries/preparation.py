@@ -81,10 +81,11 @@ def q_one_hot(spark, sf_dir):
 def ready_tables(spark, sf_dir, scale):
     from riskframe.session import cut_lineage
 
-    feats = stored_features(spark, sf_dir)
+    # Every pass of the fit reads a part, so the split is joined once and stored with the rows.
     split = cut_lineage(split_assignment(spark, sf_dir))
-    train = prep.select_part(feats, split, tpch.KEY, "train")
-    test = prep.select_part(feats, split, tpch.KEY, "validation").drop(tpch.TARGET)
+    feats = cut_lineage(prep.mark_parts(features(spark, sf_dir), split, tpch.KEY))
+    train = prep.marked_part(feats, "train")
+    test = prep.marked_part(feats, "validation").drop(tpch.TARGET)
     return prep.build_ready(train, test, tpch.KEY, tpch.TARGET, scale_numeric=scale)
 
 

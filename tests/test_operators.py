@@ -227,3 +227,54 @@ def test_experiment_counts_build_no_family_column(spark, monkeypatch):
     counts = mdl.experiment_counts(spark, "/root/testdata/sf0.001").collect()
     assert [r.experiment for r in counts] == mdl.RECOMMENDED_RUNS
     assert {r.validation_rows for r in counts} == {round(spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count() * 0.2)}
+
+
+def test_decimal_sums_in_whole_numbers_are_those_of_decimals(spark):
+    from riskframe.operators.rollup import decimal_sum
+
+    rnd = random.Random(3)
+    hard = [None, -0.0, 0.005, 0.015, 1.005, 2.675, -2.675, 1e13, 4e15, 0.125, -0.125, 0.5, 1e-30, 99999999999.995]
+    vals = hard + [rnd.uniform(-1, 1) * 10 ** rnd.randint(-14, 14) for _ in range(2000)] + [rnd.randint(-10**6, 10**6) / 1000 for _ in range(2000)]
+    df = spark.createDataFrame([(i % 300, v) for i, v in enumerate(vals)] + [(500, None), (501, 4e15), (502, 0.1), (502, 0.2)], "k int, v double")
+    for scale in (0, 2, 4, 9, 12):
+        got = df.groupBy("k").agg(F.expr(f"sum(CAST(v AS DECIMAL(28, {scale}))) AS a"), F.expr(f"{decimal_sum('v', scale)} AS b"))
+        assert got.where("NOT (a <=> b) OR NOT (CAST(a AS DOUBLE) <=> CAST(b AS DOUBLE))").count() == 0
+
+
+def test_rollup_takes_its_ids_from_another_frame(spark):
+    from riskframe.operators.rollup import RollupSpec, rollup
+
+    spec = RollupSpec(prefix="P", key="k", unique="i", numerics=("x",), scales={"x": 2})
+    rows = spark.createDataFrame([(1, 1, 0.1), (1, 1, 0.2), (1, 2, None), (None, 3, 0.3), (2, None, None)], "k int, i int, x double")
+    want = rollup(rows, spec).collect()
+    assert sorted(map(str, rollup(rows, spec, rows.select("k", "i").distinct()).collect())) == sorted(map(str, want))
+    found = {r.k: (r.P_RECORD_COUNT, r.P_UNIQUE_LOAN_COUNT, r.P_X_SUM, r.P_X_MEAN) for r in want}
+    assert found == {1: (3, 2, 0.3, 0.15), None: (1, 1, 0.3, 0.3), 2: (1, 1, 0.0, None)}
+
+
+def test_marked_parts_are_the_selected_parts(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (3, "e"), (4, "f")], "k int, x string")
+    split = spark.createDataFrame([(1, "train"), (1, "validation"), (2, "train"), (2, "train"), (None, "train"), (3, None)], "k int, split string")
+    marked = prep.mark_parts(rows, split, "k")
+    for part in prep.PARTS:
+        assert sorted(prep.marked_part(marked, part).collect()) == sorted(prep.select_part(rows, split, "k", part).collect())
+    assert prep.marked_part(marked).exceptAll(rows).count() == 0 and prep.marked_part(marked).count() == 6
+
+
+def test_ready_tables_join_the_split_once(spark, monkeypatch):
+    from riskframe.plans.queries import preparation
+
+    seen = []
+    monkeypatch.setattr(prep, "build_ready", lambda train, test, *a, **k: seen.extend([train, test]))
+    preparation.ready_tables(spark, "/root/testdata/sf0.001", True)
+    assert len(seen) == 2 and not any("Join" in df._jdf.queryExecution().optimizedPlan().toString() for df in seen)
+
+
+def test_ungrouped_quantiles_carry_no_bracket_with_each_row(spark):
+    from riskframe.operators import quantiles as q
+
+    values = spark.createDataFrame([(float(i), None) for i in range(50)], "__v0 double, __v1 double")
+    edges = q._edges(values, q._brackets(values, [], 2, [0.5], 100).checkpoint(), [], 2, [0.5])
+    assert edges._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1  # the two one-row results
+    nan = spark.createDataFrame([(x,) for x in (1.0, float("nan"), float("inf"), float("-inf"), None)], "a double")
+    assert {r.p: (r.n, r.quantile) for r in exact_quantiles(nan, ["a"], [0.0, 1 / 3]).collect()}[1 / 3] == (4, 1.0)
