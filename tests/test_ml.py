@@ -155,3 +155,43 @@ def test_class_weights_are_joined_without_dealing_the_rows_by_class(spark):
         assert tr.oversample_positives(df, "label").count() == 90 + 90
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_stacked_bases_are_fitted_side_by_side(spark, monkeypatch):
+    import threading
+
+    import pytest
+
+    from riskframe.plans import modeling as mdl
+
+    class Met(Exception):
+        pass
+
+    all_there = threading.Barrier(4, timeout=20)
+
+    def base(*a):
+        all_there.wait()
+        raise Met
+
+    for name in ("train_logistic", "train_forest", "train_boosted", "train_network"):
+        monkeypatch.setattr(mdl, name, base)
+    for name in ("prepared", "binned"):
+        monkeypatch.setattr(mdl, name, lambda *a, **k: None)
+    with pytest.raises(Met):
+        mdl.stacked(spark, "/root/testdata/sf0.001")
+
+
+def test_both_profiles_share_one_fit(spark, monkeypatch):
+    from riskframe.operators import prepare as prep
+    from riskframe.plans import modeling as mdl
+
+    calls, fit = [], prep.fit_medians
+    monkeypatch.setattr(prep, "fit_medians", lambda *a, **k: calls.append(1) or fit(*a, **k))
+    for cache in ("_READY", "_FITTED"):
+        monkeypatch.setattr(mdl, cache, {})
+    scaled, plain = (mdl.prepared(spark, "/root/testdata/sf0.001", scale) for scale in (True, False))
+    assert len(calls) == 1 and scaled.names == plain.names and scaled.dropped == plain.dropped
+    train = mdl.split_frames(spark, "/root/testdata/sf0.001")[1]
+    alone = prep.build_ready(train, None, mdl.KEY, mdl.TARGET, scale_numeric=True)[2]
+    shared = prep.build_ready(train, None, mdl.KEY, mdl.TARGET, scale_numeric=True, unscaled=mdl._fitted(spark, "/root/testdata/sf0.001", train))[2]
+    assert alone == shared
