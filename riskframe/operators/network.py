@@ -9,6 +9,10 @@ them and model; tasks add up the gradients of their rows and the driver, which h
 takes the Adam step. All specs given to :func:`fit` share the jobs, and specs that differ in their
 number of epochs only are trained once.
 
+Steps follow each other, and one whose batch is a single partition has one task for each model. Many such
+steps are taken inside one task for each model: it copies the batches to a temporary file of its own, reads
+them back in the order of each epoch, and returns the parameters. The sums and the steps are the same.
+
 Dropout masks are a hash of key, epoch, layer and unit, and the sums of blocks of rows are rounded to
 fixed-point integers before they are added, so another partitioning changes a gradient by no more
 than 2 ** -36 for each block. A step is worth a job where ``batch_size`` is large; raise it with the
@@ -17,6 +21,7 @@ number of rows.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field, replace
 
@@ -30,6 +35,9 @@ from riskframe.operators.binning import binary_rows, matrix_rows
 
 UNIT = 2.0**36  # fixed-point gradients: a batch's sum must stay below 2 ** 27
 PIECE_ROWS = 8192  # rows of a batch that one task of a step reads, about
+IN_TASK_STEPS = 16  # more steps than these are worth a copy of the batches for each model
+TASK_BYTES = 16_000_000_000  # of batches that a task may copy to its disk
+_MEMORY_BYTES = 32_000_000  # of those that it holds in memory instead
 _ROWS = 2048  # rows whose activations are held at once
 
 
@@ -104,6 +112,14 @@ def loss_and_gradient(spec: NetworkSpec, flat: np.ndarray, x: np.ndarray, label:
     return loss, np.concatenate(parts)
 
 
+def _block_sums(spec: NetworkSpec, flat: np.ndarray, block: Sequence, epoch: int) -> tuple[np.ndarray, int]:
+    """Fixed-point gradient and loss of a block of rows."""
+    y, w, hashed, x = block[:4]
+    label = np.frombuffer(y, np.int32).astype(np.float64)
+    loss, gradient = loss_and_gradient(spec, flat, np.frombuffer(x, np.float64).reshape(len(label), -1), label, np.frombuffer(w, np.float64), np.frombuffer(hashed, np.int64), epoch)
+    return np.rint(gradient * UNIT).astype(np.int64), round(loss * UNIT)
+
+
 def _gradient_job(blocks: RDD, parts: Sequence[int], specs: Sequence[NetworkSpec], parameters: Sequence[np.ndarray], epoch: int) -> tuple[list[np.ndarray], list[float]]:
     """Gradient and loss sums of all models over the rows of one batch, which are the partitions ``parts`` of ``blocks``."""
     sc, n_parts = blocks.context, blocks.getNumPartitions()
@@ -113,11 +129,9 @@ def _gradient_job(blocks: RDD, parts: Sequence[int], specs: Sequence[NetworkSpec
     def add(index: int, rows: Iterator[tuple]) -> Iterator[tuple[int, np.ndarray, int]]:
         m = index // n_parts
         spec, flat, total, loss = specs[m], shared.value[m], None, 0
-        for y, w, hashed, x in rows:
-            label = np.frombuffer(y, np.int32).astype(np.float64)
-            own_loss, gradient = loss_and_gradient(spec, flat, np.frombuffer(x, np.float64).reshape(len(label), -1), label, np.frombuffer(w, np.float64), np.frombuffer(hashed, np.int64), epoch)
-            part = np.rint(gradient * UNIT).astype(np.int64)
-            total, loss = part if total is None else total + part, loss + round(own_loss * UNIT)
+        for block in rows:
+            part, own_loss = _block_sums(spec, flat, block, epoch)
+            total, loss = part if total is None else total + part, loss + own_loss
         if total is not None:
             yield m, total, loss
 
@@ -144,16 +158,19 @@ def fit(df: DataFrame, features: Column, inputs: int, specs: Sequence[NetworkSpe
     runs = {s: Network(s, inputs, s.initial(inputs)) for s in epochs}
     first, second = ({s: np.zeros(len(r.parameters)) for s, r in runs.items()} for _ in range(2))
     networks = [Network(s, inputs, runs[_run(s)].parameters.copy()) for s in specs]
-    blocks = _blocks(_deal(df, features, key, label, weight, n_batches), label, n_batches, pieces).rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = _blocks(_deal(df, features, key, label, weight, n_batches), label, n_batches, pieces).rdd.mapPartitionsWithIndex(_numbered).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sizes: dict[int, float] = {}
         for part, size in blocks.mapPartitionsWithIndex(_weights).collect():  # one row for each batch
             sizes[part // pieces] = sizes.get(part // pieces, 0.0) + size
+        if pieces == 1 and len(sizes) * max(epochs.values(), default=0) > IN_TASK_STEPS and n * inputs * 8 <= TASK_BYTES:
+            _train_in_tasks(blocks, runs, epochs, sizes, networks, specs[0].seed)
+            return networks
         taken = 0
         for epoch in range(max(epochs.values(), default=0)):
             active = [s for s in runs if epoch < epochs[s]]
             losses = dict.fromkeys(active, 0.0)
-            for batch in np.random.default_rng((specs[0].seed, epoch)).permutation(sorted(sizes)).tolist():
+            for batch in _order(sizes, specs[0].seed, epoch):
                 gradients, lost = _gradient_job(blocks, range(batch * pieces, (batch + 1) * pieces), active, [runs[s].parameters for s in active], epoch)
                 taken += 1
                 for s, g, loss in zip(active, gradients, lost):
@@ -174,9 +191,57 @@ def _run(spec: NetworkSpec) -> NetworkSpec:
     return replace(spec, name="", epochs=0)
 
 
+def _order(sizes: dict[int, float], seed: int, epoch: int) -> list[int]:
+    """The batches in the order in which an epoch visits them."""
+    return np.random.default_rng((seed, epoch)).permutation(sorted(sizes)).tolist()
+
+
+def _numbered(part: int, rows: Iterator) -> Iterator[tuple]:
+    """Blocks with the partition they are in."""
+    return ((*row, part) for row in rows)
+
+
+def _train_in_tasks(blocks: RDD, runs: dict[NetworkSpec, Network], epochs: dict[NetworkSpec, int], sizes: dict[int, float], networks: Sequence[Network], seed: int) -> None:
+    """Train each run in a task of its own, one partition being one batch; fills the parameters and histories of ``networks``."""
+    trained, sc = list(runs), blocks.context
+    ends = {s: {n.spec.epochs for n in networks if _run(n.spec) == s} for s in trained}
+    inputs, whole = networks[0].inputs, max(1e-300, sum(sizes.values()))
+
+    def train(m: int, rows: Iterator[tuple]) -> Iterator[tuple]:
+        spec = trained[m]
+        flat, held = spec.initial(inputs), {}
+        first, second = np.zeros(len(flat)), np.zeros(len(flat))
+        history, taken = [], 0
+        with tempfile.SpooledTemporaryFile(_MEMORY_BYTES) as copy:
+            for *block, part in rows:
+                held.setdefault(part, []).append((copy.tell(), [len(b) for b in block]))
+                copy.writelines(block)
+            for epoch in range(epochs[spec]):
+                losses = 0.0
+                for batch in _order(sizes, seed, epoch):
+                    total, loss = np.zeros(len(flat), np.int64), 0
+                    for at, lengths in held[batch]:
+                        copy.seek(at)
+                        part, own_loss = _block_sums(spec, flat, [copy.read(n) for n in lengths], epoch)
+                        total, loss = total + part, loss + own_loss
+                    taken, losses = taken + 1, losses + loss / UNIT
+                    _adam(flat, total / UNIT / sizes[batch], first, second, taken, spec.learning_rate)
+                history.append(losses / whole)
+                if epoch + 1 in ends[spec]:
+                    yield m, epoch + 1, flat.copy(), list(history)
+
+    alone = blocks.coalesce(1)
+    of_models = sc.union([alone] * len(trained)) if len(trained) > 1 else alone
+    found = {(m, epoch): (flat, history) for m, epoch, flat, history in of_models.mapPartitionsWithIndex(train).collect()}  # the models' sizes
+    for net in networks:
+        if net.spec.epochs:
+            flat, history = found[trained.index(_run(net.spec)), net.spec.epochs]
+            net.parameters, net.history = flat.copy(), list(history)
+
+
 def _weights(part: int, rows: Iterator[tuple]) -> Iterator[tuple[int, float]]:
     """The sum of weights of a partition that holds rows."""
-    found = [float(np.frombuffer(w, np.float64).sum()) for _, w, _, _ in rows]
+    found = [float(np.frombuffer(row[1], np.float64).sum()) for row in rows]
     if found:
         yield part, sum(found)
 

@@ -110,3 +110,17 @@ def test_a_step_is_one_job_without_a_shuffle_and_equal_runs_are_trained_once(spa
     assert [len(n.history) for n in (a, b, c)] == [3, 1, 1] and a.history[:1] == b.history
     alone = _fit(_rows(spark), specs[1:2])[0]
     assert (alone.parameters == b.parameters).all() and alone.history == b.history and (a.parameters != b.parameters).any()
+
+
+@pytest.mark.parametrize("memory", [0, 10**9])
+def test_many_steps_are_taken_in_one_task_for_each_model_with_the_same_result(spark, monkeypatch, memory):
+    specs = [NetworkSpec("a", (4,), 0.1, 0.02, epochs=5), NetworkSpec("b", (4,), 0.1, 0.02, epochs=2), NetworkSpec("c", (3, 2), 0.2, 0.02, epochs=3), NetworkSpec("d", (2,), epochs=0)]
+    weight = F.when(F.col("k") % 3 == 0, 2.5).otherwise(1)
+    monkeypatch.setattr(network, "IN_TASK_STEPS", 10**9)
+    want = _fit(_rows(spark), specs, weight=weight)
+    monkeypatch.setattr(network, "IN_TASK_STEPS", 16)
+    monkeypatch.setattr(network, "_MEMORY_BYTES", memory)
+    monkeypatch.setattr(network, "_gradient_job", lambda *a: pytest.fail("a job for a step"))
+    got = _fit(_rows(spark), specs, weight=weight)
+    assert all((p.parameters == q.parameters).all() and p.history == q.history for p, q in zip(want, got))
+    assert [len(n.history) for n in got] == [5, 2, 3, 0]
