@@ -185,3 +185,28 @@ def test_a_leaf_of_a_hundred_thousand_rows_is_grown_in_one_pass(monkeypatch):
     model = boosting.BoostedModel(BoostSpec("m", (0, 1), min_child=2), 0.0)
     boosting._grow_trees(None, [model], 0, [0], 0, 120_000, 4, 1.0, "label", boosting.IN_MEMORY_ROWS)
     assert calls == ["subtrees"]
+
+
+@pytest.mark.parametrize("n_bins", [7, 100])
+def test_paired_bins_count_as_one_by_one(n_bins, monkeypatch):
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, n_bins, (5000, 5)).astype(np.uint8)
+    g, h = rng.integers(-(2**30), 2**30, 5000), rng.integers(0, 2**30, 5000)
+    data = boosting.PairedBins(5000, 5, n_bins)
+    data.fill(0, bins[:3000]), data.fill(3000, bins[3000:])
+    monkeypatch.setattr(boosting, "CHUNK_ROWS", 3000)
+    monkeypatch.setattr(boosting, "SUM_ROWS", 1000)
+    for rows in (None, np.arange(0, 5000, 2), np.arange(100)):
+        own = np.arange(5000) if rows is None else rows
+        for features in ([0, 1, 2, 3, 4], [1, 4], [2]):
+            got = data.histogram(np.array(features), rows, g[own].astype(float), h[own].astype(float))
+            assert (got == boosting._histogram(bins[np.ix_(own, features)], g[own], h[own], np.zeros(len(own), np.int64), 1, n_bins)[0]).all()
+    assert all((data.column(f, np.arange(5000)) == bins[:, f]).all() for f in range(5))
+
+
+def test_a_table_that_a_task_holds_is_trained_without_a_pass(binned, monkeypatch):
+    table, bins = binned
+    specs = [BoostSpec("a", (0, 1, 2, 3, 4), rounds=5, num_leaves=8, min_child=10, row_fraction=0.7), BoostSpec("b", (3, 1), rounds=3, num_leaves=5, positive_weight=2.0), BoostSpec("c", (), rounds=1)]
+    want = _json(boosting.fit(table, bins.n_bins, specs, "k", "label", in_memory_rows=100))
+    monkeypatch.setattr(boosting, "_grow_trees", lambda *a: pytest.fail("a pass for a tree"))
+    assert _json(boosting.fit(table, bins.n_bins, specs, "k", "label")) == want
