@@ -210,3 +210,16 @@ def test_a_table_that_a_task_holds_is_trained_without_a_pass(binned, monkeypatch
     want = _json(boosting.fit(table, bins.n_bins, specs, "k", "label", in_memory_rows=100))
     monkeypatch.setattr(boosting, "_grow_trees", lambda *a: pytest.fail("a pass for a tree"))
     assert _json(boosting.fit(table, bins.n_bins, specs, "k", "label")) == want
+
+
+def test_pairs_in_a_file_give_the_same_trees(binned, monkeypatch):
+    table, bins = binned
+    x, y = _matrix(table)
+    spec, trees = BoostSpec("m", (0, 1, 2, 3, 4), rounds=3, num_leaves=8, min_child=10), []
+    for limit in (10**9, 0):
+        monkeypatch.setattr(boosting, "MEMORY_BYTES", limit)
+        data = boosting.PairedBins(len(x), 5, bins.n_bins)
+        data.fill(0, x.astype(np.uint8))
+        assert isinstance(data.pairs, np.memmap) == (limit == 0)
+        trees.append([t.to_json() for t in boosting._train_paired(data, y.astype(float), np.arange(len(x)), spec, 0.0, 2.0**30)])
+    assert trees[0] == trees[1]
