@@ -199,7 +199,7 @@ def test_paired_bins_count_as_one_by_one(n_bins, monkeypatch):
     for rows in (None, np.arange(0, 5000, 2), np.arange(100)):
         own = np.arange(5000) if rows is None else rows
         for features in ([0, 1, 2, 3, 4], [1, 4], [2]):
-            got = data.histogram(np.array(features), rows, g[own].astype(float), h[own].astype(float))
+            got = data.histogram(np.array(features), rows, g[own], h[own])
             assert (got == boosting._histogram(bins[np.ix_(own, features)], g[own], h[own], np.zeros(len(own), np.int64), 1, n_bins)[0]).all()
     assert all((data.column(f, np.arange(5000)) == bins[:, f]).all() for f in range(5))
 
@@ -223,3 +223,10 @@ def test_pairs_in_a_file_give_the_same_trees(binned, monkeypatch):
         assert isinstance(data.pairs, np.memmap) == (limit == 0)
         trees.append([t.to_json() for t in boosting._train_paired(data, y.astype(float), np.arange(len(x)), spec, 0.0, 2.0**30)])
     assert trees[0] == trees[1]
+
+
+def test_rows_without_a_label_change_nothing_between_the_paths(binned, tmp_path):
+    table, bins = binned
+    gaps = table.withColumn("label", F.when(F.col("k") % 17 != 3, F.col("label")))
+    specs = [BoostSpec("m", (0, 1, 2, 3, 4), rounds=3, num_leaves=8, min_child=10)]
+    assert _json(boosting.fit(gaps, bins.n_bins, specs, "k", "label")) == _json(boosting.fit(gaps, bins.n_bins, specs, "k", "label", progress=f"{tmp_path}/p"))
